@@ -110,7 +110,7 @@ def path_need(child: ChildSpec) -> dict:
     """The parts of a record this child reads (for ``from_json`` schema pruning)."""
     keys = child.parent_key_names
     leaf: dict = {k: True for k in keys}
-    leaf.update({c: True for c in child.schema})
+    leaf.update({c: True for c, _ in child.schema})
     need: dict = leaf
     for name in reversed(child.path[1:]):
         level = {k: True for k in keys}

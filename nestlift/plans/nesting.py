@@ -131,3 +131,34 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-E: one record per event; ``props`` stays a JSON *string* field."""
     ev = table(spark, sf_dir, "events")
     return as_records(ev.select("event_id", "ts", "user_id", "event_type", "value", "props"))
+
+
+# ----------------------------------------------------------------- envelopes
+def event_envelopes(spark: SparkSession, sf_dir: str, start: str, end: str, days: int,
+                    page_size: int, data_key: str = "events",
+                    pages_key: str = "totalHits") -> DataFrame:
+    """Events in ``[start, end]`` landed as paged responses.
+
+    ``(window_start, page, body)`` with body ``{"totalHits": n, "<data_key>": [...]}``.
+    Window ``w`` has ``n_w`` events and ``ceil(n_w / page_size)`` pages; event
+    ``e`` sits on page ``1 + e.event_id mod pages(w)``, so pages hold about
+    ``page_size`` records each however large the window. The per-window
+    counts (one row per window of the date range) are broadcast.
+    """
+    from ..sources.landing import _bounds, date_windows, window_index
+    from ..spec import ts_lit
+
+    s, e = _bounds(start, end)
+    ev = table(spark, sf_dir, "events")
+    ev = ev.filter(F.col("ts").cast("timestamp").between(ts_lit(s), ts_lit(e)))
+    ev = ev.withColumn("window", window_index(F.col("ts"), s, days))
+    wc = ev.groupBy("window").agg(F.count(F.lit(1)).alias("__nl_hits"))
+    wins = date_windows(spark, s, e, days).join(wc, "window")
+    npages = F.greatest(F.ceil(F.col("__nl_hits") / F.lit(page_size)), F.lit(1))
+    rec = F.struct("event_id", "ts", "user_id", "event_type", "value", "props")
+    paged = (ev.join(F.broadcast(wins), "window")
+             .withColumn("page", (F.pmod(F.col("event_id"), npages) + 1).cast("int"))
+             .groupBy("window_start", "page")
+             .agg(F.max("__nl_hits").alias(pages_key), F.collect_list(rec).alias(data_key)))
+    return paged.select("window_start", "page",
+                        to_json_text(F.struct(pages_key, data_key)).alias("body"))

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..spec import ts_lit
+
 BRONZE_SCHEMA = T.StructType([
     T.StructField("raw_json", T.StringType()),
     T.StructField("load_timestamp", T.TimestampType()),
@@ -35,7 +37,7 @@ def annotate(text: DataFrame, load_ts: datetime | str, source: str | None = None
 
     ``source=None`` records each line's own file (``input_file_name``).
     """
-    ts = F.lit(load_ts).cast("timestamp") if isinstance(load_ts, str) else F.lit(load_ts)
+    ts = ts_lit(load_ts)
     src = F.input_file_name() if source is None else F.lit(source)
     return text.select(F.col(column).alias("raw_json"),
                        ts.cast("timestamp").alias("load_timestamp"),
@@ -65,9 +67,12 @@ def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table
 
 
 def read_bronze(spark: SparkSession, target: str, as_table: bool = False) -> DataFrame:
-    """Bronze rows from a path or catalog table (partition column dropped)."""
-    df = spark.table(target) if as_table else spark.read.parquet(target)
-    return df.drop(PARTITION) if PARTITION in df.columns else df
+    """Bronze rows from a path or catalog table.
+
+    The ``load_date`` partition column is kept so that a load-time filter
+    (``operators.backfill.load_window``) can prune directories.
+    """
+    return spark.table(target) if as_table else spark.read.parquet(target)
 
 
 def exists(spark: SparkSession, target: str, as_table: bool = False) -> bool:

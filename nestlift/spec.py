@@ -199,6 +199,14 @@ def parse_instant(text: str) -> datetime:
     return dt
 
 
+def ts_lit(v: "datetime | str"):
+    """A TIMESTAMP literal read in the session time zone (never the Python process zone)."""
+    from pyspark.sql import functions as F
+
+    dt = parse_instant(v) if isinstance(v, str) else v
+    return F.lit(dt.isoformat(sep=" ")).cast("timestamp")
+
+
 def select_tables(spec: JobSpec, selection: str | None) -> tuple[list[str], list[str]]:
     """Target-table selection: comma list, trimmed, blanks dropped; empty = all.
 

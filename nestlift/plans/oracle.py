@@ -41,6 +41,18 @@ ORACLE: dict[str, str] = {
   CAST(NULL AS VARCHAR) AS o_tags FROM orders""",
     "enforce_order": "SELECT o_orderpriority, o_orderkey, o_orderstatus FROM orders",
     "enforce_string": "SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_comment FROM orders",
+    "schema_drift": """SELECT * FROM (VALUES
+  ('orders_main', 'o_comment', 'missing', 'string', NULL),
+  ('orders_main', 'o_clerk', 'missing', 'string', NULL),
+  ('orders_main', 'lines', 'extra', NULL, 'array<struct<l_discount:double,l_extendedprice:double,'
+    || 'l_linenumber:bigint,l_linestatus:string,l_partkey:bigint,l_quantity:double,'
+    || 'l_returnflag:string,l_shipdate:string,l_suppkey:bigint,l_tax:double>>'),
+  ('orders_main', 'o_custkey', 'extra', NULL, 'bigint'),
+  ('orders_main', 'o_orderdate', 'extra', NULL, 'string'),
+  ('orders_main', 'o_orderpriority', 'extra', NULL, 'string'),
+  ('orders_main', 'o_totalprice', 'extra', NULL, 'double'),
+  ('orders_main', 'partkeys', 'extra', NULL, 'array<bigint>'))
+  AS t("table", "column", kind, declared, actual)""",
     "unnest_1": f"SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l",
     "unnest_scalar": "SELECT l_orderkey AS o_orderkey, l_partkey AS partkeys_exploded FROM lineitem",
     "unnest_empty": """SELECT o_orderkey FROM orders o

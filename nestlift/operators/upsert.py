@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,8 +142,8 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
         (src.alias("__nl_src").mergeInto(table, _merge_condition(short, keys, null_safe))
          .whenMatched().updateAll().whenNotMatched().insertAll().merge())
         return table
-    except AnalysisException as e:  # row-level MERGE unsupported by this table format
-        if "UNSUPPORTED" not in str(e).upper():
+    except (AnalysisException, UnsupportedOperationException) as e:
+        if "UNSUPPORTED_FEATURE" not in str(e):   # only "this format has no row-level MERGE"
             raise
     if check:
         check_conflicts(target, src, keys, null_safe)

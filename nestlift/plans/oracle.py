@@ -127,7 +127,7 @@ ORACLE: dict[str, str] = {
     WHERE l_shipdate >= TIMESTAMP '1998-01-01')
   SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey
     AND s.l_linenumber = t.l_linenumber AND s.l_partkey = t.l_partkey
-    AND s.l_suppkey = t.l_suppkey)
+    AND s.l_suppkey = t.l_suppkey AND s.l_shipdate = t.l_shipdate)
   UNION ALL SELECT * FROM s""",
     "upsert_null_key": """WITH o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END
       AS o_key, o_orderkey, o_totalprice, o_orderdate FROM orders),

@@ -45,7 +45,7 @@ ORDERS = {
         {
             "unnested_to_table": "order_lines",
             "parent_key": {"o_orderkey": "int"},
-            "unnested_to_table_key": ["l_linenumber", "l_partkey", "l_suppkey"],
+            "unnested_to_table_key": ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"],
             "unnested_column": ["lines"],
             "data_schema": LINE_SCHEMA,
         },
@@ -90,7 +90,7 @@ CUSTOMERS = {
         {
             "unnested_to_table": "customer_order_lines",
             "parent_key": {"c_custkey": "int", "o_orderkey": "int"},
-            "unnested_to_table_key": ["l_linenumber", "l_partkey", "l_suppkey"],
+            "unnested_to_table_key": ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"],
             "unnested_column": ["orders", "lines"],
             "data_schema": LINE_SCHEMA,
         },

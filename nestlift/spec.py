@@ -115,8 +115,8 @@ class JobSpec:
             children=tuple(children),
             data_key=d.get("data", "data"),
             pages_key=d.get("pages", "totalHits"),
-            page_size=int(d.get("PAGE_SIZE", 100) or 100),
-            interval_days=int(d.get("RETRIEVAL_INTERVAL", 7) or 7),
+            page_size=_int(d.get("PAGE_SIZE"), 100),
+            interval_days=_int(d.get("RETRIEVAL_INTERVAL"), 7),
             start=d.get("START_DATE") or None,
             end=d.get("END_DATE") or None,
             raw_table=d.get("raw_table_name", "raw_data"),
@@ -133,6 +133,11 @@ class JobSpec:
         return cls.from_dict(json.loads(text))
 
 
+def _int(v: Any, default: int) -> int:
+    """Integer setting; blank or absent means the default (0 stays 0 and is rejected later)."""
+    return default if v is None or (isinstance(v, str) and not v.strip()) else int(v)
+
+
 def _case_collisions(names) -> list[str]:
     seen: dict[str, str] = {}
     bad = []

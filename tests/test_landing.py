@@ -1,0 +1,48 @@
+import datetime as dt
+
+from nestlift.sources import landing
+
+D = dt.datetime
+
+
+def test_window_count_and_ends(spark):
+    assert landing.window_count("2025-07-01T00:00:00.000Z", "2025-07-15T23:59:59.999Z", 7) == 3
+    w = landing.date_windows(spark, "2025-07-01T00:00:00.000Z", "2025-07-15T23:59:59.999Z", 7).collect()
+    assert [(r.window_start, r.window_end) for r in w] == [
+        (D(2025, 7, 1), D(2025, 7, 7, 23, 59, 59)),
+        (D(2025, 7, 8), D(2025, 7, 14, 23, 59, 59)),
+        (D(2025, 7, 15), D(2025, 7, 15, 23, 59, 59, 999000)),
+    ]
+
+
+def test_window_coverage_gap_and_empty(spark):
+    recs = spark.createDataFrame(
+        [(D(2025, 7, 1, 5),), (D(2025, 7, 7, 23, 59, 59, 500000),), (D(2025, 7, 15, 1),), (D(2025, 8, 1),)],
+        "ts TIMESTAMP")
+    out = landing.window_coverage(recs, "ts", "2025-07-01T00:00:00Z", "2025-07-15T23:59:59.999Z", 7)
+    assert [(r.window, r.records, r.in_gap) for r in out.orderBy("window").collect()] == [
+        (0, 2, 1), (1, 0, 0), (2, 1, 0)]
+
+
+def _env(spark, rows):
+    return spark.createDataFrame(rows, "window_start TIMESTAMP, page INT, body STRING")
+
+
+def test_records_flatten(spark):
+    env = _env(spark, [(D(2025, 7, 1), 1, '{"totalHits": 3, "data": [{"a": {"b": 1.50}}, null, 7]}'),
+                       (D(2025, 7, 1), 2, '{"totalHits": 3}')])
+    got = [r.raw_json for r in landing.records(env, "data").orderBy("position").collect()]
+    assert got == ['{"a":{"b":1.5}}', None, "7"]   # objects stay text; numbers normalised
+
+
+def test_expected_pages_and_report(spark):
+    env = _env(spark, [(D(2025, 7, 1), 1, '{"totalHits": 250, "data": [1, 2]}'),
+                       (D(2025, 7, 1), 2, '{"totalHits": 250, "data": [3]}'),
+                       (D(2025, 7, 8), 1, '{"data": [4]}'),              # no totals key -> page 1 only
+                       (D(2025, 7, 8), 2, '{"data": [5]}')])
+    exp = sorted((r.window_start.day, r.page) for r in landing.expected_pages(env, "totalHits", 100).collect())
+    assert exp == [(1, 1), (1, 2), (1, 3), (8, 1)]
+    rep = sorted((r.window_start.day, r.page, r.status, r.records)
+                 for r in landing.page_report(env, "data", "totalHits", 100).collect())
+    assert rep == [(1, 1, "received", 2), (1, 2, "received", 1), (1, 3, "missing", 0),
+                   (8, 1, "received", 1), (8, 2, "unexpected", 1)]

@@ -13,7 +13,8 @@ Semantics kept from a SQL MERGE without a delete clause:
   inserted.
 
 As a plan, ``merge_frames`` is ``target ANTI JOIN source-keys UNION ALL
-source``. NULL-key target rows bypass the join (they cannot match), so a
+source``. The source is persisted while it is both checked and merged, so
+it is computed (parsed) once. NULL-key target rows bypass the join (they cannot match), so a
 mass of NULL keys never lands in one join task. Broadcast vs sort-merge is
 left to AQE, which decides on measured sizes.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,9 +111,14 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
         source.write.mode("errorifexists").parquet(out)
         return out
     target = spark.read.parquet(current)
-    if check:
-        check_conflicts(target, source, keys, null_safe)
-    merge_frames(target, source, keys, null_safe).write.mode("errorifexists").parquet(out)
+    src = source.persist(StorageLevel.MEMORY_AND_DISK) if check else source
+    try:
+        if check:
+            check_conflicts(target, src, keys, null_safe)
+        merge_frames(target, src, keys, null_safe).write.mode("errorifexists").parquet(out)
+    finally:
+        if check:
+            src.unpersist()
     return out
 
 
@@ -145,13 +152,22 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
     except (AnalysisException, UnsupportedOperationException) as e:
         if "UNSUPPORTED_FEATURE" not in str(e):   # only "this format has no row-level MERGE"
             raise
-    if check:
-        check_conflicts(target, src, keys, null_safe)
+    src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if check:
+            check_conflicts(target, src, keys, null_safe)
+        _swap_in(spark, table, merge_frames(target, src, keys, null_safe))
+    finally:
+        src.unpersist()
+    return table
+
+
+def _swap_in(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Write ``rows`` to a staging table, then replace ``table`` with it by name."""
     staging = f"{table}__nl_next"
     q = ".".join(quote(p) for p in table.split("."))
     qs = ".".join(quote(p) for p in staging.split("."))
     spark.sql(f"DROP TABLE IF EXISTS {qs}")
-    merge_frames(target, src, keys, null_safe).write.saveAsTable(staging)
+    rows.write.saveAsTable(staging)
     spark.sql(f"DROP TABLE {q}")
     spark.sql(f"ALTER TABLE {qs} RENAME TO {q}")
-    return table

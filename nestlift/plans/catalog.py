@@ -331,15 +331,20 @@ def q_merge_conflicts(spark, sf_dir):
 
 
 def q_silver_summary(spark, sf_dir):
-    """Two incremental batches upserted into versioned silver, then summarised."""
+    """Two incremental loads upserted into versioned silver, then summarised.
+
+    The loads are the landed order records split by order date (overlapping
+    in 1998), each given its own load time, like two runs of a source.
+    """
     sp = specs.spec(specs.ORDERS)
-    rows = nesting.order_rows(spark, sf_dir)
-    first, second = _split(rows, "o_orderdate")
+    bronze = landed(spark, sf_dir, "fx-o").select("raw_json")
+    day = F.get_json_object("raw_json", "$.o_orderdate")
+    loads = ((bronze.filter(day < F.lit(SPLIT_HI)), "2024-02-01T00:00:00Z"),
+             (bronze.filter(day >= F.lit(SPLIT_LO)), "2024-02-02T00:00:00Z"))
     root = scratch_path(spark, "silver")
     current: dict[str, str | None] = {}
-    for i, part in enumerate((first, second)):
-        res = silver_tables(_bronze(spark, nesting.as_records(part), f"batch-{i}"), sp,
-                            only="orders_main, order_lines")
+    for i, (part, ts) in enumerate(loads):
+        res = silver_tables(in_memory_bronze(part, ts, f"load-{i}"), sp, only="orders_main, order_lines")
         current = upsert_all(spark, sp, res.tables, current, root)
     return summary(spark, current).select("table", "rows", "cols")
 

@@ -59,11 +59,15 @@ def record_schema(bronze: DataFrame, spec: JobSpec, column: str = "raw_json",
     return infer_schema(bronze, column, sample_rows=sample_rows)
 
 
+def main_need(spec: JobSpec) -> dict:
+    need = merge_needs({c: True for c in spec.main_schema}, {k: True for k in spec.main_key})
+    return need
+
+
 def needs(spec: JobSpec, tables: list[str]) -> dict:
     need: dict = {}
     if spec.main_table in tables:
-        need = merge_needs(need, {c: True for c in spec.main_schema})
-        need = merge_needs(need, {k: True for k in spec.main_key})
+        need = merge_needs(need, main_need(spec))
     for c in spec.children:
         if c.name in tables:
             need = merge_needs(need, path_need(c))
@@ -74,8 +78,15 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
                   schema: T.StructType | None = None, reuse: str | None = "stage",
                   column: str = "raw_json", sample_rows: int | None = None,
                   quarantine: bool = False, probe: bool = True) -> SilverResult:
-    """Lazy main + child tables from a bronze frame (``raw_json`` text)."""
+    """Lazy main + child tables from a bronze frame (``raw_json`` text).
+
+    Every table reads only its own fields: from the staged Parquet through
+    an explicit pruned read schema (nested pruning does not pass through
+    generators, an explicit schema does), or, without staging, by parsing
+    with its own pruned schema.
+    """
     kept, unknown = select_tables(spec, only)
+    spark = bronze.sparkSession
     full = schema if schema is not None else record_schema(bronze, spec, column, sample_rows)
     pruned = prune(full, needs(spec, kept))
     parsed = parse(bronze, pruned, column, corrupt_column=CORRUPT if quarantine else None)
@@ -84,21 +95,34 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
         parsed, bad = split_corrupt(parsed)
     persisted: list[DataFrame] = []
     if reuse == "stage":
-        path = scratch_path(bronze.sparkSession, "parsed")
+        path = scratch_path(spark, "parsed")
         parsed.write.mode("overwrite").parquet(path)
-        parsed = bronze.sparkSession.read.parquet(path)
+        parsed = spark.read.parquet(path)
+        staged = parsed.schema
+
+        def source(need: dict) -> DataFrame:
+            return spark.read.schema(prune(staged, need)).parquet(path)
     elif reuse == "persist":
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(parsed)
+
+        def source(need: dict) -> DataFrame:
+            return parsed
+    elif quarantine:
+        def source(need: dict) -> DataFrame:
+            return parsed
+    else:
+        def source(need: dict) -> DataFrame:
+            return parse(bronze, prune(full, need), column)
     tables: dict[str, DataFrame] = {}
     skipped: dict[str, str] = {}
     notes: dict[str, list[str]] = {}
     if spec.main_table in kept:
-        tables[spec.main_table] = enforce(parsed, spec.main_schema)
+        tables[spec.main_table] = enforce(source(main_need(spec)), spec.main_schema)
     for child in spec.children:
         if child.name not in kept:
             continue
-        r = unnest(parsed, child, probe=probe, sample_rows=sample_rows)
+        r = unnest(source(path_need(child)), child, probe=probe, sample_rows=sample_rows)
         if r.df is None:
             skipped[child.name] = r.skipped or "skipped"
         else:

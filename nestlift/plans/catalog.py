@@ -197,7 +197,14 @@ def q_table_counts(spark, sf_dir):
 
 # ------------------------------------------------------------------ landing
 def _envelopes(spark, sf_dir, days=EV_DAYS):
-    return nesting.event_envelopes(spark, sf_dir, EV_START, EV_END, days, EV_PAGE)
+    """Landed page responses of the events source (written once per application)."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"envelopes-{days}")
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, "envelopes")
+        nesting.event_envelopes(spark, sf_dir, EV_START, EV_END, days, EV_PAGE).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
 
 
 EVENT_SHAPE = {"event_id": "BIGINT", "ts": "TIMESTAMP", "user_id": "BIGINT",

@@ -25,7 +25,7 @@ from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
 from .report import summary, table_counts
-from .run import upsert_all
+from .run import backfill, ingest, upsert_all
 from .silver import silver_tables
 
 LOAD_TS = "2024-02-01T00:00:00Z"
@@ -338,24 +338,47 @@ def q_merge_conflicts(spark, sf_dir):
 
 
 def q_silver_summary(spark, sf_dir):
-    """Two incremental loads upserted into versioned silver, then summarised.
-
-    The loads are the landed order records split by order date (overlapping
-    in 1998), each given its own load time, like two runs of a source.
-    """
+    """Two overlapping loads upserted into versioned silver, then summarised."""
     sp = specs.spec(specs.ORDERS)
-    bronze = landed(spark, sf_dir, "fx-o").select("raw_json")
-    day = F.get_json_object("raw_json", "$.o_orderdate")
-    loads = ((bronze.filter(day < F.lit(SPLIT_HI)), "2024-02-01T00:00:00Z"),
-             (bronze.filter(day >= F.lit(SPLIT_LO)), "2024-02-02T00:00:00Z"))
     root = scratch_path(spark, "silver")
     current: dict[str, str | None] = {}
-    for i, (part, ts) in enumerate(loads):
+    for i, (part, ts) in enumerate(zip(_order_loads(spark, sf_dir),
+                                       ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z"))):
         res = silver_tables(in_memory_bronze(part, ts, f"load-{i}"), sp, only="orders_main, order_lines")
         current = upsert_all(spark, sp, res.tables, current, root)
     return summary(spark, current).select("table", "rows", "cols")
 
 
+def _order_loads(spark, sf_dir):
+    """The landed order records as two overlapping loads (split on order date)."""
+    bronze = landed(spark, sf_dir, "fx-o").select("raw_json")
+    day = F.get_json_object("raw_json", "$.o_orderdate")
+    return (bronze.filter(day < F.lit(SPLIT_HI)), bronze.filter(day >= F.lit(SPLIT_LO)))
+
+
+def q_incremental_run(spark, sf_dir):
+    """Two incremental runs: landed text -> bronze append -> silver -> upsert of every table."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    current: dict[str, str | None] = {}
+    for part, ts in zip(_order_loads(spark, sf_dir), ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")):
+        text = write_landing(part, scratch_path(spark, "landing"))
+        current = ingest(spark, sp, text, ts, bronze, root, current,
+                         only="orders_main, order_lines").versions
+    return ntz(spark.read.parquet(current["orders_main"]).select(*nesting.ORDER_FIELDS))
+
+
+def q_backfill_rebuild(spark, sf_dir):
+    """Rebuild one table from the bronze rows of one load-time range."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for part, ts in zip(_order_loads(spark, sf_dir), ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")):
+        append_bronze(in_memory_bronze(part, ts, "orders"), bronze)
+    run = backfill(spark, sp, bronze, "2024-02-02T00:00:00Z", "2024-02-02T23:59:59Z", root,
+                   only="order_lines")
+    return ntz(spark.read.parquet(run.versions["order_lines"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_declared": q_parse_declared,
     "parse_inferred": q_parse_inferred,
@@ -390,4 +413,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_null_key": q_upsert_null_key,
     "merge_conflicts": q_merge_conflicts,
     "silver_summary": q_silver_summary,
+    "incremental_run": q_incremental_run,
+    "backfill_rebuild": q_backfill_rebuild,
 }

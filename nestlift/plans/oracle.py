@@ -143,6 +143,10 @@ ORACLE: dict[str, str] = {
     WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1, 2 HAVING count(*) > 1)
   SELECT * FROM d WHERE EXISTS (SELECT 1 FROM li t WHERE t.l_shipdate < TIMESTAMP '1999-01-01'
     AND t.o_orderkey = d.o_orderkey AND t.l_linenumber = d.l_linenumber)""",
+    "incremental_run": f"SELECT {_ORDER_COLS} FROM orders",
+    "backfill_rebuild": f"""SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS}
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+  WHERE o.o_orderdate >= TIMESTAMP '1998-01-01'""",
     "silver_summary": """SELECT 'orders_main' AS "table", count(*) AS rows, 8 AS cols FROM orders
   UNION ALL SELECT 'order_lines', count(*), 11 FROM lineitem""",
 }

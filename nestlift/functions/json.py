@@ -55,22 +55,33 @@ def split_corrupt(parsed: DataFrame, corrupt_column: str = CORRUPT) -> tuple[Dat
 
 
 def infer_schema(df: DataFrame, column: str = "raw_json", sample_rows: int | None = None,
-                 sampling_ratio: float = 1.0) -> T.StructType:
+                 sampling_ratio: float = 1.0, via: str = "text") -> T.StructType:
     """Spark's JSON schema inference over a text column.
 
     ``sample_rows=None`` reads every non-null value (fields first seen late
     are not lost); ``sample_rows=10000`` reproduces a first-N sample.
     ``sampling_ratio`` samples inside every partition instead, which keeps
     the job parallel on large inputs. Prefer a declared schema at scale.
+
+    ``via="text"`` (default) writes the values once as text under the shared
+    scratch folder and lets ``spark.read.json`` infer from the files: the
+    whole job stays in the JVM, in parallel. ``via="rdd"`` feeds an RDD of
+    strings instead, which moves every value through Python workers.
     """
-    src = df.select(F.col(quote(column)).cast("string").alias("v")).filter(F.col("v").isNotNull())
+    src = df.select(F.col(quote(column)).cast("string").alias("value")).filter(F.col("value").isNotNull())
     if sample_rows:
         src = src.limit(int(sample_rows))
-    lines = src.rdd.map(lambda row: row[0])
-    reader = df.sparkSession.read
-    if sampling_ratio < 1.0:
-        reader = reader.option("samplingRatio", sampling_ratio)
-    return reader.json(lines).schema
+    elif sampling_ratio < 1.0:
+        src = src.sample(fraction=sampling_ratio, seed=17)
+    spark = df.sparkSession
+    if via == "rdd":
+        return spark.read.json(src.rdd.map(lambda row: row[0])).schema
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "infer")
+    # one value per line: raw line breaks can only be whitespace between JSON tokens
+    src.select(F.regexp_replace("value", "[\\r\\n]", " ").alias("value")).write.text(path)
+    return spark.read.json(path).schema
 
 
 def element_schema(inferred: T.StructType) -> T.DataType:

@@ -34,3 +34,10 @@ def test_parse_keeps_columns(spark):
     df = spark.createDataFrame([("{\"x\": 1}", "f1")], "raw_json STRING, source_file STRING")
     out = parse(df, T.StructType([T.StructField("x", T.LongType())]), keep=("source_file",))
     assert out.columns == ["source_file", "x"] and tuple(out.first()) == ("f1", 1)
+
+
+def test_inference_paths_agree_and_multiline_values(spark, records):
+    df = records('{"a": 1,\n "b": [1, 2]}', '{"c": {"d": "x\\ny"}}')
+    text = infer_schema(df)
+    assert text == infer_schema(df, via="rdd")
+    assert text.fieldNames() == ["a", "b", "c"] and "_corrupt_record" not in text.fieldNames()

@@ -122,6 +122,52 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     return out
 
 
+TOUCHED_BROADCAST_LIMIT = 100_000
+
+
+def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
+                       partition_by: list[str], null_safe: bool = False, check: bool = True,
+                       scratch: str | None = None) -> str:
+    """Upsert into a Parquet table partitioned by ``partition_by``, rewriting only touched partitions.
+
+    The partition columns must be fixed per key (a key's rows never move
+    between partitions), e.g. a record date or a key bucket. Then only the
+    partitions present in the source can change:
+
+    1. ``touched`` = distinct partition values of the source; it is broadcast
+       only after its size is checked (``TOUCHED_BROADCAST_LIMIT``), so the
+       target scan is cut by dynamic partition pruning;
+    2. touched target rows are merged with the source and written to
+       ``scratch`` (cuts the lineage to the table about to be overwritten);
+    3. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
+       every other partition is left untouched.
+
+    Cost is O(touched partitions), not O(table). Partitions are replaced one
+    by one, without cross-partition atomicity.
+    """
+    try:
+        target = spark.read.parquet(path)
+    except AnalysisException:
+        source.write.partitionBy(*partition_by).parquet(path)
+        return path
+    if not scratch:
+        raise ValueError("scratch: a fresh path on shared storage for the merged partitions")
+    src = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = src.select(*partition_by).distinct()
+        n = touched.count()
+        touched = F.broadcast(touched) if n <= TOUCHED_BROADCAST_LIMIT else touched
+        part = target.join(touched, partition_by, "left_semi")
+        if check:
+            check_conflicts(part, src, keys, null_safe)
+        merge_frames(part, src, keys, null_safe).write.partitionBy(*partition_by).parquet(scratch)
+    finally:
+        src.unpersist()
+    (spark.read.parquet(scratch).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return path
+
+
 def _merge_condition(table: str, keys: list[str], null_safe: bool) -> Column:
     parts = []
     for k in keys:

@@ -19,7 +19,7 @@ from ..functions.json import infer_schema, parse
 from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
-from ..operators.upsert import conflicts, merge_frames, upsert_path
+from ..operators.upsert import conflicts, merge_frames, upsert_partitioned, upsert_path
 from ..session import scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
@@ -321,6 +321,20 @@ def q_upsert_child(spark, sf_dir):
     return spark.read.parquet(v2)
 
 
+def q_upsert_partitioned(spark, sf_dir):
+    """Child upsert into a table partitioned by ship year: only touched years are rewritten."""
+    sp = specs.spec(specs.ORDERS)
+    lines = ntz(_orders_silver(spark, sf_dir, only="order_lines").tables["order_lines"])
+    lines = lines.withColumn("ship_year", F.year("l_shipdate"))   # fixed per key (l_shipdate is in it)
+    target, source = _split(lines, "l_shipdate")
+    source = source.withColumn("l_quantity", F.col("l_quantity") + 1)
+    keys = sp.child("order_lines").merge_keys
+    path = scratch_path(spark, "silver")
+    upsert_partitioned(spark, path, target, keys, ["ship_year"])
+    upsert_partitioned(spark, path, source, keys, ["ship_year"], scratch=scratch_path(spark, "merge"))
+    return spark.read.parquet(path).drop("ship_year")
+
+
 def q_upsert_null_key(spark, sf_dir):
     main = _main_typed(spark, sf_dir)
     main = main.select(F.when(F.col("o_orderstatus") == "P", F.lit(None))
@@ -410,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_create": q_upsert_create,
     "upsert_main": q_upsert_main,
     "upsert_child": q_upsert_child,
+    "upsert_partitioned": q_upsert_partitioned,
     "upsert_null_key": q_upsert_null_key,
     "merge_conflicts": q_merge_conflicts,
     "silver_summary": q_silver_summary,

@@ -123,6 +123,14 @@ ORACLE: dict[str, str] = {
   UNION ALL SELECT * FROM s""",
     "upsert_child": f"""WITH li AS (SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l),
   t AS (SELECT * FROM li WHERE l_shipdate < TIMESTAMP '1999-01-01'),
+  s AS (SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM li
+    WHERE l_shipdate >= TIMESTAMP '1998-01-01')
+  SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey
+    AND s.l_linenumber = t.l_linenumber AND s.l_partkey = t.l_partkey
+    AND s.l_suppkey = t.l_suppkey AND s.l_shipdate = t.l_shipdate)
+  UNION ALL SELECT * FROM s""",
+    "upsert_partitioned": f"""WITH li AS (SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l),
+  t AS (SELECT * FROM li WHERE l_shipdate < TIMESTAMP '1999-01-01'),
   s AS (SELECT * REPLACE (l_quantity + 1 AS l_quantity) FROM li
     WHERE l_shipdate >= TIMESTAMP '1998-01-01')
   SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey

@@ -65,3 +65,20 @@ def test_idempotent_for_unique_keys(spark, target, source):
     assert rows(once) == rows(twice)
     expect = {**dict(target), **source}
     assert rows(once) == sorted(expect.items())
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
+    import glob
+    import os
+
+    from nestlift.operators.upsert import upsert_partitioned
+
+    path = scratch_path(spark, "part")
+    t = spark.createDataFrame([("a", 1, 2023), ("b", 2, 2023), ("c", 3, 2024)], "k STRING, v INT, y INT")
+    upsert_partitioned(spark, path, t, ["k"], ["y"])
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/y=2023/*.parquet")}
+    s = spark.createDataFrame([("c", 30, 2024), ("d", 4, 2024)], "k STRING, v INT, y INT")
+    upsert_partitioned(spark, path, s, ["k"], ["y"], scratch=scratch_path(spark, "merge"))
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/y=2023/*.parquet")}
+    assert before == after and before                      # untouched partition: same files
+    assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 1), ("b", 2), ("c", 30), ("d", 4)]

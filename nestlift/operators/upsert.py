@@ -122,9 +122,29 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     return out
 
 
+TOUCHED_LITERAL_LIMIT = 1_000
 TOUCHED_BROADCAST_LIMIT = 100_000
 
 
+def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Target rows in the touched partitions.
+
+    A small touched set (count checked first) becomes literal partition
+    filters, so the scan is pruned statically; a larger one is a semi-join,
+    broadcast only while its size stays under the limit.
+    """
+    n = touched.count()
+    if n <= TOUCHED_LITERAL_LIMIT:
+        vals = touched.collect()
+        if not vals:
+            return target.limit(0)
+        conds = [reduce(lambda a, b: a & b,
+                        [F.col(quote(c)).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in vals]
+        return target.filter(reduce(lambda a, b: a | b, conds))
+    side = F.broadcast(touched) if n <= TOUCHED_BROADCAST_LIMIT else touched
+    return target.join(side, partition_by, "left_semi")
+
+
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                        partition_by: list[str], null_safe: bool = False, check: bool = True,
                        scratch: str | None = None) -> str:
@@ -134,9 +154,10 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
     between partitions), e.g. a record date or a key bucket. Then only the
     partitions present in the source can change:
 
-    1. ``touched`` = distinct partition values of the source; it is broadcast
-       only after its size is checked (``TOUCHED_BROADCAST_LIMIT``), so the
-       target scan is cut by dynamic partition pruning;
+    1. ``touched`` = distinct partition values of the source (its size is
+       counted first): up to ``TOUCHED_LITERAL_LIMIT`` values become literal
+       partition filters (static partition pruning of the target scan);
+       more become a semi-join, broadcast only under ``TOUCHED_BROADCAST_LIMIT``;
     2. touched target rows are merged with the source and written to
        ``scratch`` (cuts the lineage to the table about to be overwritten);
     3. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
@@ -154,10 +175,7 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
         raise ValueError("scratch: a fresh path on shared storage for the merged partitions")
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        touched = src.select(*partition_by).distinct()
-        n = touched.count()
-        touched = F.broadcast(touched) if n <= TOUCHED_BROADCAST_LIMIT else touched
-        part = target.join(touched, partition_by, "left_semi")
+        part = _touched_rows(target, src.select(*partition_by).distinct(), partition_by)
         if check:
             check_conflicts(part, src, keys, null_safe)
         merge_frames(part, src, keys, null_safe).write.partitionBy(*partition_by).parquet(scratch)

@@ -82,3 +82,16 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     after = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/y=2023/*.parquet")}
     assert before == after and before                      # untouched partition: same files
     assert rows(spark.read.parquet(path).select("k", "v")) == [("a", 1), ("b", 2), ("c", 30), ("d", 4)]
+
+
+def test_partitioned_upsert_prunes_the_target_scan(spark):
+    from nestlift.operators.upsert import _touched_rows
+
+    path = scratch_path(spark, "part")
+    spark.createDataFrame([(i, i % 5) for i in range(50)], "k INT, y INT").write.partitionBy("y").parquet(path)
+    t = spark.read.parquet(path)
+    part = _touched_rows(t, spark.createDataFrame([(3,)], "y INT"), ["y"])
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "= 3" in plan.split("PartitionFilters: [")[1].split("]")[0] \
+        or "<=> 3" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(r.k for r in part.collect()) == [3, 8, 13, 18, 23, 28, 33, 38, 43, 48]

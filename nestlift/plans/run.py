@@ -18,7 +18,8 @@ from dataclasses import dataclass
 from datetime import datetime
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.backfill import load_window
 from ..operators.upsert import upsert_path, upsert_table
@@ -35,16 +36,22 @@ def table_keys(spec: JobSpec, table: str) -> list[str]:
 
 def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
                current: Mapping[str, str | None], root: str, null_safe: bool = False,
-               check: bool = True) -> dict[str, str]:
+               check: bool = True, rows: dict[str, int] | None = None) -> dict[str, str]:
     """Upsert each table into a new Parquet version; returns ``{table: path}``.
 
-    Tables not produced this run keep their current version.
+    Tables not produced this run keep their current version. When ``rows``
+    is given it receives the number of rows upserted per table, counted by
+    ``observe`` inside the write job itself (no extra pass over the data).
     """
     out = {k: v for k, v in current.items() if v}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-        out[name] = upsert_path(spark, current.get(name), df, table_keys(spec, name), path,
+        obs = Observation(f"upsert_{name}")
+        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        out[name] = upsert_path(spark, current.get(name), counted, table_keys(spec, name), path,
                                 null_safe=null_safe, check=check)
+        if rows is not None:
+            rows[name] = int(obs.get.get("rows", 0))
     return out
 
 
@@ -60,6 +67,7 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
 class RunResult:
     silver: SilverResult
     versions: dict[str, str]
+    rows: dict[str, int]
 
 
 def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime | str,
@@ -73,7 +81,9 @@ def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime |
     append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target)
     batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
     res = silver_tables(batch, spec, only=only)
-    return RunResult(res, upsert_all(spark, spec, res.tables, current or {}, silver_root))
+    rows: dict[str, int] = {}
+    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
+    return RunResult(res, versions, rows)
 
 
 def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: datetime | str,
@@ -82,4 +92,6 @@ def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: date
     """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``."""
     bronze = load_window(read_bronze(spark, bronze_target), start, end)
     res = silver_tables(bronze, spec, only=only)
-    return RunResult(res, upsert_all(spark, spec, res.tables, current or {}, silver_root))
+    rows: dict[str, int] = {}
+    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
+    return RunResult(res, versions, rows)

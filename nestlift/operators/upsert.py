@@ -227,11 +227,18 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
 
 
 def _swap_in(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Write ``rows`` to a staging table, then replace ``table`` with it by name."""
-    staging = f"{table}__nl_next"
+    """Write ``rows`` to a staging table, then swap it in by name.
+
+    The old table is renamed aside before the staging table takes its name
+    and is dropped only afterwards, so an interruption at any step leaves
+    either the old or the new rows under a known name.
+    """
     q = ".".join(quote(p) for p in table.split("."))
-    qs = ".".join(quote(p) for p in staging.split("."))
+    qs = ".".join(quote(p) for p in f"{table}__nl_next".split("."))
+    qp = ".".join(quote(p) for p in f"{table}__nl_prev".split("."))
     spark.sql(f"DROP TABLE IF EXISTS {qs}")
-    rows.write.saveAsTable(staging)
-    spark.sql(f"DROP TABLE {q}")
+    spark.sql(f"DROP TABLE IF EXISTS {qp}")
+    rows.write.saveAsTable(f"{table}__nl_next")
+    spark.sql(f"ALTER TABLE {q} RENAME TO {qp}")
     spark.sql(f"ALTER TABLE {qs} RENAME TO {q}")
+    spark.sql(f"DROP TABLE {qp}")

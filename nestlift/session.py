@@ -40,8 +40,10 @@ def local_session(cores: int | None = None, app: str = "nestlift",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch root (``spark.checkpoint.dir``).
 
-    Read from the session; if it is unset (local tests), set one under the
-    system temp folder so that ``DataFrame.checkpoint`` works as well.
+    Read from the session. Only a ``local[...]`` session without the setting
+    (tests) gets a folder under the system temp folder; on a cluster the
+    setting is required, since a machine-local folder would not survive the
+    loss of that machine.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None)
@@ -53,6 +55,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (HDFS/S3/...): "
+                               "scratch data must survive the loss of any single machine")
         d = tempfile.mkdtemp(prefix="nestlift-checkpoint-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -5,7 +5,8 @@ being opened, so wide records never travel past the level that needs them.
 Per level:
 
 1. the named column must exist and be an array or JSON text (a struct, map
-   or scalar skips the table), and must hold at least one non-NULL value;
+   or scalar skips the table), and must hold at least one non-NULL value
+   (checked with as few ``limit(1)`` jobs as possible, see ``unnest``);
 2. JSON text is parsed with the inferred (or given) element schema, a lone
    object becoming a one-element array;
 3. the array is opened with ``posexplode_outer`` filtered on ``pos IS NOT
@@ -56,19 +57,36 @@ def open_array(df: DataFrame, carry: list[str], arr, elem: str = _ELEM) -> DataF
             .drop(_POS))
 
 
+def _empty(df: DataFrame, name: str) -> bool:
+    c = F.col(quote(name))
+    return df.select(c).filter(c.isNotNull()).limit(1).isEmpty()
+
+
 def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
            text_schemas: Mapping[str, T.DataType] | None = None,
            sample_rows: int | None = None) -> UnnestResult:
     """Build one child table from a parsed record frame.
 
-    ``probe`` runs one ``limit(1)`` job per level to skip levels that hold no
-    value at all (the reference's rule). ``text_schemas`` gives element
-    schemas for JSON-text levels by name; otherwise they are inferred.
+    ``probe`` applies the rule that a level holding no value at all skips
+    the table. A value at the deepest level implies values at every level
+    above it, so array levels share ONE ``limit(1)`` probe at the deepest of
+    them; shallower levels are probed only when it finds nothing, to name
+    the empty level. A JSON-text level is probed where it stands, since its
+    element schema is inferred from those values. ``text_schemas`` gives
+    element schemas for JSON-text levels by name.
     """
     keys = child.parent_key_names
     res = UnnestResult(child.name, None)
     cur = parsed
     carried: list[str] = []
+    pending: list[tuple[int, str, DataFrame]] = []   # array levels not yet probed
+
+    def first_empty(levels) -> str | None:
+        for lv, nm, df in levels:
+            if _empty(df, nm):
+                return f"level {lv + 1}: {nm!r} holds no value"
+        return None
+
     for level, name in enumerate(child.path):
         res.levels.append(name)
         if name not in cur.columns:
@@ -81,14 +99,18 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
             res.skipped = f"level {level + 1}: {name!r} is {dtype.simpleString()}, not an array or JSON text"
             return res
         col = F.col(quote(name))
-        if probe and cur.select(col).filter(col.isNotNull()).limit(1).isEmpty():
-            res.skipped = f"level {level + 1}: {name!r} holds no value"
-            return res
         if isinstance(dtype, T.StringType):
+            if probe:
+                if _empty(cur, name):
+                    res.skipped = first_empty(pending) or f"level {level + 1}: {name!r} holds no value"
+                    return res
+                pending.clear()   # a value here implies values at every level above
             es = (text_schemas or {}).get(name)
             if es is None:
                 es = element_schema(infer_schema(cur.select(col), name, sample_rows=sample_rows))
             col = F.from_json(col, es)
+        else:
+            pending.append((level, name, cur))
         present = [k for k in keys if k in cur.columns and k != name]
         ex = open_array(cur, present, col)
         etype = ex.schema[_ELEM].dataType
@@ -101,6 +123,11 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
                             *[F.col(_ELEM)[f].alias(f) for f in fields if f not in kept])
         else:
             cur = ex.withColumnRenamed(_ELEM, f"{name}_exploded")
+    if probe and pending:
+        lv, nm, df = pending[-1]
+        if _empty(df, nm):
+            res.skipped = first_empty(pending[:-1]) or f"level {lv + 1}: {nm!r} holds no value"
+            return res
     res.missing_keys = [k for k in keys if k not in cur.columns]
     res.df = enforce(cur, child.output_schema)
     return res

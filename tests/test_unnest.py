@@ -116,3 +116,12 @@ def test_declared_schema_prunes_parse(spark, records):
     res = silver_tables(df, sp, only="t", reuse=None)
     assert res.parsed.schema.simpleString() == "struct<id:bigint,a:array<struct<b:int>>>"
     assert shape_to_struct(sp.full_schema) == res.record_schema
+
+
+def test_skip_reason_names_the_empty_level(spark, records):
+    p = parsed(records, '{"id": 1, "a": [{"b": null}]}', '{"id": 2, "a": [{"b": null}]}')
+    r = unnest(p, child(["a", "b"], {"id": "int"}, {"k": "int"}))
+    assert r.df is None and r.skipped.startswith("level 2") 
+    p2 = parsed(records, '{"id": 1, "a": null, "z": [{"b": [1]}]}')
+    r2 = unnest(p2, child(["a"], {"id": "int"}, {"k": "int"}))
+    assert r2.df is None and r2.skipped.startswith("level 1")

@@ -12,11 +12,13 @@ Semantics kept from a SQL MERGE without a delete clause:
   (``MergeConflict``), while several *new* source rows with one key are all
   inserted.
 
-As a plan, ``merge_frames`` is ``target ANTI JOIN source-keys UNION ALL
-source``. The source is persisted while it is both checked and merged, so
-it is computed (parsed) once. NULL-key target rows bypass the join (they cannot match), so a
-mass of NULL keys never lands in one join task. Broadcast vs sort-merge is
-left to AQE, which decides on measured sizes.
+As a plan, ``merge_frames`` is ``target LEFT JOIN counted-source-keys``
+keeping unmatched rows, ``UNION ALL source``; the per-key count also
+detects conflicts in the same job. The source is persisted while it is
+counted and merged, so it is computed (parsed) once. NULL-key target rows
+bypass the join (they cannot match), so a mass of NULL keys never lands in
+one join task. Broadcast vs sort-merge is left to AQE, which decides on
+measured sizes.
 
 Storage: a table format with row-level MERGE (a DataSource V2 table) is
 merged in place through ``DataFrame.mergeInto``. Plain Parquet cannot be
@@ -30,7 +32,7 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, UnsupportedOperationException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.types import quote
@@ -57,21 +59,42 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
-def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
-                 null_safe: bool = False) -> DataFrame:
-    """Rows of ``target`` after upserting ``source`` on ``keys`` (lazy)."""
+_N = "__nl_src_n"
+
+
+def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
+                         null_safe: bool = False) -> tuple[DataFrame, Observation]:
+    """Merged rows plus an observation counting conflicts while they are produced.
+
+    The source keys are counted per key (a partial, map-side aggregate) and
+    left-joined to the target: a target row with a count is replaced, a row
+    without one is kept, and a count above 1 is a conflict, tallied by
+    ``observe`` inside the same job. NULL-key target rows bypass the join.
+    """
     src = _align(source, target)
+    counted = src.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias(_N))
+    null_rows = None
     if null_safe:
-        s = src.select(*[F.col(quote(k)).alias(f"__nl_k{i}") for i, k in enumerate(keys)])
+        ren = counted.select(*[F.col(quote(k)).alias(f"__nl_k{i}") for i, k in enumerate(keys)], _N)
         cond = reduce(lambda a, b: a & b,
-                      [target[quote(k)].eqNullSafe(s[f"__nl_k{i}"]) for i, k in enumerate(keys)])
-        kept = target.join(s, cond, "left_anti")
+                      [target[quote(k)].eqNullSafe(ren[f"__nl_k{i}"]) for i, k in enumerate(keys)])
+        j = target.join(ren, cond, "left").drop(*[f"__nl_k{i}" for i in range(len(keys))])
     else:
         null_rows = target.filter(_any_null(target, keys))
         rest = target.filter(~_any_null(target, keys))
-        s = src.select(*[F.col(quote(k)) for k in keys]).filter(_all_set(keys))
-        kept = rest.join(s, keys, "left_anti").unionByName(null_rows)
-    return kept.unionByName(src)
+        j = rest.join(counted.filter(_all_set(keys)), keys, "left").select(*target.columns, _N)
+    obs = Observation()
+    j = j.observe(obs, F.count_if(F.col(_N) > 1).alias("conflicts"))
+    kept = j.filter(F.col(_N).isNull()).drop(_N)
+    if null_rows is not None:
+        kept = kept.unionByName(null_rows)
+    return kept.unionByName(src), obs
+
+
+def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
+                 null_safe: bool = False) -> DataFrame:
+    """Rows of ``target`` after upserting ``source`` on ``keys`` (lazy)."""
+    return merge_with_conflicts(target, source, keys, null_safe)[0]
 
 
 def conflicts(target: DataFrame, source: DataFrame, keys: list[str],
@@ -105,20 +128,24 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     """Write the next version of a Parquet table to ``out`` and return it.
 
     ``current=None`` creates the table from the source as is (no key dedup,
-    like the first write of a MERGE-maintained table).
+    like the first write of a MERGE-maintained table). Conflicts are counted
+    during the merge write itself; on a conflict the new version is left
+    unpublished and ``MergeConflict`` is raised.
     """
     if current is None:
         source.write.mode("errorifexists").parquet(out)
         return out
     target = spark.read.parquet(current)
-    src = source.persist(StorageLevel.MEMORY_AND_DISK) if check else source
+    src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if check:
-            check_conflicts(target, src, keys, null_safe)
-        merge_frames(target, src, keys, null_safe).write.mode("errorifexists").parquet(out)
+        merged, obs = merge_with_conflicts(target, src, keys, null_safe)
+        merged.write.mode("errorifexists").parquet(out)
     finally:
-        if check:
-            src.unpersist()
+        src.unpersist()
+    n = int(obs.get.get("conflicts", 0))
+    if check and n:
+        raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
+                            f"the merged version at {out} was not published")
     return out
 
 
@@ -146,8 +173,8 @@ def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str]
 
 
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-                       partition_by: list[str], null_safe: bool = False, check: bool = True,
-                       scratch: str | None = None) -> str:
+                       partition_by: list[str], exists: bool = True, null_safe: bool = False,
+                       check: bool = True, scratch: str | None = None) -> str:
     """Upsert into a Parquet table partitioned by ``partition_by``, rewriting only touched partitions.
 
     The partition columns must be fixed per key (a key's rows never move
@@ -164,23 +191,25 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
        every other partition is left untouched.
 
     Cost is O(touched partitions), not O(table). Partitions are replaced one
-    by one, without cross-partition atomicity.
+    by one, without cross-partition atomicity. ``exists=False`` creates the
+    table from the source (first write).
     """
-    try:
-        target = spark.read.parquet(path)
-    except AnalysisException:
-        source.write.partitionBy(*partition_by).parquet(path)
+    if not exists:
+        source.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
         return path
+    target = spark.read.parquet(path)
     if not scratch:
         raise ValueError("scratch: a fresh path on shared storage for the merged partitions")
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         part = _touched_rows(target, src.select(*partition_by).distinct(), partition_by)
-        if check:
-            check_conflicts(part, src, keys, null_safe)
-        merge_frames(part, src, keys, null_safe).write.partitionBy(*partition_by).parquet(scratch)
+        merged, obs = merge_with_conflicts(part, src, keys, null_safe)
+        merged.write.partitionBy(*partition_by).parquet(scratch)
     finally:
         src.unpersist()
+    n = int(obs.get.get("conflicts", 0))
+    if check and n:   # detected while staging: no partition of the table was replaced
+        raise MergeConflict(f"{n} target rows match several source rows on {keys}")
     (spark.read.parquet(scratch).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return path
@@ -218,20 +247,21 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
             raise
     src = src.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if check:
-            check_conflicts(target, src, keys, null_safe)
-        _swap_in(spark, table, merge_frames(target, src, keys, null_safe))
+        merged, obs = merge_with_conflicts(target, src, keys, null_safe)
+        _swap_in(spark, table, merged, obs if check else None)
     finally:
         src.unpersist()
     return table
 
 
-def _swap_in(spark: SparkSession, table: str, rows: DataFrame) -> None:
+def _swap_in(spark: SparkSession, table: str, rows: DataFrame,
+             conflicts_obs: Observation | None = None) -> None:
     """Write ``rows`` to a staging table, then swap it in by name.
 
     The old table is renamed aside before the staging table takes its name
     and is dropped only afterwards, so an interruption at any step leaves
-    either the old or the new rows under a known name.
+    either the old or the new rows under a known name. Conflicts observed
+    while staging stop the swap.
     """
     q = ".".join(quote(p) for p in table.split("."))
     qs = ".".join(quote(p) for p in f"{table}__nl_next".split("."))
@@ -239,6 +269,10 @@ def _swap_in(spark: SparkSession, table: str, rows: DataFrame) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {qs}")
     spark.sql(f"DROP TABLE IF EXISTS {qp}")
     rows.write.saveAsTable(f"{table}__nl_next")
+    n = int(conflicts_obs.get.get("conflicts", 0)) if conflicts_obs is not None else 0
+    if n:
+        spark.sql(f"DROP TABLE {qs}")
+        raise MergeConflict(f"{n} target rows of {table} match several source rows")
     spark.sql(f"ALTER TABLE {q} RENAME TO {qp}")
     spark.sql(f"ALTER TABLE {qs} RENAME TO {q}")
     spark.sql(f"DROP TABLE {qp}")

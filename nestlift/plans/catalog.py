@@ -330,7 +330,7 @@ def q_upsert_partitioned(spark, sf_dir):
     source = source.withColumn("l_quantity", F.col("l_quantity") + 1)
     keys = sp.child("order_lines").merge_keys
     path = scratch_path(spark, "silver")
-    upsert_partitioned(spark, path, target, keys, ["ship_year"])
+    upsert_partitioned(spark, path, target, keys, ["ship_year"], exists=False)
     upsert_partitioned(spark, path, source, keys, ["ship_year"], scratch=scratch_path(spark, "merge"))
     return spark.read.parquet(path).drop("ship_year")
 

@@ -75,7 +75,7 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
 
     path = scratch_path(spark, "part")
     t = spark.createDataFrame([("a", 1, 2023), ("b", 2, 2023), ("c", 3, 2024)], "k STRING, v INT, y INT")
-    upsert_partitioned(spark, path, t, ["k"], ["y"])
+    upsert_partitioned(spark, path, t, ["k"], ["y"], exists=False)
     before = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/y=2023/*.parquet")}
     s = spark.createDataFrame([("c", 30, 2024), ("d", 4, 2024)], "k STRING, v INT, y INT")
     upsert_partitioned(spark, path, s, ["k"], ["y"], scratch=scratch_path(spark, "merge"))
@@ -95,3 +95,16 @@ def test_partitioned_upsert_prunes_the_target_scan(spark):
     assert "PartitionFilters: [" in plan and "= 3" in plan.split("PartitionFilters: [")[1].split("]")[0] \
         or "<=> 3" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert sorted(r.k for r in part.collect()) == [3, 8, 13, 18, 23, 28, 33, 38, 43, 48]
+
+
+def test_conflict_found_during_write_is_not_published(spark):
+    t = spark.createDataFrame([("a", 1)], S)
+    v1 = upsert_path(spark, None, t, ["k"], scratch_path(spark, "t"))
+    with pytest.raises(MergeConflict):
+        upsert_path(spark, v1, spark.createDataFrame([("a", 2), ("a", 3)], S), ["k"], scratch_path(spark, "t"))
+    name = "upsert_conflict_t"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    upsert_table(spark, name, t, ["k"])
+    with pytest.raises(MergeConflict):
+        upsert_table(spark, name, spark.createDataFrame([("a", 2), ("a", 3)], S), ["k"])
+    assert rows(spark.table(name)) == [("a", 1)]          # old rows still published

@@ -125,3 +125,18 @@ def test_skip_reason_names_the_empty_level(spark, records):
     p2 = parsed(records, '{"id": 1, "a": null, "z": [{"b": [1]}]}')
     r2 = unnest(p2, child(["a"], {"id": "int"}, {"k": "int"}))
     assert r2.df is None and r2.skipped.startswith("level 1")
+
+
+def test_staged_fan_out_reads_only_each_tables_leaves(spark, records):
+    df = records('{"id": 1, "wide": "w", "a": [{"x": "big", "b": [{"c": 1, "d": 2}]}]}')
+    sp = JobSpec.from_dict({
+        "main_table_name": "m", "main_table_key": "id", "data_schema": {"id": "int", "wide": "string"},
+        "nested_tables": [{"unnested_to_table": "t", "parent_key": {"id": "int"},
+                           "unnested_column": ["a", "b"], "data_schema": {"c": "int"}}],
+        "full_schema": {"id": "BIGINT", "wide": "STRING",
+                        "a": [{"x": "STRING", "b": [{"c": "INT", "d": "INT"}]}]},
+    })
+    res = silver_tables(df, sp, reuse="stage")
+    scan = res.tables["t"]._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert scan.requiredSchema().simpleString() == "struct<id:bigint,a:array<struct<b:array<struct<c:int>>>>>"
+    assert rows(res.tables["t"]) == [(1, 1)] and rows(res.tables["m"]) == [(1, "w")]

@@ -25,7 +25,7 @@ from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
 from .report import summary, table_counts
-from .run import backfill, ingest, upsert_all
+from .run import IncompleteLanding, backfill, ingest, ingest_pages, upsert_all
 from .silver import silver_tables
 
 LOAD_TS = "2024-02-01T00:00:00Z"
@@ -245,6 +245,21 @@ def q_page_completeness(spark, sf_dir):
     return ntz(landing.page_report(env.filter(~lost), "events", "totalHits", EV_PAGE))
 
 
+def q_pages_ingest(spark, sf_dir):
+    """Landed pages gate, flatten and load: a complete landing loads; one with a lost page is refused."""
+    sp = specs.spec(specs.EVENTS)
+    env = _envelopes(spark, sf_dir)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    lost = env.filter(F.col("page") != 2)          # every window's second page never landed
+    try:
+        ingest_pages(spark, sp, lost, LOAD_TS, bronze, root, only="events_main")
+        raise AssertionError("an incomplete landing was loaded")
+    except IncompleteLanding:
+        pass
+    run = ingest_pages(spark, sp, env, LOAD_TS, bronze, root, only="events_main")
+    return ntz(spark.read.parquet(run.versions["events_main"]))
+
+
 def q_landing_roundtrip(spark, sf_dir):
     path = write_landing(nesting.event_records(spark, sf_dir), scratch_path(spark, "landing"))
     bronze = bronze_from_text(spark, path, LOAD_TS)
@@ -417,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_flatten": q_envelope_flatten,
     "page_concat": q_page_concat,
     "page_completeness": q_page_completeness,
+    "pages_ingest": q_pages_ingest,
     "landing_roundtrip": q_landing_roundtrip,
     "bronze_append": q_bronze_append,
     "backfill_filter": q_backfill_filter,

@@ -108,6 +108,8 @@ ORACLE: dict[str, str] = {
     CASE WHEN x.page = x.npages AND x.npages > 1 THEN 0 ELSE coalesce(r.n, 0) END AS records
   FROM x LEFT JOIN r ON r.window_start = x.window_start AND r.page = x.page""",
     "landing_roundtrip": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "pages_ingest": f"""SELECT event_id, ts, user_id, event_type, value, props
+  FROM events WHERE {_EVENTS_IN_RANGE}""",
     "bronze_append": """SELECT 'batch-a' AS source_file, count(*) AS rows FROM events
     WHERE ts < TIMESTAMP '2024-01-15'
   UNION ALL SELECT 'batch-b', count(*) FROM events WHERE ts >= TIMESTAMP '2024-01-15'""",

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from ..operators.backfill import load_window
 from ..operators.upsert import upsert_path, upsert_table
-from ..sources.bronze import append_bronze, bronze_from_text, read_bronze
+from ..sources import landing
+from ..sources.bronze import annotate, append_bronze, bronze_from_text, read_bronze
 from ..spec import JobSpec
 from .silver import SilverResult, silver_tables
 
@@ -95,3 +96,34 @@ def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: date
     rows: dict[str, int] = {}
     versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
     return RunResult(res, versions, rows)
+
+
+class IncompleteLanding(RuntimeError):
+    """Expected pages never landed; loading now would silently lose records."""
+
+
+def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_ts: datetime | str,
+                 bronze_target: str, silver_root: str,
+                 current: Mapping[str, str | None] | None = None, only: str | None = None,
+                 require_complete: bool = True, source: str = "pages") -> RunResult:
+    """One run from landed page responses (``window_start, page, body``).
+
+    The page report (expected pages from each window's hit total vs landed
+    pages) gates the load: with ``require_complete`` a missing page raises
+    ``IncompleteLanding`` before anything is appended. Then the envelopes
+    are flattened to records, appended to bronze, and silver is upserted.
+    """
+    if require_complete:
+        report = landing.page_report(envelopes, spec.data_key, spec.pages_key, spec.page_size)
+        missing = report.filter("status = 'missing'")
+        if not missing.isEmpty():
+            n = missing.count()
+            sample = [tuple(r) for r in missing.limit(5).collect()]
+            raise IncompleteLanding(f"{n} expected pages did not land, e.g. {sample}")
+    recs = landing.records(envelopes, spec.data_key)
+    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target)
+    batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
+    res = silver_tables(batch, spec, only=only)
+    rows: dict[str, int] = {}
+    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
+    return RunResult(res, versions, rows)

@@ -82,7 +82,8 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
     else:
         null_rows = target.filter(_any_null(target, keys))
         rest = target.filter(~_any_null(target, keys))
-        j = rest.join(counted.filter(_all_set(keys)), keys, "left").select(*target.columns, _N)
+        j = rest.join(counted.filter(_all_set(keys)), keys, "left").select(
+            *[F.col(quote(c)) for c in target.columns], _N)
     obs = Observation()
     j = j.observe(obs, F.count_if(F.col(_N) > 1).alias("conflicts"))
     kept = j.filter(F.col(_N).isNull()).drop(_N)

@@ -56,7 +56,8 @@ def nest(parent: DataFrame, child: DataFrame, keys: list[str], field: str,
               .drop("__nl_chunk"))
     lonely = pc.filter(F.col("__nl_n").isNull()).drop("__nl_n").withColumn(
         field, F.lit(None).cast(packed.schema[field].dataType))
-    return packed.select(*parent.columns, field).unionByName(lonely.select(*parent.columns, field))
+    cols = [F.col(f"`{c}`") for c in parent.columns] + [F.col(field)]
+    return packed.select(*cols).unionByName(lonely.select(*cols))
 
 
 def as_records(df: DataFrame) -> DataFrame:

@@ -46,3 +46,25 @@ def test_expected_pages_and_report(spark):
                  for r in landing.page_report(env, "data", "totalHits", 100).collect())
     assert rep == [(1, 1, "received", 2), (1, 2, "received", 1), (1, 3, "missing", 0),
                    (8, 1, "received", 1), (8, 2, "unexpected", 1)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(1, 10), st.lists(st.integers(0, 40 * 86400 * 1000), max_size=30))
+def test_window_coverage_partitions_the_range(spark, days, offsets_ms):
+    start, end = D(2025, 1, 1), D(2025, 1, 31, 23, 59, 59, 999000)
+    ts = [start + dt.timedelta(milliseconds=o) for o in offsets_ms]
+    recs = spark.createDataFrame([(t,) for t in ts], "ts TIMESTAMP")
+    out = landing.window_coverage(recs, "ts", start, end, days).orderBy("window").collect()
+    assert len(out) == landing.window_count(start, end, days)
+    assert sum(r.records for r in out) == sum(1 for t in ts if start <= t <= end)   # nothing lost or doubled
+    for a, b in zip(out, out[1:]):
+        assert a.window_end < b.window_start                                       # no overlap
+        assert b.window_start - a.window_start == dt.timedelta(days=days)
+    last = out[-1]   # closed windows end 1 s before the next start, clipped to the range end
+    assert last.window_end == min(last.window_start + dt.timedelta(days=days, seconds=-1), end)
+    tail = sum(1 for t in ts if last.window_end < t <= end)
+    assert last.in_gap == tail                       # the range's last sub-second is reported

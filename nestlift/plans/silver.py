@@ -41,9 +41,22 @@ class SilverResult:
     _persisted: list[DataFrame] = field(default_factory=list)
 
     def drift(self, spec: JobSpec) -> DataFrame:
-        """Missing/extra columns of the main table against its declaration."""
+        """Missing/extra columns of every produced table against its declaration.
+
+        Worked out on schemas alone (no job): the main table against the
+        record, each child against its parent keys plus the fields of the
+        struct its path ends in.
+        """
         spark = self.parsed.sparkSession
-        return drift(spark, [(spec.main_table, self.record_schema, spec.main_schema)])
+        reports = []
+        if spec.main_table in self.tables:
+            reports.append((spec.main_table, self.record_schema, spec.main_schema))
+        for c in spec.children:
+            if c.name in self.tables:
+                flat = child_fields(self.record_schema, c)
+                if flat is not None:
+                    reports.append((c.name, flat, c.output_schema))
+        return drift(spark, reports)
 
     def release(self) -> None:
         for df in self._persisted:
@@ -51,6 +64,30 @@ class SilverResult:
         self._persisted.clear()
 
 
+def child_fields(record: T.StructType, child) -> T.StructType | None:
+    """Columns a child has before enforcement: carried parent keys, then the leaf struct's fields.
+
+    ``None`` when the path passes through JSON text (known only after parsing it).
+    """
+    keys = child.parent_key_names
+    cur: T.DataType = record
+    carried: list[T.StructField] = [f for f in record.fields if f.name in keys]
+    for name in child.path:
+        if not isinstance(cur, T.StructType) or name not in cur.fieldNames():
+            return None
+        t = cur[name].dataType
+        if not isinstance(t, T.ArrayType):
+            return None
+        cur = t.elementType
+        if isinstance(cur, T.StructType):
+            have = {f.name for f in carried}
+            carried += [f for f in cur.fields if f.name in keys and f.name not in have]
+    if not isinstance(cur, T.StructType):
+        return T.StructType(carried + [T.StructField(f"{child.path[-1]}_exploded", cur)])
+    names = {f.name for f in carried}
+    return T.StructType(carried + [f for f in cur.fields if f.name not in names])
+
+
 def record_schema(bronze: DataFrame, spec: JobSpec, column: str = "raw_json",
                   sample_rows: int | None = None) -> T.StructType:
     """Declared ``full_schema`` when given, else inferred from the raw text."""

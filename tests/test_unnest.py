@@ -140,3 +140,18 @@ def test_staged_fan_out_reads_only_each_tables_leaves(spark, records):
     scan = res.tables["t"]._jdf.queryExecution().sparkPlan().collectLeaves().head()
     assert scan.requiredSchema().simpleString() == "struct<id:bigint,a:array<struct<b:array<struct<c:int>>>>>"
     assert rows(res.tables["t"]) == [(1, 1)] and rows(res.tables["m"]) == [(1, "w")]
+
+
+def test_drift_covers_child_tables(spark, records):
+    df = records('{"id": 1, "a": [{"b": 1, "extra": 2}]}')
+    sp = JobSpec.from_dict({
+        "main_table_name": "m", "main_table_key": "id", "data_schema": {"id": "int", "gone": "string"},
+        "nested_tables": [{"unnested_to_table": "t", "parent_key": {"id": "int"},
+                           "unnested_column": ["a"], "data_schema": {"b": "int", "nope": "date"}}],
+    })
+    res = silver_tables(df, sp, reuse=None)
+    got = sorted(tuple(r) for r in res.drift(sp).collect())
+    assert got == sorted([("m", "gone", "missing", "string", None),
+                          ("m", "a", "extra", None, "array<struct<b:bigint,extra:bigint>>"),
+                          ("t", "nope", "missing", "date", None),
+                          ("t", "extra", "extra", None, "bigint")])

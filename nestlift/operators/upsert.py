@@ -59,11 +59,28 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
 
 
+def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> DataFrame:
+    """Target widened by the source's new columns (typed NULL for old rows), if allowed.
+
+    The declared schema is the contract: a source column the target lacks is
+    an error unless ``allow_new_columns`` is set.
+    """
+    have = set(target.columns)
+    new = [f for f in source.schema.fields if f.name not in have]
+    if not new:
+        return target
+    if not allow_new_columns:
+        raise ValueError(f"source has columns the target lacks: {[f.name for f in new]} "
+                         "(pass allow_new_columns=True to add them)")
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
+
+
 _N = "__nl_src_n"
 
 
 def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
-                         null_safe: bool = False) -> tuple[DataFrame, Observation]:
+                         null_safe: bool = False,
+                         allow_new_columns: bool = False) -> tuple[DataFrame, Observation]:
     """Merged rows plus an observation counting conflicts while they are produced.
 
     The source keys are counted per key (a partial, map-side aggregate) and
@@ -71,6 +88,7 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
     without one is kept, and a count above 1 is a conflict, tallied by
     ``observe`` inside the same job. NULL-key target rows bypass the join.
     """
+    target = _evolve(target, source, allow_new_columns)
     src = _align(source, target)
     counted = src.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias(_N))
     null_rows = None
@@ -93,9 +111,9 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
-                 null_safe: bool = False) -> DataFrame:
+                 null_safe: bool = False, allow_new_columns: bool = False) -> DataFrame:
     """Rows of ``target`` after upserting ``source`` on ``keys`` (lazy)."""
-    return merge_with_conflicts(target, source, keys, null_safe)[0]
+    return merge_with_conflicts(target, source, keys, null_safe, allow_new_columns)[0]
 
 
 def conflicts(target: DataFrame, source: DataFrame, keys: list[str],
@@ -125,7 +143,8 @@ def check_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, keys: list[str],
-                out: str, null_safe: bool = False, check: bool = True) -> str:
+                out: str, null_safe: bool = False, check: bool = True,
+                allow_new_columns: bool = False) -> str:
     """Write the next version of a Parquet table to ``out`` and return it.
 
     ``current=None`` creates the table from the source as is (no key dedup,
@@ -139,7 +158,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     target = spark.read.parquet(current)
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        merged, obs = merge_with_conflicts(target, src, keys, null_safe)
+        merged, obs = merge_with_conflicts(target, src, keys, null_safe, allow_new_columns)
         merged.write.mode("errorifexists").parquet(out)
     finally:
         src.unpersist()
@@ -225,7 +244,8 @@ def _merge_condition(table: str, keys: list[str], null_safe: bool) -> Column:
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
-                 null_safe: bool = False, check: bool = True) -> str:
+                 null_safe: bool = False, check: bool = True,
+                 allow_new_columns: bool = False) -> str:
     """Upsert into a catalog table; create it when absent.
 
     Tries an in-place ``mergeInto`` first (table formats with row-level
@@ -236,12 +256,14 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[
     if not spark.catalog.tableExists(table):
         source.write.saveAsTable(table)
         return table
-    target = spark.table(table)
+    target = _evolve(spark.table(table), source, allow_new_columns)
     src = _align(source, target)
     try:
         short = table.split(".")[-1]
-        (src.alias("__nl_src").mergeInto(table, _merge_condition(short, keys, null_safe))
-         .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+        m = src.alias("__nl_src").mergeInto(table, _merge_condition(short, keys, null_safe))
+        if allow_new_columns:
+            m = m.withSchemaEvolution()
+        m.whenMatched().updateAll().whenNotMatched().insertAll().merge()
         return table
     except (AnalysisException, UnsupportedOperationException) as e:
         if "UNSUPPORTED_FEATURE" not in str(e):   # only "this format has no row-level MERGE"

@@ -37,7 +37,8 @@ def table_keys(spec: JobSpec, table: str) -> list[str]:
 
 def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
                current: Mapping[str, str | None], root: str, null_safe: bool = False,
-               check: bool = True, rows: dict[str, int] | None = None) -> dict[str, str]:
+               check: bool = True, rows: dict[str, int] | None = None,
+               allow_new_columns: bool = False) -> dict[str, str]:
     """Upsert each table into a new Parquet version; returns ``{table: path}``.
 
     Tables not produced this run keep their current version. When ``rows``
@@ -50,7 +51,8 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
         obs = Observation(f"upsert_{name}")
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         out[name] = upsert_path(spark, current.get(name), counted, table_keys(spec, name), path,
-                                null_safe=null_safe, check=check)
+                                null_safe=null_safe, check=check,
+                                allow_new_columns=allow_new_columns)
         if rows is not None:
             rows[name] = int(obs.get.get("rows", 0))
     return out

@@ -108,3 +108,13 @@ def test_conflict_found_during_write_is_not_published(spark):
     with pytest.raises(MergeConflict):
         upsert_table(spark, name, spark.createDataFrame([("a", 2), ("a", 3)], S), ["k"])
     assert rows(spark.table(name)) == [("a", 1)]          # old rows still published
+
+
+def test_new_columns_are_an_error_unless_allowed(spark):
+    t = spark.createDataFrame([("a", 1)], S)
+    s = spark.createDataFrame([("b", 2, "x")], "k STRING, v INT, w STRING")
+    with pytest.raises(ValueError, match="allow_new_columns"):
+        merge_frames(t, s, ["k"])
+    out = merge_frames(t, s, ["k"], allow_new_columns=True)
+    assert out.columns == ["k", "v", "w"]
+    assert rows(out) == [("a", 1, None), ("b", 2, "x")]

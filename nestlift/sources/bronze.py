@@ -51,15 +51,28 @@ def bronze_from_text(spark: SparkSession, path: str, load_ts: datetime | str,
     return annotate(text, load_ts, path if source is None else source)
 
 
-def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table: bool = False) -> None:
+BATCH = "load_batch"
+
+
+def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table: bool = False,
+                  batch: int | None = None) -> None:
     """Append bronze rows, partitioned by load date, to a path or a catalog table.
 
     ``mode="overwrite"`` is the full-refresh variant. The three-column shape
-    is enforced; no schema merging.
+    is enforced; no schema merging. With ``batch`` (a streaming batch id)
+    the rows go to their own ``load_date/load_batch`` partition, replaced
+    with dynamic partition overwrite, so a replayed batch rewrites its rows
+    instead of adding them twice. A bronze location is written either by
+    batch runs or by one stream, not both (the partition depth differs).
     """
     rows = bronze.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMA.fields])
     rows = rows.withColumn(PARTITION, F.to_date("load_timestamp"))
-    w = rows.write.mode(mode).partitionBy(PARTITION)
+    if batch is not None:
+        rows = rows.withColumn(BATCH, F.lit(int(batch)))
+        w = (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(PARTITION, BATCH))
+    else:
+        w = rows.write.mode(mode).partitionBy(PARTITION)
     if as_table:
         w.saveAsTable(target)
     else:

@@ -3,23 +3,25 @@
 New JSONL files under ``landing_dir`` are picked up by the file source
 (``readStream.format("text")``); each micro-batch is one run:
 
-1. bronze rows get ONE literal load time for the whole batch and the file
-   each line came from (``_metadata.file_path``);
-2. they are appended to bronze (partitioned by load date);
+1. bronze rows get ONE load time for the whole batch, ``current_timestamp()``
+   in the streaming plan, which Structured Streaming pins to the batch
+   timestamp kept in its offset log (the same value when a batch is
+   replayed), and the file each line came from (``_metadata.file_path``);
+2. they are written to bronze under their own ``load_date/load_batch``
+   partition with dynamic partition overwrite, so a replayed batch replaces
+   its rows rather than adding them again (exactly-once bronze);
 3. silver tables are built from the batch (one parse, persisted for the
-   fan-out) and upserted into catalog tables by key.
+   fan-out) and upserted into catalog tables by key (idempotent for unique
+   keys when a batch is replayed).
 
 The streaming checkpoint records which files were consumed, so a restarted
-query continues where it stopped. A batch that fails after its bronze
-append is replayed: bronze is at-least-once, while the silver upsert of the
-same rows is idempotent for unique keys. ``trigger(availableNow=True)``
-processes what has landed and stops, which is how a scheduled run uses it.
+query continues where it stopped. ``trigger(availableNow=True)`` processes
+what has landed and stops, which is how a scheduled run uses it.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,22 +29,23 @@ from pyspark.sql.streaming import StreamingQuery
 from ..plans.run import upsert_all_tables
 from ..plans.silver import silver_tables
 from ..sources.bronze import append_bronze
-from ..spec import JobSpec, ts_lit
+from ..spec import JobSpec
 
 
-def _batch_runner(spec: JobSpec, bronze_target: str, only: str | None):
+def batch_runner(spec: JobSpec, bronze_target: str, only: str | None = None):
+    """The per-micro-batch run; ``batch`` holds bronze columns already."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        load_ts = datetime.now(timezone.utc).replace(tzinfo=None)
-        bronze = batch.select(F.col("value").alias("raw_json"),
-                              ts_lit(load_ts).alias("load_timestamp"),
-                              F.col("_metadata.file_path").alias("source_file"))
-        append_bronze(bronze, bronze_target)
-        res = silver_tables(bronze.select("raw_json"), spec, only=only, reuse="persist")
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read the new files once
         try:
-            upsert_all_tables(spark, spec, res.tables)
+            append_bronze(rows, bronze_target, batch=epoch_id)
+            res = silver_tables(rows.select("raw_json"), spec, only=only, reuse="persist")
+            try:
+                upsert_all_tables(spark, spec, res.tables)
+            finally:
+                res.release()
         finally:
-            res.release()
+            rows.unpersist()
     return run
 
 
@@ -53,8 +56,11 @@ def stream_landing(spark: SparkSession, spec: JobSpec, landing_dir: str, bronze_
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(landing_dir).select("value", "_metadata")
-    w = (lines.writeStream.foreachBatch(_batch_runner(spec, bronze_target, only))
+    bronze = reader.load(landing_dir).select(
+        F.col("value").alias("raw_json"),
+        F.current_timestamp().alias("load_timestamp"),   # the batch timestamp: stable on replay
+        F.col("_metadata.file_path").alias("source_file"))
+    w = (bronze.writeStream.foreachBatch(batch_runner(spec, bronze_target, only))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

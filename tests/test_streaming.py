@@ -35,3 +35,22 @@ def test_stream_two_runs_upsert(spark):
     assert parts == [(1, "p1", 5), (1, "p2", 6)]
     b = read_bronze(spark, bronze)
     assert b.count() == 3 and b.select("load_timestamp").distinct().count() == 2
+
+
+def test_replayed_batch_is_not_appended_twice(spark):
+    from pyspark.sql import functions as F
+
+    from nestlift.streaming.landing_stream import batch_runner
+
+    for t in ("stream_conv", "stream_conv_parts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    bronze = scratch_path(spark, "bronze")
+    batch = spark.createDataFrame([(json.dumps({"id": 7, "name": "z", "parts": [{"pid": "q", "v": 1}]}),)],
+                                  "raw_json STRING").select(
+        "raw_json", F.lit("2024-05-01 10:00:00").cast("timestamp").alias("load_timestamp"),
+        F.lit("f1").alias("source_file"))
+    run = batch_runner(SPEC, bronze)
+    run(batch, 3)
+    run(batch, 3)            # the same batch again, as after a failure
+    assert read_bronze(spark, bronze).count() == 1
+    assert spark.table("stream_conv").count() == 1 and spark.table("stream_conv_parts").count() == 1

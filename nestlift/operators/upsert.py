@@ -194,19 +194,23 @@ def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str]
 
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                        partition_by: list[str], exists: bool = True, null_safe: bool = False,
-                       check: bool = True, scratch: str | None = None) -> str:
-    """Upsert into a Parquet table partitioned by ``partition_by``, rewriting only touched partitions.
+                       check: bool = True, scratch: str | None = None, as_table: bool = False,
+                       allow_new_columns: bool = False) -> str:
+    """Upsert into a partitioned Parquet table, rewriting only the touched partitions.
 
-    The partition columns must be fixed per key (a key's rows never move
-    between partitions), e.g. a record date or a key bucket. Then only the
-    partitions present in the source can change:
+    ``path`` is a directory, or a catalog table name with ``as_table=True``
+    (then existence is looked up in the catalog). The partition columns must
+    be fixed per key (a key's rows never move between partitions), e.g. a
+    record date or a key bucket. Then only partitions present in the source
+    can change:
 
     1. ``touched`` = distinct partition values of the source (its size is
        counted first): up to ``TOUCHED_LITERAL_LIMIT`` values become literal
        partition filters (static partition pruning of the target scan);
        more become a semi-join, broadcast only under ``TOUCHED_BROADCAST_LIMIT``;
     2. touched target rows are merged with the source and written to
-       ``scratch`` (cuts the lineage to the table about to be overwritten);
+       ``scratch`` (cuts the lineage to the table about to be overwritten),
+       counting conflicts on the way; a conflict stops here;
     3. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
        every other partition is left untouched.
 
@@ -214,24 +218,38 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
     by one, without cross-partition atomicity. ``exists=False`` creates the
     table from the source (first write).
     """
+    if as_table:
+        exists = spark.catalog.tableExists(path)
     if not exists:
-        source.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+        w = source.write.mode("errorifexists").partitionBy(*partition_by)
+        w.saveAsTable(path) if as_table else w.parquet(path)
         return path
-    target = spark.read.parquet(path)
     if not scratch:
         raise ValueError("scratch: a fresh path on shared storage for the merged partitions")
+    target = spark.table(path) if as_table else spark.read.parquet(path)
     src = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         part = _touched_rows(target, src.select(*partition_by).distinct(), partition_by)
-        merged, obs = merge_with_conflicts(part, src, keys, null_safe)
+        merged, obs = merge_with_conflicts(part, src, keys, null_safe, allow_new_columns)
         merged.write.partitionBy(*partition_by).parquet(scratch)
     finally:
         src.unpersist()
     n = int(obs.get.get("conflicts", 0))
     if check and n:   # detected while staging: no partition of the table was replaced
         raise MergeConflict(f"{n} target rows match several source rows on {keys}")
-    (spark.read.parquet(scratch).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    staged = spark.read.parquet(scratch)
+    if as_table:   # insertInto is positional: the table's column order, partition columns last
+        cols = spark.table(path).columns
+        key = "spark.sql.sources.partitionOverwriteMode"   # insertInto reads the session setting
+        prev = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            staged.select(*[F.col(quote(c)) for c in cols]).write.mode("overwrite").insertInto(path)
+        finally:
+            spark.conf.set(key, prev)
+    else:
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
     return path
 
 

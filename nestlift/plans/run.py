@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.backfill import load_window
-from ..operators.upsert import upsert_path, upsert_table
+from ..operators.upsert import upsert_partitioned, upsert_path, upsert_table
+from ..session import scratch_path
 from ..sources import landing
 from ..sources.bronze import annotate, append_bronze, bronze_from_text, read_bronze
 from ..spec import JobSpec
@@ -59,11 +60,26 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
 
 
 def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
-                      null_safe: bool = False, check: bool = True) -> dict[str, str]:
-    """Upsert each table into the catalog table ``silver_schema.table``."""
-    return {name: upsert_table(spark, spec.qualified(name), df, table_keys(spec, name),
-                               null_safe=null_safe, check=check)
-            for name, df in tables.items()}
+                      null_safe: bool = False, check: bool = True,
+                      partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+    """Upsert each table into the catalog table ``silver_schema.table``.
+
+    Tables named in ``partition_by`` are kept partitioned by those columns
+    (which must be fixed per key) and only the touched partitions are
+    rewritten; the others are merged in place where the format allows it,
+    else swapped whole.
+    """
+    out = {}
+    for name, df in tables.items():
+        qualified, keys = spec.qualified(name), table_keys(spec, name)
+        cols = (partition_by or {}).get(name)
+        if cols:
+            out[name] = upsert_partitioned(spark, qualified, df, keys, cols, null_safe=null_safe,
+                                           check=check, as_table=True,
+                                           scratch=scratch_path(spark, "merge"))
+        else:
+            out[name] = upsert_table(spark, qualified, df, keys, null_safe=null_safe, check=check)
+    return out
 
 
 @dataclass

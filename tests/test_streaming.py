@@ -54,3 +54,18 @@ def test_replayed_batch_is_not_appended_twice(spark):
     run(batch, 3)            # the same batch again, as after a failure
     assert read_bronze(spark, bronze).count() == 1
     assert spark.table("stream_conv").count() == 1 and spark.table("stream_conv_parts").count() == 1
+
+
+def test_stream_with_partitioned_silver(spark):
+    for t in ("stream_conv", "stream_conv_parts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    landing_dir, bronze, ckpt = (scratch_path(spark, k) for k in ("landing", "bronze", "stream"))
+    _land(spark, landing_dir, [{"id": 1, "name": "a", "parts": [{"pid": "p1", "v": 1}]},
+                               {"id": 2, "name": "b", "parts": [{"pid": "p9", "v": 9}]}])
+    parts = {"stream_conv": ["name"], "stream_conv_parts": ["id"]}
+    stream_landing(spark, SPEC, landing_dir, bronze, ckpt, partition_by=parts).awaitTermination()
+    _land(spark, landing_dir, [{"id": 1, "name": "a", "parts": [{"pid": "p1", "v": 5}]}])
+    stream_landing(spark, SPEC, landing_dir, bronze, ckpt, partition_by=parts).awaitTermination()
+    got = sorted(tuple(r) for r in spark.table("stream_conv_parts").select("id", "pid", "v").collect())
+    assert got == [(1, "p1", 5), (2, "p9", 9)]
+    assert sorted(r.id for r in spark.table("stream_conv").collect()) == [1, 2]

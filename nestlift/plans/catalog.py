@@ -42,13 +42,6 @@ def ntz(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def _bronze(spark: SparkSession, records: DataFrame, source: str) -> DataFrame:
-    """Land records in a fresh bronze table (one write), then read bronze back."""
-    target = scratch_path(spark, "bronze")
-    append_bronze(in_memory_bronze(records, LOAD_TS, source), target)
-    return read_bronze(spark, target)
-
-
 _FIXTURES = {
     "fx-o": nesting.order_records,
     "fx-n": nesting.customer_records,
@@ -266,7 +259,8 @@ def q_landing_roundtrip(spark, sf_dir):
     return _event_rows(bronze)
 
 
-def _events_bronze(spark, sf_dir, load_col="ts"):
+def _events_bronze(spark, sf_dir):
+    """Event records as bronze whose load time is the event time (for load-time filters)."""
     ev = nesting.table(spark, sf_dir, "events")
     rec = nesting.as_records(ev.select("event_id", "ts", "user_id", "event_type", "value", "props"))
     rec = rec.withColumn("__ts", F.get_json_object("raw_json", "$.ts").cast("timestamp"))

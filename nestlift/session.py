@@ -66,3 +66,24 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused path under the shared scratch root."""
     return f"{shared_dir(spark)}/nestlift/{kind}/{uuid.uuid4().hex}"
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized to the input.
+
+    Shuffle partitions are chosen so each holds about ``partition_bytes``
+    of input (never fewer than 2 per core), which keeps a task's shuffle
+    block well inside executor memory; AQE then coalesces small ones and
+    splits skewed ones at run time. Scans split files at the same size.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -77,3 +77,12 @@ def test_select_tables():
     assert select_tables(sp, None) == (["conv", "conv_participants", "conv_metrics"], [])
     assert select_tables(sp, "  ,, ") == (["conv", "conv_participants", "conv_metrics"], [])
     assert select_tables(sp, " conv_metrics, ,nope,conv ") == (["conv", "conv_metrics"], ["nope"])
+
+
+def test_cluster_conf_sizes_partitions():
+    from nestlift.session import cluster_conf
+
+    c = cluster_conf(100 * (1 << 40), cores=8000)        # 100 TB on 8000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert int(cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16

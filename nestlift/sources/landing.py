@@ -121,12 +121,29 @@ def hits(envelopes: DataFrame, pages_key: str, body: str = "body",
     return envelopes.groupBy(window).agg(F.max(h).alias("hits"))
 
 
+PAGE_CHUNK = 1_000_000
+
+
 def expected_pages(envelopes: DataFrame, pages_key: str, page_size: int, body: str = "body",
                    window: str = "window_start") -> DataFrame:
-    """``(window, page)`` for pages 1..max(ceil(hits / size), 1) of every landed window."""
+    """``(window, page)`` for pages 1..max(ceil(hits / size), 1) of every landed window.
+
+    Pages are generated in two steps so that no window, however large,
+    produces all its page rows in one task: first one row per chunk of
+    ``PAGE_CHUNK`` pages, spread over tasks by (window, chunk), then the
+    pages of each chunk.
+    """
     h = hits(envelopes, pages_key, body, window)
-    n = F.greatest(F.ceil(F.col("hits") / F.lit(page_size)), F.lit(1)).cast("int")
-    return h.select(window, F.explode(F.sequence(F.lit(1), n)).alias("page"))
+    n = F.greatest(F.ceil(F.col("hits") / F.lit(page_size)), F.lit(1)).cast("long")
+    chunks = h.select(window, n.alias("__nl_n"),
+                      F.explode(F.sequence(F.lit(0).cast("long"),
+                                           F.floor((n - 1) / F.lit(PAGE_CHUNK)).cast("long")))
+                      .alias("__nl_c"))
+    first = F.col("__nl_c") * F.lit(PAGE_CHUNK) + 1
+    last = F.least((F.col("__nl_c") + 1) * F.lit(PAGE_CHUNK), F.col("__nl_n"))
+    return (chunks.repartition(window, "__nl_c")
+            .select(window, F.explode(F.sequence(first, last)).alias("page"))
+            .select(window, F.col("page").cast("int").alias("page")))
 
 
 def page_report(envelopes: DataFrame, data_key: str, pages_key: str, page_size: int,

@@ -68,3 +68,10 @@ def test_window_coverage_partitions_the_range(spark, days, offsets_ms):
     assert last.window_end == min(last.window_start + dt.timedelta(days=days, seconds=-1), end)
     tail = sum(1 for t in ts if last.window_end < t <= end)
     assert last.in_gap == tail                       # the range's last sub-second is reported
+
+
+def test_expected_pages_chunked_for_huge_windows(spark, monkeypatch):
+    monkeypatch.setattr(landing, "PAGE_CHUNK", 3)      # small chunks: every window spans several
+    env = _env(spark, [(D(2025, 7, 1), 1, '{"totalHits": 1001}'), (D(2025, 7, 8), 1, '{"totalHits": 0}')])
+    got = sorted((r.window_start.day, r.page) for r in landing.expected_pages(env, "totalHits", 100).collect())
+    assert got == [(1, p) for p in range(1, 12)] + [(8, 1)]

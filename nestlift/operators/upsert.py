@@ -125,13 +125,15 @@ def conflicts(target: DataFrame, source: DataFrame, keys: list[str],
     """
     dup = (source.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n"))
            .filter(F.col("n") > 1))
+    # target keys are de-duplicated map-side first: a key repeated many times
+    # in the target becomes one row per task before the shuffle
     if null_safe:
-        t = target.select(*[F.col(quote(k)).alias(f"__nl_t{i}") for i, k in enumerate(keys)])
+        t = target.select(*[F.col(quote(k)).alias(f"__nl_t{i}") for i, k in enumerate(keys)]).distinct()
         cond = reduce(lambda a, b: a & b,
                       [dup[quote(k)].eqNullSafe(t[f"__nl_t{i}"]) for i, k in enumerate(keys)])
         return dup.join(t, cond, "left_semi")
     dup = dup.filter(_all_set(keys))
-    return dup.join(target.select(*[F.col(quote(k)) for k in keys]), keys, "left_semi")
+    return dup.join(target.select(*[F.col(quote(k)) for k in keys]).distinct(), keys, "left_semi")
 
 
 def check_conflicts(target: DataFrame, source: DataFrame, keys: list[str],

@@ -102,6 +102,11 @@ def prune(dt: T.DataType, need: Any) -> T.DataType:
     if isinstance(dt, T.StructType):
         fields = [T.StructField(f.name, prune(f.dataType, need[f.name]), f.nullable)
                   for f in dt.fields if f.name in need]
+        if not fields and dt.fields:
+            # nothing needed inside, but the value itself still counts (e.g. one row per
+            # array element): keep one field rather than an unstorable empty struct
+            f = dt.fields[0]
+            fields = [T.StructField(f.name, f.dataType, f.nullable)]
         return T.StructType(fields)
     return dt
 

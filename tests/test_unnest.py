@@ -155,3 +155,16 @@ def test_drift_covers_child_tables(spark, records):
                           ("m", "a", "extra", None, "array<struct<b:bigint,extra:bigint>>"),
                           ("t", "nope", "missing", "date", None),
                           ("t", "extra", "extra", None, "bigint")])
+
+
+def test_child_whose_declared_columns_are_all_absent(spark, records):
+    df = records('{"id": 1, "a": [{"x": 1}, {"x": 2}]}')
+    sp = JobSpec.from_dict({
+        "main_table_name": "m", "main_table_key": "id", "data_schema": {"id": "int"},
+        "nested_tables": [{"unnested_to_table": "t", "parent_key": {"id": "int"},
+                           "unnested_column": ["a"], "data_schema": {"nope": "string"}}],
+        "full_schema": {"id": "BIGINT", "a": [{"x": "INT"}]},
+    })
+    for reuse in ("stage", None):
+        res = silver_tables(df, sp, only="t", reuse=reuse)
+        assert rows(res.tables["t"]) == [(1, None), (1, None)]   # one row per element, typed NULLs

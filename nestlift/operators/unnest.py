@@ -64,7 +64,7 @@ def _empty(df: DataFrame, name: str) -> bool:
 
 def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
            text_schemas: Mapping[str, T.DataType] | None = None,
-           sample_rows: int | None = None) -> UnnestResult:
+           sample_rows: int | None = None, sampling_ratio: float = 1.0) -> UnnestResult:
     """Build one child table from a parsed record frame.
 
     ``probe`` applies the rule that a level holding no value at all skips
@@ -107,7 +107,8 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
                 pending.clear()   # a value here implies values at every level above
             es = (text_schemas or {}).get(name)
             if es is None:
-                es = element_schema(infer_schema(cur.select(col), name, sample_rows=sample_rows))
+                es = element_schema(infer_schema(cur.select(col), name, sample_rows=sample_rows,
+                                                 sampling_ratio=sampling_ratio))
             col = F.from_json(col, es)
         else:
             pending.append((level, name, cur))

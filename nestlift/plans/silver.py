@@ -89,11 +89,11 @@ def child_fields(record: T.StructType, child) -> T.StructType | None:
 
 
 def record_schema(bronze: DataFrame, spec: JobSpec, column: str = "raw_json",
-                  sample_rows: int | None = None) -> T.StructType:
+                  sample_rows: int | None = None, sampling_ratio: float = 1.0) -> T.StructType:
     """Declared ``full_schema`` when given, else inferred from the raw text."""
     if spec.full_schema:
         return shape_to_struct(spec.full_schema)
-    return infer_schema(bronze, column, sample_rows=sample_rows)
+    return infer_schema(bronze, column, sample_rows=sample_rows, sampling_ratio=sampling_ratio)
 
 
 def main_need(spec: JobSpec) -> dict:
@@ -114,7 +114,8 @@ def needs(spec: JobSpec, tables: list[str]) -> dict:
 def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
                   schema: T.StructType | None = None, reuse: str | None = "stage",
                   column: str = "raw_json", sample_rows: int | None = None,
-                  quarantine: bool = False, probe: bool = True) -> SilverResult:
+                  quarantine: bool = False, probe: bool = True,
+                  sampling_ratio: float = 1.0) -> SilverResult:
     """Lazy main + child tables from a bronze frame (``raw_json`` text).
 
     Every table reads only its own fields: from the staged Parquet through
@@ -124,7 +125,8 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
     """
     kept, unknown = select_tables(spec, only)
     spark = bronze.sparkSession
-    full = schema if schema is not None else record_schema(bronze, spec, column, sample_rows)
+    full = schema if schema is not None else record_schema(bronze, spec, column, sample_rows,
+                                                           sampling_ratio)
     pruned = prune(full, needs(spec, kept))
     parsed = parse(bronze, pruned, column, corrupt_column=CORRUPT if quarantine else None)
     bad = None
@@ -159,7 +161,8 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
     for child in spec.children:
         if child.name not in kept:
             continue
-        r = unnest(source(path_need(child)), child, probe=probe, sample_rows=sample_rows)
+        r = unnest(source(path_need(child)), child, probe=probe, sample_rows=sample_rows,
+                   sampling_ratio=sampling_ratio)
         if r.df is None:
             skipped[child.name] = r.skipped or "skipped"
         else:

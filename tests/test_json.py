@@ -41,3 +41,8 @@ def test_inference_paths_agree_and_multiline_values(spark, records):
     text = infer_schema(df)
     assert text == infer_schema(df, via="rdd")
     assert text.fieldNames() == ["a", "b", "c"] and "_corrupt_record" not in text.fieldNames()
+
+
+def test_sampling_ratio_keeps_inference_parallel(spark, records):
+    df = records(*(['{"a": 1}'] * 200))
+    assert infer_schema(df, sampling_ratio=0.5).fieldNames() == ["a"]

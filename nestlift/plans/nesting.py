@@ -5,9 +5,10 @@ data is flat, so every query first nests flat rows into records, then runs
 the operator under test; the oracle reads the flat tables, so nesting and
 unnesting must give the flat rows back.
 
-``nest`` bounds every record: a parent with more than ``max_per_record``
-children is emitted as several records of the same parent (the way a paged
-source splits a long list), so no single key, however hot, becomes one
+``nest`` keeps records near ``max_per_record`` children: a parent with
+more children is emitted as several records of the same parent (the way a
+paged source splits a long list), hash-balanced so each holds about
+``max_per_record`` on average, so no single key, however hot, becomes one
 huge array or one task. Normal parents (fewer children) give exactly one
 record.
 """

@@ -29,3 +29,27 @@ def test_ingest_then_backfill(spark, records):
     r3 = backfill(spark, SPEC, bronze, "2024-01-01T00:00:00Z", "2024-01-01T23:59:59Z",
                   scratch_path(spark, "silver"), only="kids")
     assert list(r3.versions) == ["kids"] and r3.rows == {"kids": 1}
+
+
+def test_ingest_pages_gate(spark):
+    import datetime as dt
+
+    import pytest
+
+    from nestlift.plans.run import IncompleteLanding, ingest_pages
+
+    spec = JobSpec.from_dict({
+        "main_table_name": "m", "main_table_key": "id", "data": "items", "pages": "total",
+        "PAGE_SIZE": 2, "data_schema": {"id": "int"}, "full_schema": {"id": "BIGINT"},
+    })
+    w = dt.datetime(2024, 1, 1)
+    pages = [(w, 1, '{"total": 3, "items": [{"id": 1}, {"id": 2}]}'),
+             (w, 2, '{"total": 3, "items": [{"id": 3}]}')]
+    env = spark.createDataFrame(pages, "window_start TIMESTAMP, page INT, body STRING")
+    with pytest.raises(IncompleteLanding):
+        ingest_pages(spark, spec, env.filter("page = 1"), "2024-01-02T00:00:00Z",
+                     scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
+    run = ingest_pages(spark, spec, env, "2024-01-02T00:00:00Z",
+                       scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
+    assert sorted(r.id for r in spark.read.parquet(run.versions["m"]).collect()) == [1, 2, 3]
+    assert run.rows == {"m": 3}

@@ -30,3 +30,18 @@ def summary(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     schemas = spark.createDataFrame([(n, df.schema.simpleString()) for n, df in frames.items()],
                                     "table STRING, schema STRING")
     return counts.join(F.broadcast(schemas), "table")
+
+
+def preview(spark: SparkSession, paths: Mapping[str, str], n: int = 10) -> DataFrame:
+    """``(table, row)``: up to ``n`` rows of each stored table as JSON text (the sample view).
+
+    The limit is the feature here (a preview); each table contributes at most
+    ``n`` rows, so the result stays small whatever the table sizes.
+    """
+    parts = []
+    for name, where in paths.items():
+        df = spark.table(where) if "/" not in where else spark.read.parquet(where)
+        parts.append(df.limit(n).select(F.lit(name).alias("table"),
+                                         F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+                                         .alias("row")))
+    return reduce(DataFrame.unionByName, parts)

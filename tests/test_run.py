@@ -53,3 +53,16 @@ def test_ingest_pages_gate(spark):
                        scratch_path(spark, "bronze"), scratch_path(spark, "silver"))
     assert sorted(r.id for r in spark.read.parquet(run.versions["m"]).collect()) == [1, 2, 3]
     assert run.rows == {"m": 3}
+
+
+def test_summary_and_preview(spark, records):
+    from nestlift.plans.report import preview, summary
+
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    lines = [f'{{"id": {i}, "name": "n{i}", "kids": [{{"kid": "k{i}"}}]}}' for i in range(15)]
+    run = ingest(spark, SPEC, write_landing(records(*lines), scratch_path(spark, "landing")),
+                 "2024-01-01T00:00:00Z", bronze, root)
+    s = {r["table"]: (r.rows, r.cols) for r in summary(spark, run.versions).collect()}
+    assert s == {"m": (15, 2), "kids": (15, 2)}
+    p = preview(spark, run.versions, n=10).collect()
+    assert sum(1 for r in p if r["table"] == "m") == 10 and all(r.row.startswith("{") for r in p)

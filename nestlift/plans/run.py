@@ -49,7 +49,7 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
     out = {k: v for k, v in current.items() if v}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-        obs = Observation(f"upsert_{name}")
+        obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         out[name] = upsert_path(spark, current.get(name), counted, table_keys(spec, name), path,
                                 null_safe=null_safe, check=check,

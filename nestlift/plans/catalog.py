@@ -136,6 +136,13 @@ def q_schema_drift(spark, sf_dir):
     return drift(spark, [("orders_main", infer_schema(recs), DRIFT_DECL)])
 
 
+def q_schema_drift_nested(spark, sf_dir):
+    """Drift of every table of the three-level records, against schemas inferred from the data."""
+    sp = specs.spec({**specs.CUSTOMERS, "full_schema": None})
+    res = silver_tables(landed(spark, sf_dir, "fx-n"), sp, reuse=None)
+    return res.drift(sp)
+
+
 # ------------------------------------------------------------------ unnest
 def q_unnest_1(spark, sf_dir):
     return ntz(_orders_silver(spark, sf_dir, only="order_lines").tables["order_lines"])
@@ -413,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enforce_order": q_enforce_order,
     "enforce_string": q_enforce_string,
     "schema_drift": q_schema_drift,
+    "schema_drift_nested": q_schema_drift_nested,
     "unnest_1": q_unnest_1,
     "unnest_scalar": q_unnest_scalar,
     "unnest_empty": q_unnest_empty,

@@ -52,6 +52,10 @@ ORACLE: dict[str, str] = {
   ('orders_main', 'o_orderpriority', 'extra', NULL, 'string'),
   ('orders_main', 'o_totalprice', 'extra', NULL, 'double'),
   ('orders_main', 'partkeys', 'extra', NULL, 'array<bigint>'))
+  AS t("table", "column", kind, declared, actual)""",
+    "schema_drift_nested": """SELECT * FROM (VALUES
+  ('customer_order_lines', 'metrics', 'extra', CAST(NULL AS VARCHAR),
+   'array<struct<emitDate:string,name:string,value:double>>'))
   AS t("table", "column", kind, declared, actual)""",
     "unnest_1": f"SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l",
     "unnest_scalar": "SELECT l_orderkey AS o_orderkey, l_partkey AS partkeys_exploded FROM lineitem",

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from nestlift.llm.common import read
+from nestlift.llm.packing import pack
 from nestlift.llm.token_count import count_tokens
 
 
@@ -13,7 +14,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op7_token_counts": op7_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLE: dict[str, str] = {}

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from nestlift.llm.common import read
+from nestlift.llm.mixing import mix
 from nestlift.llm.packing import pack
 from nestlift.llm.token_count import count_tokens
 
@@ -18,8 +19,13 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents")).drop("source", "shard", "quota")
+
+
 QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_source_mixing": op9_source_mixing,
 }
 ORACLE: dict[str, str] = {}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nestlift.llm.common import read
+from nestlift.llm.line_dedup import mark_runs, without
 from nestlift.llm.mixing import mix
 from nestlift.llm.packing import pack
 from nestlift.llm.token_count import count_tokens
@@ -23,9 +25,19 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("source", "shard", "quota")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_runs(read(spark, sf_dir, "documents"))
+    cut = F.col("_cut")
+    return marked.select(
+        "doc_id", F.when(cut.isNull(), F.col("text")).otherwise(without(F.col("text"), cut)).alias("text"),
+        F.coalesce(F.aggregate(cut, F.lit(0), lambda n, x: n + x["p1"] - x["p0"] + 1), F.lit(0)).alias("deleted_lines"),
+        F.to_json(F.transform(cut, lambda x: F.array(x["p0"], x["p1"]))).alias("deleted_runs"))
+
+
 QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mixing": op9_source_mixing,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}

@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 from nestlift.llm.common import read
 from nestlift.llm.line_dedup import mark_runs, without
 from nestlift.llm.mixing import mix
+from nestlift.llm.near_dedup import near_classes
 from nestlift.llm.packing import pack
 from nestlift.llm.token_count import count_tokens
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(read(spark, sf_dir, "documents")).drop("_k1", "_k2")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -35,6 +40,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mixing": op9_source_mixing,

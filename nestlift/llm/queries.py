@@ -7,17 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestlift.llm.common import read
+from nestlift.llm.fingerprint import edited_fingerprints
 from nestlift.llm.line_dedup import mark_runs, without
 from nestlift.llm.mixing import mix
 from nestlift.llm.near_dedup import near_classes
 from nestlift.llm.packing import pack
+from nestlift.llm.quality_rules import judge
 from nestlift.llm.token_count import count_tokens
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(read(spark, sf_dir, "documents")).drop("_k1", "_k2")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    "base_failed", "kept"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,7 +52,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mixing": op9_source_mixing,

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestlift.llm.common import read
+from nestlift.llm import toxicity
+from nestlift.llm.common import fold, read
 from nestlift.llm.fingerprint import edited_fingerprints
 from nestlift.llm.line_dedup import mark_runs, without
 from nestlift.llm.mixing import mix
@@ -30,6 +31,13 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "base_failed", "kept"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
+    return (toxicity.score_toxicity(docs, model)
+            .select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -55,6 +63,7 @@ QUERIES = {
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mixing": op9_source_mixing,

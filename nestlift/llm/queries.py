@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestlift.llm import toxicity
+from nestlift.llm import quality, toxicity
 from nestlift.llm.common import fold, read
 from nestlift.llm.fingerprint import edited_fingerprints
 from nestlift.llm.line_dedup import mark_runs, without
@@ -17,6 +17,13 @@ from nestlift.llm.quality_rules import judge
 from nestlift.llm.token_count import count_tokens
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    return (quality.score_quality(docs, model)
+            .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -60,6 +67,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,

@@ -30,6 +30,7 @@ from nestlift.llm.common import stage, word_count
 
 BLOCK_WORDS = 32
 SHARD_WORDS = 100_000
+WHOLE_BLOCK_WORDS = 2_048
 MAX_SHARDS = 4096       # per source: only how finely a source is spread, not how much is taken
 
 
@@ -107,13 +108,17 @@ def taken_before(x: Column, blocks: Column, quota: Column, start: Column, block_
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, stop: float = 2.0,
-        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 11) -> DataFrame:
-    """doc_id, size, source_size, target, taken, source, shard, quota: one row per document.
+        block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 11,
+        keep: Sequence[Column] = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies, source, shard, quota: one row per document.
 
     ``weights`` repeat over the sources in order; ``share`` is the mix's size in
     proportion to all words; ``stop`` bounds how often a source is repeated.
+    ``copies`` is how often the block in which the document begins is taken (1
+    for documents without words); ``keep`` are further columns to carry along.
     """
-    raw = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    raw = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *keep), "mix-sizes")
+    kept = raw.columns[3:]
     sources = source_targets(raw.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, stop)
     sources = (sources.withColumn("blocks_wanted", F.round(F.sum("target").over(Window.partitionBy()) / block_words).cast("long"))
                .withColumn("shards", F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))))
@@ -134,10 +139,22 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
               .withColumn("_begin", F.col("_end") - F.col("size")))
     before = lambda c: taken_before(c, F.col("blocks"), F.col("quota"), F.col("start"), block_words)
     taken = F.when(F.col("size") > 0, before(F.col("_end")) - before(F.col("_begin"))).otherwise(F.lit(0).cast("long"))
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "shard", "quota")
+    first = F.floor(F.col("_begin") / block_words)
+    rest, steps = F.col("quota") % F.col("blocks"), lambda i: F.floor((i + F.col("start")) * rest / F.col("blocks"))
+    copies = F.when(F.col("size") > 0, F.floor(F.col("quota") / F.col("blocks")) + steps(first + 1) - steps(first))
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"),
+                         F.coalesce(copies, F.lit(1)).cast("long").alias("copies"), "source", "shard", "quota", *kept)
 
 
-def chosen_spans(mixed: DataFrame) -> DataFrame:
-    """How often each document is written: whole copies, and the words of one more."""
-    full = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    return mixed.select("doc_id", full.alias("copies"), (F.col("taken") - full * F.col("size")).alias("more_words"))
+def write_mix(docs: DataFrame, block_words: int = WHOLE_BLOCK_WORDS, **parameters) -> DataFrame:
+    """The mix as whole documents: each once for every time the block it begins in is taken.
+
+    Blocks are larger here than most documents, and a document goes with the
+    block it begins in, so nothing is cut. Equal rows are written equally often.
+    """
+    key = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("_k2")]
+    mixed = mix(docs, block_words=block_words, keep=key, **parameters)
+    times = stage(mixed.groupBy("_k1", "_k2").agg(F.min("copies").alias("_times")), "mix-copies")
+    # as many rows as documents: dealt by row at every size, hashed per partition (texts are not sorted)
+    return (docs.select("*", *key).join(times.where("_times > 0").hint("shuffle_hash"), ["_k1", "_k2"])
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns))

@@ -54,7 +54,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents")).drop("source", "shard", "quota")
+    return mix(read(spark, sf_dir, "documents")).drop("copies", "source", "shard", "quota")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

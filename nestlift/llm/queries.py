@@ -15,6 +15,15 @@ from nestlift.llm.near_dedup import near_classes
 from nestlift.llm.packing import pack
 from nestlift.llm.quality_rules import judge
 from nestlift.llm.token_count import count_tokens
+from nestlift.llm.url_filter import judge_urls
+
+# (rule, allow): a host with its subdomains and a path prefix
+URL_RULES = [("com/", True), ("example.com/en/", False), ("www.example.com/en/", True), ("net/es/", False),
+             ("net/fr/", False)]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +76,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_document_fingerprints": op3_document_fingerprints,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,

@@ -151,7 +151,7 @@ def score(host: Column, path: Column, weights: np.ndarray, bias: float) -> Colum
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, bool]] | DataFrame,
-               labelled: DataFrame | Sequence[tuple[str, int]] | None = None, threshold: float = 0.5) -> DataFrame:
+               labelled: DataFrame | Sequence[tuple[str, int]] | None = None, threshold: float = 0.7) -> DataFrame:
     """page_id, host, path, rule, score, verdict: one row per page, repeated and NULL ids included.
 
     ``rules``: (rule, allow) rows, as a list or a frame. ``labelled``: (url,

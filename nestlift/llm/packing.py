@@ -23,8 +23,8 @@ import bisect
 import functools
 import os
 import re
-import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,9 @@ from pyspark.sql.window import Window
 from nestlift.llm.common import stage
 from nestlift.llm.token_count import byte_symbols
 
-CACHE_CHUNKS = 300_000
-ROWS_PER_SHARD = 20_000
+CACHE_CHUNKS = 500_000
+ROWS_PER_SHARD = 2_000
+_DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 PIECE = T.StructType([
     T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -65,20 +66,28 @@ class ChunkEncoder:
         self.model = self.tok.model
         self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.pre = regex.compile(self.PRE)
-        self.symbols = {b: s for b, s in enumerate(byte_symbols())}
-        # white space next to white space, at either end, or other than a space or a line break
-        self.odd = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z|[\x1c-\x1f]")
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.space = self.symbols[32]
+        # any white space but a space or a line break (also what str methods take for it)
+        self.odd = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
         self.words = _WordIds(self)
         self.chunks = _ChunkIds(self)
 
     def raw(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token."""
+        symbols = (word.replace(" ", self.space) if word.isascii() and word.isprintable()
+                   else word.encode("utf-8").decode("latin-1").translate(self.symbols))
+        return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
     def ids(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.odd.search(text) or any(a in text for a in self.added):
+        if (text[0] in " \n" or text[-1] in " \n" or any(a in text for a in _DOUBLE) or self.odd.search(text)
+                or any(a in text for a in self.added)):
             return self.raw(text)
         parts = text.replace("\n", " \n").split(" ")
         return self.chunks[parts[0], ] + b"".join(map(self.chunks.__getitem__, parts[1:]))
@@ -92,14 +101,18 @@ class _ChunkIds(dict):
         self.encoder = encoder
 
     def __missing__(self, key) -> bytes:
+        e = self.encoder
         if isinstance(key, tuple):
-            text = key[0]
+            ids = b"".join(map(e.words.__getitem__, e.pre.findall(key[0])))
+        elif key.isalpha():                                 # one pre-token: letters after a space
+            ids = e.word(" " + key)
+        elif key[-1] in ".," and key[:-1].isalpha():        # two
+            ids = self[key[:-1]] + e.words[key[-1]]
         else:
-            text = key if key[0] == "\n" else " " + key
-        ids = b"".join(map(self.encoder.words.__getitem__, self.encoder.pre.findall(text)))
+            ids = b"".join(map(e.words.__getitem__, e.pre.findall(key if key[0] == "\n" else " " + key)))
         if len(self) >= CACHE_CHUNKS:
             self.clear()
-        if len(text) <= 64:
+        if len(ids) <= 256:
             self[key] = ids
         return ids
 
@@ -112,12 +125,10 @@ class _WordIds(dict):
         self.encoder = encoder
 
     def __missing__(self, word: str) -> bytes:
-        e = self.encoder
-        found = [t.id for t in e.model.tokenize(word.encode("utf-8").decode("latin-1").translate(e.symbols))]
-        ids = struct.pack(f"<{len(found)}I", *found)
+        ids = self.encoder.word(word)
         if len(self) >= CACHE_CHUNKS:
             self.clear()
-        if len(word) <= 64:
+        if len(ids) <= 256:
             self[word] = ids
         return ids
 

@@ -7,6 +7,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,34 +56,55 @@ def split_corrupt(parsed: DataFrame, corrupt_column: str = CORRUPT) -> tuple[Dat
     return parsed.filter(~bad).drop(corrupt_column), parsed.filter(bad)
 
 
-def infer_schema(df: DataFrame, column: str = "raw_json", sample_rows: int | None = None,
-                 sampling_ratio: float = 1.0, via: str = "text") -> T.StructType:
-    """Spark's JSON schema inference over a text column.
-
-    ``sample_rows=None`` reads every non-null value (fields first seen late
-    are not lost); ``sample_rows=10000`` reproduces a first-N sample.
-    ``sampling_ratio`` samples inside every partition instead, which keeps
-    the job parallel on large inputs. Prefer a declared schema at scale.
+def infer_schema(df: DataFrame, column: str = "raw_json") -> T.StructType:
+    """The fields of a JSON text column, over every value (no sample: rare and late fields count).
 
-    ``via="text"`` (default) writes the values once as text under the shared
-    scratch folder and lets ``spark.read.json`` infer from the files: the
-    whole job stays in the JVM, in parallel. ``via="rdd"`` feeds an RDD of
-    strings instead, which moves every value through Python workers.
+    One JVM-side partial aggregate (``schema_of_variant_agg``); the text is not
+    copied. Numbers with a fraction or beyond BIGINT are DOUBLE; a field seen with
+    different kinds of values, or only as NULL, is STRING. A value that is an
+    array of objects contributes its elements' fields. If any value is malformed,
+    or neither an object nor an array of objects, the schema has a
+    ``_corrupt_record``. No values: no fields.
     """
-    src = df.select(F.col(quote(column)).cast("string").alias("value")).filter(F.col("value").isNotNull())
-    if sample_rows:
-        src = src.limit(int(sample_rows))
-    elif sampling_ratio < 1.0:
-        src = src.sample(fraction=sampling_ratio, seed=17)
-    spark = df.sparkSession
-    if via == "rdd":
-        return spark.read.json(src.rdd.map(lambda row: row[0])).schema
-    from ..session import scratch_path
-
-    path = scratch_path(spark, "infer")
-    # one value per line: raw line breaks can only be whitespace between JSON tokens
-    src.select(F.regexp_replace("value", "[\\r\\n]", " ").alias("value")).write.text(path)
-    return spark.read.json(path).schema
+    value = F.col(quote(column)).cast("string")
+    v = F.try_parse_json(value)
+    kind = F.schema_of_variant(v)
+    is_array = F.startswith(kind, F.lit("ARRAY"))
+    is_record = kind.rlike("^(OBJECT<|ARRAY<OBJECT<|ARRAY<VOID>|VOID)")
+    agg = df.agg(F.schema_of_variant_agg(F.when(~is_array, v)).alias("records"),
+                 F.schema_of_variant_agg(F.when(is_array, v)).alias("arrays"),
+                 F.count_if(value.isNotNull() & ~F.coalesce(is_record, F.lit(False))).alias("bad")).first()
+    fields: dict[str, T.DataType] = {}
+    for text in (agg["records"], agg["arrays"]):
+        t = _variant_type(text)
+        t = t.elementType if isinstance(t, T.ArrayType) else t
+        if isinstance(t, T.StructType):
+            for f in t.fields:
+                fields[f.name] = f.dataType if fields.get(f.name, f.dataType) == f.dataType else T.StringType()
+    if agg["bad"]:
+        fields[CORRUPT] = T.StringType()
+    return T.StructType([T.StructField(n, fields[n]) for n in sorted(fields)])
+
+
+def _variant_type(text: str | None) -> T.DataType:
+    """A variant schema text as the type a JSON parse should use."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", text or "VOID")       # names in backticks stay as they are
+    ddl = "".join(x if i % 2 else re.sub(r"\bOBJECT<", "STRUCT<", x) for i, x in enumerate(parts))
+
+    def hollow(t: T.DataType) -> bool:      # only {} seen: nothing to store
+        return hollow(t.elementType) if isinstance(t, T.ArrayType) else (
+            isinstance(t, T.StructType) and all(hollow(f.dataType) for f in t.fields))
+
+    def plain(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, plain(f.dataType)) for f in t.fields if not hollow(f.dataType)])
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(plain(t.elementType))
+        if isinstance(t, (T.DecimalType, T.DoubleType, T.FloatType)):
+            return T.DoubleType()
+        return t if isinstance(t, (T.LongType, T.BooleanType)) else T.StringType()
+
+    return plain(T._parse_datatype_string(ddl))
 
 
 def element_schema(inferred: T.StructType) -> T.DataType:

@@ -5,15 +5,21 @@ both ends inclusive, with typed bounds, so the predicate reaches the Parquet
 scan; when bronze is partitioned by ``load_date`` the matching date range
 also prunes whole directories. A bronze frame without the load-time column
 is returned unfiltered.
+
+``latest_by`` keeps, of records loaded more than once, the last load's.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.types import quote
 from ..sources.bronze import PARTITION
 from ..spec import parse_instant, ts_lit
 
@@ -39,3 +45,23 @@ def load_window(bronze: DataFrame, start: datetime | str, end: datetime | str,
         cond = cond & F.col(PARTITION).between(F.lit(s.date()), F.lit(e.date()))
         return bronze.filter(cond).drop(PARTITION)
     return bronze.filter(cond)
+
+
+def latest_by(bronze: DataFrame, keys: list[str] | tuple[str, ...], column: str = "raw_json",
+              load: str = LOAD_COLUMN) -> DataFrame:
+    """Bronze rows of each record key's last load (all of them, if a load holds several).
+
+    Rows without the key (or malformed) and rows of frames without a load time
+    pass unchanged. The last load per key is a partial (map-side) aggregate, so
+    a key with very many loads costs one row per task before the shuffle.
+    """
+    if load not in bronze.columns:
+        return bronze
+    shape = T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    rec = F.from_json(F.col(quote(column)), shape)
+    names = [f"__nl_key{i}" for i in range(len(keys))]
+    rows = bronze.withColumn("__nl_keys", rec).select("*", *[F.col("__nl_keys")[k].alias(n) for k, n in zip(keys, names)]).drop("__nl_keys")
+    whole = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+    last = (rows.where(whole).groupBy(*names).agg(F.max(load).alias("__nl_last")))
+    kept = rows.where(whole).join(last, names).where(F.col(load).eqNullSafe(F.col("__nl_last")))
+    return kept.select(*bronze.columns).unionByName(rows.where(~whole).select(*bronze.columns))

@@ -3,6 +3,7 @@
 * present column, declared complex (array/struct)  -> JSON text (``to_json``)
 * present column, declared scalar                  -> ``try_cast`` (bad text -> NULL)
 * absent column                                    -> NULL of the declared type
+* present column of a type no cast relates         -> typed NULL (reported by ``drift``)
 * undeclared column                                -> dropped (reported by ``drift``)
 
 Column presence is an exact, case-sensitive name test. A frame whose
@@ -42,9 +43,29 @@ def typed_column(name: str, declared: str, actual: T.DataType | None) -> Column:
         raise SchemaConflict(f"column {name!r} is declared {declared!r} but holds {actual.simpleString()}")
     if actual == out:
         return c.alias(name)
+    if not castable(actual, out):
+        return F.lit(None).cast(out).alias(name)
     return c.try_cast(out).alias(name)
 
 
+# scalar pairs that no cast relates: values become typed NULLs, and drift reports the column
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def castable(actual: T.DataType, out: T.DataType) -> bool:
+    """Whether ``try_cast`` accepts this pair of scalar types."""
+    if isinstance(actual, (T.NullType, T.StringType)) or isinstance(out, T.StringType) or actual == out:
+        return not isinstance(out, T.BinaryType) or isinstance(actual, (T.StringType, T.BinaryType, T.NullType))
+    if isinstance(actual, _NUMBERS):
+        return isinstance(out, (*_NUMBERS, T.BooleanType, T.TimestampType))
+    if isinstance(actual, T.BooleanType):
+        return isinstance(out, _NUMBERS)
+    if isinstance(actual, (T.DateType, *_TIMES)):
+        return isinstance(out, (T.DateType, *_TIMES)) or (isinstance(actual, T.TimestampType) and isinstance(out, _NUMBERS))
+    return False
+
+
 def _check_case(df: DataFrame) -> None:
     bad = _case_collisions(df.columns)
     if bad:
@@ -70,10 +91,15 @@ DRIFT_SCHEMA = "table STRING, column STRING, kind STRING, declared STRING, actua
 
 
 def drift_rows(table: str, actual: T.StructType, schema: Mapping[str, str]) -> list[tuple]:
-    """Missing (declared, not found) then extra (found, not declared) columns."""
+    """Missing (declared, not found), extra (found, not declared), then type (no cast) columns."""
     have = {f.name: f.dataType.simpleString() for f in actual.fields}
     rows = [(table, c, "missing", t, None) for c, t in schema.items() if c not in have]
     rows += [(table, c, "extra", None, t) for c, t in have.items() if c not in schema]
+    for f in actual.fields:
+        if f.name in schema:
+            out, as_json = resolve(schema[f.name])
+            if not as_json and not isinstance(out, T.StringType) and (is_complex(f.dataType) or not castable(f.dataType, out)):
+                rows.append((table, f.name, "type", schema[f.name], f.dataType.simpleString()))
     return rows
 
 

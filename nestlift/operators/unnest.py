@@ -63,8 +63,7 @@ def _empty(df: DataFrame, name: str) -> bool:
 
 
 def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
-           text_schemas: Mapping[str, T.DataType] | None = None,
-           sample_rows: int | None = None, sampling_ratio: float = 1.0) -> UnnestResult:
+           text_schemas: Mapping[str, T.DataType] | None = None) -> UnnestResult:
     """Build one child table from a parsed record frame.
 
     ``probe`` applies the rule that a level holding no value at all skips
@@ -100,15 +99,15 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
             return res
         col = F.col(quote(name))
         if isinstance(dtype, T.StringType):
+            es = (text_schemas or {}).get(name)
+            if es is None:
+                es = element_schema(infer_schema(cur.select(col), name))
             if probe:
-                if _empty(cur, name):
+                if not (es.elementType.fields if isinstance(es, T.ArrayType) and isinstance(es.elementType, T.StructType)
+                        else True) or (name in (text_schemas or {}) and _empty(cur, name)):
                     res.skipped = first_empty(pending) or f"level {level + 1}: {name!r} holds no value"
                     return res
                 pending.clear()   # a value here implies values at every level above
-            es = (text_schemas or {}).get(name)
-            if es is None:
-                es = element_schema(infer_schema(cur.select(col), name, sample_rows=sample_rows,
-                                                 sampling_ratio=sampling_ratio))
             col = F.from_json(col, es)
         else:
             pending.append((level, name, cur))

@@ -14,8 +14,9 @@ Semantics kept from a SQL MERGE without a delete clause:
 
 As a plan, ``merge_frames`` is ``target LEFT JOIN counted-source-keys``
 keeping unmatched rows, ``UNION ALL source``; the per-key count also
-detects conflicts in the same job. The source is persisted while it is
-counted and merged, so it is computed (parsed) once. NULL-key target rows
+detects conflicts in the same job. The source is read twice (its keys are
+counted, its rows are merged); runs hand over staged Parquet, so neither read
+parses again. NULL-key target rows
 bypass the join (they cannot match), so a mass of NULL keys never lands in
 one join task. Broadcast vs sort-merge is left to AQE, which decides on
 measured sizes.
@@ -28,14 +29,16 @@ version (a new path, or a staging table swapped in by name).
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.types import quote
+from ..session import delete_path, read_text, scratch_path, write_text
 
 
 class MergeConflict(ValueError):
@@ -79,14 +82,15 @@ _N = "__nl_src_n"
 
 
 def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
-                         null_safe: bool = False,
-                         allow_new_columns: bool = False) -> tuple[DataFrame, Observation]:
+                         null_safe: bool = False, allow_new_columns: bool = False,
+                         rows: Observation | None = None) -> tuple[DataFrame, Observation]:
     """Merged rows plus an observation counting conflicts while they are produced.
 
     The source keys are counted per key (a partial, map-side aggregate) and
     left-joined to the target: a target row with a count is replaced, a row
     without one is kept, and a count above 1 is a conflict, tallied by
     ``observe`` inside the same job. NULL-key target rows bypass the join.
+    ``rows`` counts the source rows as they are written.
     """
     target = _evolve(target, source, allow_new_columns)
     src = _align(source, target)
@@ -107,7 +111,11 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
     kept = j.filter(F.col(_N).isNull()).drop(_N)
     if null_rows is not None:
         kept = kept.unionByName(null_rows)
-    return kept.unionByName(src), obs
+    return kept.unionByName(_counted(src, rows)), obs
+
+
+def _counted(source: DataFrame, rows: Observation | None) -> DataFrame:
+    return source if rows is None else source.observe(rows, F.count(F.lit(1)).alias("rows"))
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],
@@ -146,7 +154,7 @@ def check_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
 
 def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, keys: list[str],
                 out: str, null_safe: bool = False, check: bool = True,
-                allow_new_columns: bool = False) -> str:
+                allow_new_columns: bool = False, rows: Observation | None = None) -> str:
     """Write the next version of a Parquet table to ``out`` and return it.
 
     ``current=None`` creates the table from the source as is (no key dedup,
@@ -155,15 +163,10 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     unpublished and ``MergeConflict`` is raised.
     """
     if current is None:
-        source.write.mode("errorifexists").parquet(out)
+        _counted(source, rows).write.mode("errorifexists").parquet(out)
         return out
-    target = spark.read.parquet(current)
-    src = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        merged, obs = merge_with_conflicts(target, src, keys, null_safe, allow_new_columns)
-        merged.write.mode("errorifexists").parquet(out)
-    finally:
-        src.unpersist()
+    merged, obs = merge_with_conflicts(spark.read.parquet(current), source, keys, null_safe, allow_new_columns, rows)
+    merged.write.mode("errorifexists").parquet(out)
     n = int(obs.get.get("conflicts", 0))
     if check and n:
         raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
@@ -171,88 +174,154 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     return out
 
 
-TOUCHED_LITERAL_LIMIT = 1_000
-TOUCHED_BROADCAST_LIMIT = 100_000
+# ------------------------------------------------------------------ partitioned tables
+_SCHEMA_FILE = "_nl_schema.json"      # names starting with "_" are not data files
+
+
+class PartitionMove(ValueError):
+    """A key of the source sits in another partition of the target."""
+
+
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A path written by ``upsert_partitioned``, with the types it was written with.
+
+    Partition values keep their declared type (``'001'`` stays text) and columns
+    added later are there for old files too.
+    """
+    text = read_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}")
+    reader = spark.read
+    return (reader.schema(T.StructType.fromJson(json.loads(text))) if text else reader).parquet(path)
+
+
+def _target(spark: SparkSession, path: str, source: DataFrame, partition_by: list[str], as_table: bool) -> DataFrame:
+    if as_table:
+        return spark.table(path)
+    if read_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}"):
+        return read_partitioned(spark, path)
+    # a table from elsewhere: the files' columns, partition values typed like the source's
+    files = spark.read.parquet(path).schema
+    typed = [source.schema[f.name] if f.name in partition_by else f for f in files.fields]
+    return spark.read.schema(T.StructType(typed)).parquet(path)
 
 
 def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Target rows in the touched partitions.
+    """Target rows in the touched partitions (a NULL partition value is a partition like any other).
 
-    A small touched set (count checked first) becomes literal partition
-    filters, so the scan is pruned statically; a larger one is a semi-join,
-    broadcast only while its size stays under the limit.
+    One null-safe semi-join whatever the number of partitions. The least and
+    greatest touched value of each column (one row) are literal filters in front
+    of it, so partitions outside are not listed or read.
     """
-    n = touched.count()
-    if n <= TOUCHED_LITERAL_LIMIT:
-        vals = touched.collect()
-        if not vals:
-            return target.limit(0)
-        conds = [reduce(lambda a, b: a & b,
-                        [F.col(quote(c)).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in vals]
-        return target.filter(reduce(lambda a, b: a | b, conds))
-    side = F.broadcast(touched) if n <= TOUCHED_BROADCAST_LIMIT else touched
-    return target.join(side, partition_by, "left_semi")
+    names = [f"__nl_p{i}" for i in range(len(partition_by))]
+    t = touched.select(*[F.col(quote(c)).alias(n) for c, n in zip(partition_by, names, strict=True)]).distinct()
+    ends = t.agg(*[f(n).alias(f"{k}{n}") for n in names for k, f in (("lo", F.min), ("hi", F.max))],
+                 *[F.max(F.col(n).isNull()).alias(f"null{n}") for n in names]).first()
+    for c, n in zip(partition_by, names, strict=True):
+        col, lo, hi = target[quote(c)], ends[f"lo{n}"], ends[f"hi{n}"]
+        inside = F.lit(False) if lo is None else col.between(F.lit(lo), F.lit(hi))
+        target = target.filter(inside | col.isNull() if ends[f"null{n}"] else inside)
+    cond = reduce(lambda a, b: a & b, [target[quote(c)].eqNullSafe(t[n]) for c, n in zip(partition_by, names, strict=True)])
+    return target.join(t, cond, "left_semi")
+
+
+def check_moves(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str]) -> None:
+    """Raise ``PartitionMove`` if a key is in another partition of the target than in the source."""
+    cols = keys + [c for c in partition_by if c not in keys]
+    s = source.select(*[F.col(quote(c)) for c in cols]).filter(_all_set(keys))
+    t = target.select(*[F.col(quote(c)) for c in keys],
+                      *[F.col(quote(c)).alias(f"__nl_at{i}") for i, c in enumerate(partition_by)]).filter(_all_set(keys))
+    same = reduce(lambda a, b: a & b, [F.col(quote(c)).eqNullSafe(F.col(f"__nl_at{i}")) for i, c in enumerate(partition_by)])
+    moved = s.join(t, keys).filter(~same).select(*[F.col(quote(k)) for k in keys])
+    sample = [r.asDict() for r in moved.limit(5).collect()]
+    if sample:
+        raise PartitionMove(f"keys change their partition {partition_by}, e.g. {sample}; an upsert of the touched "
+                            "partitions alone would leave the old row behind")
+
+
+def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
+                      partition_by: list[str], exists: bool = True, null_safe: bool = False,
+                      check: bool = True, scratch: str | None = None, as_table: bool = False,
+                      allow_new_columns: bool = False, fixed_partitions: bool = False,
+                      rows: Observation | None = None) -> Callable[[], str]:
+    """Do all of ``upsert_partitioned`` but the replacement, which the returned function does."""
+    if as_table:
+        exists = spark.catalog.tableExists(path)
+    if not scratch:
+        scratch = scratch_path(spark, "merge")
+    if exists:
+        target = _target(spark, path, source, partition_by, as_table)
+        widened = _evolve(target, source, allow_new_columns)
+        src = _align(source, widened)
+        if not fixed_partitions and not set(partition_by) <= set(keys):
+            check_moves(target, src, keys, partition_by)
+        part = _touched_rows(widened, src.select(*[F.col(quote(c)) for c in partition_by]), partition_by)
+        merged, obs = merge_with_conflicts(part, src, keys, null_safe, rows=rows)
+        new = [f for f in widened.schema.fields if f.name not in target.columns]
+    else:
+        merged, obs, new = _counted(source, rows), None, []
+    schema = merged.schema
+    merged.write.parquet(scratch)          # cuts the lineage to the partitions about to be replaced
+    n = int(obs.get.get("conflicts", 0)) if obs is not None else 0
+    if check and n:
+        delete_path(spark, scratch)
+        raise MergeConflict(f"{n} target rows of {path} match several source rows on {keys}")
+    # one writer per partition value, large ones split (AQE), instead of a file per task and value
+    staged = spark.read.schema(schema).parquet(scratch).hint("rebalance", *partition_by)
+
+    def publish() -> str:
+        if not exists:
+            w = staged.write.mode("errorifexists").partitionBy(*partition_by)
+            w.saveAsTable(path) if as_table else w.parquet(path)
+        elif as_table:
+            if new:
+                cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
+                spark.sql(f"ALTER TABLE {_quoted(path)} ADD COLUMNS ({cols})")
+            # insertInto is positional: the table's column order, partition columns last
+            cols = spark.table(path).columns
+            key = "spark.sql.sources.partitionOverwriteMode"   # insertInto reads the session setting
+            prev = spark.conf.get(key)
+            spark.conf.set(key, "dynamic")
+            try:
+                staged.select(*[F.col(quote(c)) for c in cols]).write.mode("overwrite").insertInto(path)
+            finally:
+                spark.conf.set(key, prev)
+        else:
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_by).parquet(path))
+        if not as_table:
+            write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", schema.json())
+        delete_path(spark, scratch)
+        return path
+
+    return publish
 
 
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-                       partition_by: list[str], exists: bool = True, null_safe: bool = False,
-                       check: bool = True, scratch: str | None = None, as_table: bool = False,
-                       allow_new_columns: bool = False) -> str:
+                       partition_by: list[str], **options) -> str:
     """Upsert into a partitioned Parquet table, rewriting only the touched partitions.
 
     ``path`` is a directory, or a catalog table name with ``as_table=True``
-    (then existence is looked up in the catalog). The partition columns must
-    be fixed per key (a key's rows never move between partitions), e.g. a
-    record date or a key bucket. Then only partitions present in the source
-    can change:
-
-    1. ``touched`` = distinct partition values of the source (its size is
-       counted first): up to ``TOUCHED_LITERAL_LIMIT`` values become literal
-       partition filters (static partition pruning of the target scan);
-       more become a semi-join, broadcast only under ``TOUCHED_BROADCAST_LIMIT``;
-    2. touched target rows are merged with the source and written to
-       ``scratch`` (cuts the lineage to the table about to be overwritten),
-       counting conflicts on the way; a conflict stops here;
-    3. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
+    (then existence is looked up in the catalog; else ``exists`` says it). The
+    partition columns must be fixed per key. That holds when they are key
+    columns, or when ``fixed_partitions=True`` declares them an expression of
+    the key; otherwise the keys are checked against the table (a join on key
+    and partition columns) and ``PartitionMove`` is raised before any write.
+
+    1. target rows of the touched partitions (null-safe semi-join) are merged
+       with the source and written to ``scratch``, counting conflicts on the
+       way; a conflict stops here;
+    2. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
        every other partition is left untouched.
 
-    Cost is O(touched partitions), not O(table). Partitions are replaced one
-    by one, without cross-partition atomicity. ``exists=False`` creates the
-    table from the source (first write).
+    Data movement is O(touched partitions), not O(table). Partitions are replaced
+    one by one, without cross-partition atomicity. ``exists=False`` creates the
+    table from the source. Read a path back with ``read_partitioned``.
     """
-    if as_table:
-        exists = spark.catalog.tableExists(path)
-    if not exists:
-        w = source.write.mode("errorifexists").partitionBy(*partition_by)
-        w.saveAsTable(path) if as_table else w.parquet(path)
-        return path
-    if not scratch:
-        raise ValueError("scratch: a fresh path on shared storage for the merged partitions")
-    target = spark.table(path) if as_table else spark.read.parquet(path)
-    src = source.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        part = _touched_rows(target, src.select(*partition_by).distinct(), partition_by)
-        merged, obs = merge_with_conflicts(part, src, keys, null_safe, allow_new_columns)
-        merged.write.partitionBy(*partition_by).parquet(scratch)
-    finally:
-        src.unpersist()
-    n = int(obs.get.get("conflicts", 0))
-    if check and n:   # detected while staging: no partition of the table was replaced
-        raise MergeConflict(f"{n} target rows match several source rows on {keys}")
-    staged = spark.read.parquet(scratch)
-    if as_table:   # insertInto is positional: the table's column order, partition columns last
-        cols = spark.table(path).columns
-        key = "spark.sql.sources.partitionOverwriteMode"   # insertInto reads the session setting
-        prev = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            staged.select(*[F.col(quote(c)) for c in cols]).write.mode("overwrite").insertInto(path)
-        finally:
-            spark.conf.set(key, prev)
-    else:
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
-    return path
+    return stage_partitioned(spark, path, source, keys, partition_by, **options)()
+
+
+# ------------------------------------------------------------------ catalog tables
+def _quoted(table: str) -> str:
+    return ".".join(quote(p) for p in table.split("."))
 
 
 def _merge_condition(table: str, keys: list[str], null_safe: bool) -> Column:
@@ -263,59 +332,99 @@ def _merge_condition(table: str, keys: list[str], null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, parts)
 
 
-def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
-                 null_safe: bool = False, check: bool = True,
-                 allow_new_columns: bool = False) -> str:
-    """Upsert into a catalog table; create it when absent.
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a swap that was interrupted: the old rows come back under their name."""
+    prev = f"{table}__nl_prev"
+    if spark.catalog.tableExists(prev):
+        if not spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {_quoted(prev)} RENAME TO {_quoted(table)}")
+        else:
+            spark.sql(f"DROP TABLE {_quoted(prev)}")      # the new rows had taken the name
 
-    Tries an in-place ``mergeInto`` first (table formats with row-level
-    operations); on plain Parquet tables falls back to writing the merged
-    rows to a staging table and swapping it in by name. The swap is not
-    atomic across tables.
-    """
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+# File formats without row-level MERGE.
+_FILE_FORMATS = {"parquet", "orc", "json", "csv", "text", "avro", "hive"}
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else ""
+
+
+def stage_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
+                null_safe: bool = False, check: bool = True, allow_new_columns: bool = False,
+                rows: Observation | None = None) -> Callable[[], str]:
+    """Do all of ``upsert_table`` but the change of the table, which the returned function does."""
+    recover(spark, table)
+    staging = f"{table}__nl_next"
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(staging)}")
     if not spark.catalog.tableExists(table):
-        source.write.saveAsTable(table)
-        return table
+        _counted(source, rows).write.saveAsTable(staging)
+
+        def create() -> str:
+            spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(table)}")
+            return table
+
+        return create
     target = _evolve(spark.table(table), source, allow_new_columns)
     src = _align(source, target)
-    try:
-        short = table.split(".")[-1]
-        m = src.alias("__nl_src").mergeInto(table, _merge_condition(short, keys, null_safe))
+    if _provider(spark, table) not in _FILE_FORMATS:
+        if check:
+            check_conflicts(target, src, keys, null_safe)
+        m = _counted(src, rows).alias("__nl_src").mergeInto(table, _merge_condition(table.split(".")[-1], keys, null_safe))
         if allow_new_columns:
             m = m.withSchemaEvolution()
-        m.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+        def merge() -> str:
+            m.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+            return table
+
+        return merge
+    parts = _partitions(spark, table)
+    if parts:       # a partitioned table keeps its partitions: the touched ones are replaced
+        return stage_partitioned(spark, table, source, keys, parts, null_safe=null_safe, check=check, as_table=True,
+                                 allow_new_columns=allow_new_columns, rows=rows)
+    merged, obs = merge_with_conflicts(target, src, keys, null_safe, rows=rows)
+    merged.write.saveAsTable(staging)
+    n = int(obs.get.get("conflicts", 0))
+    if check and n:
+        spark.sql(f"DROP TABLE {_quoted(staging)}")
+        raise MergeConflict(f"{n} target rows of {table} match several source rows")
+
+    def swap() -> str:
+        swap_in(spark, table)
         return table
-    except (AnalysisException, UnsupportedOperationException) as e:
-        if "UNSUPPORTED_FEATURE" not in str(e):   # only "this format has no row-level MERGE"
-            raise
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        merged, obs = merge_with_conflicts(target, src, keys, null_safe)
-        _swap_in(spark, table, merged, obs if check else None)
-    finally:
-        src.unpersist()
-    return table
-
-
-def _swap_in(spark: SparkSession, table: str, rows: DataFrame,
-             conflicts_obs: Observation | None = None) -> None:
-    """Write ``rows`` to a staging table, then swap it in by name.
-
-    The old table is renamed aside before the staging table takes its name
-    and is dropped only afterwards, so an interruption at any step leaves
-    either the old or the new rows under a known name. Conflicts observed
-    while staging stop the swap.
+
+    return swap
+
+
+def swap_in(spark: SparkSession, table: str) -> None:
+    """Give the staging table the table's name.
+
+    The old table is renamed aside first and dropped only when the new one can
+    be found. Interrupted in between, the next ``recover`` (every upsert starts
+    with it) gives the old rows their name back.
     """
-    q = ".".join(quote(p) for p in table.split("."))
-    qs = ".".join(quote(p) for p in f"{table}__nl_next".split("."))
-    qp = ".".join(quote(p) for p in f"{table}__nl_prev".split("."))
-    spark.sql(f"DROP TABLE IF EXISTS {qs}")
-    spark.sql(f"DROP TABLE IF EXISTS {qp}")
-    rows.write.saveAsTable(f"{table}__nl_next")
-    n = int(conflicts_obs.get.get("conflicts", 0)) if conflicts_obs is not None else 0
-    if n:
-        spark.sql(f"DROP TABLE {qs}")
-        raise MergeConflict(f"{n} target rows of {table} match several source rows")
+    q, qs, qp = (_quoted(f"{table}{x}") for x in ("", "__nl_next", "__nl_prev"))
     spark.sql(f"ALTER TABLE {q} RENAME TO {qp}")
     spark.sql(f"ALTER TABLE {qs} RENAME TO {q}")
+    if not spark.catalog.tableExists(table):
+        raise RuntimeError(f"{table} is missing after its swap; its old rows are in {table}__nl_prev")
     spark.sql(f"DROP TABLE {qp}")
+
+
+def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
+                 null_safe: bool = False, check: bool = True,
+                 allow_new_columns: bool = False) -> str:
+    """Upsert into a catalog table; create it when absent.
+
+    Table formats with row-level operations are merged in place
+    (``mergeInto``). Of file formats, a partitioned table has its touched
+    partitions replaced (``upsert_partitioned``); else the merged rows are
+    written to a staging table that is swapped in by name.
+    """
+    return stage_table(spark, table, source, keys, null_safe, check, allow_new_columns)()

@@ -19,12 +19,12 @@ from ..functions.json import infer_schema, parse
 from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
-from ..operators.upsert import conflicts, merge_frames, upsert_partitioned, upsert_path
+from ..operators.upsert import conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
 from ..session import scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
-from .report import summary, table_counts
+from .report import preview, summary, table_counts
 from .run import IncompleteLanding, backfill, ingest, ingest_pages, upsert_all
 from .silver import silver_tables
 
@@ -165,8 +165,8 @@ def q_unnest_2(spark, sf_dir):
 
 
 def q_unnest_3(spark, sf_dir):
-    res = _customers_silver(spark, sf_dir, only="customer_order_line_metrics")
-    return ntz(res.tables["customer_order_line_metrics"])
+    res = _customers_silver(spark, sf_dir, only="customer_order_line_prices")
+    return ntz(res.tables["customer_order_line_prices"])
 
 
 def q_unnest_text(spark, sf_dir):
@@ -315,8 +315,7 @@ def _main_typed(spark, sf_dir):
 
 
 def q_upsert_create(spark, sf_dir):
-    target, _ = _split(_main_typed(spark, sf_dir), "o_orderdate")
-    path = upsert_path(spark, None, target, ["o_orderkey"], scratch_path(spark, "silver"))
+    path = upsert_path(spark, None, _main_typed(spark, sf_dir), ["o_orderkey"], scratch_path(spark, "silver"))
     return spark.read.parquet(path)
 
 
@@ -349,8 +348,20 @@ def q_upsert_partitioned(spark, sf_dir):
     keys = sp.child("order_lines").merge_keys
     path = scratch_path(spark, "silver")
     upsert_partitioned(spark, path, target, keys, ["ship_year"], exists=False)
-    upsert_partitioned(spark, path, source, keys, ["ship_year"], scratch=scratch_path(spark, "merge"))
-    return spark.read.parquet(path).drop("ship_year")
+    upsert_partitioned(spark, path, source, keys, ["ship_year"], fixed_partitions=True)
+    return read_partitioned(spark, path).drop("ship_year")
+
+
+def q_upsert_partitioned_null(spark, sf_dir):
+    """Upsert over more than a thousand touched partitions, one of them the NULL partition."""
+    main = _main_typed(spark, sf_dir)
+    main = main.withColumn("bucket", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey") % 1201))
+    target, source = _split(main, "o_orderdate")
+    source = source.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    path = scratch_path(spark, "silver")
+    upsert_partitioned(spark, path, target, ["o_orderkey"], ["bucket"], exists=False)
+    upsert_partitioned(spark, path, source, ["o_orderkey"], ["bucket"], fixed_partitions=True)
+    return read_partitioned(spark, path)
 
 
 def q_upsert_null_key(spark, sf_dir):
@@ -369,48 +380,119 @@ def q_merge_conflicts(spark, sf_dir):
     return conflicts(target, source, ["o_orderkey", "l_linenumber"])
 
 
+TWO_LOADS = ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")
+
+
+def _order_loads(spark, sf_dir):
+    """The orders as two overlapping loads (split on order date); the second one changes its records."""
+    rows = nesting.order_rows(spark, sf_dir)
+    first = rows.filter(F.col("o_orderdate") < F.lit(SPLIT_HI).cast("timestamp_ntz"))
+    second = (rows.filter(F.col("o_orderdate") >= F.lit(SPLIT_LO).cast("timestamp_ntz"))
+              .withColumn("o_totalprice", F.col("o_totalprice") * 2)
+              .withColumn("lines", F.transform("lines", lambda x: x.withField("l_quantity", x["l_quantity"] + 1))))
+    return nesting.as_records(first), nesting.as_records(second)
+
+
+def _main_with_lines(main: DataFrame, lines: DataFrame) -> DataFrame:
+    return ntz(main.select("o_orderkey", "o_totalprice").join(lines, "o_orderkey", "left")
+               .select("o_orderkey", "o_totalprice", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
+
+
 def q_silver_summary(spark, sf_dir):
     """Two overlapping loads upserted into versioned silver, then summarised."""
     sp = specs.spec(specs.ORDERS)
     root = scratch_path(spark, "silver")
     current: dict[str, str | None] = {}
-    for i, (part, ts) in enumerate(zip(_order_loads(spark, sf_dir),
-                                       ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z"))):
+    for i, (part, ts) in enumerate(zip(_order_loads(spark, sf_dir), TWO_LOADS)):
         res = silver_tables(in_memory_bronze(part, ts, f"load-{i}"), sp, only="orders_main, order_lines")
         current = upsert_all(spark, sp, res.tables, current, root)
-    return summary(spark, current).select("table", "rows", "cols")
+        res.release()
+    return summary(spark, current)
 
 
-def _order_loads(spark, sf_dir):
-    """The landed order records as two overlapping loads (split on order date)."""
-    bronze = landed(spark, sf_dir, "fx-o").select("raw_json")
-    day = F.get_json_object("raw_json", "$.o_orderdate")
-    return (bronze.filter(day < F.lit(SPLIT_HI)), bronze.filter(day >= F.lit(SPLIT_LO)))
+def q_preview(spark, sf_dir):
+    """The sample view: up to ten rows of each stored table (the limit is the feature)."""
+    root = scratch_path(spark, "silver")
+    tables = _orders_silver(spark, sf_dir, only="orders_main, order_lines", reuse="stage").tables
+    stored = upsert_all(spark, specs.spec(specs.ORDERS), tables, {}, root)
+    return preview(spark, stored, n=10).groupBy("table").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def q_incremental_run(spark, sf_dir):
-    """Two incremental runs: landed text -> bronze append -> silver -> upsert of every table."""
+    """Two incremental runs, the second with changed records: main by version, lines by partition."""
     sp = specs.spec(specs.ORDERS)
     bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     current: dict[str, str | None] = {}
-    for part, ts in zip(_order_loads(spark, sf_dir), ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")):
+    for part, ts in zip(_order_loads(spark, sf_dir), TWO_LOADS):
         text = write_landing(part, scratch_path(spark, "landing"))
-        current = ingest(spark, sp, text, ts, bronze, root, current,
-                         only="orders_main, order_lines").versions
-    return ntz(spark.read.parquet(current["orders_main"]).select(*nesting.ORDER_FIELDS))
+        current = ingest(spark, sp, text, ts, bronze, root, current, only="orders_main, order_lines",
+                         partition_by={"order_lines": ["l_linenumber"]}).versions
+    return _main_with_lines(spark.read.parquet(current["orders_main"]), read_partitioned(spark, current["order_lines"]))
+
+
+def q_ingest_rerun(spark, sf_dir):
+    """One load ingested twice with the same load time: as if once, in bronze and in silver."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    text = write_landing(landed(spark, sf_dir, "fx-o"), scratch_path(spark, "landing"))
+    run = None
+    for _ in range(2):
+        run = ingest(spark, sp, text, LOAD_TS, bronze, root, run.versions if run else None, only="orders_main")
+    stored = read_bronze(spark, bronze).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    return _main_cols(spark.read.parquet(run.versions["orders_main"])).join(stored, how="cross")
 
 
 def q_backfill_rebuild(spark, sf_dir):
     """Rebuild one table from the bronze rows of one load-time range."""
     sp = specs.spec(specs.ORDERS)
     bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    for part, ts in zip(_order_loads(spark, sf_dir), ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")):
+    for part, ts in zip(_order_loads(spark, sf_dir), TWO_LOADS):
         append_bronze(in_memory_bronze(part, ts, "orders"), bronze)
     run = backfill(spark, sp, bronze, "2024-02-02T00:00:00Z", "2024-02-02T23:59:59Z", root,
                    only="order_lines")
     return ntz(spark.read.parquet(run.versions["order_lines"]))
 
 
+def q_backfill_two_loads(spark, sf_dir):
+    """Rebuild over two loads of changed records: the last load of each record wins."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    for part, ts in zip(_order_loads(spark, sf_dir), TWO_LOADS):
+        append_bronze(in_memory_bronze(part, ts, "orders"), bronze)
+    run = backfill(spark, sp, bronze, *TWO_LOADS, root, only="orders_main, order_lines")
+    return _main_with_lines(*[spark.read.parquet(run.versions[t]) for t in ("orders_main", "order_lines")])
+
+
+def q_quarantine(spark, sf_dir):
+    """A load of which every tenth line is cut short: the rest loads, the cut lines are set aside."""
+    sp = specs.spec(specs.EVENTS)
+    recs = nesting.event_records(spark, sf_dir)
+    event = F.get_json_object("raw_json", "$.event_id").cast("long")
+    cut = recs.withColumn("raw_json", F.when(event % 10 == 0, F.expr("left(raw_json, length(raw_json) - 5)"))
+                          .otherwise(F.col("raw_json")))
+    text = write_landing(cut, scratch_path(spark, "landing"))
+    run = ingest(spark, specs.spec({**specs.EVENTS, "full_schema": EVENT_SHAPE}), text, LOAD_TS,
+                 scratch_path(spark, "bronze"), scratch_path(spark, "silver"), only=sp.main_table)
+    bad = spark.read.parquet(run.quarantine)
+    return (spark.read.parquet(run.versions[sp.main_table]).select("event_id", F.lit("loaded").alias("outcome"))
+            .unionByName(bad.select(F.regexp_extract("raw_json", r'"event_id":(\d+)', 1).cast("long").alias("event_id"),
+                                    F.col("reason").alias("outcome"))))
+
+
+def q_landing_gate(spark, sf_dir):
+    """A landing with one window, pages, records and totals lost, and one page landed twice."""
+    env = _envelopes(spark, sf_dir)
+    page, day = F.col("page"), F.to_date("window_start")
+    w0, w1, w4 = (day == F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-08", "2024-01-29"))
+    kept = env.filter(~w1 & ~(w0 & (page == 2)))
+    body = (F.when(w0 & (page == 3), F.regexp_replace("body", r'(?s)"events":.*', '"events":[]}'))
+            .when(w0 & (page == 4), F.expr("left(body, length(body) - 3)"))
+            .when(w4, F.regexp_replace("body", r'"totalHits":\d+,', "")).otherwise(F.col("body")))
+    hurt = kept.withColumn("body", body)
+    hurt = hurt.unionByName(hurt.filter(w0 & (page == 5)))
+    return ntz(landing.gate(hurt, specs.spec(specs.EVENTS)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_declared": q_parse_declared,
     "parse_inferred": q_parse_inferred,
@@ -445,9 +527,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_main": q_upsert_main,
     "upsert_child": q_upsert_child,
     "upsert_partitioned": q_upsert_partitioned,
+    "upsert_partitioned_null": q_upsert_partitioned_null,
     "upsert_null_key": q_upsert_null_key,
     "merge_conflicts": q_merge_conflicts,
     "silver_summary": q_silver_summary,
     "incremental_run": q_incremental_run,
     "backfill_rebuild": q_backfill_rebuild,
+    "backfill_two_loads": q_backfill_two_loads,
+    "ingest_rerun": q_ingest_rerun,
+    "quarantine": q_quarantine,
+    "landing_gate": q_landing_gate,
+    "preview": q_preview,
 }

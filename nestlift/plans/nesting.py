@@ -5,12 +5,8 @@ data is flat, so every query first nests flat rows into records, then runs
 the operator under test; the oracle reads the flat tables, so nesting and
 unnesting must give the flat rows back.
 
-``nest`` keeps records near ``max_per_record`` children: a parent with
-more children is emitted as several records of the same parent (the way a
-paged source splits a long list), hash-balanced so each holds about
-``max_per_record`` on average, so no single key, however hot, becomes one
-huge array or one task. Normal parents (fewer children) give exactly one
-record.
+A parent is one record, whatever the number of its children: a JSON record is
+one value, so its size is the fixture's, not something to cut by row counts.
 """
 
 from __future__ import annotations
@@ -20,45 +16,23 @@ from pyspark.sql import functions as F
 
 from ..functions.json import to_json_text
 
-MAX_PER_RECORD = 1000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nest(parent: DataFrame, child: DataFrame, keys: list[str], field: str,
-         elements: list[Column] | None = None, max_per_record: int = MAX_PER_RECORD,
-         scalar: Column | None = None) -> DataFrame:
+         elements: list[Column] | None = None, scalar: Column | None = None) -> DataFrame:
     """Parent rows plus ``field``: the matching child rows as an array.
 
     Elements are ``struct(*elements)`` (default: all non-key child columns),
     or the single ``scalar`` expression. Parents without children keep a
     NULL ``field`` (dropped from JSON text, i.e. the key is absent).
-
-    Plan: children are counted per key (map-side partial count), the count
-    is joined 1:1 to the parent, then each child row picks a chunk
-    ``pmod(xxhash64(row), ceil(n / max_per_record))``. Rows are shuffled on
-    (key, chunk), so a hot parent spreads over many tasks, and collected.
     """
     elems = elements or [F.col(c) for c in child.columns if c not in keys]
     value = scalar if scalar is not None else F.struct(*elems)
-    counts = child.groupBy(*keys).agg(F.count(F.lit(1)).alias("__nl_n"))
-    pc = parent.join(counts, keys, "left")
-    pcols = [c for c in parent.columns if c not in keys]
-    rows = child.join(pc, keys).withColumn("__nl_v", value)
-    rows = rows.withColumn(
-        "__nl_chunk",
-        F.pmod(F.xxhash64(F.col("__nl_v")), F.ceil(F.col("__nl_n") / F.lit(max_per_record))),
-    )
-    packed = (rows.repartition(*keys, "__nl_chunk")
-              .groupBy(*keys, "__nl_chunk")
-              .agg(*[F.first(c).alias(c) for c in pcols], F.collect_list("__nl_v").alias(field))
-              .drop("__nl_chunk"))
-    lonely = pc.filter(F.col("__nl_n").isNull()).drop("__nl_n").withColumn(
-        field, F.lit(None).cast(packed.schema[field].dataType))
-    cols = [F.col(f"`{c}`") for c in parent.columns] + [F.col(field)]
-    return packed.select(*cols).unionByName(lonely.select(*cols))
+    packed = child.groupBy(*keys).agg(F.collect_list(value).alias(field))
+    return parent.join(packed, keys, "left").select(*[F.col(f"`{c}`") for c in parent.columns], F.col(field))
 
 
 def as_records(df: DataFrame) -> DataFrame:
@@ -88,35 +62,35 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------- FX-C / FX-N
-# The per-line metrics of the three-level fixture, in order.
-METRICS = ("quantity", "extendedprice", "discount", "tax")
+def line_prices() -> Column:
+    """A line's prices, from its own columns: listed, after discount, after tax."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    steps = (F.col("l_extendedprice"), net, net * (1 + F.col("l_tax")))
+    return F.array(*[F.struct(F.lit(i).alias("step"), F.col("l_returnflag").alias("flag"), c.alias("price"))
+                     for i, c in enumerate(steps)])
 
 
-def customer_rows(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
-    """Customer + ``orders[]`` + ``lines[]`` (+ ``metrics[]`` per line).
+def customer_rows(spark: SparkSession, sf_dir: str, prices: bool = True) -> DataFrame:
+    """Customer + ``orders[]`` + ``lines[]`` (+ ``prices[]`` per line).
 
-    ``metrics`` is a fixed 4-element array of ``(emitDate, name, value)``
-    built from one line's own columns (no grouping), making the path
-    orders -> lines -> metrics three levels deep.
+    ``prices`` is a fixed array built from one line's own columns (no
+    grouping), making the path orders -> lines -> prices three levels deep.
     """
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                   "c_acctbal", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").select(*ORDER_FIELDS)
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), *LINE_FIELDS)
     line_elems = [F.col(c) for c in LINE_FIELDS]
-    if metrics:
-        line_elems.append(F.array(*[
-            F.struct(F.col("l_shipdate").alias("emitDate"), F.lit(m).alias("name"),
-                     F.col(f"l_{m}").alias("value"))
-            for m in METRICS]).alias("metrics"))
+    if prices:
+        line_elems.append(line_prices().alias("prices"))
     orders_nested = nest(orders, li, ["o_orderkey"], "lines", elements=line_elems)
     o = orders_nested.withColumnRenamed("o_custkey", "c_custkey")
     order_elems = [F.col(c) for c in o.columns if c != "c_custkey"]
     return nest(cust, o, ["c_custkey"], "orders", elements=order_elems)
 
 
-def customer_records(spark: SparkSession, sf_dir: str, metrics: bool = True) -> DataFrame:
-    return as_records(customer_rows(spark, sf_dir, metrics))
+def customer_records(spark: SparkSession, sf_dir: str, prices: bool = True) -> DataFrame:
+    return as_records(customer_rows(spark, sf_dir, prices))
 
 
 # ----------------------------------------------------------------- FX-V
@@ -144,8 +118,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str, start: str, end: str, days
     ``(window_start, page, body)`` with body ``{"totalHits": n, "<data_key>": [...]}``.
     Window ``w`` has ``n_w`` events and ``ceil(n_w / page_size)`` pages; event
     ``e`` sits on page ``1 + e.event_id mod pages(w)``, so pages hold about
-    ``page_size`` records each however large the window. The per-window
-    counts (one row per window of the date range) are broadcast.
+    ``page_size`` records each however large the window.
     """
     from ..sources.landing import _bounds, date_windows, window_index
     from ..spec import ts_lit
@@ -158,7 +131,7 @@ def event_envelopes(spark: SparkSession, sf_dir: str, start: str, end: str, days
     wins = date_windows(spark, s, e, days).join(wc, "window")
     npages = F.greatest(F.ceil(F.col("__nl_hits") / F.lit(page_size)), F.lit(1))
     rec = F.struct("event_id", "ts", "user_id", "event_type", "value", "props")
-    paged = (ev.join(F.broadcast(wins), "window")
+    paged = (ev.join(wins, "window")
              .withColumn("page", (F.pmod(F.col("event_id"), npages) + 1).cast("int"))
              .groupBy("window_start", "page")
              .agg(F.max("__nl_hits").alias(pages_key), F.collect_list(rec).alias(data_key)))

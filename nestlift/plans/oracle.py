@@ -20,9 +20,17 @@ _WINDOWED = f"""
   p AS (SELECT w, TIMESTAMP '2024-01-01' + w * INTERVAL 7 DAY AS window_start, hits,
                greatest(CAST(ceil(hits / 100.0) AS BIGINT), 1) AS npages FROM h)"""
 
-_METRICS = " UNION ALL ".join(
-    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, '{m}' AS name, "
-    f"l_{m} AS value FROM lineitem" for m in ("quantity", "extendedprice", "discount", "tax"))
+_PRICES = " UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {i} AS step, l_returnflag AS flag, {e} AS price FROM lineitem"
+    for i, e in enumerate(("l_extendedprice", "l_extendedprice * (1 - l_discount)",
+                           "l_extendedprice * (1 - l_discount) * (1 + l_tax)")))
+
+# two loads of orders, the second (from 1998 on) with twice the price and one more of each line
+_TWO_LOADS = """SELECT o.o_orderkey,
+    CASE WHEN o.o_orderdate >= TIMESTAMP '1998-01-01' THEN o.o_totalprice * 2 ELSE o.o_totalprice END AS o_totalprice,
+    CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate,
+    CASE WHEN o.o_orderdate >= TIMESTAMP '1998-01-01' THEN l.l_quantity + 1 ELSE l.l_quantity END AS l_quantity
+  FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey"""
 
 ORACLE: dict[str, str] = {
     "parse_declared": f"SELECT {_ORDER_COLS} FROM orders",
@@ -54,8 +62,8 @@ ORACLE: dict[str, str] = {
   ('orders_main', 'partkeys', 'extra', NULL, 'array<bigint>'))
   AS t("table", "column", kind, declared, actual)""",
     "schema_drift_nested": """SELECT * FROM (VALUES
-  ('customer_order_lines', 'metrics', 'extra', CAST(NULL AS VARCHAR),
-   'array<struct<emitDate:string,name:string,value:double>>'))
+  ('customer_order_lines', 'prices', 'extra', CAST(NULL AS VARCHAR),
+   'array<struct<flag:string,price:double,step:bigint>>'))
   AS t("table", "column", kind, declared, actual)""",
     "unnest_1": f"SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l",
     "unnest_scalar": "SELECT l_orderkey AS o_orderkey, l_partkey AS partkeys_exploded FROM lineitem",
@@ -66,8 +74,8 @@ ORACLE: dict[str, str] = {
   JOIN customer c ON c.c_custkey = o.o_custkey""",
     "unnest_3": f"""SELECT c.c_custkey, m.l_orderkey AS o_orderkey,
   CAST(m.l_linenumber AS BIGINT) AS l_linenumber, m.l_partkey, m.l_suppkey,
-  m.l_shipdate AS "emitDate", m.name, m.value
-  FROM ({_METRICS}) m JOIN orders o ON o.o_orderkey = m.l_orderkey
+  CAST(m.step AS BIGINT) AS step, m.flag, m.price
+  FROM ({_PRICES}) m JOIN orders o ON o.o_orderkey = m.l_orderkey
   JOIN customer c ON c.c_custkey = o.o_custkey""",
     "unnest_text": "SELECT conv_id, turn, role, text FROM conversations",
     "parse_string_column": """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
@@ -81,7 +89,7 @@ ORACLE: dict[str, str] = {
     JOIN customer c ON c.c_custkey = o.o_custkey
   UNION ALL SELECT 'customer_order_lines', count(*), 12 FROM lineitem l
     JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
-  UNION ALL SELECT 'customer_order_line_metrics', 4 * count(*), 8 FROM lineitem l
+  UNION ALL SELECT 'customer_order_line_prices', 3 * count(*), 8 FROM lineitem l
     JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey""",
     "window_coverage": f"""WITH w AS (
     SELECT i AS "window", TIMESTAMP '2024-01-01' + i * INTERVAL 7 DAY AS window_start,
@@ -120,7 +128,7 @@ ORACLE: dict[str, str] = {
     "backfill_filter": """SELECT event_id FROM events
   WHERE ts BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-14 23:59:59.999999'""",
     "backfill_no_column": "SELECT event_id FROM events",
-    "upsert_create": f"SELECT {_ORDER_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'",
+    "upsert_create": f"SELECT {_ORDER_COLS} FROM orders",
     "upsert_main": f"""WITH t AS (SELECT {_ORDER_COLS} FROM orders
     WHERE o_orderdate < TIMESTAMP '1999-01-01'),
   s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice,
@@ -157,10 +165,40 @@ ORACLE: dict[str, str] = {
     WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1, 2 HAVING count(*) > 1)
   SELECT * FROM d WHERE EXISTS (SELECT 1 FROM li t WHERE t.l_shipdate < TIMESTAMP '1999-01-01'
     AND t.o_orderkey = d.o_orderkey AND t.l_linenumber = d.l_linenumber)""",
-    "incremental_run": f"SELECT {_ORDER_COLS} FROM orders",
-    "backfill_rebuild": f"""SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS}
+    "upsert_partitioned_null": f"""WITH o AS (SELECT {_ORDER_COLS},
+      CASE WHEN o_custkey % 7 <> 0 THEN o_custkey % 1201 END AS bucket FROM orders),
+  t AS (SELECT * FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+  s AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM o WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+  SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+  UNION ALL SELECT * FROM s""",
+    "incremental_run": _TWO_LOADS,
+    "backfill_two_loads": _TWO_LOADS,
+    "ingest_rerun": f"SELECT {_ORDER_COLS}, (SELECT count(*) FROM orders) AS bronze_rows FROM orders",
+    "quarantine": """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'malformed' ELSE 'loaded' END AS outcome
+  FROM events""",
+    "preview": """SELECT 'orders_main' AS "table", least(10, count(*)) AS rows FROM orders
+  UNION ALL SELECT 'order_lines', least(10, count(*)) FROM lineitem""",
+    "landing_gate": f"""WITH {_WINDOWED},
+  r AS (SELECT p.w, CAST(1 + e.event_id % p.npages AS INTEGER) AS page, count(*) AS n
+        FROM e JOIN p ON p.w = e.w GROUP BY 1, 2),
+  x AS (SELECT p.w, p.window_start, p.hits, CAST(g.page AS INTEGER) AS page FROM p, generate_series(1, p.npages) g(page)
+        WHERE p.w <> 1),
+  y AS (SELECT x.*, CASE WHEN x.w = 0 AND x.page = 2 THEN 'missing' WHEN x.w = 0 AND x.page = 3 THEN 'empty'
+      WHEN x.w = 0 AND x.page = 4 THEN 'corrupt' WHEN x.w = 0 AND x.page = 5 THEN 'duplicate'
+      WHEN x.w = 4 THEN 'no_total' ELSE 'received' END AS status, coalesce(r.n, 0) AS n
+    FROM x LEFT JOIN r ON r.w = x.w AND r.page = x.page),
+  z AS (SELECT *, CASE WHEN status IN ('missing', 'empty', 'corrupt') THEN 0
+      WHEN status = 'duplicate' THEN 2 * n ELSE n END AS records FROM y)
+  SELECT window_start, page, status, records, CAST(sum(records) OVER (PARTITION BY w) AS BIGINT) AS received,
+    CASE WHEN w <> 4 THEN hits END AS hits FROM z
+  UNION ALL SELECT TIMESTAMP '2024-01-08', NULL, 'missing_window', 0, 0, NULL""",
+    "backfill_rebuild": f"""SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS.replace("l.l_quantity", "l.l_quantity + 1 AS l_quantity")}
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
   WHERE o.o_orderdate >= TIMESTAMP '1998-01-01'""",
-    "silver_summary": """SELECT 'orders_main' AS "table", count(*) AS rows, 8 AS cols FROM orders
-  UNION ALL SELECT 'order_lines', count(*), 11 FROM lineitem""",
+    "silver_summary": """SELECT 'orders_main' AS "table", count(*) AS rows, 8 AS cols,
+    'struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp,'
+    || 'o_orderpriority:string,lines:string,partkeys:string>' AS schema FROM orders
+  UNION ALL SELECT 'order_lines', count(*), 11, 'struct<o_orderkey:bigint,l_linenumber:bigint,l_partkey:bigint,'
+    || 'l_suppkey:bigint,l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double,'
+    || 'l_returnflag:string,l_linestatus:string,l_shipdate:timestamp>' FROM lineitem""",
 }

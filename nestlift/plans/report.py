@@ -29,7 +29,7 @@ def summary(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     counts = table_counts(frames)
     schemas = spark.createDataFrame([(n, df.schema.simpleString()) for n, df in frames.items()],
                                     "table STRING, schema STRING")
-    return counts.join(F.broadcast(schemas), "table")
+    return counts.join(schemas, "table")
 
 
 def preview(spark: SparkSession, paths: Mapping[str, str], n: int = 10) -> DataFrame:

@@ -7,8 +7,9 @@
 Silver storage is either catalog tables (``upsert_all_tables``: in-place
 MERGE where the format supports it, else a staged swap) or Parquet version
 paths (``upsert_all``: each run writes ``<root>/<table>/<version>`` and
-returns the new path per table; the caller keeps that mapping). Tables are
-written one after another; there is no cross-table atomicity.
+returns the new path per table; the caller keeps that mapping). All tables are
+staged and checked for conflicts before the first one is changed; the changes
+themselves follow one after another.
 """
 
 from __future__ import annotations
@@ -21,11 +22,10 @@ from typing import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.backfill import load_window
-from ..operators.upsert import upsert_partitioned, upsert_path, upsert_table
-from ..session import scratch_path
+from ..operators.backfill import latest_by, load_window
+from ..operators.upsert import stage_partitioned, stage_table, upsert_path
 from ..sources import landing
-from ..sources.bronze import annotate, append_bronze, bronze_from_text, read_bronze
+from ..sources.bronze import annotate, append_bronze, batch_id, bronze_from_text, read_bronze
 from ..spec import JobSpec
 from .silver import SilverResult, silver_tables
 
@@ -39,46 +39,67 @@ def table_keys(spec: JobSpec, table: str) -> list[str]:
 def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
                current: Mapping[str, str | None], root: str, null_safe: bool = False,
                check: bool = True, rows: dict[str, int] | None = None,
-               allow_new_columns: bool = False) -> dict[str, str]:
-    """Upsert each table into a new Parquet version; returns ``{table: path}``.
-
-    Tables not produced this run keep their current version. When ``rows``
-    is given it receives the number of rows upserted per table, counted by
+               allow_new_columns: bool = False,
+               partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+    """Upsert each table under ``root``; returns ``{table: path}``.
+
+    A table gets a new Parquet version per run (the mapping returned is the
+    publication: a conflict in any table raises before it exists). Tables named
+    in ``partition_by`` live at ``<root>/<table>`` instead, and only the
+    partitions a run touches are rewritten, after every table was staged.
+    Tables not produced this run keep their current version. When ``rows`` is
+    given it receives the number of rows upserted per table, counted by
     ``observe`` inside the write job itself (no extra pass over the data).
     """
     out = {k: v for k, v in current.items() if v}
+    publish, counted = [], {}
     for name, df in tables.items():
-        path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
         obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
-        counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        out[name] = upsert_path(spark, current.get(name), counted, table_keys(spec, name), path,
-                                null_safe=null_safe, check=check,
-                                allow_new_columns=allow_new_columns)
-        if rows is not None:
-            rows[name] = int(obs.get.get("rows", 0))
+        cols = (partition_by or {}).get(name)
+        if cols:
+            path = f"{root.rstrip('/')}/{name}"
+            publish.append(stage_partitioned(spark, path, df, table_keys(spec, name), cols, exists=bool(current.get(name)),
+                                             null_safe=null_safe, check=check, allow_new_columns=allow_new_columns, rows=obs))
+            out[name] = path
+        else:
+            path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+            out[name] = upsert_path(spark, current.get(name), df, table_keys(spec, name), path, null_safe=null_safe,
+                                    check=check, allow_new_columns=allow_new_columns, rows=obs)
+        counted[name] = int(obs.get.get("rows", 0))
+    for step in publish:
+        step()
+    if rows is not None:
+        rows.update(counted)
     return out
 
 
 def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
                       null_safe: bool = False, check: bool = True,
-                      partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+                      partition_by: Mapping[str, list[str]] | None = None,
+                      rows: dict[str, int] | None = None) -> dict[str, str]:
     """Upsert each table into the catalog table ``silver_schema.table``.
 
-    Tables named in ``partition_by`` are kept partitioned by those columns
-    (which must be fixed per key) and only the touched partitions are
-    rewritten; the others are merged in place where the format allows it,
-    else swapped whole.
+    First every table is staged and its conflicts are checked; only then are
+    the tables changed, one after another. So a conflict in any of them leaves
+    all as they were. Tables named in ``partition_by`` are kept partitioned by
+    those columns (fixed per key, checked) and only the touched partitions are
+    rewritten; the others are merged in place where the format allows it, else
+    swapped whole.
     """
-    out = {}
+    steps, counted = {}, {}
     for name, df in tables.items():
         qualified, keys = spec.qualified(name), table_keys(spec, name)
         cols = (partition_by or {}).get(name)
+        obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
         if cols:
-            out[name] = upsert_partitioned(spark, qualified, df, keys, cols, null_safe=null_safe,
-                                           check=check, as_table=True,
-                                           scratch=scratch_path(spark, "merge"))
+            steps[name] = stage_partitioned(spark, qualified, df, keys, cols, null_safe=null_safe, check=check,
+                                            as_table=True, rows=obs)
         else:
-            out[name] = upsert_table(spark, qualified, df, keys, null_safe=null_safe, check=check)
+            steps[name] = stage_table(spark, qualified, df, keys, null_safe=null_safe, check=check, rows=obs)
+        counted[name] = obs
+    out = {name: step() for name, step in steps.items()}
+    if rows is not None:
+        rows.update({name: int(obs.get.get("rows", 0)) for name, obs in counted.items()})
     return out
 
 
@@ -87,61 +108,77 @@ class RunResult:
     silver: SilverResult
     versions: dict[str, str]
     rows: dict[str, int]
+    quarantined: int = 0
+    quarantine: str | None = None
+
+
+def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str, batch: int,
+         current: Mapping[str, str | None] | None, only: str | None, catalog: bool,
+         partition_by: Mapping[str, list[str]] | None) -> RunResult:
+    """Silver tables of ``bronze``, bad records set aside, everything upserted, scratch removed."""
+    res = silver_tables(bronze, spec, only=only, quarantine=True)
+    try:
+        bad = f"{silver_root.rstrip('/')}/_quarantine/batch={batch}"
+        obs = Observation(f"quarantine_{uuid.uuid4().hex[:12]}")
+        res.quarantine.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(bad)
+        rows: dict[str, int] = {}
+        if catalog:
+            versions = upsert_all_tables(spark, spec, res.tables, partition_by=partition_by, rows=rows)
+        else:
+            versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows, partition_by=partition_by)
+    finally:
+        res.release()
+    return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad)
 
 
 def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime | str,
            bronze_target: str, silver_root: str, current: Mapping[str, str | None] | None = None,
-           only: str | None = None) -> RunResult:
-    """One incremental run: append the landed text to bronze, then upsert silver.
-
-    The silver input is this load's bronze rows read back by their single
-    literal load time, so bronze and silver agree on what was loaded.
+           only: str | None = None, catalog: bool = False,
+           partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
+    """One incremental run: the landed text goes to bronze, then silver is upserted.
+
+    The load's rows are their own bronze partition, so running the same load
+    time again (after a failure, say) replaces them. The silver input is this
+    load's bronze rows read back by their single literal load time, so bronze
+    and silver agree on what was loaded. Malformed texts and records without
+    the main key are written to ``RunResult.quarantine`` and counted.
     """
-    append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target)
+    append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target, batch=batch_id(load_ts))
     batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
-    res = silver_tables(batch, spec, only=only)
-    rows: dict[str, int] = {}
-    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
-    return RunResult(res, versions, rows)
+    return _run(spark, spec, batch, silver_root, batch_id(load_ts), current, only, catalog, partition_by)
 
 
 def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: datetime | str,
              end: datetime | str, silver_root: str,
-             current: Mapping[str, str | None] | None = None, only: str | None = None) -> RunResult:
-    """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``."""
-    bronze = load_window(read_bronze(spark, bronze_target), start, end)
-    res = silver_tables(bronze, spec, only=only)
-    rows: dict[str, int] = {}
-    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
-    return RunResult(res, versions, rows)
+             current: Mapping[str, str | None] | None = None, only: str | None = None,
+             catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
+    """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's loads the last counts."""
+    bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
+    return _run(spark, spec, bronze, silver_root, batch_id(end), current, only, catalog, partition_by)
 
 
 class IncompleteLanding(RuntimeError):
-    """Expected pages never landed; loading now would silently lose records."""
+    """The landing is not what the source announced; loading now would silently lose or repeat records."""
 
 
 def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_ts: datetime | str,
                  bronze_target: str, silver_root: str,
                  current: Mapping[str, str | None] | None = None, only: str | None = None,
-                 require_complete: bool = True, source: str = "pages") -> RunResult:
+                 require_complete: bool = True, source: str = "pages", catalog: bool = False,
+                 partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
     """One run from landed page responses (``window_start, page, body``).
 
-    The page report (expected pages from each window's hit total vs landed
-    pages) gates the load: with ``require_complete`` a missing page raises
-    ``IncompleteLanding`` before anything is appended. Then the envelopes
-    are flattened to records, appended to bronze, and silver is upserted.
+    ``landing.gate`` compares what landed with the spec's request windows (if it
+    has a date range) and with each window's hit total. With ``require_complete``
+    anything but received pages raises ``IncompleteLanding`` before anything is
+    loaded. Then the envelopes are flattened to records and loaded as a run.
     """
     if require_complete:
-        report = landing.page_report(envelopes, spec.data_key, spec.pages_key, spec.page_size)
-        missing = report.filter("status = 'missing'")
-        if not missing.isEmpty():
-            n = missing.count()
-            sample = [tuple(r) for r in missing.limit(5).collect()]
-            raise IncompleteLanding(f"{n} expected pages did not land, e.g. {sample}")
+        bad = landing.gate(envelopes, spec).where("status <> 'received'")
+        sample = [tuple(r) for r in bad.limit(5).collect()]
+        if sample:
+            raise IncompleteLanding(f"pages or windows did not land as announced, e.g. {sample}")
     recs = landing.records(envelopes, spec.data_key)
-    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target)
+    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target, batch=batch_id(load_ts))
     batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
-    res = silver_tables(batch, spec, only=only)
-    rows: dict[str, int] = {}
-    versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows)
-    return RunResult(res, versions, rows)
+    return _run(spark, spec, batch, silver_root, batch_id(load_ts), current, only, catalog, partition_by)

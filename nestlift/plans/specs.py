@@ -65,7 +65,7 @@ ORDERS = {
     },
 }
 
-METRIC_SCHEMA = {"emitDate": "timestamp", "name": "string", "value": "double"}
+PRICE_SCHEMA = {"step": "int", "flag": "string", "price": "double"}
 
 CUSTOMERS = {
     "main_table_name": "customers_main",
@@ -95,12 +95,12 @@ CUSTOMERS = {
             "data_schema": LINE_SCHEMA,
         },
         {
-            "unnested_to_table": "customer_order_line_metrics",
+            "unnested_to_table": "customer_order_line_prices",
             "parent_key": {"c_custkey": "int", "o_orderkey": "int", "l_linenumber": "int",
                            "l_partkey": "int", "l_suppkey": "int"},
-            "unnested_to_table_key": ["emitDate", "name"],
-            "unnested_column": ["orders", "lines", "metrics"],
-            "data_schema": METRIC_SCHEMA,
+            "unnested_to_table_key": ["step"],
+            "unnested_column": ["orders", "lines", "prices"],
+            "data_schema": PRICE_SCHEMA,
         },
     ],
     "full_schema": {
@@ -109,8 +109,7 @@ CUSTOMERS = {
         "orders": [{
             "o_orderkey": "BIGINT", "o_orderstatus": "STRING", "o_totalprice": "DOUBLE",
             "o_orderdate": "TIMESTAMP", "o_orderpriority": "STRING",
-            "lines": [dict(LINE_SHAPE, metrics=[{"emitDate": "TIMESTAMP", "name": "STRING",
-                                                  "value": "DOUBLE"}])],
+            "lines": [dict(LINE_SHAPE, prices=[{"step": "INT", "flag": "STRING", "price": "DOUBLE"}])],
         }],
     },
 }

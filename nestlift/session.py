@@ -46,6 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     loss of that machine.
     """
     conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
     d = conf.get("spark.checkpoint.dir", None)
     if not d:
         try:
@@ -55,7 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage (HDFS/S3/...): "
                                "scratch data must survive the loss of any single machine")
         d = tempfile.mkdtemp(prefix="nestlift-checkpoint-")
@@ -68,22 +69,57 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/nestlift/{kind}/{uuid.uuid4().hex}"
 
 
-def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the Hadoop file system it lives on."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file's content, or None if it is not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+
+
+MAX_SHUFFLE_PARTITIONS = 40_000
+
+
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20,
+                 shuffled_share: float = 0.3) -> dict[str, str]:
     """Settings for a cluster run sized to the input.
 
-    Shuffle partitions are chosen so each holds about ``partition_bytes``
-    of input (never fewer than 2 per core), which keeps a task's shuffle
-    block well inside executor memory; AQE then coalesces small ones and
-    splits skewed ones at run time. Scans split files at the same size.
+    Scans split files at ``partition_bytes``. Shuffle partitions follow the
+    bytes that are shuffled (``shuffled_share`` of the input: keys and pruned
+    columns), about 1 GB each, at least 2 per core and at most
+    ``MAX_SHUFFLE_PARTITIONS``: the driver keeps a map status per map task and
+    partition, so beyond that partitions grow (and spill) rather than multiply.
+    AQE coalesces small ones and splits skewed ones at run time.
     """
-    parts = max(2 * cores, -(-input_bytes // partition_bytes))
-    size = f"{partition_bytes // (1 << 20)}m"
+    shuffled = int(input_bytes * shuffled_share)
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-shuffled // (1 << 30))))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.files.maxPartitionBytes": f"{partition_bytes // (1 << 20)}m",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_bytes // (1 << 20)}m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import ts_lit
+from ..spec import parse_instant, ts_lit
 
 BRONZE_SCHEMA = T.StructType([
     T.StructField("raw_json", T.StringType()),
@@ -54,16 +55,23 @@ def bronze_from_text(spark: SparkSession, path: str, load_ts: datetime | str,
 BATCH = "load_batch"
 
 
+def batch_id(load_ts: datetime | str) -> int:
+    """The batch of a run: its load time in microseconds, so a repeated run has the same one."""
+    t = parse_instant(load_ts) if isinstance(load_ts, str) else load_ts
+    return int((t.replace(tzinfo=None) - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+
+
 def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table: bool = False,
                   batch: int | None = None) -> None:
     """Append bronze rows, partitioned by load date, to a path or a catalog table.
 
     ``mode="overwrite"`` is the full-refresh variant. The three-column shape
-    is enforced; no schema merging. With ``batch`` (a streaming batch id)
-    the rows go to their own ``load_date/load_batch`` partition, replaced
-    with dynamic partition overwrite, so a replayed batch rewrites its rows
-    instead of adding them twice. A bronze location is written either by
-    batch runs or by one stream, not both (the partition depth differs).
+    is enforced; no schema merging. With ``batch`` (a streaming batch id, or
+    ``batch_id`` of a run's load time) the rows go to their own
+    ``load_date/load_batch`` partition, replaced with dynamic partition
+    overwrite, so a replayed batch or a repeated run rewrites its rows instead
+    of adding them twice. Either every write to a location names its batch or
+    none does (the partition depth differs); runs and streams do.
     """
     rows = bronze.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMA.fields])
     rows = rows.withColumn(PARTITION, F.to_date("load_timestamp"))
@@ -95,8 +103,10 @@ def exists(spark: SparkSession, target: str, as_table: bool = False) -> bool:
     try:
         spark.read.parquet(target).schema  # noqa: B018 - metadata only, no job
         return True
-    except Exception:  # noqa: BLE001 - a missing path raises AnalysisException
-        return False
+    except AnalysisException as e:      # only absence: a refused or broken path is an error
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def in_memory_bronze(records: DataFrame, load_ts: datetime | str, source: str) -> DataFrame:

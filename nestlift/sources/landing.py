@@ -10,6 +10,7 @@ The envelope frame carries the page's coordinates as columns:
 * ``window_coverage``  records per window, empty windows, records in the holes (S1)
 * ``expected_pages``   pages each window should have, from its hit total (S2)
 * ``page_report``      expected vs landed pages: missing, received, unexpected (S8)
+* ``gate``             windows and pages against the request range: anything not as announced (S1, S2, S8)
 
 Every input is a distributed frame; only window/page *counts* (bounded by
 the date range and page size) are ever small.
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..spec import parse_instant, ts_lit
+from ..spec import JobSpec, parse_instant, ts_lit
 
 DAY_US = 86_400 * 1_000_000
 
@@ -88,7 +89,7 @@ def window_coverage(recs: DataFrame, ts_col: str, start: datetime | str, end: da
     range; ``in_gap`` counts records after the window's closed end
     (``next start - 1 s``) that a closed-window fetch would have missed.
     Empty windows appear with 0. One partial aggregate over the records;
-    the per-window rows (bounded by the range) are broadcast.
+    the per-window rows (bounded by the range) are joined.
     """
     s, e = _bounds(start, end)
     spark = recs.sparkSession
@@ -104,7 +105,7 @@ def window_coverage(recs: DataFrame, ts_col: str, start: datetime | str, end: da
               .groupBy("window")
               .agg(F.count(F.lit(1)).alias("records"),
                    F.count_if(F.col("__nl_gap")).alias("in_gap")))
-    return (wins.join(F.broadcast(counts), "window", "left")
+    return (wins.join(counts, "window", "left")
             .select("window", "window_start", "window_end",
                     F.coalesce("records", F.lit(0)).alias("records"),
                     F.coalesce("in_gap", F.lit(0)).alias("in_gap")))
@@ -164,3 +165,65 @@ def page_report(envelopes: DataFrame, data_key: str, pages_key: str, page_size:
               .otherwise(F.lit("received")))
     return j.select(window, "page", status.alias("status"),
                     F.coalesce(F.col("__nl_n"), F.lit(0)).cast("bigint").alias("records"))
+
+
+def gate(envelopes: DataFrame, spec: JobSpec, body: str = "body", window: str = "window_start") -> DataFrame:
+    """What landed against what was announced: ``(window, page, status, records, received, hits)``.
+
+    One row per expected or landed page, and one (page NULL) per request window
+    of the spec's date range of which nothing landed. Statuses:
+
+    * ``received``        landed once, with records (or an empty window's page 1)
+    * ``missing_window``  no page of the window landed
+    * ``missing``         the window's hit total calls for the page, which never landed
+    * ``empty``           it landed without records although the total calls for some
+    * ``corrupt``         its text is not a JSON object with the record array
+    * ``no_total``        it landed without a hit total, and no page of its window has one
+    * ``duplicate``       it landed more than once
+    * ``unexpected``      it is beyond the hit total, or outside the request windows
+    * ``short``           all pages landed, but with fewer records than hits (on the last page)
+
+    ``received`` and ``hits`` are the window's. Each envelope is parsed once, into
+    a few numbers; what follows works on one row per page.
+    """
+    st = T.StructType([T.StructField(spec.pages_key, T.LongType()),
+                       T.StructField(spec.data_key, T.ArrayType(T.StringType())),
+                       T.StructField("__nl_bad", T.StringType())])
+    rec = F.from_json(F.col(body), st, {"columnNameOfCorruptRecord": "__nl_bad"})
+    landed = (envelopes.select(F.col(window).alias("window"), F.col("page").cast("long").alias("page"), rec.alias("r"))
+              .select("window", "page", F.col("r")[spec.pages_key].alias("total"),
+                      F.when(F.col("r")["__nl_bad"].isNull(), F.size(F.col("r")[spec.data_key])).alias("n"))
+              .groupBy("window", "page")
+              .agg(F.max("total").alias("total"), F.count(F.lit(1)).alias("copies"),
+                   F.sum(F.when(F.col("n") >= 0, F.col("n"))).alias("n"),
+                   F.count_if(F.col("n").isNull() | (F.col("n") < 0)).alias("bad")))
+    per_window = landed.groupBy("window").agg(F.max("total").alias("hits"), F.sum("n").alias("received"),
+                                              F.max("page").alias("last_landed"), F.count(F.lit(1)).alias("n_landed"))
+    if spec.start and spec.end:
+        wins = date_windows(envelopes.sparkSession, spec.start, spec.end, spec.interval_days).select(
+            F.col("window_start").cast(envelopes.schema[window].dataType).alias("window"), F.lit(True).alias("asked"))
+        per_window = per_window.join(wins, "window", "full_outer")
+    else:
+        per_window = per_window.withColumn("asked", F.lit(True))
+    pages = F.greatest(F.ceil(F.coalesce("hits", F.lit(0)) / F.lit(spec.page_size)), F.lit(1)).cast("long")
+    per_window = per_window.withColumn("pages", F.when(F.col("asked"), pages).otherwise(0))
+    # page numbers in chunks, so that no window, however large, makes all its rows in one task
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("pages") - 1) / F.lit(PAGE_CHUNK)).cast("long")))
+    first = F.col("c") * F.lit(PAGE_CHUNK) + 1
+    expected = (per_window.where("pages > 0 AND last_landed IS NOT NULL").select("window", "pages", chunk.alias("c"))
+                .repartition("window", "c")
+                .select("window", F.explode(F.sequence(first, F.least(first + PAGE_CHUNK - 1, F.col("pages")))).alias("page"),
+                        F.lit(True).alias("expected")))
+    every = expected.join(landed, ["window", "page"], "full_outer").join(per_window, "window")
+    absent = per_window.where("last_landed IS NULL").select(
+        "window", F.lit(None).cast("long").alias("page"), F.lit("missing_window").alias("status"),
+        F.lit(0).cast("long").alias("records"), F.lit(0).cast("long").alias("received"), "hits")
+    n = F.coalesce("n", F.lit(0))
+    status = (F.when(F.col("copies").isNull(), "missing").when(F.col("bad") > 0, "corrupt")
+              .when(F.col("copies") > 1, "duplicate").when(F.col("hits").isNull(), "no_total")
+              .when(F.col("expected").isNull(), "unexpected").when((n == 0) & (F.col("hits") > 0), "empty")
+              .when((F.col("page") == F.col("pages")) & (F.coalesce("received", F.lit(0)) < F.col("hits"))
+                    & (F.col("n_landed") >= F.col("pages")), "short").otherwise("received"))
+    rows = every.select("window", "page", status.alias("status"), n.cast("long").alias("records"),
+                        F.coalesce("received", F.lit(0)).cast("long").alias("received"), "hits")
+    return rows.unionByName(absent).withColumn("page", F.col("page").cast("int")).withColumnRenamed("window", window)

@@ -10,11 +10,15 @@ run.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any, Mapping
 
 
+_SECRET = re.compile(r"secret|password|passwd|token|credential|api_?key|client_?id|authorization", re.IGNORECASE)
+
+
 class SpecError(ValueError):
     """The job spec cannot be run as written."""
 
@@ -66,7 +70,7 @@ class JobSpec:
     bronze_schema: str | None = None
     silver_schema: str | None = None
     full_schema: Any = None  # nested example-shaped declaration, optional
-    extra: Mapping[str, Any] = field(default_factory=dict)
+    extra: Mapping[str, Any] = field(default_factory=dict, repr=False)
 
     @property
     def main_schema(self) -> dict[str, str]:
@@ -89,7 +93,11 @@ class JobSpec:
     # ------------------------------------------------------------------ I/O
     @classmethod
     def from_dict(cls, d: Mapping[str, Any]) -> "JobSpec":
-        """Read the JSON job-spec layout; unknown keys are kept in ``extra``."""
+        """Read the JSON job-spec layout.
+
+        Unknown keys are kept in ``extra`` (not printed), except those that name
+        credentials: a spec never holds a secret.
+        """
         validate_dict(d)
         key = d["main_table_key"]
         children = []
@@ -103,6 +111,7 @@ class JobSpec:
                     schema=tuple(c.get("data_schema", {}).items()),
                 )
             )
+        # fixed values: the job-spec layout's own keys
         known = {
             "main_table_name", "main_table_key", "data_schema", "nested_tables", "data",
             "pages", "PAGE_SIZE", "RETRIEVAL_INTERVAL", "START_DATE", "END_DATE",
@@ -123,7 +132,8 @@ class JobSpec:
             bronze_schema=d.get("bronze_schema"),
             silver_schema=d.get("silver_schema"),
             full_schema=d.get("full_schema"),
-            extra={k: v for k, v in d.items() if k not in known and not k.startswith("_comment")},
+            extra={k: v for k, v in d.items()
+                   if k not in known and not k.startswith("_comment") and not _SECRET.search(k)},
         )
         validate(spec)
         return spec

@@ -11,7 +11,8 @@ New JSONL files under ``landing_dir`` are picked up by the file source
    partition with dynamic partition overwrite, so a replayed batch replaces
    its rows rather than adding them again (exactly-once bronze);
 3. silver tables are built from the batch (one parse, persisted for the
-   fan-out) and upserted into catalog tables by key (idempotent for unique
+   fan-out); bad records go to ``<bronze>_quarantine`` under the same batch,
+   the rest is upserted into catalog tables by key (idempotent for unique
    keys when a batch is replayed).
 
 The streaming checkpoint records which files were consumed, so a restarted
@@ -30,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.run import upsert_all_tables
 from ..plans.silver import silver_tables
-from ..sources.bronze import append_bronze
+from ..sources.bronze import BATCH, append_bronze
 from ..spec import JobSpec
 
 
@@ -42,8 +43,10 @@ def batch_runner(spec: JobSpec, bronze_target: str, only: str | None = None,
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read the new files once
         try:
             append_bronze(rows, bronze_target, batch=epoch_id)
-            res = silver_tables(rows.select("raw_json"), spec, only=only, reuse="persist")
+            res = silver_tables(rows.select("raw_json"), spec, only=only, reuse="persist", quarantine=True)
             try:
+                (res.quarantine.withColumn(BATCH, F.lit(int(epoch_id))).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{bronze_target}_quarantine"))
                 upsert_all_tables(spark, spec, res.tables, partition_by=partition_by)
             finally:
                 res.release()

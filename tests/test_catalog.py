@@ -11,6 +11,9 @@ import pytest
 import __spark_entry__ as entry_mod
 from conftest import SF
 
+from nestlift.plans.catalog import QUERIES
+from nestlift.plans.oracle import ORACLE
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -45,19 +48,20 @@ def duck():
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["c_custkey", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                          "emitDate", "name", "value"]
+                          "step", "flag", "price"]
     assert df.count() > 0
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = entry_mod.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = [tuple(_norm(x) for x in r) for r in df.collect()]
-    odf = duck.execute(entry_mod.oracle_sql()[name]).fetchdf()
+    odf = duck.execute(ORACLE[name]).fetchdf()
     assert sorted(df.columns) == sorted(odf.columns)
     idx = [list(odf.columns).index(c) for c in df.columns]
     want = [tuple(_norm(r[i]) for i in idx) for r in odf.itertuples(index=False, name=None)]

@@ -79,3 +79,25 @@ def test_drift_report(spark):
     rows = drift(spark, [("t", df.schema, {"a": "int", "b": "string"})]).collect()
     assert [tuple(r) for r in rows] == [("t", "b", "missing", "string", None),
                                         ("t", "extra1", "extra", None, "string")]
+
+
+def test_uncastable_pairs_become_typed_nulls(spark):
+    from nestlift.operators.enforce import castable, drift_rows
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(5, True)], "n BIGINT, b BOOLEAN")
+    out = enforce(df, {"n": "date", "b": "timestamp"})
+    assert [tuple(r) for r in out.collect()] == [(None, None)] and dict(out.dtypes) == {"n": "date", "b": "timestamp"}
+    assert [(r[1], r[2]) for r in drift_rows("t", df.schema, {"n": "date", "b": "timestamp"})] == [("n", "type"), ("b", "type")]
+    kinds = [T.LongType(), T.DoubleType(), T.DecimalType(20, 2), T.BooleanType(), T.DateType(), T.TimestampType(), T.StringType()]
+    for a in kinds:
+        frame = spark.createDataFrame([], T.StructType([T.StructField("x", a)]))
+        for b in kinds:
+            try:
+                frame.select(F.col("x").try_cast(b)).schema
+                ok = True
+            except AnalysisException:
+                ok = False
+            assert castable(a, b) == ok, (a, b)

@@ -75,3 +75,26 @@ def test_expected_pages_chunked_for_huge_windows(spark, monkeypatch):
     env = _env(spark, [(D(2025, 7, 1), 1, '{"totalHits": 1001}'), (D(2025, 7, 8), 1, '{"totalHits": 0}')])
     got = sorted((r.window_start.day, r.page) for r in landing.expected_pages(env, "totalHits", 100).collect())
     assert got == [(1, p) for p in range(1, 12)] + [(8, 1)]
+
+
+def test_gate_names_every_fault(spark):
+    from nestlift.spec import JobSpec
+
+    spec = JobSpec.from_dict({"main_table_name": "m", "main_table_key": "id", "data_schema": {"id": "int"}, "data": "items",
+                              "pages": "total", "PAGE_SIZE": 2, "RETRIEVAL_INTERVAL": 7,
+                              "START_DATE": "2024-01-01T00:00:00Z", "END_DATE": "2024-01-31T00:00:00Z"})
+    w = [D(2024, 1, 1) + dt.timedelta(days=7 * i) for i in range(5)]
+    env = _env(spark, [
+        (w[0], 1, '{"total": 5, "items": [1, 2]}'), (w[0], 2, '{"total": 5, "items": []}'), (w[0], 4, '{"total": 5, "items": [9]}'),
+        (w[1], 1, '{"total": 3, "items": [1, 2]}'), (w[1], 1, '{"total": 3, "items": [1, 2]}'), (w[1], 2, '{"total": 3, "ite'),
+        (w[2], 1, '{"items": [1]}'),
+        (w[3], 1, '{"total": 0, "items": []}'),
+        (D(2023, 1, 1), 1, '{"total": 1, "items": [1]}'),
+    ])
+    got = {(r.window_start, r.page): r.status for r in landing.gate(env, spec).collect()}
+    assert got == {(w[0], 1): "received", (w[0], 2): "empty", (w[0], 3): "missing", (w[0], 4): "unexpected",
+                   (w[1], 1): "duplicate", (w[1], 2): "corrupt", (w[2], 1): "no_total", (w[3], 1): "received",
+                   (w[4], None): "missing_window", (D(2023, 1, 1), 1): "unexpected"}
+    short = _env(spark, [(w[0], 1, '{"total": 4, "items": [1, 2]}'), (w[0], 2, '{"total": 4, "items": [3]}')])
+    assert {(r.page, r.status) for r in landing.gate(short, spec).where("page IS NOT NULL").collect()} == {
+        (1, "received"), (2, "short")}

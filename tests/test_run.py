@@ -66,3 +66,84 @@ def test_summary_and_preview(spark, records):
     assert s == {"m": (15, 2), "kids": (15, 2)}
     p = preview(spark, run.versions, n=10).collect()
     assert sum(1 for r in p if r["table"] == "m") == 10 and all(r.row.startswith("{") for r in p)
+
+
+def test_rerun_of_a_load_and_last_load_wins(spark, records):
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    l1 = write_landing(records('{"id": 1, "name": "old", "kids": [{"kid": "x"}]}', '{"id": 2, "name": "b"}'),
+                       scratch_path(spark, "landing"))
+    l2 = write_landing(records('{"id": 1, "name": "new", "kids": [{"kid": "y"}]}'), scratch_path(spark, "landing"))
+    first = ingest(spark, SPEC, l1, "2024-01-01T00:00:00Z", bronze, root)
+    again = ingest(spark, SPEC, l1, "2024-01-01T00:00:00Z", bronze, root, first.versions)
+    assert spark.read.parquet(bronze).count() == 2 and spark.read.parquet(again.versions["m"]).count() == 2
+    ingest(spark, SPEC, l2, "2024-01-02T00:00:00Z", bronze, root, again.versions)
+    built = backfill(spark, SPEC, bronze, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", scratch_path(spark, "silver"))
+    assert sorted(tuple(r) for r in spark.read.parquet(built.versions["m"]).collect()) == [(1, "new"), (2, "b")]
+    assert [tuple(r) for r in spark.read.parquet(built.versions["kids"]).collect()] == [(1, "y")]
+
+
+def test_bad_records_are_set_aside(spark, records):
+    root = scratch_path(spark, "silver")
+    text = write_landing(records('{"id": 1, "name": "a"}', '{"id": 2, "na', '{"name": "no key"}'), scratch_path(spark, "landing"))
+    run = ingest(spark, SPEC, text, "2024-01-01T00:00:00Z", scratch_path(spark, "bronze"), root)
+    assert [tuple(r) for r in spark.read.parquet(run.versions["m"]).collect()] == [(1, "a")]
+    assert run.quarantined == 2
+    assert sorted(r.reason for r in spark.read.parquet(run.quarantine).collect()) == ["malformed", "no_key"]
+
+
+def test_scratch_is_removed_and_quiet_day_gives_empty_tables(spark, records):
+    import os
+
+    from nestlift.plans.silver import silver_tables
+
+    spec = JobSpec.from_dict({"main_table_name": "q", "main_table_key": "id", "data_schema": {"id": "int", "n": "string"}})
+    res = silver_tables(records('{"id": 1}').limit(0), spec)
+    assert res.tables["q"].count() == 0 and res.tables["q"].columns == ["id", "n"]
+    staged = res._paths[0].removeprefix("file:")
+    assert os.path.isdir(staged)
+    res.release()
+    assert not os.path.exists(staged)
+
+
+def test_conflict_in_one_table_changes_none(spark, records):
+    import pytest
+
+    from nestlift.operators.upsert import MergeConflict
+    from nestlift.plans.run import upsert_all_tables
+
+    spec = JobSpec.from_dict({**{"main_table_name": "all_m", "main_table_key": "id", "data_schema": {"id": "int", "v": "int"}},
+                              "nested_tables": [{"unnested_to_table": "all_k", "parent_key": {"id": "int"},
+                                                 "unnested_to_table_key": ["kid"], "unnested_column": ["kids"],
+                                                 "data_schema": {"kid": "string"}}]})
+    for t in ("all_m", "all_k"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    m = spark.createDataFrame([(1, 1)], "id BIGINT, v BIGINT")
+    k = spark.createDataFrame([(1, "x")], "id BIGINT, kid STRING")
+    upsert_all_tables(spark, spec, {"all_m": m, "all_k": k})
+    with pytest.raises(MergeConflict):
+        upsert_all_tables(spark, spec, {"all_m": m.selectExpr("id", "v + 1 AS v"), "all_k": k.union(k)})
+    assert [tuple(r) for r in spark.table("all_m").collect()] == [(1, 1)]
+
+
+def test_selection_of_unknown_tables_only_is_an_error(spark, records):
+    import pytest
+
+    from nestlift.plans.silver import silver_tables
+    from nestlift.spec import SpecError
+
+    with pytest.raises(SpecError):
+        silver_tables(records('{"id": 1}'), SPEC, only="nope")
+
+
+def test_drift_against_the_data(spark, records):
+    from nestlift.plans.silver import silver_tables
+
+    spec = JobSpec.from_dict({"main_table_name": "d", "main_table_key": "id", "data_schema": {"id": "int", "day": "date"},
+                              "nested_tables": [{"unnested_to_table": "d_js", "parent_key": {"id": "int"},
+                                                 "unnested_to_table_key": [], "unnested_column": ["js"],
+                                                 "data_schema": {"x": "int", "gone": "int"}}],
+                              "full_schema": {"id": "BIGINT", "day": "STRING", "js": "STRING"}})
+    bronze = records('{"id": 1, "day": 20240101, "js": "[{\\"x\\": 1, \\"y\\": 2}]", "brand_new": true}')
+    res = silver_tables(bronze, spec)
+    got = {(r["table"], r["column"], r["kind"]) for r in res.drift(spec, bronze).collect()}
+    assert {("d", "brand_new", "extra"), ("d", "day", "type"), ("d_js", "y", "extra"), ("d_js", "gone", "missing")} <= got

@@ -67,13 +67,13 @@ def test_scalar_array_level(spark, records):
 
 def test_multi_level_keys_discovered(spark, records):
     p = parsed(records,
-               '{"cid": "c1", "parts": [{"pid": "p1", "sessions": [{"sid": "s1", "metrics": '
-               '[{"name": "n1", "value": 1}, {"name": "n2", "value": 2}]}]}, {"pid": "p2"}]}')
-    c = child(["parts", "sessions", "metrics"], {"cid": "string", "pid": "string", "sid": "string"},
-              {"name": "string", "value": "int"})
+               '{"shelf": "s1", "boxes": [{"box": "b1", "trays": [{"tray": "t1", "coins": '
+               '[{"mint": "m1", "worth": 1}, {"mint": "m2", "worth": 2}]}]}, {"box": "b2"}]}')
+    c = child(["boxes", "trays", "coins"], {"shelf": "string", "box": "string", "tray": "string"},
+              {"mint": "string", "worth": "int"})
     r = unnest(p, c)
-    assert r.df.columns == ["cid", "pid", "sid", "name", "value"]
-    assert rows(r.df) == [("c1", "p1", "s1", "n1", 1), ("c1", "p1", "s1", "n2", 2)]
+    assert r.df.columns == ["shelf", "box", "tray", "mint", "worth"]
+    assert rows(r.df) == [("s1", "b1", "t1", "m1", 1), ("s1", "b1", "t1", "m2", 2)]
 
 
 def test_parent_key_repeated_in_child_struct(spark, records):

@@ -118,3 +118,66 @@ def test_new_columns_are_an_error_unless_allowed(spark):
     out = merge_frames(t, s, ["k"], allow_new_columns=True)
     assert out.columns == ["k", "v", "w"]
     assert rows(out) == [("a", 1, None), ("b", 2, "x")]
+
+
+def test_partitioned_upsert_keeps_null_partitions_and_text_values(spark):
+    from nestlift.operators.upsert import read_partitioned, upsert_partitioned
+
+    path = scratch_path(spark, "part")
+    shape = "k INT, v STRING, p STRING"
+    upsert_partitioned(spark, path, spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", "001")], shape),
+                       ["k"], ["p"], exists=False)
+    upsert_partitioned(spark, path, spark.createDataFrame([(1, "A", None), (3, "C", "001")], shape), ["k"], ["p"])
+    assert rows(read_partitioned(spark, path)) == [(1, "A", None), (2, "b", None), (3, "C", "001")]
+    upsert_partitioned(spark, path, spark.createDataFrame([(2, "B", None)], shape), ["k"], ["p"])   # NULL only
+    assert rows(read_partitioned(spark, path)) == [(1, "A", None), (2, "B", None), (3, "C", "001")]
+
+
+def test_moved_key_is_refused_before_any_write(spark):
+    from nestlift.operators.upsert import PartitionMove, read_partitioned, upsert_partitioned
+
+    path = scratch_path(spark, "part")
+    shape = "k INT, v STRING, p INT"
+    upsert_partitioned(spark, path, spark.createDataFrame([(1, "a", 1)], shape), ["k"], ["p"], exists=False)
+    with pytest.raises(PartitionMove):
+        upsert_partitioned(spark, path, spark.createDataFrame([(1, "b", 2)], shape), ["k"], ["p"])
+    assert rows(read_partitioned(spark, path)) == [(1, "a", 1)]
+
+
+def test_added_column_is_there_afterwards(spark):
+    from nestlift.operators.upsert import read_partitioned, upsert_partitioned
+
+    wide = spark.createDataFrame([(3, "c", 7, 2)], "k INT, v STRING, n INT, p INT")
+    narrow = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k INT, v STRING, p INT")
+    path = scratch_path(spark, "part")
+    upsert_partitioned(spark, path, narrow, ["k"], ["p"], exists=False)
+    upsert_partitioned(spark, path, wide, ["k"], ["p"], allow_new_columns=True)
+    got = read_partitioned(spark, path).select("k", "v", "n", "p")
+    assert rows(got) == [(1, "a", None, 1), (2, "b", None, 2), (3, "c", 7, 2)]
+    spark.sql("DROP TABLE IF EXISTS added_column_t")
+    upsert_partitioned(spark, "added_column_t", narrow, ["k"], ["p"], as_table=True)
+    upsert_partitioned(spark, "added_column_t", wide, ["k"], ["p"], as_table=True, allow_new_columns=True)
+    assert rows(spark.table("added_column_t").select("k", "v", "n", "p")) == rows(got)
+
+
+def test_interrupted_swap_recovers(spark):
+    from nestlift.operators.upsert import recover
+
+    name = "swap_t"
+    for x in ("", "__nl_prev", "__nl_next"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}{x}")
+    upsert_table(spark, name, spark.createDataFrame([("a", 1), ("b", 2)], S), ["k"])
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__nl_prev")        # stopped after the first rename
+    upsert_table(spark, name, spark.createDataFrame([("b", 9)], S), ["k"])
+    assert rows(spark.table(name)) == [("a", 1), ("b", 9)]
+    spark.sql(f"CREATE TABLE {name}__nl_prev AS SELECT * FROM {name}")  # stopped before the old table was dropped
+    recover(spark, name)
+    assert rows(spark.table(name)) == [("a", 1), ("b", 9)] and not spark.catalog.tableExists(f"{name}__nl_prev")
+
+
+def test_swap_keeps_the_tables_partitioning(spark):
+    spark.sql("DROP TABLE IF EXISTS swap_part_t")
+    spark.createDataFrame([("a", 1)], S).write.partitionBy("v").saveAsTable("swap_part_t")
+    upsert_table(spark, "swap_part_t", spark.createDataFrame([("b", 2)], S), ["k"])
+    assert [c.name for c in spark.catalog.listColumns("swap_part_t") if c.isPartition] == ["v"]
+    assert rows(spark.table("swap_part_t")) == [("a", 1), ("b", 2)]

@@ -108,9 +108,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     ranges = min(MAX_RANGES, RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     at = [i / ranges for i in range(1, ranges)]
     bounds = sorted(set(docs.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", at, 0.1 / ranges)))
-    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="x", outputCol="rng", handleInvalid="keep")
+    cut = Bucketizer(splits=[float("-inf"), *(bounds or [0.0]), float("inf")], inputCol="x", outputCol="rng", handleInvalid="keep")
     rows = (cut.transform(docs.withColumn("x", F.col("doc_id").cast("double")))
-            .select(F.col("rng").cast("int").alias("rng"), "doc_id", "text", F.xxhash64("text").alias("h")))
+            .select(F.coalesce(F.col("rng").cast("int"), F.lit(len(bounds) + 2)).alias("rng"),   # NULL ids: a last range
+                    "doc_id", "text", F.xxhash64("text").alias("h")))
     # one row per range (their number is bounded above): its first document, and the range before it
     order = Window.orderBy("rng")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h"))

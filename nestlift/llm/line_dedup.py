@@ -23,7 +23,7 @@ partial aggregation on one side, which adaptive execution can split.
 
 Defined results: the first copy by (doc_id, text hash, line) stays, NULL ids
 last; rows equal in id and text count as one document and are trimmed alike;
-blank lines inside a deleted run go with it; NULL and empty texts stay as they
+blank lines between deleted lines go with them; NULL and empty texts stay as they
 are; other columns are kept, and n_chars (if there) is the new text's length.
 """
 
@@ -94,7 +94,7 @@ def _window(lines: Column, s: Column, m: Column, levels: int) -> Column:
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs with an earlier copy: _doc, _text and the line numbers p0 to p1 (both deleted)."""
+    """Runs with an earlier copy: _doc, _text, idx, m (lines with words) and the line numbers p0 to p1 (both deleted)."""
     lines = stage(line_ids(docs), "lines")
     at, levels = ranks(lines, min_words)
     at = at.withColumn("sum", F.sum("words").over(_within_doc()))
@@ -117,15 +117,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     place = F.struct(F.col("_doc").isNull(), "_doc", "_text", "idx")
     firsts = (windows.groupBy("m", "ra", "rb").agg(F.min(place).alias("first"), F.max(place).alias("last"))
               .where("first < last").drop("last"))
-    return windows.join(firsts, ["m", "ra", "rb"]).where(place > F.col("first")).select("_doc", "_text", "p0", "p1")
+    return windows.join(firsts, ["m", "ra", "rb"]).where(place > F.col("first")).select("_doc", "_text", "idx", "m", "p0", "p1")
 
 
 def _merged(runs: DataFrame) -> DataFrame:
-    """Overlapping runs of a document as one; ``cut``: the document's runs in order."""
-    w = Window.partitionBy("_doc", "_text").orderBy("p0", "p1")
-    reach = F.max("p1").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    island = F.sum(F.when(F.col("p0") > F.col("reach") + 1, 1).otherwise(0)).over(w)
-    return (runs.withColumn("reach", F.coalesce(reach, F.lit(-2))).withColumn("island", island)
+    """Runs that overlap or follow each other as one; ``_cut``: the document's runs in order."""
+    w = Window.partitionBy("_doc", "_text").orderBy("idx", "m")
+    reach = F.max(F.col("idx") + F.col("m")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.when(F.col("idx") > F.col("reach"), 1).otherwise(0)).over(w)
+    return (runs.withColumn("reach", F.coalesce(reach, F.lit(-1))).withColumn("island", island)
             .groupBy("_doc", "_text", "island").agg(F.min("p0").alias("p0"), F.max("p1").alias("p1"))
             .groupBy("_doc", "_text").agg(F.sort_array(F.collect_list(F.struct("p0", "p1"))).alias("_cut")))
 

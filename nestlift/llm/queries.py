@@ -87,4 +87,3 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE: dict[str, str] = {}

@@ -134,7 +134,8 @@ def mark_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``_cut``: the line runs to delete (p0 to p1), NULL if there are none."""
     cut = stage(_merged(repeated_runs(docs, min_words)), "line-cuts")
     keyed = docs.withColumn("_key", F.xxhash64("text"))
-    return (keyed.join(cut, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
+    # the cuts grow with the corpus: dealt by document at every size, hashed per partition (texts are not sorted)
+    return (keyed.join(cut.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
                        & F.col("text").isNotNull(), "left").drop("_key", "_doc", "_text"))
 
 

@@ -20,10 +20,10 @@ which equals the share of common shingles when all weights are equal.
    classes; buckets whose nodes are all in one class are done. The others get a
    new leader, ``rounds`` times. Nodes of large buckets that still hold several
    classes are dealt again into buckets of two bands (``finer`` of them, which
-   near pairs share almost surely and others rarely), with new leaders until no
-   round finds a link. Buckets of up to ``small`` nodes are finished pair by
-   pair across classes. So the comparisons grow with the number of nodes, and no
-   partner is cut off by the size of its bucket.
+   near pairs share almost surely and others rarely), with a new leader. Buckets
+   of up to ``small`` nodes are then finished pair by pair across classes, larger
+   ones get new leaders until no round finds a link. So the comparisons grow with
+   the number of nodes, and no partner is cut off by the size of its bucket.
 
 Nothing is collected but counts; classes are built by distributed label passing.
 """
@@ -35,7 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 6
 CACHE_WORDS = 300_000
-ROUNDS = 3
+ROUNDS = 1
 SMALL_BUCKET = 32
 FINER_BANDS = 100
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -197,15 +197,17 @@ def classes(links: DataFrame) -> DataFrame:
         near = (both.join(label.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
         seen = label.join(near, "node").select("node", "label", F.least("label", "near").alias("new"))
-        lower = (seen.select("node", "new").unionByName(seen.select(F.col("label").alias("node"), "new"))
-                 .groupBy("node").agg(F.min("new").alias("new")))
+        none = F.lit(None).cast("binary")
+        lower = (seen.select("node", "new", F.col("label").alias("was"))
+                 .unionByName(seen.select(F.col("label").alias("node"), "new", none.alias("was")))
+                 .groupBy("node").agg(F.min("new").alias("new"), F.max("was").alias("was")))
         hung = stage(lower, "labels")
         jump = hung.select(F.col("node").alias("new"), F.col("new").alias("jump"))
-        nxt = stage(hung.join(jump, "new", "left")
-                    .select("node", F.least("new", F.coalesce("jump", "new")).alias("label")), "labels")
-        changed = nxt.join(label.withColumnRenamed("label", "was"), "node").where("label <> was").limit(1).count()
-        label = nxt
-        if not changed:
+        changes = Observation()
+        label = stage(hung.join(jump, "new", "left")
+                      .select("node", F.least("new", F.coalesce("jump", "new")).alias("label"), "was")
+                      .observe(changes, F.count_if(F.col("label") != F.col("was")).alias("n")).drop("was"), "labels")
+        if not changes.get.get("n", 0):
             return label
 
 
@@ -251,7 +253,7 @@ class _Linker:
         """Compare each bucket's members with a leader of another class, ``most`` times or until nothing
         is found; the first leader is the node in most buckets. Returns the buckets still open."""
         done = 0
-        while most is None or done < most:
+        while (most is None or done < most) and buckets.limit(1).count():
             draw = F.struct(F.col("rank") if not done else F.lit(0), F.xxhash64(F.lit(done), F.col("node")))
             leader = buckets.groupBy("bucket").agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("l"))
             pairs = (buckets.join(leader, "bucket").where(F.col("l.label") != F.col("label"))
@@ -263,7 +265,7 @@ class _Linker:
         return buckets
 
     def finish(self, buckets: DataFrame) -> None:
-        """Every pair across classes that no round compared."""
+        """Every pair of a bucket across classes that no round compared."""
         other = buckets.select("bucket", F.col("node").alias("b"), F.col("label").alias("other"))
         self.compare(buckets.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")))
                      .select(F.col("node").alias("a"), "b"))
@@ -287,7 +289,8 @@ def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds:
                             .select("node", F.xxhash64("band", "key").alias("bucket"))), "members")
     lenders = (nodes.join(members.select("node").distinct(), "node", "left_semi")
                .select("node", "first._k1", "first._k2"))
-    texts = stage(docs.select(*_row_key(), "text").join(lenders, ["_k1", "_k2"])
+    # nodes in shared buckets grow with the corpus: dealt by row at every size
+    texts = stage(docs.select(*_row_key(), "text").join(lenders.hint("shuffle_hash"), ["_k1", "_k2"])
                   .dropDuplicates(["node"]).select("node", "text"), "texts")
     linker = _Linker(texts, threshold)
     left = linker.rounds(members.withColumn("label", F.col("node")).withColumn("n", F.lit(0)), rounds)
@@ -297,10 +300,11 @@ def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds:
     size = F.size("bands")
     pair = F.transform(F.sequence(F.lit(0), F.lit(finer - 1)), lambda i: F.xxhash64(
         i, F.get("bands", (i % size).cast("int")), F.get("bands", ((i + 1 + F.floor(i / size)) % size).cast("int"))))
-    fine = stage(_shared(large.select("node", F.explode(pair).alias("bucket"))), "members")
-    fine = linker.rounds(linker.open(fine), None)
-    for buckets in (fine, left):
-        linker.finish(linker.open(buckets.where(F.col("n") <= small).drop("label", "n")))
+    fine = linker.open(stage(_shared(large.select("node", F.explode(pair).alias("bucket"))), "members"))
+    fine = linker.rounds(fine, 1)
+    kinds = [x.where(F.col("n") <= small).select("bucket", "node", "label") for x in (fine, left)]
+    linker.finish(linker.open(kinds[0].unionByName(kinds[1]).drop("label")))
+    linker.rounds(linker.open(fine.where(F.col("n") > small).drop("label", "n")), None)
     return linker.links, linker.label
 
 
@@ -331,5 +335,6 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, n_bands: int =
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """The documents that stand for their classes, one row each; the columns of ``docs``."""
     keep = stage(near_classes(docs, **parameters).where("kept").select("_k1", "_k2").dropDuplicates(), "kept")
-    return (docs.select("*", *_row_key()).join(keep, ["_k1", "_k2"])
+    # as many rows as documents: dealt by row at every size
+    return (docs.select("*", *_row_key()).join(keep.hint("merge"), ["_k1", "_k2"])
             .dropDuplicates(["_k1", "_k2"]).select(*docs.columns))

@@ -2,35 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestlift.session import scratch_path
+from nestlift.session import delete_path, scratch_path
 
 # a word is a run of characters other than space and the control characters tab..carriage return
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts lineage (a lost executor does not repeat the work above it), gives the
     planner the real size for its broadcast decision, and keeps values that a
-    re-run could order differently (ranks) fixed.
+    re-run could order differently (ranks) fixed. The files stay until the
+    surrounding ``scratch`` ends, or for the caller to clean up.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{kind}")
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete the files behind a staged frame (call once nothing reads it any more)."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
-    for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        p.getFileSystem(conf).delete(p, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside, once its results are written elsewhere."""
+    mark = len(_STAGED)
+    try:
+        yield
+    finally:
+        for path in _STAGED[mark:]:
+            delete_path(spark, path)
+        del _STAGED[mark:]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

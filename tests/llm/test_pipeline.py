@@ -39,3 +39,15 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
     for r in seen["packing"]:
         packed[r.doc_id] += r.length
     assert packed == tokens
+
+
+def test_run_leaves_only_its_result(spark):
+    import glob
+
+    from nestlift.session import shared_dir
+
+    root = shared_dir(spark).removeprefix("file:") + "/nestlift"
+    before = set(glob.glob(f"{root}/*/*"))
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0 and out.columns[:2] == ["doc_id", "piece"]
+    assert [p.split("/")[-2] for p in set(glob.glob(f"{root}/*/*")) - before] == ["pipeline-packing"]

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestlift.llm import toxicity
-from nestlift.llm.common import fold, read, stage
+from nestlift.llm.common import fold, read, scratch
 from nestlift.llm.line_dedup import dedup_lines
 from nestlift.llm.mixing import write_mix
 from nestlift.llm.near_dedup import drop_near_duplicates
 from nestlift.llm.packing import pack
+from nestlift.session import delete_path, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. Each stage's scratch and input go once its result is written."""
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

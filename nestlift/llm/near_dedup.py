@@ -21,9 +21,12 @@ which equals the share of common shingles when all weights are equal.
    new leader, ``rounds`` times. Nodes of large buckets that still hold several
    classes are dealt again into buckets of two bands (``finer`` of them, which
    near pairs share almost surely and others rarely), with a new leader. Buckets
-   of up to ``small`` nodes are then finished pair by pair across classes, larger
-   ones get new leaders until no round finds a link. So the comparisons grow with
-   the number of nodes, and no partner is cut off by the size of its bucket.
+   of up to ``small`` nodes are then finished pair by pair across classes.
+5. The nodes of larger buckets that still hold several classes are finished by an
+   exact join (``near_pairs``): a near pair shares one of the rarest shingles of
+   both, so texts that have only a frequent template in common do not meet. All
+   such pairs across classes are verified, and no partner is cut off by the size
+   of its bucket.
 
 Nothing is collected but counts; classes are built by distributed label passing.
 """
@@ -48,6 +51,7 @@ CACHE_WORDS = 300_000
 ROUNDS = 1
 SMALL_BUCKET = 32
 FINER_BANDS = 100
+COUNTER_BITS = 18       # counters that order shingles by frequency; any order gives the same pairs
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -182,6 +186,56 @@ def text_similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def prefixes(ids: np.ndarray, weights: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
+    """The rarest shingles of a bag that a near one must share, and how many of them are its short prefix.
+
+    If u and v are the shares of two bags' weight outside the other one, then
+    J <= (1 - u)(1 - v) / (1 - uv). So J >= t needs u, v <= 1 - t, and the less of
+    them <= (1 - t) / (1 + t). In an order of all shingles, the first common one
+    is then among the first of either bag that outweigh 1 - t, and of one bag
+    among the first that outweigh (1 - t) / (1 + t).
+    """
+    order = np.lexsort((ids, counts[(ids >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))
+    ids, before = ids[order], np.cumsum(weights[order]) - weights[order]
+    share = before / max(1, weights.sum()) - 1e-9               # a rounding more, never one less
+    return (ids[share <= 1 - threshold].view(np.int64),
+            int(np.count_nonzero(share <= (1 - threshold) / (1 + threshold))))
+
+
+def near_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
+    """a, b: every pair of nodes of two classes that can be near. ``nodes``: node, label, text.
+
+    A shingle's rows of its largest class meet only those of other classes, never each other.
+    """
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def counters(texts: pa.Array) -> pa.Array:
+        return pa.array([(bag(words_of(t))[0] >> np.uint64(64 - COUNTER_BITS)).astype(np.int32) for t in texts.to_pylist()],
+                        pa.list_(pa.int32()))
+
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
+    seen = nodes.select(F.explode(counters("text")).alias("c")).groupBy("c").count().toArrow()
+    counts[seen["c"].to_numpy()] = seen["count"].to_numpy()
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("shingle", T.LongType()), T.StructField("short", T.BooleanType())])))
+    def first(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("shingle", pa.int64()), ("short", pa.bool_())]))
+        out = []
+        for t in texts.to_pylist():
+            ids, short = prefixes(*bag(words_of(t)), counts, threshold)
+            out.append([{"shingle": x, "short": i < short} for i, x in enumerate(ids.tolist())])
+        return pa.array(out, kind)
+
+    rows = stage(nodes.select("node", "label", F.explode(first("text")).alias("p")).select("node", "label", "p.*"), "prefixes")
+    by_class = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (by_class.groupBy("shingle").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k"))
+             .where("k > 1").select("shingle", "most"))
+    rows = stage(rows.join(mixed, "shingle"), "prefixes")
+    minor = rows.where("label <> most").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), F.col("short").alias("sa"))
+    every = rows.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("short").alias("sb"))
+    met = minor.hint("merge").join(every, "shingle").where((F.col("la") != F.col("lb")) & (F.col("sa") | F.col("sb")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).dropDuplicates()
+
+
 def classes(links: DataFrame) -> DataFrame:
     """node, label: the least node of its connected component, by label passing with jumps.
 
@@ -249,11 +303,11 @@ class _Linker:
                                             F.count(F.lit(1)).alias("n")).where("lo < hi")
         return stage(known.join(mixed.select("bucket", "n"), "bucket"), "open")
 
-    def rounds(self, buckets: DataFrame, most: int | None) -> DataFrame:
+    def rounds(self, buckets: DataFrame, most: int) -> DataFrame:
         """Compare each bucket's members with a leader of another class, ``most`` times or until nothing
         is found; the first leader is the node in most buckets. Returns the buckets still open."""
         done = 0
-        while (most is None or done < most) and buckets.limit(1).count():
+        while done < most and buckets.limit(1).count():
             draw = F.struct(F.col("rank") if not done else F.lit(0), F.xxhash64(F.lit(done), F.col("node")))
             leader = buckets.groupBy("bucket").agg(F.min(F.struct(draw.alias("draw"), "node", "label")).alias("l"))
             pairs = (buckets.join(leader, "bucket").where(F.col("l.label") != F.col("label"))
@@ -270,6 +324,12 @@ class _Linker:
         self.compare(buckets.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")))
                      .select(F.col("node").alias("a"), "b"))
 
+    def finish_large(self, buckets: DataFrame) -> None:
+        """Every near pair of the buckets' nodes across classes, by rare shingles."""
+        nodes = buckets.select("node", "label").dropDuplicates(["node"])
+        if nodes.limit(1).count():
+            self.compare(near_pairs(stage(nodes.join(self.texts, "node"), "large"), self.threshold))
+
 
 def _shared(members: DataFrame) -> DataFrame:
     """Members of buckets of two or more, with ``rank``: minus the number of such buckets of the node."""
@@ -304,7 +364,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds:
     fine = linker.rounds(fine, 1)
     kinds = [x.where(F.col("n") <= small).select("bucket", "node", "label") for x in (fine, left)]
     linker.finish(linker.open(kinds[0].unionByName(kinds[1]).drop("label")))
-    linker.rounds(linker.open(fine.where(F.col("n") > small).drop("label", "n")), None)
+    linker.finish_large(linker.open(left.where(F.col("n") > small).drop("label", "n")))
     return linker.links, linker.label
 
 

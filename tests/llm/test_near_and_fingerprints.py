@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from nestlift.llm.fingerprint import Digest, edited, edited_fingerprints, likeness
-from nestlift.llm.near_dedup import (bag, classes, drop_near_duplicates, mix64, near_classes, signature, similarity,
-                                     words_of)
+from nestlift.llm.near_dedup import (COUNTER_BITS, bag, classes, drop_near_duplicates, mix64, near_classes, prefixes,
+                                     signature, similarity, words_of)
 
 
 def exact(x, y):
@@ -95,6 +95,35 @@ def test_classes_equal_brute_force(spark, seed):
     assert kept.count() == len({r.class_id for r in got})
 
 
+def test_near_pairs_that_share_a_template(spark):
+    rnd = random.Random(4)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    template, rows = [word() for _ in range(200)], []
+    for i in range(400):                               # all are much alike (0.79), few pairs are near (0.83)
+        own = [word() for _ in range(5)]
+        for _ in range(2 if i % 50 == 0 else 1):
+            rows.append((len(rows), " ".join([*template, *own, *(word() for _ in range(21))])))
+    got = near_classes(spark.createDataFrame(rows, "doc_id LONG, text STRING"), small=2).collect()
+    want = brute_classes(rows)
+    assert len({c for _, c in want}) == 400
+    assert Counter((r.doc_id, r.class_id) for r in got) == want
+
+
+def test_first_common_shingle_is_in_both_prefixes():
+    rng, near = np.random.default_rng(3), 0
+    counts = rng.integers(0, 3, 1 << COUNTER_BITS)
+    for _ in range(2000):
+        ids = np.sort(mix64(rng.integers(1, 2**62, 30).astype(np.uint64)))
+        x = rng.integers(0, 9, 30) * (rng.random(30) < .95)
+        y = np.where(rng.random(30) < .9, x * rng.integers(1, 3), rng.integers(0, 4, 30))
+        a, b = (ids[x > 0], x[x > 0]), (ids[y > 0], y[y > 0])
+        if similarity(a, b) >= .8:
+            near += 1
+            (p, m), (q, n) = prefixes(*a, counts, .8), prefixes(*b, counts, .8)
+            assert set(p[:m].tolist()) & set(q.tolist()) or set(p.tolist()) & set(q[:n].tolist())
+    assert near > 100
+
+
 def test_near_classes_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert near_classes(docs).count() == 0 and drop_near_duplicates(docs).count() == 0

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nestlift.llm.common import stage, word_count
+from nestlift.llm.common import WORD, stage, word_count
 
 BLOCK_WORDS = 32
 SHARD_WORDS = 100_000
@@ -146,15 +146,38 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
                          F.coalesce(copies, F.lit(1)).cast("long").alias("copies"), "source", "shard", "quota", *kept)
 
 
-def write_mix(docs: DataFrame, block_words: int = WHOLE_BLOCK_WORDS, **parameters) -> DataFrame:
-    """The mix as whole documents: each once for every time the block it begins in is taken.
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its ``n``-th word."""
+    pieces = F.regexp_extract_all(text, F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), F.lit(1))
+    return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
-    Blocks are larger here than most documents, and a document goes with the
-    block it begins in, so nothing is cut. Equal rows are written equally often.
+
+def write_mix(docs: DataFrame, block_words: int = WHOLE_BLOCK_WORDS, parts: bool = False, **parameters) -> DataFrame:
+    """The mix as documents; the columns of ``docs``.
+
+    Whole documents: each once for every time the block it begins in is taken,
+    so nothing is cut, but a document longer than a block counts as one block.
+    With ``parts``, each is written whole as often as its ``taken`` words hold
+    it, and a copy that ends after the words that remain, so a source gets its
+    quota of words however long its documents are (``n_chars`` follows the text).
+    Equal rows of a source are written equally often; with ``parts`` they share
+    their taken words evenly.
     """
-    key = [F.xxhash64("doc_id", "text").alias("_k1"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("_k2")]
+    key = [F.xxhash64("doc_id", "text", "source").alias("_k1"), F.xxhash64(F.lit("row"), "source", "text", "doc_id").alias("_k2")]
     mixed = mix(docs, block_words=block_words, keep=key, **parameters)
-    times = stage(mixed.groupBy("_k1", "_k2").agg(F.min("copies").alias("_times")), "mix-copies")
+    share = F.round(F.avg("taken")).cast("long")
+    whole = F.when(F.max("size") > 0, F.floor(share / F.max("size"))).otherwise(F.lit(1)) if parts else F.min("copies")
+    rest = F.when(F.max("size") > 0, share % F.max("size")) if parts else F.lit(0)
+    times = stage(mixed.groupBy("_k1", "_k2").agg(whole.cast("long").alias("_whole"),
+                                                  F.coalesce(rest, F.lit(0)).cast("long").alias("_rest")), "mix-copies")
+    times = times.withColumn("_times", F.col("_whole") + (F.col("_rest") > 0).cast("long"))
     # as many rows as documents: dealt by row at every size, hashed per partition (texts are not sorted)
-    return (docs.select("*", *key).join(times.where("_times > 0").hint("shuffle_hash"), ["_k1", "_k2"])
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns))
+    out = (docs.select("*", *key).join(times.where("_times > 0").hint("shuffle_hash"), ["_k1", "_k2"])
+           .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))))
+    if parts:
+        cut = F.col("_copy") > F.col("_whole")
+        out = out.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("_rest"))).otherwise(F.col("text")))
+        if "n_chars" in docs.columns:
+            kind = docs.schema["n_chars"].dataType
+            out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

@@ -89,6 +89,26 @@ def test_write_mix_keeps_columns_and_whole_texts(spark):
     assert sum(words[k] * n for k, n in times.items()) == pytest.approx(1.5 * sum(words.values()), rel=0.15)
 
 
+def test_parts_meet_targets_with_a_very_long_document(spark):
+    rnd = random.Random(6)
+    rows = [(i, f" \n{i} " + "w\t " * rnd.randint(100, 500), "abc"[i % 3], 0) for i in range(600)]
+    rows += [(1000, "x " * 200_000, "c", 0), (1001, "y  " * 30_000, "b", 0), (1002, None, "a", 0), (1003, " ", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, n_chars LONG")
+    got = write_mix(docs, parts=True).collect()
+    size, texts = Counter(), {r[0]: r[1] for r in rows}
+    for _, t, s, _ in rows:
+        size[s] += len(WORD.findall(t or ""))
+    taken, cut = Counter(), Counter()
+    for r in got:
+        taken[r.source] += len(WORD.findall(r.text or ""))
+        if r.text != texts[r.doc_id]:
+            cut[r.doc_id] += 1
+            assert texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text)
+    for s, t in targets(dict(size)).items():
+        assert abs(taken[s] - t) <= 2 * 2048, (s, taken[s], t)
+    assert cut[1000] == 1 and max(cut.values()) == 1 and {1002, 1003} <= {r.doc_id for r in got}
+
+
 def brute(rows, least):
     """Texts without runs of `least` words or more that occur earlier: longest earlier match of every suffix."""
     order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[2]))

@@ -65,7 +65,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     The ids are the first by seeded hash among the labelled ones (a top-k, not a
     sort of everything), so the sample does not depend on partitioning. Its size
     is bounded by ``2 * per_class`` rows of ``max_chars`` characters; only ids
-    are broadcast. NULL ids and labels other than 0 and 1 are left out; a
+    are broadcast, and of an id with several texts the one of least hash is used
+    (chosen in each task first). NULL ids and labels other than 0 and 1 are left out; a
     document labelled twice is used with its first label by value.
     """
     spread = F.xxhash64(F.lit(seed), F.col("doc_id"))
@@ -78,4 +79,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     ids = ids.groupBy("doc_id").agg(F.min("y").alias("y"))
     small = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
         F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    return small.join(F.broadcast(ids), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("row")
+    return small.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(least).select("doc_id", "row.text", "row.y")

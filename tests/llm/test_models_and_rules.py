@@ -35,6 +35,16 @@ def test_sample_is_bounded_and_robust(spark):
     assert labelled_sample(docs, labels.limit(0), "toxic", F.lit(True), 10, 30).count() == 0
 
 
+def test_sample_has_one_row_per_id(spark):
+    rows = [(i, f"t{i}") for i in range(20)] + [(3, f"again {i}") for i in range(500)] + [(4, "t4")] * 500
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id LONG, toxic INT")
+    got = labelled_sample(docs, labels, "toxic", F.lit(True), 10, 30).collect()
+    assert sorted(r.doc_id for r in got) == list(range(20)) and all((r.doc_id, r.text) in rows for r in got)
+    again = labelled_sample(docs.repartition(2), labels, "toxic", F.lit(True), 10, 30).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
 def test_toxicity_on_held_out_labels(spark):
     rows = labelled(spark, "toxic", 2500)
     learn, held = [r for r in rows if r[0] % 4], [r for r in rows if r[0] % 4 == 0]

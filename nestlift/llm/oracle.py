@@ -82,7 +82,32 @@ SELECT d.doc_id, CASE WHEN t.doc_id IS NULL THEN d.text ELSE coalesce(k.text, ''
   coalesce(t.n, 0)::INTEGER AS deleted_lines, t.runs AS deleted_runs
 FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN told t ON t.doc_id = d.doc_id"""
 
+# every pair of groups meets on every kept term, without runs
+_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+  groups AS (SELECT DISTINCT lang, source FROM d),
+  t AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+  kept AS (SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+  v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang),
+  c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, source, term),
+  k AS (SELECT g.lang, g.source, kept.term, kept.total, coalesce(c.n, 0)::HUGEINT AS n
+    FROM groups g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+  s AS (SELECT lang, source, sum(n)::HUGEINT AS own FROM k GROUP BY lang, source),
+  p AS (SELECT k.*, 1 + (1000000000 * (k.n + 1)) // (s.own + v.v) AS p, 1 + (1000000000 * (k.total + 1)) // (v.n + v.v) AS q
+    FROM k JOIN s USING (lang, source) JOIN v USING (lang)),
+  sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY a.lang, a.source, b.source),
+  pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+  terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
 ORACLE: dict[str, str] = {
     "op9_source_mixing": _MIX,
     "op10_line_dedup": _LINES,
+    "op11_source_divergence": _DIVERGENCE,
 }

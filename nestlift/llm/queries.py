@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from nestlift.llm import quality, toxicity
 from nestlift.llm.common import fold, read
+from nestlift.llm.divergence import divergence
 from nestlift.llm.fingerprint import edited_fingerprints
 from nestlift.llm.line_dedup import mark_runs, without
 from nestlift.llm.mixing import mix
@@ -75,6 +76,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.transform(cut, lambda x: F.array(x["p0"], x["p1"]))).alias("deleted_runs"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
@@ -86,4 +91,5 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_source_divergence": op11_source_divergence,
 }

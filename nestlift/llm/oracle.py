@@ -106,8 +106,34 @@ WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coale
     FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
 
+
+
+def _clusters(k: int = 40, rounds: int = 5, width: int = 64, seed: int = 2) -> str:
+    """Every vector against every centroid, one pair of steps per round."""
+    parts = [f"""e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+      FROM embeddings WHERE len(embedding) = {width} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width}),
+  c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), x) - 1 AS c, x FROM e WHERE vec_id IS NOT NULL
+    ORDER BY sha256('{seed}:' || vec_id), x LIMIT {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d FROM
+    (SELECT e.rid, c{i}.c, list_sum(list_transform(list_zip(e.x, c{i}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+      FROM e, c{i}) GROUP BY rid)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.x, o.x) AS x FROM c{i} o LEFT JOIN
+    (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS x FROM
+      (SELECT a.c, u.j, sum(u.v)::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{i} a
+        JOIN (SELECT rid, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM e) u USING (rid) GROUP BY a.c, u.j)
+      GROUP BY c) n ON n.c = o.c)""")
+    return "WITH " + ",\n  ".join(parts) + f"""
+SELECT e.vec_id, a.c::INTEGER AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+  (sum(a.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(z.x, lambda v: v::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM e JOIN a{rounds} a USING (rid) JOIN c{rounds} z ON z.c = a.c"""
+
+
 ORACLE: dict[str, str] = {
     "op9_source_mixing": _MIX,
     "op10_line_dedup": _LINES,
     "op11_source_divergence": _DIVERGENCE,
+    "op13_centroid_clustering": _clusters(),
 }

@@ -17,6 +17,7 @@ from nestlift.llm.packing import pack
 from nestlift.llm.quality_rules import judge
 from nestlift.llm.token_count import count_tokens
 from nestlift.llm.url_filter import judge_urls
+from nestlift.llm.va_file import cluster
 
 # (rule, allow): a host with its subdomains and a path prefix
 URL_RULES = [("com/", True), ("example.com/en/", False), ("www.example.com/en/", True), ("net/es/", False),
@@ -80,6 +81,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(read(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_classifier": op2_quality_classifier,
@@ -92,4 +97,5 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -18,7 +18,8 @@ def rounded(rows):
 def test_query_matches_sql(spark, name):
     assert entry.oracle_sql()[name] == ORACLE[name]
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     want = con.execute(ORACLE[name])
     columns = [c[0] for c in want.description]
     got = QUERIES[name](spark, SF)

@@ -15,6 +15,7 @@ from nestlift.llm.mixing import mix
 from nestlift.llm.near_dedup import near_classes
 from nestlift.llm.packing import pack
 from nestlift.llm.quality_rules import judge
+from nestlift.llm.site_tree import extract
 from nestlift.llm.token_count import count_tokens
 from nestlift.llm.url_filter import judge_urls
 from nestlift.llm.va_file import cluster
@@ -81,6 +82,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(read(spark, sf_dir, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster(read(spark, sf_dir, "embeddings"))
 
@@ -97,5 +102,6 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_line_dedup": op10_line_dedup,
     "op11_source_divergence": op11_source_divergence,
+    "op12_html_extraction": op12_html_extraction,
     "op13_centroid_clustering": op13_centroid_clustering,
 }

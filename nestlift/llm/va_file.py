@@ -40,6 +40,7 @@ ROUNDS = 5
 SEED = 2
 BITS = 4
 SCALE = 256
+EDGE_ROWS = 4_096       # vectors that place the cells' edges; any edges give the same result
 # components are held to this size, so that a squared distance fits a long
 MOST = 1 << 27
 
@@ -129,32 +130,23 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
 
 
 def cell_edges(vectors: DataFrame, width: int, bits: int) -> Cells:
-    """Edges at equal steps within three deviations of the mean; the outer cells reach the extremes."""
+    """Edges at the quantiles of a sample of EDGE_ROWS vectors; the outer cells reach the extremes of all vectors."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = high = total = square = None
-        n = 0
+        low = high = None
         for batch in batches:
-            x = _matrix(batch.column(0), np.float64, width)
-            if not len(x):
-                continue
-            part = x.min(axis=0), x.max(axis=0), x.sum(axis=0), (x * x).sum(axis=0)
-            if n:
-                low, high, total, square = np.minimum(low, part[0]), np.maximum(high, part[1]), total + part[2], square + part[3]
-            else:
-                low, high, total, square = part
-            n += len(x)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), *map(pa.array, (low, high, total, square)),
-                                              pa.array(np.full(width, n))], names=["j", "low", "high", "total", "square", "n"])
-
-    rows = (vectors.select("x").mapInArrow(spread, "j long, low double, high double, total double, square double, n long")
-            .groupBy("j").agg(F.min("low"), F.max("high"), F.sum("total"), F.sum("square"), F.sum("n")).orderBy("j").collect())
-    edges = []
-    for _, low, high, total, square, n in rows:
-        mean, step = total / n, 3 * max(1.0, (square / n - (total / n) ** 2)) ** 0.5
-        inner = np.floor(np.linspace(mean - step, mean + step, (1 << bits) + 1)[1:-1]).astype(np.int64)
-        edges.append(np.concatenate([[int(low)], np.clip(inner, int(low), int(high) + 1), [int(high) + 1]]))
-    return Cells(np.array(edges, np.int64))
+            x = _matrix(batch.column(0), np.int64, width)
+            if len(x):
+                part = x.min(axis=0), x.max(axis=0)
+                low, high = part if low is None else (np.minimum(low, part[0]), np.maximum(high, part[1]))
+        if low is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(low), pa.array(high)], names=["j", "low", "high"])
+
+    rows = (vectors.select("x").mapInArrow(spread, "j long, low long, high long")
+            .groupBy("j").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("j").collect())
+    sample = np.array([r["x"] for r in vectors.orderBy(F.xxhash64("rid")).select("x").limit(EDGE_ROWS).collect()], np.int64)
+    steps = np.arange(1, 1 << bits) / (1 << bits)
+    inner = np.ceil(np.quantile(sample, steps, axis=0)).astype(np.int64)
+    return Cells(np.array([[r["low"], *np.clip(inner[:, j], r["low"], r["high"] + 1), r["high"] + 1] for j, r in enumerate(rows)], np.int64))
 
 
 def _centroid_sums(moves: DataFrame, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,11 +2,14 @@
 
 Every vector is kept twice on shared storage: whole, and as an approximation of
 ``bits`` bits per dimension (the cell its component falls in). For a round of
-centroids, two lookup tables per dimension give the least and the greatest squared
-difference of each cell from each centroid. Their sums bound the distance of a
-vector from every centroid without the vector. A centroid whose interval lies
+centroids, two lookup tables per dimension give the least and the greatest share of
+the squared distance between a cell and each centroid. Their sums bound the distance
+of a vector from every centroid without the vector. A centroid whose interval lies
 above another's cannot be the nearest; if one is left, the vector is assigned
-from its approximation alone.
+from its approximation alone. What a distance owes to the vector alone, its square
+around the centroids' mean, is the same for all centroids and left out; that makes
+the intervals several times narrower (on the test vectors, three of four are assigned
+from 6 bits per dimension, without this almost none).
 
 A round reads the approximations only, and joins the whole vectors of two kinds
 of rows: those whose intervals overlap, and those that change their centroid,
@@ -38,9 +41,10 @@ COMPONENTS = 64
 CENTROIDS = 40
 ROUNDS = 5
 SEED = 2
-BITS = 4
+BITS = 6
 SCALE = 256
 EDGE_ROWS = 4_096       # vectors that place the cells' edges; any edges give the same result
+TAIL = 0.002            # share of the sample beyond the equal steps, on either side
 # components are held to this size, so that a squared distance fits a long
 MOST = 1 << 27
 
@@ -59,16 +63,19 @@ class Cells:
         return out
 
     def tables(self, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(least, greatest) squared difference, indexed by dimension, cell, centroid."""
-        low, high = self.edges[:, :-1, None], self.edges[:, 1:, None] - 1
-        q = centroids.T[:, None, :]
-        under, over = np.abs(q - low), np.abs(high - q)
-        inside = (q >= low) & (q <= high)
-        return np.where(inside, 0, np.minimum(under, over)) ** 2, np.maximum(under, over) ** 2
+        """(least, greatest) share of the distance, indexed by dimension, cell, centroid.
+
+        With o the rounded mean of the centroids, (x - c)^2 - (x - o)^2 is linear in x, so the cell's ends bound it.
+        """
+        o = np.rint(centroids.mean(axis=0)).astype(np.int64)
+        low, high = (e - o[:, None] for e in (self.edges[:, :-1], self.edges[:, 1:] - 1))
+        q = (centroids - o).T[:, None, :]
+        ends = q * q - 2 * q * low[:, :, None], q * q - 2 * q * high[:, :, None]
+        return np.minimum(*ends), np.maximum(*ends)
 
 
 def bounds(cells: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(lower, upper) bound of the squared distance for each row and centroid."""
+    """(lower, upper) bound for each row and centroid of the squared distance less the row's own part."""
     low, high = tables
     out = np.zeros((2, len(cells), low.shape[2]), np.int64)
     for j in range(cells.shape[1]):
@@ -99,17 +106,17 @@ def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(len(column), width)
 
 
-def _packed(cells: np.ndarray) -> pa.Array:
-    """Two cells a byte."""
-    pairs = (cells[:, ::2] << 4) | cells[:, 1::2]
-    return pa.array([r.tobytes() for r in pairs], pa.binary())
+def _packed(cells: np.ndarray, bits: int) -> pa.Array:
+    """``bits`` bits a cell, a row padded to whole bytes."""
+    flags = (cells[:, :, None] >> np.arange(bits - 1, -1, -1, dtype=np.uint8)) & 1
+    return pa.array([r.tobytes() for r in np.packbits(flags.reshape(len(cells), -1), axis=1)], pa.binary())
 
 
-def _unpacked(column: pa.Array, width: int) -> np.ndarray:
-    pairs = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), (width + 1) // 2)
-    out = np.empty((len(column), 2 * pairs.shape[1]), np.uint8)
-    out[:, ::2], out[:, 1::2] = pairs >> 4, pairs & 15
-    return out[:, :width]
+def _unpacked(column: pa.Array, width: int, bits: int) -> np.ndarray:
+    size = -(-width * bits // 8)
+    flags = np.unpackbits(np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), size), axis=1)
+    flags = flags[:, :width * bits].reshape(len(column), width, bits)
+    return (flags << np.arange(bits - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8)
 
 
 def whole_vectors(embeddings: DataFrame, width: int = COMPONENTS) -> DataFrame:
@@ -130,7 +137,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
 
 
 def cell_edges(vectors: DataFrame, width: int, bits: int) -> Cells:
-    """Edges at the quantiles of a sample of EDGE_ROWS vectors; the outer cells reach the extremes of all vectors."""
+    """Equal steps over all but the tails of a sample of EDGE_ROWS vectors; the outer cells reach the extremes of all vectors."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = high = None
         for batch in batches:
@@ -144,8 +151,7 @@ def cell_edges(vectors: DataFrame, width: int, bits: int) -> Cells:
     rows = (vectors.select("x").mapInArrow(spread, "j long, low long, high long")
             .groupBy("j").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("j").collect())
     sample = np.array([r["x"] for r in vectors.orderBy(F.xxhash64("rid")).select("x").limit(EDGE_ROWS).collect()], np.int64)
-    steps = np.arange(1, 1 << bits) / (1 << bits)
-    inner = np.ceil(np.quantile(sample, steps, axis=0)).astype(np.int64)
+    inner = np.ceil(np.linspace(*np.quantile(sample, (TAIL, 1 - TAIL), axis=0), (1 << bits) - 1)).astype(np.int64)
     return Cells(np.array([[r["low"], *np.clip(inner[:, j], r["low"], r["high"] + 1), r["high"] + 1] for j, r in enumerate(rows)], np.int64))
 
 
@@ -212,7 +218,7 @@ def cluster(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, wid
             whole = _matrix(x, np.int64, width)
             own = cells.of(whole)
             best, distance = nearest(whole, centroids, left(own, tables))
-            return pa.StructArray.from_arrays([_packed(own), pa.array(best.astype(np.int32)), pa.array(distance)],
+            return pa.StructArray.from_arrays([_packed(own, bits), pa.array(best.astype(np.int32)), pa.array(distance)],
                                               ["cells", "best", "distance"])
 
         return run(F.col("x")).alias(name)
@@ -223,7 +229,7 @@ def cluster(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, wid
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def run(packed: pa.Array) -> pa.Array:
-            open_ = left(_unpacked(packed, width), tables)
+            open_ = left(_unpacked(packed, width, bits), tables)
             row, c = np.nonzero(open_)
             ends = np.concatenate([[0], np.cumsum(open_.sum(axis=1))])
             return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(c.astype(np.int32)))

@@ -49,6 +49,7 @@ from nestlift.llm.url_filter import host_and_path
 
 DEPTH = 24
 CONTENT = 0.6
+AROUND = 3
 LEAN = 10
 NEUTRAL = 0.6
 IN_ARTICLE, IN_LINKS = 0.2, -0.2
@@ -90,12 +91,12 @@ class Node:
 
     key: int
     depth: int
-    path: tuple[int, ...]       # keys of the elements around it, the nearest first
+    parent: int                 # key of the element around it
     named: str                  # "": part of the page; "other": not the article; "comment"; "part": nav, footer, aside
     article: bool               # inside an article or main element
 
 
-ROOT = Node(0, 0, (), "", False)
+ROOT = Node(0, 0, 0, "", False)
 
 
 def child_node(parent: Node, tag: str, attributes: str, by_name: bool = True) -> Node:
@@ -123,7 +124,7 @@ def child_node(parent: Node, tag: str, attributes: str, by_name: bool = True) ->
     if parent.depth >= DEPTH:
         return parent
     key = xxhash.xxh64_intdigest(f"{parent.key}/{tag} {looks}") >> 1
-    return Node(key, parent.depth + 1, (parent.key, *parent.path) if parent.key else (), named, article)
+    return Node(key, parent.depth + 1, parent.key, named, article)
 
 
 class _Nodes(dict):
@@ -255,8 +256,9 @@ def phrases(text: str) -> Iterator[str]:
             yield " ".join(words[i: i + PHRASE_WORDS])
 
 
-# what a page adds to its host's tree: per node its look, its phrases, and the characters of its text (all, in links)
-PHRASE, LOOK, CHARACTERS, LINKED = range(4)
+# what a page adds to its host's tree, per node: its phrases, how its children follow each other, the characters of its
+# text (all, and in links), the node around it, and whether an article holds it
+PHRASE, LOOK, CHARACTERS, LINKED, PARENT, ARTICLE_TEXT = range(6)
 
 
 def page_facts(page: Page) -> list[tuple[int, int, int, int]]:
@@ -273,9 +275,13 @@ def page_facts(page: Page) -> list[tuple[int, int, int, int]]:
     for key, found in own.items():
         out += [(key, PHRASE, xxhash.xxh64_intdigest(x) >> 1, 1) for x in found]
         out += [(key, CHARACTERS, 0, sizes[key][0]), (key, LINKED, 0, sizes[key][1])]
+        if page.nodes[key].article:
+            out.append((key, ARTICLE_TEXT, 0, 1))
     for key in page.nodes.keys() | {0}:
-        look = page.children.get(key, ())
-        out.append((key, LOOK, xxhash.xxh64_intdigest(np.array(look, np.int64).tobytes()) >> 1, 1))
+        look = np.array(page.children.get(key, ()), np.int64).tobytes()
+        out.append((key, LOOK, xxhash.xxh64_intdigest(look) >> 1, 1))
+        if key:
+            out.append((key, PARENT, page.nodes[key].parent, 1))
     return out
 
 
@@ -286,26 +292,22 @@ def main_text(page: Page, removed: set[int]) -> str:
     return "\n".join(kept or [text for node, text in named if node.article])
 
 
-_FACT = T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("kind", T.IntegerType()),
-                                  T.StructField("value", T.LongType()), T.StructField("n", T.LongType())]))
-_PATHS = T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("around", T.ArrayType(T.LongType())),
-                                   T.StructField("article", T.BooleanType())]))
+_FACTS = T.ArrayType(T.StructType([T.StructField("node", T.LongType()), T.StructField("kind", T.IntegerType()),
+                                   T.StructField("value", T.LongType()), T.StructField("n", T.LongType())]))
 
 
-def _seen(pages: Column, by_name: bool) -> Column:
-    """A page's facts, and the paths of its nodes that hold text."""
-    fact = pa.list_(pa.struct([("node", pa.int64()), ("kind", pa.int32()), ("value", pa.int64()), ("n", pa.int64())]))
-    path = pa.list_(pa.struct([("node", pa.int64()), ("around", pa.list_(pa.int64())), ("article", pa.bool_())]))
-
-    @F.arrow_udf(T.StructType([T.StructField("facts", _FACT), T.StructField("paths", _PATHS)]))
+def _facts(pages: Column, by_name: bool) -> Column:
+    @F.arrow_udf(_FACTS)
     def see(sources: pa.Array) -> pa.Array:
-        facts, paths = [], []
+        rows: list[tuple[int, int, int, int]] = []
+        ends = [0]
         for source in sources:
-            page = parse(source.as_py() or "", by_name)
-            facts.append([dict(zip(("node", "kind", "value", "n"), x, strict=True)) for x in page_facts(page)])
-            holds = {node.key: node for node, *_ in page.blocks if not node.named}
-            paths.append([{"node": k, "around": [*x.path, 0] if k else [], "article": x.article} for k, x in holds.items()])
-        return pa.StructArray.from_arrays([pa.array(facts, fact), pa.array(paths, path)], ["facts", "paths"])
+            rows += page_facts(parse(source.as_py() or "", by_name))
+            ends.append(len(rows))
+        node, kind, value, n = zip(*rows, strict=True) if rows else ((), (), (), ())
+        fact = pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(kind, pa.int32()), pa.array(value, pa.int64()),
+                                           pa.array(n, pa.int64())], ["node", "kind", "value", "n"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), fact)
 
     return see(pages)
 
@@ -319,18 +321,14 @@ def _extracted(pages: Column, removed: Column, by_name: bool) -> Column:
     return take(pages, removed)
 
 
-def style_trees(pages: DataFrame, by_name: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(nodes, paths) of all hosts. ``pages``: host, html.
+def style_trees(pages: DataFrame, by_name: bool = True) -> DataFrame:
+    """The nodes of all hosts' trees. ``pages``: host, html.
 
-    nodes: host, node, pages, looks (presentation importance), says (content importance,
-    NULL without text), links (share of text in links). paths: host, node, around, article.
+    host, node, parent, pages, looks (presentation importance), says (content
+    importance, NULL without text), links (share of the text in links), article.
     """
-    # the paths are few and repeated: one row per host and node, before anything else is shuffled
-    seen = pages.select("host", _seen(F.col("html"), by_name).alias("s"))
-    facts = seen.select("host", F.explode("s.facts").alias("f")).select("host", "f.*")
-    paths = (seen.select("host", F.explode("s.paths").alias("p")).select("host", "p.*")
-             .groupBy("host", "node").agg(F.first("around").alias("around"), F.first("article").alias("article")))
-    counted = facts.groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n"))
+    counted = (pages.select("host", F.explode(_facts(F.col("html"), by_name)).alias("f")).select("host", "f.*")
+               .groupBy("host", "node", "kind", "value").agg(F.sum("n").alias("n")))
 
     def of(kind: int, value):
         return F.sum(F.when(F.col("kind") == kind, value))
@@ -339,28 +337,31 @@ def style_trees(pages: DataFrame, by_name: bool = True) -> tuple[DataFrame, Data
     sums = counted.groupBy("host", "node").agg(
         of(LOOK, F.col("n")).alias("pages"), of(LOOK, n * F.log(n)).alias("look_bits"),
         of(PHRASE, F.lit(1)).alias("phrases"), of(PHRASE, F.log(n)).alias("phrase_bits"),
-        of(CHARACTERS, F.col("n")).alias("characters"), of(LINKED, F.col("n")).alias("linked"))
+        of(CHARACTERS, F.col("n")).alias("characters"), of(LINKED, F.col("n")).alias("linked"),
+        F.max(F.when(F.col("kind") == PARENT, F.col("value"))).alias("parent"),
+        F.max(F.col("kind") == ARTICLE_TEXT).alias("article"))
     m = F.log("pages")
     one = F.lit(1.0)
-    nodes = sums.select(
-        "host", "node", "pages",
+    return sums.select(
+        "host", "node", "parent", "pages",
         F.when(F.col("pages") > 1, one - F.col("look_bits") / (F.col("pages") * m)).otherwise(one).alias("looks"),
         F.when(F.col("pages") > 1, one - F.col("phrase_bits") / (F.col("phrases") * m))
         .when(F.col("phrases").isNotNull(), one).alias("says"),
-        F.coalesce(F.col("linked") / F.col("characters"), F.lit(0.0)).alias("links"))
-    return nodes, paths
+        F.coalesce(F.col("linked") / F.col("characters"), F.lit(0.0)).alias("links"), "article")
 
 
-def removed_nodes(nodes: DataFrame, paths: DataFrame) -> DataFrame:
+def removed_nodes(nodes: DataFrame) -> DataFrame:
     """host, node, importance of the nodes with text that go."""
-    # presentation of the elements around a node, the nearest with half the weight, the next with a quarter
-    around = (paths.select("host", "node", F.posexplode("around").alias("i", "outer"))
-              .join(nodes.select("host", F.col("node").alias("outer"), "looks"), ["host", "outer"])
-              .groupBy("host", "node").agg((F.sum(F.col("looks") / F.pow(F.lit(2.0), F.col("i")))
-                                            / F.sum(F.lit(1.0) / F.pow(F.lit(2.0), F.col("i")))).alias("around")))
-    own = (nodes.where(F.col("says").isNotNull()).join(paths.select("host", "node", "article"), ["host", "node"])
-           .join(around, ["host", "node"], "left")
-           .withColumn("score", CONTENT * F.col("says") + (1 - CONTENT) * F.coalesce("around", F.lit(0.0))))
+    own = nodes.where(F.col("says").isNotNull()).select("*", F.col("parent").alias("outer"), F.lit(0.0).alias("around"),
+                                                        F.lit(0.0).alias("weight"))
+    for i in range(AROUND):     # presentation of the elements around it, the nearest with half the weight, the next with a quarter
+        outer = nodes.select(F.col("host").alias("h"), F.col("node").alias("o"), F.col("parent").alias("next"), F.col("looks").alias("l"))
+        part = F.when(F.col("l").isNotNull(), 0.5 ** (i + 1)).otherwise(0.0)
+        own = (own.join(outer, (F.col("host") == F.col("h")) & (F.col("outer") == F.col("o")), "left")
+               .withColumn("around", F.col("around") + part * F.coalesce("l", F.lit(0.0)))
+               .withColumn("weight", F.col("weight") + part).withColumn("outer", F.col("next")).drop("h", "o", "next", "l"))
+    looks = F.when(F.col("weight") > 0, F.col("around") / F.col("weight")).otherwise(0.0)
+    own = own.withColumn("score", CONTENT * F.col("says") + (1 - CONTENT) * looks)
     # a host of one page tells nothing about repetition
     every = own.where("pages > 1").groupBy("node").agg(F.sum("pages").alias("all_pages"),
                                                        (F.sum(F.col("score") * F.col("pages")) / F.sum("pages")).alias("all_score"))
@@ -384,9 +385,8 @@ def extract(pages: DataFrame, by_name: bool = True) -> DataFrame:
     ignored; an empty table gives no rows.
     """
     rows = pages.select("page_id", "url", "html", host_and_path(F.col("url"))[0].alias("host"))
-    nodes, paths = style_trees(rows.select("host", "html"), by_name)
-    cut = removed_nodes(stage(nodes, "style-trees"), stage(paths, "style-paths"))
-    cuts = stage(cut.groupBy("host").agg(F.collect_set("node").alias("removed")), "removed")
+    cut = removed_nodes(stage(style_trees(rows.select("host", "html"), by_name), "style-trees"))
+    cuts = cut.groupBy("host").agg(F.collect_set("node").alias("removed"))
     # at most a thousand hosts have a thousandth of the pages: a broadcast list of bounded size
     total = rows.count()
     sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * 1000 > total)
@@ -394,8 +394,10 @@ def extract(pages: DataFrame, by_name: bool = True) -> DataFrame:
         [(r["host"], math.ceil(1000 * r["n"] / total)) for r in sizes.collect()], "host string, parts int")
     dealt = (rows.join(F.broadcast(hot), "host", "left")
              .withColumn("part", F.pmod(F.xxhash64("page_id", "url", "html"), F.coalesce("parts", F.lit(1)))))
-    copies = (cuts.join(F.broadcast(hot), "host", "left")
-              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1))).drop("parts"))
+    # written, so that its size is known when the join is planned
+    copies = stage(cuts.join(F.broadcast(hot), "host", "left")
+                   .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)))
+                   .drop("parts"), "removed")
     return (dealt.join(copies, ["host", "part"], "left")
             .select("page_id", "url", _extracted(F.col("html"), F.col("removed"), by_name).alias("text"))
             .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars")))

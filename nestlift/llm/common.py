@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,26 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         del _STAGED[mark:]
 
 
+def each(column: pa.Array) -> Iterator:
+    """The values of a column one by one: long texts are not all held as Python strings at once."""
+    return (x.as_py() for x in column)
+
+
+_CACHE: dict[object, object] = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between batches: one operator's caches at a time.
+
+    Workers outlive stages, so without this each stage of a pipeline would add its
+    caches to those of the stages before.
+    """
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,8 @@ which equals the share of common shingles when all weights are equal.
    of up to ``small`` nodes are then finished pair by pair across classes.
 5. The nodes of larger buckets that still hold several classes are finished by an
    exact join (``near_pairs``): a near pair shares one of the rarest shingles of
-   both, so texts that have only a frequent template in common do not meet. All
+   both, so texts that have only a frequent template in common do not meet, nor do
+   texts whose own rare shingles already keep them below the threshold. All
    such pairs across classes are verified, and no partner is cut off by the size
    of its bucket.
 
@@ -33,7 +34,6 @@ Nothing is collected but counts; classes are built by distributed label passing.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -41,8 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from nestlift.llm.common import stage
+from nestlift.llm.common import each, stage, worker_cache
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -51,7 +52,6 @@ CACHE_WORDS = 300_000
 ROUNDS = 1
 SMALL_BUCKET = 32
 FINER_BANDS = 100
-COUNTER_BITS = 18       # counters that order shingles by frequency; any order gives the same pairs
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,9 +73,8 @@ class _WordHashes(dict):
         return h
 
 
-@functools.lru_cache(maxsize=1)
 def _hashes() -> _WordHashes:
-    return _WordHashes()
+    return worker_cache("near_dedup", _WordHashes)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -165,7 +164,7 @@ def signed(text: Column, n_bands: int = BANDS, rows: int = ROWS) -> Column:
     @F.arrow_udf(NODE)
     def sign(texts: pa.Array) -> pa.Array:
         nodes, keys = [], []
-        for text in texts.to_pylist():
+        for text in each(texts):
             words = words_of(text)
             nodes.append(hashlib.md5(b" ".join(words)).digest())
             keys.append(bands(signature(*bag(words), n_bands * rows), n_bands, rows) if words else [])
@@ -179,61 +178,77 @@ def signed(text: Column, n_bands: int = BANDS, rows: int = ROWS) -> Column:
 def text_similarity(a: pa.Array, b: pa.Array) -> pa.Array:
     """Exact similarity of two text columns. Pairs of one leader come together, so its bag is kept."""
     out, last, left = [], None, None
-    for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
+    for x, y in zip(each(a), each(b), strict=True):
         if left is None or x != last:
             last, left = x, bag(words_of(x))
         out.append(similarity(left, bag(words_of(y))))
     return pa.array(out, pa.float64())
 
 
-def prefixes(ids: np.ndarray, weights: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
-    """The rarest shingles of a bag that a near one must share, and how many of them are its short prefix.
+def most_alike(before_a, all_a, kinds_a, at_a, before_b, all_b, kinds_b, at_b, greatest=max, least=min):
+    """An upper bound of the similarity of two bags whose first common shingle, in an order of all, is known.
 
-    If u and v are the shares of two bags' weight outside the other one, then
-    J <= (1 - u)(1 - v) / (1 - uv). So J >= t needs u, v <= 1 - t, and the less of
-    them <= (1 - t) / (1 + t). In an order of all shingles, the first common one
-    is then among the first of either bag that outweigh 1 - t, and of one bag
-    among the first that outweigh (1 - t) / (1 + t).
+    at: the bag's shingles before it; before: their weight; kinds and all: its
+    shingles and their weight. Those before it are not in the other bag, so at most
+    ``common`` shingles are in both, and each of the rest weighs 1 or more. If u and v
+    are the shares of the bags' weight outside each other, J <= (1 - u)(1 - v) / (1 - uv).
     """
-    order = np.lexsort((ids, counts[(ids >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]))
-    ids, before = ids[order], np.cumsum(weights[order]) - weights[order]
-    share = before / max(1, weights.sum()) - 1e-9               # a rounding more, never one less
-    return (ids[share <= 1 - threshold].view(np.int64),
-            int(np.count_nonzero(share <= (1 - threshold) / (1 + threshold))))
+    common = least(kinds_a - at_a, kinds_b - at_b)
+    u = greatest(before_a, kinds_a - common) / all_a
+    v = greatest(before_b, kinds_b - common) / all_b
+    return (1 - u) * (1 - v) / (1 - u * v)
+
+
+_BAG = T.ArrayType(T.StructType([T.StructField("shingle", T.LongType()), T.StructField("weight", T.LongType())]))
+
+
+@F.arrow_udf(_BAG)
+def _bags(texts: pa.Array) -> pa.Array:
+    ids, weights, ends = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [0]
+    for t in each(texts):
+        own = bag(words_of(t))
+        ids.append(own[0])
+        weights.append(own[1])
+        ends.append(ends[-1] + len(own[0]))
+    rows = pa.StructArray.from_arrays([pa.array(np.concatenate(ids).view(np.int64)), pa.array(np.concatenate(weights))],
+                                      ["shingle", "weight"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 def near_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     """a, b: every pair of nodes of two classes that can be near. ``nodes``: node, label, text.
 
-    A shingle's rows of its largest class meet only those of other classes, never each other.
+    With u, v as in ``most_alike``, J >= t needs u, v <= 1 - t, and the less of them
+    <= (1 - t) / (1 + t). So in an order of all shingles, the first that two near bags
+    have in common is among the first of either that outweigh 1 - t, and of one among
+    the first that outweigh (1 - t) / (1 + t). The order is by the number of nodes that
+    hold the shingle, the rarest first. Nodes meet on these prefixes if ``most_alike``
+    allows the threshold at that place; the row of the first common shingle always
+    does. A shingle's rows of its largest class meet only those of other classes.
     """
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def counters(texts: pa.Array) -> pa.Array:
-        return pa.array([(bag(words_of(t))[0] >> np.uint64(64 - COUNTER_BITS)).astype(np.int32) for t in texts.to_pylist()],
-                        pa.list_(pa.int32()))
-
-    counts = np.zeros(1 << COUNTER_BITS, np.int64)
-    seen = nodes.select(F.explode(counters("text")).alias("c")).groupBy("c").count().toArrow()
-    counts[seen["c"].to_numpy()] = seen["count"].to_numpy()
-
-    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("shingle", T.LongType()), T.StructField("short", T.BooleanType())])))
-    def first(texts: pa.Array) -> pa.Array:
-        kind = pa.list_(pa.struct([("shingle", pa.int64()), ("short", pa.bool_())]))
-        out = []
-        for t in texts.to_pylist():
-            ids, short = prefixes(*bag(words_of(t)), counts, threshold)
-            out.append([{"shingle": x, "short": i < short} for i, x in enumerate(ids.tolist())])
-        return pa.array(out, kind)
-
-    rows = stage(nodes.select("node", "label", F.explode(first("text")).alias("p")).select("node", "label", "p.*"), "prefixes")
+    own = stage(nodes.select("node", "label", F.explode(_bags("text")).alias("s")).select("node", "label", "s.*"), "shingles")
+    seen = stage(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+                 .where("n > 1"), "counts")
+    every, order = Window.partitionBy("node"), Window.partitionBy("node").orderBy("n", "shingle")
+    placed = (own.join(seen, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+              .withColumn("at", F.row_number().over(order) - 1)
+              .withColumn("before", F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight"))
+              .withColumn("all", F.sum("weight").over(every)).withColumn("kinds", F.count(F.lit(1)).over(every)))
+    share = F.col("before") / F.col("all") - 1e-9               # a rounding more, never one less
+    rows = stage(placed.where((share <= 1 - threshold) & (F.col("lo") < F.col("hi")))
+                 .select("shingle", "node", "label", "before", "all", "kinds", "at",
+                         (share <= (1 - threshold) / (1 + threshold)).alias("short")), "prefixes")
     by_class = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (by_class.groupBy("shingle").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k"))
-             .where("k > 1").select("shingle", "most"))
+    mixed = stage(by_class.groupBy("shingle").agg(F.max(F.struct("n", "label"))["label"].alias("most"), F.count(F.lit(1)).alias("k"))
+                  .where("k > 1").select("shingle", "most"), "mixed")
     rows = stage(rows.join(mixed, "shingle"), "prefixes")
-    minor = rows.where("label <> most").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), F.col("short").alias("sa"))
-    every = rows.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("short").alias("sb"))
-    met = minor.hint("merge").join(every, "shingle").where((F.col("la") != F.col("lb")) & (F.col("sa") | F.col("sb")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).dropDuplicates()
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "before", "all", "kinds", "at", "short")]
+    minor = rows.where("label <> most").select("shingle", *side("a"))
+    bound = most_alike(*(F.col(f"{c}_{x}") for x in "ab" for c in ("before", "all", "kinds", "at")), F.greatest, F.least)
+    met = minor.hint("merge").join(rows.select(F.col("shingle").alias("same"), *side("b")),
+                                   (F.col("shingle") == F.col("same")) & (F.col("label_a") != F.col("label_b"))
+                                   & (F.col("short_a") | F.col("short_b")) & (bound >= threshold - 1e-9))
+    return (met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).dropDuplicates())
 
 
 def classes(links: DataFrame) -> DataFrame:
@@ -293,9 +308,19 @@ class _Linker:
         if not found.limit(1).count():
             return False
         self.links = self.links.unionByName(found)
-        self.label = classes(self.links)
+        self.merge(found)
         return True
 
+    def merge(self, found: DataFrame) -> None:
+        """Join the classes that new links connect; the old links are not looked at again."""
+        name = lambda x: self.label.select(F.col("node").alias(x), F.col("label").alias(f"l{x}"))
+        joined = classes(found.join(name("a"), "a", "left").join(name("b"), "b", "left")
+                         .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+        to = joined.withColumnRenamed("label", "to").withColumnRenamed("node", "label")
+        kept = self.label.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+        alone = joined.join(self.label.select("node"), "node", "left_anti")
+        self.label = stage(kept.unionByName(alone), "node-labels")
+
     def open(self, members: DataFrame) -> DataFrame:
         """The members of buckets that hold more than one class, with their class as ``label``."""
         known = stage(members.join(self.label, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")

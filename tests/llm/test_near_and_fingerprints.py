@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nestlift.llm.fingerprint import Digest, edited, edited_fingerprints, likeness
-from nestlift.llm.near_dedup import (COUNTER_BITS, bag, classes, drop_near_duplicates, mix64, near_classes, prefixes,
+from nestlift.llm.near_dedup import (bag, classes, drop_near_duplicates, mix64, most_alike, near_classes, near_pairs,
                                      signature, similarity, words_of)
 
 
@@ -109,19 +109,48 @@ def test_near_pairs_that_share_a_template(spark):
     assert Counter((r.doc_id, r.class_id) for r in got) == want
 
 
-def test_first_common_shingle_is_in_both_prefixes():
-    rng, near = np.random.default_rng(3), 0
-    counts = rng.integers(0, 3, 1 << COUNTER_BITS)
-    for _ in range(2000):
+def test_first_common_shingle_bounds_the_similarity():
+    rng, near, apart = np.random.default_rng(3), 0, 0
+    for _ in range(3000):
         ids = np.sort(mix64(rng.integers(1, 2**62, 30).astype(np.uint64)))
-        x = rng.integers(0, 9, 30) * (rng.random(30) < .95)
-        y = np.where(rng.random(30) < .9, x * rng.integers(1, 3), rng.integers(0, 4, 30))
+        x = rng.integers(0, 9 if rng.random() < .5 else 2, 30) * (rng.random(30) < .95)
+        y = np.where(rng.random(30) < rng.uniform(.3, 1), x * rng.integers(1, 3), rng.integers(0, 3, 30))
         a, b = (ids[x > 0], x[x > 0]), (ids[y > 0], y[y > 0])
-        if similarity(a, b) >= .8:
+        order = rng.permutation(30)                                 # any order of all shingles will do
+        both = [i for i in order if x[i] > 0 and y[i] > 0]
+        if not both:
+            continue
+        before = order[: list(order).index(both[0])]
+        place = [f for z in (x, y) for f in (z[before].sum(), z.sum(), (z > 0).sum(), (z[before] > 0).sum())]
+        bound, true = most_alike(*place), similarity(a, b)
+        assert true <= bound + 1e-9
+        apart += bound < .8
+        if true >= .8:
             near += 1
-            (p, m), (q, n) = prefixes(*a, counts, .8), prefixes(*b, counts, .8)
-            assert set(p[:m].tolist()) & set(q.tolist()) or set(p.tolist()) & set(q[:n].tolist())
-    assert near > 100
+            u, v = place[0] / place[1], place[4] / place[5]
+            assert max(u, v) <= .2 + 1e-9 and min(u, v) <= .2 / 1.8 + 1e-9
+    assert near > 100 and apart > 100
+
+
+def test_near_pairs_find_every_near_pair_and_few_others(spark):
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    base, rows = [word() for _ in range(150)], []
+    for i in range(300):                                            # one group of near copies with 0 to 12 edits
+        t = list(base)
+        for _ in range(rnd.randint(0, 12)):
+            t[rnd.randrange(len(t))] = word()
+        rows.append((f"{i:04d}".encode(), " ".join(t)))
+    bags = {n: bag(words_of(t)) for n, t in rows}
+    want = {(a, b) for a in bags for b in bags if a < b and similarity(bags[a], bags[b]) >= .8}
+    alone = spark.createDataFrame([(n, n, t) for n, t in rows], "node binary, label binary, text string")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_pairs(alone, .8).collect()}
+    assert want and want <= got
+    # once the texts of up to three edits are one class, hardly any of the others can be near it
+    one = {n: rows[0][0] if similarity(bags[n], bag([w.encode() for w in base])) >= .8 else n for n, _ in rows}
+    classed = spark.createDataFrame([(n, one[n], t) for n, t in rows], "node binary, label binary, text string")
+    left = {(bytes(r.a), bytes(r.b)) for r in near_pairs(classed, .8).collect()}
+    assert {p for p in want if one[p[0]] != one[p[1]]} <= left and len(left) < 300
 
 
 def test_near_classes_of_nothing(spark):

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nestlift.llm.common import stage
+from nestlift.llm.common import each, stage
 
 MIN_DOCS = 3
 SCALE = 1_000_000_000
@@ -79,7 +79,7 @@ def term_counts(docs: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
                     pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], schema=schema)
 
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+            for lang, source, text in zip(*(each(batch.column(c)) for c in ("lang", "source", "text")), strict=True):
                 own = held.setdefault((lang, place[lang][source]), {})
                 size -= len(own)
                 seen: dict[bytes, int] = {}

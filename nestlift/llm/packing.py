@@ -20,7 +20,6 @@ pieces gets which place is open); other columns are ignored.
 from __future__ import annotations
 
 import bisect
-import functools
 import os
 import re
 import zlib
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from nestlift.llm.common import stage
+from nestlift.llm.common import each, stage, worker_cache
 from nestlift.llm.token_count import byte_symbols
 
 CACHE_CHUNKS = 500_000
@@ -133,9 +132,8 @@ class _WordIds(dict):
         return ids
 
 
-@functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return worker_cache(("packing", path), lambda: ChunkEncoder(path))
 
 
 def cuts(n: int, max_len: int) -> list[int]:
@@ -152,7 +150,7 @@ def pieces(text: Column, path: str, max_len: int, end_id: int) -> Column:
     def cut(texts: pa.Array) -> pa.Array:
         enc = _encoder(path)
         out = []
-        for text in texts.to_pylist():
+        for text in each(texts):
             ids = enc.ids(text or "") + end
             at, row = 0, []
             for i, n in enumerate(cuts(len(ids) // 4, max_len)):
@@ -171,7 +169,7 @@ def token_ids(text: Column, path: str, end_id: int = 0) -> Column:
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def encode(texts: pa.Array) -> pa.Array:
         enc = _encoder(path)
-        return pa.array([np.frombuffer(enc.ids(t or ""), "<u4").tolist() + [end_id] for t in texts.to_pylist()],
+        return pa.array([np.frombuffer(enc.ids(t or ""), "<u4").tolist() + [end_id] for t in each(texts)],
                         pa.list_(pa.int64()))
 
     return encode(text)

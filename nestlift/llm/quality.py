@@ -14,7 +14,6 @@ so workers keep the projected vectors they have seen (bounded; speed only).
 
 from __future__ import annotations
 
-import functools
 import math
 import zlib
 from collections.abc import Sequence
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestlift.llm.common import labelled_sample
+from nestlift.llm.common import each, labelled_sample, worker_cache
 
 BITS, DIM = 17, 8
 GRAMS = (2, 3, 4)
@@ -151,10 +150,8 @@ def train(texts: Sequence[str], labels: Sequence[int], prior: float | None = Non
     return Model((vectors @ d).astype(np.float32), b)
 
 
-
-@functools.lru_cache(maxsize=2)
 def _model(weights: bytes, bias: float) -> Model:
-    return Model(np.frombuffer(weights, np.float32), bias)
+    return worker_cache(("quality", weights, bias), lambda: Model(np.frombuffer(weights, np.float32), bias))
 
 
 def score(text: Column, model: Model) -> Column:
@@ -164,7 +161,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         m = _model(weights, bias)                   # kept by the worker from task to task
-        return pa.array([m.score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([m.score(t) for t in each(texts)], pa.float64())
 
     return scored(text)
 

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestlift.llm.common import stage
+from nestlift.llm.common import each, stage, worker_cache
 from nestlift.llm.url_filter import host_and_path
 
 DEPTH = 24
@@ -142,9 +142,8 @@ class _Nodes(dict):
         return node
 
 
-@functools.lru_cache(maxsize=1)
 def _nodes() -> _Nodes:
-    return _Nodes()
+    return worker_cache("site_tree", _Nodes)
 
 
 @functools.lru_cache(maxsize=64)
@@ -301,8 +300,8 @@ def _facts(pages: Column, by_name: bool) -> Column:
     def see(sources: pa.Array) -> pa.Array:
         rows: list[tuple[int, int, int, int]] = []
         ends = [0]
-        for source in sources:
-            rows += page_facts(parse(source.as_py() or "", by_name))
+        for source in each(sources):
+            rows += page_facts(parse(source or "", by_name))
             ends.append(len(rows))
         node, kind, value, n = zip(*rows, strict=True) if rows else ((), (), (), ())
         fact = pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(kind, pa.int32()), pa.array(value, pa.int64()),

@@ -13,7 +13,6 @@ changes speed only).
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 import unicodedata
@@ -23,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestlift.llm.common import each, worker_cache
+
 CACHE_WORDS = 300_000
 # white space as the vocabulary's patterns see it (str.split also cuts at \x1c-\x1f)
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -155,9 +156,8 @@ class _Chunks(dict):
         return n
 
 
-@functools.lru_cache(maxsize=2)
 def _counter(path: str) -> MergeCounter:
-    return MergeCounter(path)
+    return worker_cache(("token_count", path), lambda: MergeCounter(path))
 
 
 def token_count(text: Column, path: str) -> Column:
@@ -169,7 +169,7 @@ def token_count(text: Column, path: str) -> Column:
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         c = _counter(path)
-        return pa.array([c.count(t) for t in texts.to_pylist()], pa.int64())
+        return pa.array([c.count(t) for t in each(texts)], pa.int64())
 
     return count(text)
 

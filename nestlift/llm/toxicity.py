@@ -17,7 +17,6 @@ the texts, without a shuffle.
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 import zlib
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestlift.llm.common import labelled_sample
+from nestlift.llm.common import each, labelled_sample, worker_cache
 
 BITS = 18
 GRAMS = (3, 4, 5, 6)
@@ -103,19 +102,21 @@ class Model:
         f = self.cache.get(word)
         if f is None:
             f = tuple(x for x in features(word).tolist() if x in self.weight)
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            if len(word) <= 64:
-                self.cache[word] = f
+            self.hold(word, f)
         return f
 
+    def hold(self, word: str, f: tuple[int, ...]) -> None:
+        if len(self.cache) >= CACHE_WORDS:
+            self.cache.clear()
+        if len(word) <= 64:
+            self.cache[word] = f
+
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """Kept features of a run of characters without white space, in lower case."""
         f = self.cache.get(chunk)
         if f is None:
             f = self.hits(chunk) if chunk.isalpha() else tuple({x for w in _WORD.findall(chunk) for x in self.hits(w)})
-            if len(chunk) <= 64:
-                self.cache[chunk] = f
+            self.hold(chunk, f)
         return f
 
     def score(self, text: str | None) -> float:
@@ -174,9 +175,9 @@ def train(texts: Sequence[str], toxic: Sequence[int], prior: float | None = None
     return Model(ids, w.astype(float), float(b))
 
 
-@functools.lru_cache(maxsize=2)
 def _model(ids: bytes, weights: bytes, bias: float) -> Model:
-    return Model(np.frombuffer(ids, np.int64), np.frombuffer(weights), bias)
+    return worker_cache(("toxicity", ids, weights, bias),
+                        lambda: Model(np.frombuffer(ids, np.int64), np.frombuffer(weights), bias))
 
 
 def score(text: Column, model: Model) -> Column:
@@ -186,7 +187,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         m = _model(*key)                            # kept by the worker from task to task
-        return pa.array([m.score(t) for t in texts.to_pylist()], pa.float64())
+        return pa.array([m.score(t) for t in each(texts)], pa.float64())
 
     return scored(text)
 

@@ -130,13 +130,18 @@ def _merged(runs: DataFrame) -> DataFrame:
             .groupBy("_doc", "_text").agg(F.sort_array(F.collect_list(F.struct("p0", "p1"))).alias("_cut")))
 
 
+def _with_cuts(docs: DataFrame, min_words: int) -> DataFrame:
+    """``_row``, the documents as structs (so that no name of theirs clashes), and ``_cut``."""
+    cut = stage(_merged(repeated_runs(docs.select("doc_id", "text"), min_words)), "line-cuts")
+    keyed = docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("_key"))
+    # the cuts grow with the corpus: dealt by document at every size, hashed per partition (texts are not sorted)
+    return keyed.join(cut.hint("shuffle_hash"), F.col("_row.doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
+                      & F.col("_row.text").isNotNull(), "left").select("_row", "_cut")
+
+
 def mark_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``_cut``: the line runs to delete (p0 to p1), NULL if there are none."""
-    cut = stage(_merged(repeated_runs(docs, min_words)), "line-cuts")
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    # the cuts grow with the corpus: dealt by document at every size, hashed per partition (texts are not sorted)
-    return (keyed.join(cut.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_text"))
-                       & F.col("text").isNotNull(), "left").drop("_key", "_doc", "_text"))
+    return _with_cuts(docs.drop("_cut"), min_words).select("_row.*", "_cut")
 
 
 def without(text: Column, cut: Column) -> Column:
@@ -155,12 +160,12 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, drop_emptied: bool
     ``drop_emptied`` leaves out documents of which no word is left; those that
     had none before stay.
     """
-    marked = mark_runs(docs, min_words)
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("_cut")))
-    out = marked.withColumn("text", text)
+    marked, cut = _with_cuts(docs, min_words), F.col("_cut")
+    text = F.when(cut.isNull(), F.col("_row.text")).otherwise(without(F.col("_row.text"), cut))
+    out = marked.withColumn("_row", F.col("_row").withField("text", text))
     if drop_emptied:
-        out = out.where(F.col("_cut").isNull() | F.col("text").rlike(WORD))
+        out = out.where(cut.isNull() | F.col("_row.text").rlike(WORD))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+        n = F.when(cut.isNull(), F.col("_row.n_chars")).otherwise(F.length("_row.text").cast(docs.schema["n_chars"].dataType))
+        out = out.withColumn("_row", F.col("_row").withField("n_chars", n))
+    return out.select("_row.*")

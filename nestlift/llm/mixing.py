@@ -92,24 +92,33 @@ def apportion(cells: DataFrame, group: list[str], key: list[str], weight: str, s
     return won.unionByName(c.where(~(F.col(weight) > 0)).select(*cells.columns, F.lit(0).cast("long").alias(out)))
 
 
-def taken_before(x: Column, blocks: Column, quota: Column, start: Column, block_words: int) -> Column:
+def chosen_before(i: Column, blocks: Column, rest: Column, start: Column, together: bool) -> Column:
+    """How many of a shard's first ``i`` blocks are chosen, of ``rest`` in all.
+
+    Evenly spread from a seeded start: block j is chosen when floor((j + start) * rest / blocks)
+    steps up after it. ``together``: the ``rest`` blocks from the start on, round the end.
+    """
+    if together:
+        zero, stop = F.lit(0).cast("long"), start + rest
+        return F.greatest(zero, F.least(i, stop) - start) + F.greatest(zero, F.least(i, stop - blocks))
+    steps = lambda i: F.floor((i + start) * rest / blocks)
+    return steps(i) - steps(F.lit(0))
+
+
+def taken_before(x: Column, blocks: Column, quota: Column, start: Column, block_words: int, together: bool = False) -> Column:
     """Words taken from the first ``x`` words of a shard's stream.
 
-    Every full round of the quota takes all blocks. Of the rest, block j is
-    chosen when floor((j + start) * rest / blocks) steps up after it: exactly
-    ``rest`` blocks, evenly spread from a seeded start. All blocks but a shard's
-    last have the same size.
+    Every full round of the quota takes all blocks, and ``chosen_before`` says which ones
+    its rest takes. All blocks but a shard's last have the same size.
     """
-    rest = quota % blocks
     j = F.floor(x / block_words)
-    steps = lambda i: F.floor((i + start) * rest / blocks)
-    return (F.floor(quota / blocks) * x + block_words * (steps(j) - steps(F.lit(0)))
-            + (steps(j + 1) - steps(j)) * (x - j * block_words)).cast("long")
+    before, after = (chosen_before(i, blocks, quota % blocks, start, together) for i in (j, j + 1))
+    return (F.floor(quota / blocks) * x + block_words * before + (after - before) * (x - j * block_words)).cast("long")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, stop: float = 2.0,
         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 11,
-        keep: Sequence[Column] = ()) -> DataFrame:
+        keep: Sequence[Column] = (), together: bool = False) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies, source, shard, quota: one row per document.
 
     ``weights`` repeat over the sources in order; ``share`` is the mix's size in
@@ -137,7 +146,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5,
     placed = (sharded.join(shards, F.col("_s").eqNullSafe(F.col("source")) & (F.col("_h") == F.col("shard")))
               .withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("_begin", F.col("_end") - F.col("size")))
-    before = lambda c: taken_before(c, F.col("blocks"), F.col("quota"), F.col("start"), block_words)
+    before = lambda c: taken_before(c, F.col("blocks"), F.col("quota"), F.col("start"), block_words, together)
     taken = F.when(F.col("size") > 0, before(F.col("_end")) - before(F.col("_begin"))).otherwise(F.lit(0).cast("long"))
     first = F.floor(F.col("_begin") / block_words)
     rest, steps = F.col("quota") % F.col("blocks"), lambda i: F.floor((i + F.col("start")) * rest / F.col("blocks"))
@@ -152,32 +161,37 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
-def write_mix(docs: DataFrame, block_words: int = WHOLE_BLOCK_WORDS, parts: bool = False, **parameters) -> DataFrame:
+def write_mix(docs: DataFrame, block_words: int | None = None, parts: bool = False, **parameters) -> DataFrame:
     """The mix as documents; the columns of ``docs``.
 
     Whole documents: each once for every time the block it begins in is taken,
-    so nothing is cut, but a document longer than a block counts as one block.
-    With ``parts``, each is written whole as often as its ``taken`` words hold
-    it, and a copy that ends after the words that remain, so a source gets its
-    quota of words however long its documents are (``n_chars`` follows the text).
+    so nothing is cut, but a document longer than a block (of WHOLE_BLOCK_WORDS)
+    counts as one block, and a source of less than a block can be left out.
+    With ``parts``, the quotas are in blocks of BLOCK_WORDS, a shard's chosen blocks
+    lie together, and a document is written whole as often as its ``taken`` words
+    hold it, and once more up to the words that remain. So every source gets its
+    quota of words however small it is or long its documents are, and a shard cuts
+    two documents at most (``n_chars`` follows the text).
     Equal rows of a source are written equally often; with ``parts`` they share
     their taken words evenly.
     """
     key = [F.xxhash64("doc_id", "text", "source").alias("_k1"), F.xxhash64(F.lit("row"), "source", "text", "doc_id").alias("_k2")]
-    mixed = mix(docs, block_words=block_words, keep=key, **parameters)
+    mixed = mix(docs, block_words=block_words or (BLOCK_WORDS if parts else WHOLE_BLOCK_WORDS), keep=key, together=parts, **parameters)
     share = F.round(F.avg("taken")).cast("long")
     whole = F.when(F.max("size") > 0, F.floor(share / F.max("size"))).otherwise(F.lit(1)) if parts else F.min("copies")
     rest = F.when(F.max("size") > 0, share % F.max("size")) if parts else F.lit(0)
     times = stage(mixed.groupBy("_k1", "_k2").agg(whole.cast("long").alias("_whole"),
                                                   F.coalesce(rest, F.lit(0)).cast("long").alias("_rest")), "mix-copies")
     times = times.withColumn("_times", F.col("_whole") + (F.col("_rest") > 0).cast("long"))
-    # as many rows as documents: dealt by row at every size, hashed per partition (texts are not sorted)
-    out = (docs.select("*", *key).join(times.where("_times > 0").hint("shuffle_hash"), ["_k1", "_k2"])
+    # as many rows as documents: dealt by row at every size, hashed per partition (texts are not sorted);
+    # a document's own columns travel in one struct, so their names cannot clash
+    out = (docs.select(F.struct("*").alias("_row"), *key).join(times.where("_times > 0").hint("shuffle_hash"), ["_k1", "_k2"])
            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))))
     if parts:
         cut = F.col("_copy") > F.col("_whole")
-        out = out.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("_rest"))).otherwise(F.col("text")))
+        text = F.when(cut, first_words(F.col("_row.text"), F.col("_rest"))).otherwise(F.col("_row.text"))
+        out = out.withColumn("_row", F.col("_row").withField("text", text))
         if "n_chars" in docs.columns:
-            kind = docs.schema["n_chars"].dataType
-            out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+            n = F.when(cut, F.length("_row.text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+            out = out.withColumn("_row", F.col("_row").withField("n_chars", n))
+    return out.select("_row.*")

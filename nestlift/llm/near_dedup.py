@@ -421,5 +421,5 @@ def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """The documents that stand for their classes, one row each; the columns of ``docs``."""
     keep = stage(near_classes(docs, **parameters).where("kept").select("_k1", "_k2").dropDuplicates(), "kept")
     # as many rows as documents: dealt by row at every size
-    return (docs.select("*", *_row_key()).join(keep.hint("merge"), ["_k1", "_k2"])
-            .dropDuplicates(["_k1", "_k2"]).select(*docs.columns))
+    return (docs.select(F.struct("*").alias("_row"), *_row_key()).join(keep.hint("merge"), ["_k1", "_k2"])
+            .dropDuplicates(["_k1", "_k2"]).select("_row.*"))

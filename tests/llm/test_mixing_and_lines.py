@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from nestlift.llm.line_dedup import dedup_lines, mark_runs
 from nestlift.llm.mixing import apportion, mix, write_mix
+from nestlift.llm.near_dedup import drop_near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -89,6 +90,36 @@ def test_write_mix_keeps_columns_and_whole_texts(spark):
     assert sum(words[k] * n for k, n in times.items()) == pytest.approx(1.5 * sum(words.values()), rel=0.15)
 
 
+def test_small_sources_keep_their_share_in_parts(spark):
+    rows = [(i, f"{i} " + "w " * 49, "large") for i in range(10_000)]
+    rows += [(20_000 + i, f"{i} " + "x " * 49, "mid") for i in range(100)]
+    rows += [(30_000 + i, f"{i} " + "y " * 49, "small") for i in range(10)] + [(40_000, "z " * 50, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING")
+    taken, cut = Counter(), 0
+    texts = {r[0]: r[1] for r in rows}
+    for r in write_mix(docs, parts=True).collect():
+        taken[r.source] += len(WORD.findall(r.text))
+        cut += r.text != texts[r.doc_id]
+    for s, t in targets({"large": 500_000, "mid": 5_000, "small": 500, "tiny": 50}).items():
+        assert abs(taken[s] - t) <= 50 * (5 if s == "large" else 1), (s, taken[s], t)      # one document a shard
+    assert cut <= 2 * (5 + 3)                            # two documents a shard
+
+
+CLASHES = ("_key", "_doc", "_text", "_cut", "_k1", "_k2", "_row", "_times", "_copy", "_whole", "_rest", "_at", "shard", "label")
+
+
+def test_columns_that_clash_with_helper_names_pass_through(spark):
+    run = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, run, "a", 5), (2, run + "\nown words", "a", 5), (3, "other", "b", 5), (None, None, None, None), (4, "other", "b", 5)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, n_chars LONG")
+    docs = docs.select("*", *[F.lit(n).alias(n) for n in CLASHES])
+    for out in (dedup_lines(docs, drop_emptied=True), write_mix(docs, parts=True), write_mix(docs), drop_near_duplicates(docs)):
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[n] == n for r in got for n in CLASHES)
+    assert {r.doc_id for r in drop_near_duplicates(docs).collect()} == {1, 3, None}
+
+
 def test_parts_meet_targets_with_a_very_long_document(spark):
     rnd = random.Random(6)
     rows = [(i, f" \n{i} " + "w\t " * rnd.randint(100, 500), "abc"[i % 3], 0) for i in range(600)]

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "near_dedup", "mixing", "packing"]
 

@@ -442,6 +442,23 @@ def q_ingest_rerun(spark, sf_dir):
     return _main_cols(spark.read.parquet(run.versions["orders_main"])).join(stored, how="cross")
 
 
+def q_bronze_two_landings(spark, sf_dir):
+    """Two landings ingested with one load time, the first of them twice: each is there once, record by record."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    recs = landed(spark, sf_dir, "fx-o")
+    even = F.get_json_object("raw_json", "$.o_orderkey").cast("long") % 2 == 0
+    one, two = (write_landing(recs.where(c), scratch_path(spark, "landing")) for c in (even, ~even))
+    current: dict[str, str | None] = {}
+    for text in (one, two, one):
+        current = ingest(spark, sp, text, LOAD_TS, bronze, root, current, only="orders_main").versions
+    shape = shape_to_struct({"o_orderkey": "BIGINT", "o_custkey": "BIGINT"})
+    stored = (parse(read_bronze(spark, bronze), shape, keep=("source_file",))
+              .select("o_orderkey", "o_custkey", F.when(F.col("source_file") == one, "first").otherwise("second").alias("landing")))
+    main = spark.read.parquet(current["orders_main"]).select(F.col("o_orderkey").alias("key"), "o_totalprice")
+    return stored.join(main, stored["o_orderkey"] == main["key"], "full").drop("key")
+
+
 def q_backfill_rebuild(spark, sf_dir):
     """Rebuild one table from the bronze rows of one load-time range."""
     sp = specs.spec(specs.ORDERS)
@@ -535,6 +552,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_rebuild": q_backfill_rebuild,
     "backfill_two_loads": q_backfill_two_loads,
     "ingest_rerun": q_ingest_rerun,
+    "bronze_two_landings": q_bronze_two_landings,
     "quarantine": q_quarantine,
     "landing_gate": q_landing_gate,
     "preview": q_preview,

@@ -174,6 +174,8 @@ ORACLE: dict[str, str] = {
     "incremental_run": _TWO_LOADS,
     "backfill_two_loads": _TWO_LOADS,
     "ingest_rerun": f"SELECT {_ORDER_COLS}, (SELECT count(*) FROM orders) AS bronze_rows FROM orders",
+    "bronze_two_landings": """SELECT o_orderkey, o_custkey, o_totalprice,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS landing FROM orders""",
     "quarantine": """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'malformed' ELSE 'loaded' END AS outcome
   FROM events""",
     "preview": """SELECT 'orders_main' AS "table", least(10, count(*)) AS rows FROM orders

@@ -112,7 +112,7 @@ class RunResult:
     quarantine: str | None = None
 
 
-def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str, batch: int,
+def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str, batch: str,
          current: Mapping[str, str | None] | None, only: str | None, catalog: bool,
          partition_by: Mapping[str, list[str]] | None) -> RunResult:
     """Silver tables of ``bronze``, bad records set aside, everything upserted, scratch removed."""
@@ -137,15 +137,16 @@ def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime |
            partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
     """One incremental run: the landed text goes to bronze, then silver is upserted.
 
-    The load's rows are their own bronze partition, so running the same load
-    time again (after a failure, say) replaces them. The silver input is this
-    load's bronze rows read back by their single literal load time, so bronze
-    and silver agree on what was loaded. Malformed texts and records without
+    The load's rows are their own bronze partition, named by load time and
+    landing, so running the same load again (after a failure, say) replaces them,
+    and another landing loaded at the same time keeps its own. The silver input is
+    this batch read back from bronze, so bronze and silver agree on what was loaded. Malformed texts and records without
     the main key are written to ``RunResult.quarantine`` and counted.
     """
-    append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target, batch=batch_id(load_ts))
-    batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
-    return _run(spark, spec, batch, silver_root, batch_id(load_ts), current, only, catalog, partition_by)
+    batch = batch_id(load_ts, landing)
+    append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target, batch=batch)
+    rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by)
 
 
 def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: datetime | str,
@@ -154,7 +155,8 @@ def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: date
              catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
     """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's loads the last counts."""
     bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
-    return _run(spark, spec, bronze, silver_root, batch_id(end), current, only, catalog, partition_by)
+    batch = batch_id(end, f"{bronze_target} from {start}")
+    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by)
 
 
 class IncompleteLanding(RuntimeError):
@@ -171,7 +173,8 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
     ``landing.gate`` compares what landed with the spec's request windows (if it
     has a date range) and with each window's hit total. With ``require_complete``
     anything but received pages raises ``IncompleteLanding`` before anything is
-    loaded. Then the envelopes are flattened to records and loaded as a run.
+    loaded. Then the envelopes are flattened to records and loaded as a run, whose
+    bronze batch is named by load time and ``source``: name each landing's own.
     """
     if require_complete:
         bad = landing.gate(envelopes, spec).where("status <> 'received'")
@@ -179,6 +182,7 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
         if sample:
             raise IncompleteLanding(f"pages or windows did not land as announced, e.g. {sample}")
     recs = landing.records(envelopes, spec.data_key)
-    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target, batch=batch_id(load_ts))
-    batch = load_window(read_bronze(spark, bronze_target), load_ts, load_ts)
-    return _run(spark, spec, batch, silver_root, batch_id(load_ts), current, only, catalog, partition_by)
+    batch = batch_id(load_ts, source)
+    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target, batch=batch)
+    rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by)

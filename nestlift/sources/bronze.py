@@ -9,6 +9,7 @@ a lazy frame would re-evaluate per action). Bronze is written partitioned by
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -55,28 +56,39 @@ def bronze_from_text(spark: SparkSession, path: str, load_ts: datetime | str,
 BATCH = "load_batch"
 
 
-def batch_id(load_ts: datetime | str) -> int:
-    """The batch of a run: its load time in microseconds, so a repeated run has the same one."""
-    t = parse_instant(load_ts) if isinstance(load_ts, str) else load_ts
-    return int((t.replace(tzinfo=None) - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+def batch_id(load_ts: datetime | str | None, source: str, epoch: int | None = None) -> str:
+    """Who wrote a batch, and which of its batches it is.
+
+    A run is named by its load time and the place it loads from, so the same run
+    repeated has the same batch, and another landing loaded at the same time has
+    one of its own. A micro-batch is named by its stream and epoch: a replay has the
+    same batch, another stream (or the same one from a new checkpoint) does not.
+    """
+    parts = []
+    if load_ts is not None:
+        t = parse_instant(load_ts) if isinstance(load_ts, str) else load_ts
+        parts.append(str(int((t.replace(tzinfo=None) - datetime(1970, 1, 1)).total_seconds() * 1_000_000)))
+    parts.append(hashlib.sha256(source.rstrip("/").encode()).hexdigest()[:16])
+    if epoch is not None:
+        parts.append(str(epoch))
+    return "-".join(parts)
 
 
 def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table: bool = False,
-                  batch: int | None = None) -> None:
+                  batch: str | None = None) -> None:
     """Append bronze rows, partitioned by load date, to a path or a catalog table.
 
     ``mode="overwrite"`` is the full-refresh variant. The three-column shape
-    is enforced; no schema merging. With ``batch`` (a streaming batch id, or
-    ``batch_id`` of a run's load time) the rows go to their own
-    ``load_date/load_batch`` partition, replaced with dynamic partition
-    overwrite, so a replayed batch or a repeated run rewrites its rows instead
-    of adding them twice. Either every write to a location names its batch or
+    is enforced; no schema merging. With ``batch`` (see ``batch_id``) the rows go
+    to their own ``load_date/load_batch`` partition, replaced with dynamic
+    partition overwrite, so a replayed batch or a repeated run rewrites its rows
+    instead of adding them twice, and no other writer's. Either every write to a location names its batch or
     none does (the partition depth differs); runs and streams do.
     """
     rows = bronze.select(*[F.col(f.name).cast(f.dataType) for f in BRONZE_SCHEMA.fields])
     rows = rows.withColumn(PARTITION, F.to_date("load_timestamp"))
     if batch is not None:
-        rows = rows.withColumn(BATCH, F.lit(int(batch)))
+        rows = rows.withColumn(BATCH, F.lit(batch))
         w = (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(PARTITION, BATCH))
     else:
@@ -87,13 +99,14 @@ def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table
         w.parquet(target)
 
 
-def read_bronze(spark: SparkSession, target: str, as_table: bool = False) -> DataFrame:
-    """Bronze rows from a path or catalog table.
+def read_bronze(spark: SparkSession, target: str, as_table: bool = False, batch: str | None = None) -> DataFrame:
+    """Bronze rows from a path or catalog table, or of one ``batch`` only (a partition filter).
 
     The ``load_date`` partition column is kept so that a load-time filter
     (``operators.backfill.load_window``) can prune directories.
     """
-    return spark.table(target) if as_table else spark.read.parquet(target)
+    rows = spark.table(target) if as_table else spark.read.parquet(target)
+    return rows if batch is None else rows.where(F.col(BATCH) == batch)
 
 
 def exists(spark: SparkSession, target: str, as_table: bool = False) -> bool:

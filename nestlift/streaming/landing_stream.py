@@ -8,8 +8,10 @@ New JSONL files under ``landing_dir`` are picked up by the file source
    timestamp kept in its offset log (the same value when a batch is
    replayed), and the file each line came from (``_metadata.file_path``);
 2. they are written to bronze under their own ``load_date/load_batch``
-   partition with dynamic partition overwrite, so a replayed batch replaces
-   its rows rather than adding them again (exactly-once bronze);
+   partition, named by stream and epoch, with dynamic partition overwrite, so a
+   replayed batch replaces its rows rather than adding them again (exactly-once
+   bronze), and streams that share a bronze location (or one that started again
+   from a new checkpoint) leave each other's rows alone;
 3. silver tables are built from the batch (one parse, persisted for the
    fan-out); bad records go to ``<bronze>_quarantine`` under the same batch,
    the rest is upserted into catalog tables by key (idempotent for unique
@@ -31,21 +33,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.run import upsert_all_tables
 from ..plans.silver import silver_tables
-from ..sources.bronze import BATCH, append_bronze
+from ..sources.bronze import BATCH, append_bronze, batch_id
 from ..spec import JobSpec
 
 
 def batch_runner(spec: JobSpec, bronze_target: str, only: str | None = None,
-                 partition_by: Mapping[str, list[str]] | None = None):
-    """The per-micro-batch run; ``batch`` holds bronze columns already."""
+                 partition_by: Mapping[str, list[str]] | None = None, stream: str | None = None):
+    """The per-micro-batch run; ``batch`` holds bronze columns already.
+
+    ``stream`` names the stream that writes. The default is the id of the query,
+    which its checkpoint keeps over restarts.
+    """
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        name = stream or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        own = batch_id(None, name, epoch_id)
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read the new files once
         try:
-            append_bronze(rows, bronze_target, batch=epoch_id)
+            append_bronze(rows, bronze_target, batch=own)
             res = silver_tables(rows.select("raw_json"), spec, only=only, reuse="persist", quarantine=True)
             try:
-                (res.quarantine.withColumn(BATCH, F.lit(int(epoch_id))).write.mode("overwrite")
+                (res.quarantine.withColumn(BATCH, F.lit(own)).write.mode("overwrite")
                  .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{bronze_target}_quarantine"))
                 upsert_all_tables(spark, spec, res.tables, partition_by=partition_by)
             finally:

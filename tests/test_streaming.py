@@ -69,3 +69,35 @@ def test_stream_with_partitioned_silver(spark):
     got = sorted(tuple(r) for r in spark.table("stream_conv_parts").select("id", "pid", "v").collect())
     assert got == [(1, "p1", 5), (2, "p9", 9)]
     assert sorted(r.id for r in spark.table("stream_conv").collect()) == [1, 2]
+
+
+def _fresh(spark, *folders):
+    for t in ("stream_conv", "stream_conv_parts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return [scratch_path(spark, f) for f in folders]
+
+
+def _ids(spark, path):
+    return sorted(json.loads(r.raw_json).get("id", -1) for r in read_bronze(spark, path).collect())
+
+
+def test_two_streams_share_a_bronze_location(spark):
+    one, two, bronze, c1, c2 = _fresh(spark, "landing", "landing", "bronze", "stream", "stream")
+    _land(spark, one, [{"id": 1, "name": "a"}, {"name": "no key"}])
+    _land(spark, two, [{"id": 2, "name": "b"}, {"name": "no key either"}])
+    stream_landing(spark, SPEC, one, bronze, c1).awaitTermination()
+    stream_landing(spark, SPEC, two, bronze, c2).awaitTermination()
+    assert _ids(spark, bronze) == [-1, -1, 1, 2]
+    bad = spark.read.parquet(f"{bronze}_quarantine")
+    assert sorted(json.loads(r.raw_json)["name"] for r in bad.collect()) == ["no key", "no key either"]
+
+
+def test_a_new_checkpoint_replaces_nothing(spark):
+    landing_dir, bronze, c1, c2 = _fresh(spark, "landing", "bronze", "stream", "stream")
+    _land(spark, landing_dir, [{"id": 1, "name": "a"}])
+    stream_landing(spark, SPEC, landing_dir, bronze, c1).awaitTermination()
+    _land(spark, landing_dir, [{"id": 2, "name": "b"}])
+    stream_landing(spark, SPEC, landing_dir, bronze, c1).awaitTermination()
+    stream_landing(spark, SPEC, landing_dir, bronze, c2, max_files_per_trigger=10).awaitTermination()
+    assert _ids(spark, bronze) == [1, 1, 2, 2]               # the new query reads all files again, as its own rows
+    assert sorted(r.id for r in spark.table("stream_conv").collect()) == [1, 2]

@@ -21,6 +21,15 @@ bypass the join (they cannot match), so a mass of NULL keys never lands in
 one join task. Broadcast vs sort-merge is left to AQE, which decides on
 measured sizes.
 
+Two further merges share one window per key (``merge_states``), which also says
+of every row whether it was inserted, updated, unchanged, kept or deleted:
+
+* partitioned tables: only partitions in which something changed are written,
+  so a load that changes nothing rewrites no file;
+* ``Scope`` (opt-in): the children of every loaded parent are replaced as a
+  whole, so those that vanished upstream go; parents that were not loaded keep
+  theirs.
+
 Storage: a table format with row-level MERGE (a DataSource V2 table) is
 merged in place through ``DataFrame.mergeInto``. Plain Parquet cannot be
 rewritten while it is read, so there the merged rows are written to a new
@@ -31,11 +40,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from ..session import delete_path, read_text, scratch_path, write_text
@@ -78,26 +89,48 @@ def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> Da
     return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
 
 
-_N = "__nl_src_n"
+_N, _H = "__nl_src_n", "__nl_src_hash"
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType) or isinstance(t, T.ArrayType) and _has_map(t.elementType)
+
+
+def row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """128 bits that tell rows apart by ``columns``, NULLs included (maps by their JSON text)."""
+    parts = []
+    for c in columns:
+        col = F.to_json(F.struct(F.col(quote(c)))) if _has_map(df.schema[c].dataType) else F.col(quote(c))
+        parts += [col, F.col(quote(c)).isNull()]
+    parts = parts or [F.lit(0)]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit("row"), *parts).alias("b"))
+
+
+def _values(df: DataFrame, keys: list[str]) -> list[str]:
+    return [c for c in df.columns if c not in keys]
 
 
 def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
                          null_safe: bool = False, allow_new_columns: bool = False,
                          rows: Observation | None = None) -> tuple[DataFrame, Observation]:
-    """Merged rows plus an observation counting conflicts while they are produced.
+    """Merged rows plus an observation of conflicts and changes while they are produced.
 
     The source keys are counted per key (a partial, map-side aggregate) and
     left-joined to the target: a target row with a count is replaced, a row
     without one is kept, and a count above 1 is a conflict, tallied by
-    ``observe`` inside the same job. NULL-key target rows bypass the join.
+    ``observe`` inside the same job, as are the replaced rows whose values changed
+    (``updated``) or not (``unchanged``). NULL-key target rows bypass the join.
     ``rows`` counts the source rows as they are written.
     """
     target = _evolve(target, source, allow_new_columns)
     src = _align(source, target)
-    counted = src.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias(_N))
+    values = _values(target, keys)
+    counted = src.groupBy(*[F.col(quote(k)) for k in keys]).agg(F.count(F.lit(1)).alias(_N), F.max(row_hash(src, values)).alias(_H))
     null_rows = None
     if null_safe:
-        ren = counted.select(*[F.col(quote(k)).alias(f"__nl_k{i}") for i, k in enumerate(keys)], _N)
+        ren = counted.select(*[F.col(quote(k)).alias(f"__nl_k{i}") for i, k in enumerate(keys)], _N, _H)
         cond = reduce(lambda a, b: a & b,
                       [target[quote(k)].eqNullSafe(ren[f"__nl_k{i}"]) for i, k in enumerate(keys)])
         j = target.join(ren, cond, "left").drop(*[f"__nl_k{i}" for i in range(len(keys))])
@@ -105,15 +138,109 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
         null_rows = target.filter(_any_null(target, keys))
         rest = target.filter(~_any_null(target, keys))
         j = rest.join(counted.filter(_all_set(keys)), keys, "left").select(
-            *[F.col(quote(c)) for c in target.columns], _N)
+            *[F.col(quote(c)) for c in target.columns], _N, _H)
     obs = Observation()
-    j = j.observe(obs, F.count_if(F.col(_N) > 1).alias("conflicts"))
-    kept = j.filter(F.col(_N).isNull()).drop(_N)
+    same = F.col(_H) == row_hash(target, values)
+    j = j.observe(obs, F.count_if(F.col(_N) > 1).alias("conflicts"), F.count_if((F.col(_N) == 1) & same).alias("unchanged"),
+                  F.count_if((F.col(_N) == 1) & ~same).alias("updated"))
+    kept = j.filter(F.col(_N).isNull()).drop(_N, _H)
     if null_rows is not None:
         kept = kept.unionByName(null_rows)
     return kept.unionByName(_counted(src, rows)), obs
 
 
+@dataclass(frozen=True)
+class Scope:
+    """Whose children a load replaces as a whole: ``columns`` are the key columns that name the parent.
+
+    ``parents`` are the loaded parents; those that the loaded children name are
+    loaded anyway, so it is needed for parents that came without any child.
+    """
+
+    columns: list[str]
+    parents: DataFrame | None = None
+
+
+KEPT, UNCHANGED, UPDATED, INSERTED, DELETED = "kept", "unchanged", "updated", "inserted", "deleted"
+CHANGED = (UPDATED, INSERTED, DELETED)
+_STATE, _SIDE = "__nl_state", "__nl_side"
+
+
+def _loaded(source: DataFrame, scope: Scope) -> DataFrame:
+    cols = [F.col(quote(c)) for c in scope.columns]
+    own = source.select(*cols)
+    return (own if scope.parents is None else own.unionByName(scope.parents.select(*cols))).filter(_all_set(scope.columns)).distinct()
+
+
+def merge_states(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False,
+                 allow_new_columns: bool = False, rows: Observation | None = None,
+                 scope: Scope | None = None) -> tuple[DataFrame, Observation]:
+    """The rows of ``target`` after the upsert with their state, and an observation of the counts.
+
+    Target and source rows (and the loaded parents of a ``scope``) meet in one
+    shuffle by key, or by parent, in which the rows of one key lie together too.
+    Windows over the key say who matches whom and whether the values differ; a
+    window over the parent says whether it was loaded. Rows of state ``deleted`` are
+    in the frame, for the caller to leave out. Keys repeated in the source that
+    match a target row are counted as ``conflicts``. Rows with a NULL in the key (in
+    the parent, with a scope) bypass the shuffle: they match nothing. A row of a loaded
+    parent with a NULL elsewhere in its key matches nothing either, so it goes with a scope.
+    """
+    target = _evolve(target, source, allow_new_columns)
+    src = _align(source, target)
+    if scope and not set(scope.columns) <= set(keys):
+        raise ValueError(f"scope {scope.columns} must be part of the key {keys}")
+    cols = [F.col(quote(c)) for c in target.columns]
+    both = target.select(*cols, F.lit(0).alias(_SIDE)).unionByName(_counted(src, rows).select(*cols, F.lit(1).alias(_SIDE)))
+    if scope and scope.parents is not None:
+        names = set(scope.columns)
+        parents = scope.parents.select(*[F.col(quote(c)).cast(target.schema[c].dataType).alias(c) for c in scope.columns]).distinct()
+        both = both.unionByName(parents.select(
+            *[F.col(quote(f.name)) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields],
+            F.lit(2).alias(_SIDE)))
+    side = F.col(_SIDE)
+    apart = None
+    if scope or not null_safe:
+        null = reduce(lambda a, b: a | b, [F.col(quote(k)).isNull() for k in (scope.columns if scope else keys)])
+        apart = (both.filter(null & (side < 2)).withColumn(_STATE, F.when(side == 0, KEPT).otherwise(INSERTED)).drop(_SIDE))
+        both = both.filter(~null)
+    if scope:
+        both = both.repartition(*[F.col(quote(c)) for c in scope.columns])
+    own = Window.partitionBy(*[F.col(quote(k)) for k in keys])
+    both = both.withColumn(_H, row_hash(target, _values(target, keys)))
+    for i in (0, 1):
+        both = (both.withColumn(f"__nl_n{i}", F.count_if(side == i).over(own))
+                .withColumn(f"__nl_h{i}", F.max(F.when(side == i, F.col(_H))).over(own)))
+    n0, n1 = F.col("__nl_n0"), F.col("__nl_n1")
+    match = (n0 > 0) & (n1 > 0) & (F.lit(True) if null_safe else _all_set(keys))
+    loaded = F.lit(False)
+    if scope:
+        both = both.withColumn("__nl_loaded", F.max(side).over(Window.partitionBy(*[F.col(quote(c)) for c in scope.columns])) > 0)
+        loaded = F.col("__nl_loaded")
+    state = (F.when(side == 2, "parent")
+             .when(side == 1, F.when(match & (n0 == 1) & (n1 == 1) & (F.col("__nl_h0") == F.col("__nl_h1")), UNCHANGED)
+                   .when(match, UPDATED).otherwise(INSERTED))
+             .when(match & (n1 > 1), "conflict").when(match, "replaced").when(loaded, DELETED).otherwise(KEPT))
+    out = both.withColumn(_STATE, state).select(*cols, _STATE)
+    if apart is not None:
+        out = out.unionByName(apart)
+    obs = Observation()
+    out = out.observe(obs, F.count_if(F.col(_STATE) == "conflict").alias("conflicts"),
+                      *[F.count_if(F.col(_STATE) == x).alias(x) for x in (UNCHANGED, *CHANGED)])
+    return out.filter(F.col(_STATE).isin(KEPT, UNCHANGED, *CHANGED)), obs
+
+
+def _note(changes: dict[str, int] | None, obs: Observation | None, rows: Observation | None) -> dict[str, int]:
+    """Inserted, updated, unchanged and deleted rows of a finished write."""
+    seen = obs.get if obs is not None else {}
+    out = {x: int(seen.get(x, 0)) for x in (INSERTED, UPDATED, UNCHANGED, DELETED)}
+    if INSERTED not in seen:        # every source row that replaced none
+        out[INSERTED] = int(rows.get.get("rows", 0)) - out[UPDATED] - out[UNCHANGED]
+    if changes is not None:
+        changes.update(out)
+    return out
+
+
 def _counted(source: DataFrame, rows: Observation | None) -> DataFrame:
     return source if rows is None else source.observe(rows, F.count(F.lit(1)).alias("rows"))
 
@@ -154,23 +281,38 @@ def check_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
 
 def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, keys: list[str],
                 out: str, null_safe: bool = False, check: bool = True,
-                allow_new_columns: bool = False, rows: Observation | None = None) -> str:
+                allow_new_columns: bool = False, rows: Observation | None = None,
+                scope: Scope | None = None, changes: dict[str, int] | None = None) -> str:
     """Write the next version of a Parquet table to ``out`` and return it.
 
     ``current=None`` creates the table from the source as is (no key dedup,
     like the first write of a MERGE-maintained table). Conflicts are counted
     during the merge write itself; on a conflict the new version is left
-    unpublished and ``MergeConflict`` is raised.
+    unpublished and ``MergeConflict`` is raised. ``scope`` replaces the children
+    of loaded parents; ``changes`` receives the number of inserted, updated,
+    unchanged and deleted rows. If nothing changed, ``current`` stays the version.
     """
+    rows = rows or Observation()
     if current is None:
         _counted(source, rows).write.mode("errorifexists").parquet(out)
+        _note(changes, None, rows)
         return out
-    merged, obs = merge_with_conflicts(spark.read.parquet(current), source, keys, null_safe, allow_new_columns, rows)
+    target = spark.read.parquet(current)
+    if scope:
+        merged, obs = merge_states(target, source, keys, null_safe, allow_new_columns, rows, scope)
+        merged = merged.filter(F.col(_STATE) != DELETED).drop(_STATE)
+    else:
+        merged, obs = merge_with_conflicts(target, source, keys, null_safe, allow_new_columns, rows)
+    width = len(merged.columns)
     merged.write.mode("errorifexists").parquet(out)
     n = int(obs.get.get("conflicts", 0))
     if check and n:
         raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
                             f"the merged version at {out} was not published")
+    found = _note(changes, obs, rows)
+    if not n and width == len(target.columns) and not any(found[x] for x in CHANGED):
+        delete_path(spark, out)
+        return current
     return out
 
 
@@ -204,23 +346,40 @@ def _target(spark: SparkSession, path: str, source: DataFrame, partition_by: lis
     return spark.read.schema(T.StructType(typed)).parquet(path)
 
 
-def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str]) -> DataFrame:
+def _touched_rows(target: DataFrame, touched: DataFrame, partition_by: list[str], scratch: str | None = None) -> DataFrame:
     """Target rows in the touched partitions (a NULL partition value is a partition like any other).
 
-    One null-safe semi-join whatever the number of partitions. The least and
-    greatest touched value of each column (one row) are literal filters in front
-    of it, so partitions outside are not listed or read.
+    The touched values are written to ``scratch`` first, so their size is known. They
+    are joined by equality, which lets Spark prune the target's partitions at run
+    time to exactly these values (when they are few enough to be broadcast, as
+    partition values are), and their least and greatest are literal filters in
+    front, for when they are not. Values with a NULL are joined apart, one branch
+    for each set of columns that are NULL (a literal filter) together.
     """
     names = [f"__nl_p{i}" for i in range(len(partition_by))]
     t = touched.select(*[F.col(quote(c)).alias(n) for c, n in zip(partition_by, names, strict=True)]).distinct()
-    ends = t.agg(*[f(n).alias(f"{k}{n}") for n in names for k, f in (("lo", F.min), ("hi", F.max))],
-                 *[F.max(F.col(n).isNull()).alias(f"null{n}") for n in names]).first()
-    for c, n in zip(partition_by, names, strict=True):
-        col, lo, hi = target[quote(c)], ends[f"lo{n}"], ends[f"hi{n}"]
-        inside = F.lit(False) if lo is None else col.between(F.lit(lo), F.lit(hi))
-        target = target.filter(inside | col.isNull() if ends[f"null{n}"] else inside)
-    cond = reduce(lambda a, b: a & b, [target[quote(c)].eqNullSafe(t[n]) for c, n in zip(partition_by, names, strict=True)])
-    return target.join(t, cond, "left_semi")
+    if scratch:
+        t.write.parquet(scratch)
+        t = touched.sparkSession.read.schema(t.schema).parquet(scratch)
+    nulls = [F.col(n).isNull().alias(n) for n in names]
+    branches = []
+    for pattern in sorted(t.select(*nulls).distinct().collect()):
+        part, values, set_ = target, t, []
+        for c, n, is_null in zip(partition_by, names, pattern, strict=True):
+            if is_null:
+                part, values = part.filter(F.col(quote(c)).isNull()), values.filter(F.col(n).isNull())
+            else:
+                values = values.filter(F.col(n).isNotNull())
+                set_.append((c, n))
+        if set_:
+            ends = values.agg(*[f(n).alias(f"{k}{n}") for _, n in set_ for k, f in (("lo", F.min), ("hi", F.max))]).first()
+            for c, n in set_:
+                lo, hi = F.lit(ends[f"lo{n}"]), F.lit(ends[f"hi{n}"])
+                part, values = part.filter(F.col(quote(c)).between(lo, hi)), values.filter(F.col(n).between(lo, hi))
+            part = part.join(values.select(*[n for _, n in set_]),
+                             reduce(lambda a, b: a & b, [F.col(quote(c)) == F.col(n) for c, n in set_]), "left_semi")
+        branches.append(part)
+    return reduce(DataFrame.unionByName, branches) if branches else target.limit(0)
 
 
 def check_moves(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str]) -> None:
@@ -237,37 +396,87 @@ def check_moves(target: DataFrame, source: DataFrame, keys: list[str], partition
                             "partitions alone would leave the old row behind")
 
 
+def _same(a: list[str], b: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(quote(p)).eqNullSafe(F.col(q)) for p, q in zip(a, b, strict=True)])
+
+
+def _drop_partitions(spark: SparkSession, path: str, partition_by: list[str], gone: DataFrame, as_table: bool) -> None:
+    """Remove partitions of which no row is left (dynamic overwrite only replaces those that get rows)."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in gone.select(*[F.col(quote(c)).cast("string") for c in partition_by]).distinct().collect():
+        values = list(zip(partition_by, row, strict=True))
+        if as_table:
+            spec = ", ".join(f"{quote(c)} = " + ("NULL" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'")
+                             for c, v in values)
+            spark.sql(f"ALTER TABLE {_quoted(path)} DROP IF EXISTS PARTITION ({spec})")
+        else:
+            delete_path(spark, "/".join([path.rstrip("/"), *(names.getPartitionPathString(c, v) for c, v in values)]))
+
+
 def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                       partition_by: list[str], exists: bool = True, null_safe: bool = False,
                       check: bool = True, scratch: str | None = None, as_table: bool = False,
                       allow_new_columns: bool = False, fixed_partitions: bool = False,
-                      rows: Observation | None = None) -> Callable[[], str]:
-    """Do all of ``upsert_partitioned`` but the replacement, which the returned function does."""
+                      rows: Observation | None = None, scope: Scope | None = None,
+                      changes: dict[str, int] | None = None, direct: bool = False) -> Callable[[], str]:
+    """Do all of ``upsert_partitioned`` but the replacement, which the returned function does.
+
+    ``direct``: a table that does not exist yet is written from the source at once, not staged first.
+    """
     if as_table:
         exists = spark.catalog.tableExists(path)
     if not scratch:
         scratch = scratch_path(spark, "merge")
+    rows, new, obs = rows or Observation(), [], None
     if exists:
         target = _target(spark, path, source, partition_by, as_table)
         widened = _evolve(target, source, allow_new_columns)
         src = _align(source, widened)
         if not fixed_partitions and not set(partition_by) <= set(keys):
             check_moves(target, src, keys, partition_by)
-        part = _touched_rows(widened, src.select(*[F.col(quote(c)) for c in partition_by]), partition_by)
-        merged, obs = merge_with_conflicts(part, src, keys, null_safe, rows=rows)
+        touched = src.select(*[F.col(quote(c)) for c in partition_by])
+        if scope and not set(partition_by) <= set(scope.columns):
+            # vanished children may lie in partitions that no loaded one is in
+            own = target.select(*[F.col(quote(c)) for c in dict.fromkeys([*scope.columns, *partition_by])])
+            touched = touched.unionByName(own.join(_loaded(src, scope), scope.columns, "left_semi").select(*touched.columns))
+        elif scope and scope.parents is not None:
+            touched = touched.unionByName(_loaded(src, scope).select(*touched.columns))
+        part = _touched_rows(widened, touched, partition_by, f"{scratch}_touched")
+        merged, obs = merge_states(part, src, keys, null_safe, rows=rows, scope=scope)
         new = [f for f in widened.schema.fields if f.name not in target.columns]
     else:
-        merged, obs, new = _counted(source, rows), None, []
-    schema = merged.schema
-    merged.write.parquet(scratch)          # cuts the lineage to the partitions about to be replaced
+        merged = _counted(source, rows).withColumn(_STATE, F.lit(INSERTED))
+    schema = T.StructType([f for f in merged.schema.fields if f.name != _STATE])
+    if exists or not direct:
+        merged.write.parquet(scratch)          # cuts the lineage to the partitions about to be replaced
+        merged = spark.read.schema(merged.schema).parquet(scratch)
+        if exists:
+            delete_path(spark, f"{scratch}_touched")
+        _note(changes, obs, rows)
     n = int(obs.get.get("conflicts", 0)) if obs is not None else 0
     if check and n:
         delete_path(spark, scratch)
         raise MergeConflict(f"{n} target rows of {path} match several source rows on {keys}")
+    left = merged.filter(F.col(_STATE) != DELETED)
+    emptied = None
+    if exists:
+        at = [f"__nl_c{i}" for i in range(len(partition_by))]
+        parts = lambda df: df.select(*[F.col(quote(c)).alias(n) for c, n in zip(partition_by, at, strict=True)]).distinct()
+        # if a column was added, every touched partition gets it
+        changed = merged if new else merged.filter(F.col(_STATE).isin(*CHANGED))
+        if obs.get.get(DELETED, 0):
+            emptied = (parts(merged.filter(F.col(_STATE) == DELETED)).join(left.select(*partition_by).distinct(),
+                                                                           _same(partition_by, at), "left_anti")
+                       .select(*[F.col(n).alias(c) for c, n in zip(partition_by, at, strict=True)]))
+        left = left.join(parts(changed), _same(partition_by, at), "left_semi")
     # one writer per partition value, large ones split (AQE), instead of a file per task and value
-    staged = spark.read.schema(schema).parquet(scratch).hint("rebalance", *partition_by)
+    staged = left.drop(_STATE).hint("rebalance", *partition_by)
+    unchanged = exists and not new and not any(obs.get.get(x, 0) for x in CHANGED)
 
     def publish() -> str:
+        if unchanged:
+            delete_path(spark, scratch)
+            return path
         if not exists:
             w = staged.write.mode("errorifexists").partitionBy(*partition_by)
             w.saveAsTable(path) if as_table else w.parquet(path)
@@ -287,8 +496,12 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
         else:
             (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*partition_by).parquet(path))
+        if emptied is not None:
+            _drop_partitions(spark, path, partition_by, emptied, as_table)
         if not as_table:
             write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", schema.json())
+        if direct and not exists:
+            _note(changes, None, rows)
         delete_path(spark, scratch)
         return path
 
@@ -306,17 +519,18 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
     the key; otherwise the keys are checked against the table (a join on key
     and partition columns) and ``PartitionMove`` is raised before any write.
 
-    1. target rows of the touched partitions (null-safe semi-join) are merged
-       with the source and written to ``scratch``, counting conflicts on the
-       way; a conflict stops here;
-    2. those partitions are replaced with ``partitionOverwriteMode=dynamic``;
-       every other partition is left untouched.
+    1. target rows of the touched partitions (pruned at run time) are merged
+       with the source and written to ``scratch``, counting conflicts and changes
+       on the way; a conflict stops here;
+    2. of those partitions, the ones with an inserted, updated or deleted row are
+       replaced with ``partitionOverwriteMode=dynamic``; every other partition is
+       left untouched.
 
     Data movement is O(touched partitions), not O(table). Partitions are replaced
     one by one, without cross-partition atomicity. ``exists=False`` creates the
     table from the source. Read a path back with ``read_partitioned``.
     """
-    return stage_partitioned(spark, path, source, keys, partition_by, **options)()
+    return stage_partitioned(spark, path, source, keys, partition_by, **{"direct": True, **options})()
 
 
 # ------------------------------------------------------------------ catalog tables
@@ -357,13 +571,16 @@ def _provider(spark: SparkSession, table: str) -> str:
 
 def stage_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str],
                 null_safe: bool = False, check: bool = True, allow_new_columns: bool = False,
-                rows: Observation | None = None) -> Callable[[], str]:
+                rows: Observation | None = None, scope: Scope | None = None,
+                changes: dict[str, int] | None = None) -> Callable[[], str]:
     """Do all of ``upsert_table`` but the change of the table, which the returned function does."""
+    rows = rows or Observation()
     recover(spark, table)
     staging = f"{table}__nl_next"
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(staging)}")
     if not spark.catalog.tableExists(table):
         _counted(source, rows).write.saveAsTable(staging)
+        _note(changes, None, rows)
 
         def create() -> str:
             spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(table)}")
@@ -373,6 +590,8 @@ def stage_table(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     target = _evolve(spark.table(table), source, allow_new_columns)
     src = _align(source, target)
     if _provider(spark, table) not in _FILE_FORMATS:
+        if scope:
+            raise NotImplementedError("a scope is not offered for formats with row-level MERGE")
         if check:
             check_conflicts(target, src, keys, null_safe)
         m = _counted(src, rows).alias("__nl_src").mergeInto(table, _merge_condition(table.split(".")[-1], keys, null_safe))
@@ -387,13 +606,21 @@ def stage_table(spark: SparkSession, table: str, source: DataFrame, keys: list[s
     parts = _partitions(spark, table)
     if parts:       # a partitioned table keeps its partitions: the touched ones are replaced
         return stage_partitioned(spark, table, source, keys, parts, null_safe=null_safe, check=check, as_table=True,
-                                 allow_new_columns=allow_new_columns, rows=rows)
-    merged, obs = merge_with_conflicts(target, src, keys, null_safe, rows=rows)
+                                 allow_new_columns=allow_new_columns, rows=rows, scope=scope, changes=changes)
+    if scope:
+        merged, obs = merge_states(target, src, keys, null_safe, rows=rows, scope=scope)
+        merged = merged.filter(F.col(_STATE) != DELETED).drop(_STATE)
+    else:
+        merged, obs = merge_with_conflicts(target, src, keys, null_safe, rows=rows)
     merged.write.saveAsTable(staging)
     n = int(obs.get.get("conflicts", 0))
     if check and n:
         spark.sql(f"DROP TABLE {_quoted(staging)}")
         raise MergeConflict(f"{n} target rows of {table} match several source rows")
+    found = _note(changes, obs, rows)
+    if not n and len(target.columns) == len(spark.table(table).columns) and not any(found[x] for x in CHANGED):
+        spark.sql(f"DROP TABLE {_quoted(staging)}")
+        return lambda: table
 
     def swap() -> str:
         swap_in(spark, table)

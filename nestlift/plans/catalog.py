@@ -19,7 +19,7 @@ from ..functions.json import infer_schema, parse
 from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
-from ..operators.upsert import conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
+from ..operators.upsert import Scope, conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
 from ..session import scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
@@ -364,6 +364,46 @@ def q_upsert_partitioned_null(spark, sf_dir):
     return read_partitioned(spark, path)
 
 
+def _two_line_loads(spark, sf_dir):
+    """Order lines stored in full, and a later load of every third order: an order whose key is a multiple
+    of nine comes without lines, the others without their second line and with a new quantity of the third."""
+    lines = ntz(_orders_silver(spark, sf_dir, only="order_lines", reuse="stage").tables["order_lines"])
+    lines = lines.withColumn("ship_year", F.year("l_shipdate"))
+    key = F.col("o_orderkey")
+    parents = nesting.table(spark, sf_dir, "orders").select("o_orderkey").where(key % 3 == 0)
+    load = (lines.where((key % 3 == 0) & (key % 9 != 0) & (F.col("l_linenumber") != 2))
+            .withColumn("l_quantity", F.col("l_quantity") + F.when(F.col("l_linenumber") == 3, 1).otherwise(0)))
+    return lines, load, parents
+
+
+def q_upsert_children_replaced(spark, sf_dir):
+    """Loaded orders' lines are replaced as a whole, across partitions; other orders keep theirs."""
+    lines, load, parents = _two_line_loads(spark, sf_dir)
+    keys = specs.spec(specs.ORDERS).child("order_lines").merge_keys
+    path = scratch_path(spark, "silver")
+    upsert_partitioned(spark, path, lines, keys, ["ship_year"], exists=False)
+    upsert_partitioned(spark, path, load, keys, ["ship_year"], fixed_partitions=True, scope=Scope(["o_orderkey"], parents))
+    return read_partitioned(spark, path).drop("ship_year")
+
+
+def q_upsert_changes(spark, sf_dir):
+    """What each of three loads did to the lines: plain upsert, the same again, and with replaced children."""
+    lines, load, parents = _two_line_loads(spark, sf_dir)
+    keys = specs.spec(specs.ORDERS).child("order_lines").merge_keys
+    path, told = scratch_path(spark, "silver"), []
+    whole = scratch_path(spark, "silver")
+    for name, rows, scope in (("create", lines.where("o_orderkey % 5 <> 0"), None), ("load", load, None), ("again", load, None),
+                              ("replace", load, Scope(["o_orderkey"], parents))):
+        by_part: dict[str, int] = {}
+        by_version: dict[str, int] = {}
+        upsert_partitioned(spark, path, rows, keys, ["ship_year"], exists=name != "create", fixed_partitions=True,
+                           scope=scope, changes=by_part)
+        whole = upsert_path(spark, None if name == "create" else whole, rows, keys, whole if name == "create"
+                            else scratch_path(spark, "silver"), scope=scope, changes=by_version)
+        told += [(name, kind, n, by_version[kind]) for kind, n in by_part.items()]
+    return spark.createDataFrame(told, "load string, change string, partitioned long, versioned long")
+
+
 def q_upsert_null_key(spark, sf_dir):
     main = _main_typed(spark, sf_dir)
     main = main.select(F.when(F.col("o_orderstatus") == "P", F.lit(None))
@@ -545,6 +585,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_child": q_upsert_child,
     "upsert_partitioned": q_upsert_partitioned,
     "upsert_partitioned_null": q_upsert_partitioned_null,
+    "upsert_children_replaced": q_upsert_children_replaced,
+    "upsert_changes": q_upsert_changes,
     "upsert_null_key": q_upsert_null_key,
     "merge_conflicts": q_merge_conflicts,
     "silver_summary": q_silver_summary,

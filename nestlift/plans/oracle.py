@@ -151,6 +151,23 @@ ORACLE: dict[str, str] = {
     AND s.l_linenumber = t.l_linenumber AND s.l_partkey = t.l_partkey
     AND s.l_suppkey = t.l_suppkey AND s.l_shipdate = t.l_shipdate)
   UNION ALL SELECT * FROM s""",
+    "upsert_children_replaced": f"""SELECT l.l_orderkey AS o_orderkey,
+    {_LINE_COLS.replace("l.l_quantity", "CASE WHEN l.l_orderkey % 3 = 0 AND l.l_linenumber = 3 THEN l.l_quantity + 1 ELSE l.l_quantity END AS l_quantity")}
+  FROM lineitem l WHERE l.l_orderkey % 3 <> 0 OR (l.l_orderkey % 9 <> 0 AND l.l_linenumber <> 2)""",
+    "upsert_changes": """WITH l AS (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem),
+  s AS (SELECT * FROM l WHERE k % 3 = 0 AND k % 9 <> 0 AND n <> 2),
+  c(load, change, rows) AS (
+    SELECT 'create', 'inserted', (SELECT count(*) FROM l WHERE k % 5 <> 0)
+    UNION ALL SELECT 'load', 'inserted', (SELECT count(*) FROM s WHERE k % 5 = 0)
+    UNION ALL SELECT 'load', 'updated', (SELECT count(*) FROM s WHERE k % 5 <> 0 AND n = 3)
+    UNION ALL SELECT 'load', 'unchanged', (SELECT count(*) FROM s WHERE k % 5 <> 0 AND n <> 3)
+    UNION ALL SELECT 'again', 'unchanged', (SELECT count(*) FROM s)
+    UNION ALL SELECT 'replace', 'unchanged', (SELECT count(*) FROM s)
+    UNION ALL SELECT 'replace', 'deleted', (SELECT count(*) FROM l WHERE k % 5 <> 0 AND k % 3 = 0 AND (k % 9 = 0 OR n = 2)))
+  SELECT x.load, y.change, coalesce(c.rows, 0)::BIGINT AS partitioned, coalesce(c.rows, 0)::BIGINT AS versioned
+  FROM (VALUES ('create'), ('load'), ('again'), ('replace')) x(load)
+  CROSS JOIN (VALUES ('inserted'), ('updated'), ('unchanged'), ('deleted')) y(change)
+  LEFT JOIN c ON c.load = x.load AND c.change = y.change""",
     "upsert_null_key": """WITH o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END
       AS o_key, o_orderkey, o_totalprice, o_orderdate FROM orders),
   t AS (SELECT o_key, o_orderkey, o_totalprice FROM o WHERE o_orderdate < TIMESTAMP '1999-01-01'),

@@ -15,15 +15,18 @@ themselves follow one after another.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.types import quote
 from ..operators.backfill import latest_by, load_window
-from ..operators.upsert import stage_partitioned, stage_table, upsert_path
+from ..operators.enforce import enforce
+from ..operators.upsert import Scope, stage_partitioned, stage_table, upsert_path
 from ..sources import landing
 from ..sources.bronze import annotate, append_bronze, batch_id, bronze_from_text, read_bronze
 from ..spec import JobSpec
@@ -40,7 +43,9 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
                current: Mapping[str, str | None], root: str, null_safe: bool = False,
                check: bool = True, rows: dict[str, int] | None = None,
                allow_new_columns: bool = False,
-               partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+               partition_by: Mapping[str, list[str]] | None = None,
+               scopes: Mapping[str, Scope] | None = None,
+               changes: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
     """Upsert each table under ``root``; returns ``{table: path}``.
 
     A table gets a new Parquet version per run (the mapping returned is the
@@ -49,22 +54,25 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
     partitions a run touches are rewritten, after every table was staged.
     Tables not produced this run keep their current version. When ``rows`` is
     given it receives the number of rows upserted per table, counted by
-    ``observe`` inside the write job itself (no extra pass over the data).
+    ``observe`` inside the write job itself (no extra pass over the data), and
+    ``changes`` how many rows of each table were inserted, updated, unchanged and
+    deleted. A table in which nothing changed keeps its version. ``scopes`` names
+    the tables in which the children of loaded parents are replaced as a whole.
     """
     out = {k: v for k, v in current.items() if v}
     publish, counted = [], {}
     for name, df in tables.items():
         obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
         cols = (partition_by or {}).get(name)
+        options = {"null_safe": null_safe, "check": check, "allow_new_columns": allow_new_columns, "rows": obs,
+                   "scope": (scopes or {}).get(name), "changes": {} if changes is None else changes.setdefault(name, {})}
         if cols:
             path = f"{root.rstrip('/')}/{name}"
-            publish.append(stage_partitioned(spark, path, df, table_keys(spec, name), cols, exists=bool(current.get(name)),
-                                             null_safe=null_safe, check=check, allow_new_columns=allow_new_columns, rows=obs))
+            publish.append(stage_partitioned(spark, path, df, table_keys(spec, name), cols, exists=bool(current.get(name)), **options))
             out[name] = path
         else:
             path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-            out[name] = upsert_path(spark, current.get(name), df, table_keys(spec, name), path, null_safe=null_safe,
-                                    check=check, allow_new_columns=allow_new_columns, rows=obs)
+            out[name] = upsert_path(spark, current.get(name), df, table_keys(spec, name), path, **options)
         counted[name] = int(obs.get.get("rows", 0))
     for step in publish:
         step()
@@ -76,7 +84,9 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
 def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFrame],
                       null_safe: bool = False, check: bool = True,
                       partition_by: Mapping[str, list[str]] | None = None,
-                      rows: dict[str, int] | None = None) -> dict[str, str]:
+                      rows: dict[str, int] | None = None,
+                      scopes: Mapping[str, Scope] | None = None,
+                      changes: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
     """Upsert each table into the catalog table ``silver_schema.table``.
 
     First every table is staged and its conflicts are checked; only then are
@@ -84,18 +94,20 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
     all as they were. Tables named in ``partition_by`` are kept partitioned by
     those columns (fixed per key, checked) and only the touched partitions are
     rewritten; the others are merged in place where the format allows it, else
-    swapped whole.
+    swapped whole. ``scopes`` and ``changes`` as in ``upsert_all`` (tables merged in
+    place by their format do not count changes).
     """
     steps, counted = {}, {}
     for name, df in tables.items():
         qualified, keys = spec.qualified(name), table_keys(spec, name)
         cols = (partition_by or {}).get(name)
         obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
+        options = {"null_safe": null_safe, "check": check, "rows": obs, "scope": (scopes or {}).get(name),
+                   "changes": {} if changes is None else changes.setdefault(name, {})}
         if cols:
-            steps[name] = stage_partitioned(spark, qualified, df, keys, cols, null_safe=null_safe, check=check,
-                                            as_table=True, rows=obs)
+            steps[name] = stage_partitioned(spark, qualified, df, keys, cols, as_table=True, **options)
         else:
-            steps[name] = stage_table(spark, qualified, df, keys, null_safe=null_safe, check=check, rows=obs)
+            steps[name] = stage_table(spark, qualified, df, keys, **options)
         counted[name] = obs
     out = {name: step() for name, step in steps.items()}
     if rows is not None:
@@ -110,11 +122,34 @@ class RunResult:
     rows: dict[str, int]
     quarantined: int = 0
     quarantine: str | None = None
+    # per table: rows inserted, updated, unchanged, deleted
+    changes: dict[str, dict[str, int]] = field(default_factory=dict)
+
+
+def child_scopes(spec: JobSpec, res: SilverResult, tables: dict[str, DataFrame], known) -> dict[str, Scope]:
+    """The scope of every child table: the records of this load, by the main key that the child carries.
+
+    A child table that this load did not produce, because no record has such children
+    any more, gets an empty frame if it is ``known`` from before, so that the old ones go.
+    """
+    spark, out = res.parsed.sparkSession, {}
+    for child in spec.children:
+        types = {k: t for k, t in child.parent_keys if k in spec.main_key}
+        if set(types) != set(spec.main_key):
+            raise ValueError(f"{child.name} does not carry the main key {list(spec.main_key)}, so its parents cannot be told")
+        if child.name not in tables:
+            if child.name not in res.skipped or not known(child.name):
+                continue
+            keys = T.StructType([T.StructField(k, T.StringType()) for k in child.output_schema])
+            tables[child.name] = enforce(spark.createDataFrame([], keys), child.output_schema)
+        parents = enforce(res.parsed.select(*[F.col(quote(k)) for k in types]), types)
+        out[child.name] = Scope(list(types), parents)
+    return out
 
 
 def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str, batch: str,
          current: Mapping[str, str | None] | None, only: str | None, catalog: bool,
-         partition_by: Mapping[str, list[str]] | None) -> RunResult:
+         partition_by: Mapping[str, list[str]] | None, replace_children: bool = False) -> RunResult:
     """Silver tables of ``bronze``, bad records set aside, everything upserted, scratch removed."""
     res = silver_tables(bronze, spec, only=only, quarantine=True)
     try:
@@ -122,41 +157,49 @@ def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str
         obs = Observation(f"quarantine_{uuid.uuid4().hex[:12]}")
         res.quarantine.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(bad)
         rows: dict[str, int] = {}
+        changes: dict[str, dict[str, int]] = {}
+        tables, scopes = dict(res.tables), None
+        if replace_children:
+            known = (lambda t: spark.catalog.tableExists(spec.qualified(t))) if catalog else (lambda t: (current or {}).get(t))
+            scopes = child_scopes(spec, res, tables, known)
         if catalog:
-            versions = upsert_all_tables(spark, spec, res.tables, partition_by=partition_by, rows=rows)
+            versions = upsert_all_tables(spark, spec, tables, partition_by=partition_by, rows=rows, scopes=scopes, changes=changes)
         else:
-            versions = upsert_all(spark, spec, res.tables, current or {}, silver_root, rows=rows, partition_by=partition_by)
+            versions = upsert_all(spark, spec, tables, current or {}, silver_root, rows=rows, partition_by=partition_by,
+                                  scopes=scopes, changes=changes)
     finally:
         res.release()
-    return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad)
+    return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad, changes)
 
 
 def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime | str,
            bronze_target: str, silver_root: str, current: Mapping[str, str | None] | None = None,
            only: str | None = None, catalog: bool = False,
-           partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
+           partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
     """One incremental run: the landed text goes to bronze, then silver is upserted.
 
     The load's rows are their own bronze partition, named by load time and
     landing, so running the same load again (after a failure, say) replaces them,
     and another landing loaded at the same time keeps its own. The silver input is
     this batch read back from bronze, so bronze and silver agree on what was loaded. Malformed texts and records without
-    the main key are written to ``RunResult.quarantine`` and counted.
+    the main key are written to ``RunResult.quarantine`` and counted. With
+    ``replace_children`` a loaded record's children replace those it had before, so
+    children removed upstream go; records that are not in the load keep theirs.
     """
     batch = batch_id(load_ts, landing)
     append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target, batch=batch)
     rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
-    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children)
 
 
 def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: datetime | str,
              end: datetime | str, silver_root: str,
              current: Mapping[str, str | None] | None = None, only: str | None = None,
-             catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
+             catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
     """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's loads the last counts."""
     bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
     batch = batch_id(end, f"{bronze_target} from {start}")
-    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by)
+    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children)
 
 
 class IncompleteLanding(RuntimeError):
@@ -167,7 +210,7 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
                  bronze_target: str, silver_root: str,
                  current: Mapping[str, str | None] | None = None, only: str | None = None,
                  require_complete: bool = True, source: str = "pages", catalog: bool = False,
-                 partition_by: Mapping[str, list[str]] | None = None) -> RunResult:
+                 partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
     """One run from landed page responses (``window_start, page, body``).
 
     ``landing.gate`` compares what landed with the spec's request windows (if it
@@ -185,4 +228,4 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
     batch = batch_id(load_ts, source)
     append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target, batch=batch)
     rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
-    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children)

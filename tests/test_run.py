@@ -147,3 +147,18 @@ def test_drift_against_the_data(spark, records):
     res = silver_tables(bronze, spec)
     got = {(r["table"], r["column"], r["kind"]) for r in res.drift(spec, bronze).collect()}
     assert {("d", "brand_new", "extra"), ("d", "day", "type"), ("d_js", "y", "extra"), ("d_js", "gone", "missing")} <= got
+
+
+def test_run_replaces_children_of_loaded_records(spark, records):
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    run, kids = None, lambda r: sorted(tuple(x) for x in spark.read.parquet(r.versions["kids"]).collect())
+    for i, (lines, want) in enumerate([
+            (['{"id": 1, "kids": [{"kid": "x"}, {"kid": "y"}]}', '{"id": 2, "kids": [{"kid": "z"}]}'], [(1, "x"), (1, "y"), (2, "z")]),
+            (['{"id": 1, "kids": [{"kid": "y"}]}'], [(1, "y"), (2, "z")]),
+            (['{"id": 2}', '{"id": 3, "kids": []}'], [(1, "y")])]):
+        text = write_landing(records(*lines), scratch_path(spark, "landing"))
+        run = ingest(spark, SPEC, text, f"2024-01-0{i + 1}T00:00:00Z", bronze, root, run.versions if run else None,
+                     replace_children=True)
+        assert kids(run) == want
+    assert run.changes["kids"] == {"inserted": 0, "updated": 0, "unchanged": 0, "deleted": 1}
+    assert run.changes["m"] == {"inserted": 1, "updated": 0, "unchanged": 1, "deleted": 0}

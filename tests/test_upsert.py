@@ -181,3 +181,134 @@ def test_swap_keeps_the_tables_partitioning(spark):
     upsert_table(spark, "swap_part_t", spark.createDataFrame([("b", 2)], S), ["k"])
     assert [c.name for c in spark.catalog.listColumns("swap_part_t") if c.isPartition] == ["v"]
     assert rows(spark.table("swap_part_t")) == [("a", 1), ("b", 2)]
+
+
+def _files(path):
+    import glob
+    import os
+    return {p: os.path.getmtime(p) for p in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+PARTED = "p STRING, k INT, v INT, y INT"
+
+
+def test_only_changed_partitions_are_written(spark):
+    from nestlift.operators.upsert import read_partitioned, upsert_partitioned
+
+    path = scratch_path(spark, "part")
+    first = [("a", 1, 1, 1), ("a", 2, 2, 2), ("b", 3, 3, 3), ("c", 4, 4, None), ("d", None, 5, 1)]
+    upsert_partitioned(spark, path, spark.createDataFrame(first, PARTED), ["p", "k"], ["y"], exists=False)
+    before, seen = _files(path), {}
+    same = spark.createDataFrame(first[:4], PARTED)
+    upsert_partitioned(spark, path, same, ["p", "k"], ["y"], changes=seen)
+    assert _files(path) == before and seen == {"inserted": 0, "updated": 0, "unchanged": 4, "deleted": 0}
+    load = spark.createDataFrame([("a", 1, 1, 1), ("a", 2, 20, 2), ("c", 4, 4, None)], PARTED)
+    upsert_partitioned(spark, path, load, ["p", "k"], ["y"], changes=seen)
+    after = _files(path)
+    assert {p.split("/")[-2] for p in set(before) - set(after)} == {"y=2"}
+    assert seen == {"inserted": 0, "updated": 1, "unchanged": 2, "deleted": 0}
+    assert rows(read_partitioned(spark, path).where("y = 2").select("p", "k", "v")) == [("a", 2, 20)]
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_children_of_loaded_parents_are_replaced(spark, as_table):
+    from nestlift.operators.upsert import Scope, read_partitioned, upsert_partitioned
+
+    path = "scope_t" if as_table else scratch_path(spark, "part")
+    spark.sql("DROP TABLE IF EXISTS scope_t")
+    first = [("a", 1, 1, 1), ("a", 2, 2, 2), ("a", None, 9, 2), ("b", 1, 1, 1), ("c", 1, 1, 4), (None, 1, 7, 2)]
+    upsert_partitioned(spark, path, spark.createDataFrame(first, PARTED), ["p", "k"], ["y"], exists=False, as_table=as_table)
+    load = spark.createDataFrame([("a", 1, 10, 1), ("a", 3, 3, 3), ("a", None, 8, 1)], PARTED)
+    parents = spark.createDataFrame([("a",), ("c",), (None,), ("new",)], "p STRING")
+    seen = {}
+    upsert_partitioned(spark, path, load, ["p", "k"], ["y"], as_table=as_table, scope=Scope(["p"], parents), changes=seen)
+    got = spark.table(path) if as_table else read_partitioned(spark, path)
+    assert sorted((tuple(r) for r in got.select("p", "k", "v", "y").collect()), key=str) == sorted(
+        [("a", 1, 10, 1), ("a", 3, 3, 3), ("a", None, 8, 1), ("b", 1, 1, 1), (None, 1, 7, 2)], key=str)
+    assert seen == {"inserted": 2, "updated": 1, "unchanged": 0, "deleted": 3}
+    with pytest.raises(MergeConflict):
+        upsert_partitioned(spark, path, load.union(load), ["p", "k"], ["y"], as_table=as_table, scope=Scope(["p"]))
+
+
+def test_scope_in_versions_and_swapped_tables(spark):
+    from nestlift.operators.upsert import Scope, stage_table
+
+    shape = "p STRING, k INT, v INT"
+    first = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 1)], shape)
+    load, want = spark.createDataFrame([("a", 2, 2)], shape), [("a", 2, 2), ("b", 1, 1)]
+    v1 = upsert_path(spark, None, first, ["p", "k"], scratch_path(spark, "t"))
+    seen = {}
+    v2 = upsert_path(spark, v1, load, ["p", "k"], scratch_path(spark, "t"), scope=Scope(["p"]), changes=seen)
+    assert rows(spark.read.parquet(v2)) == want and seen == {"inserted": 0, "updated": 0, "unchanged": 1, "deleted": 1}
+    assert upsert_path(spark, v2, load, ["p", "k"], scratch_path(spark, "t"), scope=Scope(["p"])) == v2      # nothing changed
+    with pytest.raises(ValueError, match="part of the key"):
+        upsert_path(spark, v2, load, ["p", "k"], scratch_path(spark, "t"), scope=Scope(["v"]))
+    spark.sql("DROP TABLE IF EXISTS scope_swap_t")
+    upsert_table(spark, "scope_swap_t", first, ["p", "k"])
+    stage_table(spark, "scope_swap_t", load, ["p", "k"], scope=Scope(["p"]))()
+    assert rows(spark.table("scope_swap_t")) == want
+
+
+def test_null_moved_between_columns_is_a_change(spark):
+    shape = "k INT, a STRING, b STRING"
+    v1 = upsert_path(spark, None, spark.createDataFrame([(1, "x", None), (2, None, None)], shape), ["k"], scratch_path(spark, "t"))
+    seen = {}
+    upsert_path(spark, v1, spark.createDataFrame([(1, None, "x"), (2, None, None), (3, "n", "n")], shape), ["k"],
+                scratch_path(spark, "t"), changes=seen)
+    assert seen == {"inserted": 1, "updated": 1, "unchanged": 1, "deleted": 0}
+
+
+def test_merge_states_agree_with_a_simple_merge(spark):
+    from nestlift.operators.upsert import _STATE, DELETED, Scope, merge_states
+
+    import random
+    rnd = random.Random(2)
+    row = lambda n: [(rnd.choice("abc"), rnd.choice([1, 2, 3, None]), rnd.randint(0, 1)) for _ in range(n)]
+    shape = "p STRING, k INT, v INT"
+    for _ in range(3):
+        t = list({r[:2]: r for r in row(6)}.values())
+        s = list({r[:2]: r for r in row(4)}.values())
+        tf, sf = spark.createDataFrame(t, shape), spark.createDataFrame(s, shape)
+        out, _ = merge_states(tf, sf, ["p", "k"])
+        assert rows2(out.filter(f"{_STATE} <> '{DELETED}'").drop(_STATE)) == rows2(merge_frames(tf, sf, ["p", "k"]))
+        out, _ = merge_states(tf, sf, ["p", "k"], scope=Scope(["p"]))
+        loaded = {r[0] for r in s}
+        assert rows2(out.filter(f"{_STATE} <> '{DELETED}'").drop(_STATE)) == sorted([r for r in t if r[0] not in loaded] + s, key=str)
+
+
+def rows2(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_target_partitions_are_pruned_at_run_time(spark):
+    import glob
+
+    from nestlift.operators.upsert import _touched_rows, read_partitioned, upsert_partitioned
+
+    path = scratch_path(spark, "part")
+    frame = spark.createDataFrame([(i, i, i % 50 if i % 50 else None) for i in range(500)], "k INT, v INT, y INT")
+    upsert_partitioned(spark, path, frame, ["k"], ["y"], exists=False)
+    load = spark.createDataFrame([(3, 30, 3), (47, 470, 47), (50, 5, None)], "k INT, v INT, y INT")
+    part = _touched_rows(read_partitioned(spark, path), load, ["y"], scratch_path(spark, "touched"))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "isnull(y" in plan
+    assert part.count() == 30
+    for p in glob.glob(f"{path}/y=*/*.parquet"):                     # no file of another partition can be read any more
+        if p.split("/")[-2] not in ("y=3", "y=47", "y=__HIVE_DEFAULT_PARTITION__"):
+            with open(p, "wb") as f:
+                f.write(b"not parquet")
+    upsert_partitioned(spark, path, load, ["k"], ["y"], fixed_partitions=True)
+    got = read_partitioned(spark, path).where("y in (3, 47) or y is null")
+    assert sorted(r.v for r in got.where("k in (3, 47, 50)").collect()) == [5, 30, 470] and got.count() == 30
+
+
+def test_touched_rows_of_two_partition_columns_with_nulls(spark):
+    from nestlift.operators.upsert import _touched_rows
+
+    path = scratch_path(spark, "part")
+    every = [(10 * a + b, a if a else None, str(b) if b else None) for a in range(4) for b in range(4)]
+    spark.createDataFrame(every, "k INT, a INT, b STRING").write.partitionBy("a", "b").parquet(path)
+    t = spark.read.schema("k INT, a INT, b STRING").parquet(path)
+    touched = [(1, "2"), (None, "1"), (3, None), (None, None), (2, "2")]
+    got = _touched_rows(t, spark.createDataFrame(touched, "a INT, b STRING"), ["a", "b"])
+    assert sorted(r.k for r in got.collect()) == [0, 1, 12, 22, 30]

@@ -15,13 +15,11 @@ which equals the share of common shingles when all weights are equal.
 2. Texts with the same words are one node from here on (their representative is
    a hash of the words), so large groups of exact copies cost one row.
 3. Banding: nodes that agree in all registers of a band share a bucket.
-4. Verification in rounds. In a bucket each node is compared with the bucket's
-   leader only, never with all others. Verified pairs are linked and merged into
-   classes; buckets whose nodes are all in one class are done. The others get a
-   new leader, ``rounds`` times. Nodes of large buckets that still hold several
-   classes are dealt again into buckets of two bands (``finer`` of them, which
-   near pairs share almost surely and others rarely), with a new leader. Buckets
-   of up to ``small`` nodes are then finished pair by pair across classes.
+4. Verification. In a bucket each node is compared with the bucket's leader only,
+   never with all others. Verified pairs are linked and merged into classes; buckets
+   whose nodes are all in one class are done. The others may get further leaders
+   (``rounds``). Buckets of up to ``small`` nodes are then finished pair by pair
+   across classes.
 5. The nodes of larger buckets that still hold several classes are finished by an
    exact join (``near_pairs``): a near pair shares one of the rarest shingles of
    both, so texts that have only a frequent template in common do not meet, nor do
@@ -51,7 +49,6 @@ BANDS, ROWS = 25, 6
 CACHE_WORDS = 300_000
 ROUNDS = 1
 SMALL_BUCKET = 32
-FINER_BANDS = 100
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -363,8 +360,8 @@ def _shared(members: DataFrame) -> DataFrame:
     return members.join(members.groupBy("node").agg((-F.count(F.lit(1))).alias("rank")), "node")
 
 
-def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds: int, small: int,
-                   finer: int) -> tuple[DataFrame, DataFrame]:
+def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds: int,
+                   small: int) -> tuple[DataFrame, DataFrame]:
     """(links, labels): pairs of nodes at ``threshold`` or more, and the classes they make.
 
     ``nodes`` has one row per distinct word sequence: node, bands and ``first``,
@@ -380,21 +377,13 @@ def verified_links(docs: DataFrame, nodes: DataFrame, threshold: float, rounds:
     linker = _Linker(texts, threshold)
     left = linker.rounds(members.withColumn("label", F.col("node")).withColumn("n", F.lit(0)), rounds)
     left = linker.open(left.drop("label", "n"))
-    # large buckets that still hold several classes: their nodes again, in buckets of two bands
-    large = nodes.join(left.where(F.col("n") > small).select("node").distinct(), "node", "left_semi")
-    size = F.size("bands")
-    pair = F.transform(F.sequence(F.lit(0), F.lit(finer - 1)), lambda i: F.xxhash64(
-        i, F.get("bands", (i % size).cast("int")), F.get("bands", ((i + 1 + F.floor(i / size)) % size).cast("int"))))
-    fine = linker.open(stage(_shared(large.select("node", F.explode(pair).alias("bucket"))), "members"))
-    fine = linker.rounds(fine, 1)
-    kinds = [x.where(F.col("n") <= small).select("bucket", "node", "label") for x in (fine, left)]
-    linker.finish(linker.open(kinds[0].unionByName(kinds[1]).drop("label")))
+    linker.finish(linker.open(left.where(F.col("n") <= small).select("bucket", "node")))
     linker.finish_large(linker.open(left.where(F.col("n") > small).drop("label", "n")))
     return linker.links, linker.label
 
 
 def near_classes(docs: DataFrame, threshold: float = SIMILARITY, n_bands: int = BANDS, rows: int = ROWS,
-                 rounds: int = ROUNDS, small: int = SMALL_BUCKET, finer: int = FINER_BANDS) -> DataFrame:
+                 rounds: int = ROUNDS, small: int = SMALL_BUCKET) -> DataFrame:
     """One row per input row: doc_id, class_id, kept, _k1, _k2.
 
     ``class_id`` is the least doc_id of the class (NULL only if no row of it has
@@ -407,7 +396,7 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, n_bands: int =
                 .select("doc_id", "_k1", "_k2", "s.*"), "signed")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")
     nodes = stage(one.groupBy("node").agg(F.min(place).alias("first"), F.first("bands").alias("bands")), "nodes")
-    _, label = verified_links(docs, nodes, threshold, rounds, small, finer)
+    _, label = verified_links(docs, nodes, threshold, rounds, small)
     of = nodes.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first")
     of = stage(of, "node-labels")
     heads = of.groupBy("label").agg(F.min("first").alias("head"))

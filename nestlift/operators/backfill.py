@@ -6,7 +6,7 @@ scan; when bronze is partitioned by ``load_date`` the matching date range
 also prunes whole directories. A bronze frame without the load-time column
 is returned unfiltered.
 
-``latest_by`` keeps, of records loaded more than once, the last load's.
+``latest_by`` keeps, of records loaded more than once, the last row.
 """
 
 from __future__ import annotations
@@ -48,20 +48,33 @@ def load_window(bronze: DataFrame, start: datetime | str, end: datetime | str,
 
 
 def latest_by(bronze: DataFrame, keys: list[str] | tuple[str, ...], column: str = "raw_json",
-              load: str = LOAD_COLUMN) -> DataFrame:
-    """Bronze rows of each record key's last load (all of them, if a load holds several).
+              load: str = LOAD_COLUMN, source: str = "source_file") -> DataFrame:
+    """Of each record key the last bronze row, one only.
 
-    Rows without the key (or malformed) and rows of frames without a load time
-    pass unchanged. The last load per key is a partial (map-side) aggregate, so
-    a key with very many loads costs one row per task before the shuffle.
+    Last in total order: by load time, then source (a file, or the window, page and
+    position of a record from landed pages), then text, so copies of a key within
+    one load resolve too, the same way on every run. Rows without the key (or
+    malformed) and rows of frames without a load time pass unchanged.
+
+    Keys are counted with their last place, a partial (map-side) aggregate. Rows of
+    keys that came once, most rows of most ranges, then pass without a shuffle of
+    their text if the other keys are few enough to be broadcast.
     """
     if load not in bronze.columns:
         return bronze
     shape = T.StructType([T.StructField(k, T.StringType()) for k in keys])
-    rec = F.from_json(F.col(quote(column)), shape)
     names = [f"__nl_key{i}" for i in range(len(keys))]
-    rows = bronze.withColumn("__nl_keys", rec).select("*", *[F.col("__nl_keys")[k].alias(n) for k, n in zip(keys, names)]).drop("__nl_keys")
+    parsed = bronze.withColumn("__nl_keys", F.from_json(F.col(quote(column)), shape))
+    rows = parsed.select("*", *[F.col("__nl_keys")[k].alias(n) for k, n in zip(keys, names)]).drop("__nl_keys")
     whole = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-    last = (rows.where(whole).groupBy(*names).agg(F.max(load).alias("__nl_last")))
-    kept = rows.where(whole).join(last, names).where(F.col(load).eqNullSafe(F.col("__nl_last")))
-    return kept.select(*bronze.columns).unionByName(rows.where(~whole).select(*bronze.columns))
+    order = [load, *([source] if source in bronze.columns else [])]
+    place = F.struct(*[F.col(quote(c)).alias(f"o{i}") for i, c in enumerate(order)])
+    keyed = rows.where(whole)
+    several = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__nl_n"), F.max(place).alias("__nl_last"))
+               .where("__nl_n > 1").drop("__nl_n"))
+    once = keyed.join(several.select(*names), names, "left_anti")
+    cols = [F.col(quote(c)) for c in bronze.columns]
+    last = (keyed.join(several, names).where(place.eqNullSafe(F.col("__nl_last"))).groupBy(*names)
+            .agg(F.max_by(F.struct(*cols), F.col(quote(column))).alias("__nl_row")).select("__nl_row.*"))
+    return (once.select(*cols).unionByName(last)
+            .unionByName(rows.where(~whole).select(*cols)))

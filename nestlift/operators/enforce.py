@@ -72,11 +72,29 @@ def _check_case(df: DataFrame) -> None:
         raise SchemaConflict(f"columns differ only in case: {bad}")
 
 
-def enforce(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
-    """Typed, ordered output columns exactly as declared."""
+# with ``mark_losses``: per column that a cast can empty, whether it emptied this row's value
+LOST = "__nl_lost"
+
+
+def can_lose(declared: str, actual: T.DataType | None) -> bool:
+    """Whether typing a column as declared can turn a value into NULL."""
+    out, as_json = resolve(declared)
+    return not (actual is None or as_json or isinstance(out, T.StringType) or actual == out)
+
+
+def enforce(df: DataFrame, schema: Mapping[str, str], mark_losses: bool = False) -> DataFrame:
+    """Typed, ordered output columns exactly as declared.
+
+    ``mark_losses`` adds a struct column ``LOST`` that says of every column whose
+    cast can fail whether a value of this row became NULL in it; the upserts count
+    and drop it while they write.
+    """
     _check_case(df)
     actual = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[typed_column(n, t, actual.get(n)) for n, t in schema.items()])
+    typed = [typed_column(n, t, actual.get(n)) for n, t in schema.items()]
+    marks = [(F.col(quote(n)).isNotNull() & typed_column(n, t, actual[n]).isNull()).alias(n)
+             for n, t in schema.items() if mark_losses and can_lose(t, actual.get(n))]
+    return df.select(*typed, *([F.struct(*marks).alias(LOST)] if marks else []))
 
 
 def enforce_strings(df: DataFrame, columns) -> DataFrame:

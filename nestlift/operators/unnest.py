@@ -63,7 +63,7 @@ def _empty(df: DataFrame, name: str) -> bool:
 
 
 def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
-           text_schemas: Mapping[str, T.DataType] | None = None) -> UnnestResult:
+           text_schemas: Mapping[str, T.DataType] | None = None, mark_losses: bool = False) -> UnnestResult:
     """Build one child table from a parsed record frame.
 
     ``probe`` applies the rule that a level holding no value at all skips
@@ -72,7 +72,7 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
     them; shallower levels are probed only when it finds nothing, to name
     the empty level. A JSON-text level is probed where it stands, since its
     element schema is inferred from those values. ``text_schemas`` gives
-    element schemas for JSON-text levels by name.
+    element schemas for JSON-text levels by name. ``mark_losses`` as in ``enforce``.
     """
     keys = child.parent_key_names
     res = UnnestResult(child.name, None)
@@ -129,7 +129,7 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
             res.skipped = first_empty(pending[:-1]) or f"level {lv + 1}: {nm!r} holds no value"
             return res
     res.missing_keys = [k for k in keys if k not in cur.columns]
-    res.df = enforce(cur, child.output_schema)
+    res.df = enforce(cur, child.output_schema, mark_losses)
     return res
 
 

@@ -49,6 +49,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.types import quote
+from .enforce import LOST
 from ..session import delete_path, read_text, scratch_path, write_text
 
 
@@ -70,7 +71,8 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     missing = [c for c in target.columns if c not in have]
     if missing:
         raise ValueError(f"source lacks target columns {missing} (the declared schema is the contract)")
-    return source.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return source.select(*[F.col(quote(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields],
+                         *([LOST] if LOST in have else []))
 
 
 def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> DataFrame:
@@ -80,7 +82,7 @@ def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> Da
     an error unless ``allow_new_columns`` is set.
     """
     have = set(target.columns)
-    new = [f for f in source.schema.fields if f.name not in have]
+    new = [f for f in source.schema.fields if f.name not in have and f.name != LOST]
     if not new:
         return target
     if not allow_new_columns:
@@ -242,7 +244,12 @@ def _note(changes: dict[str, int] | None, obs: Observation | None, rows: Observa
 
 
 def _counted(source: DataFrame, rows: Observation | None) -> DataFrame:
-    return source if rows is None else source.observe(rows, F.count(F.lit(1)).alias("rows"))
+    """Source rows, counted as they are written, with the values their casts lost (``lost:`` and the column)."""
+    marks = source.schema[LOST].dataType.fieldNames() if LOST in source.columns else []
+    if rows is not None:
+        source = source.observe(rows, F.count(F.lit(1)).alias("rows"),
+                                *[F.count_if(F.col(LOST)[c]).alias(f"lost:{c}") for c in marks])
+    return source.drop(LOST)
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str],

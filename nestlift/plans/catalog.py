@@ -520,6 +520,40 @@ def q_backfill_two_loads(spark, sf_dir):
     return _main_with_lines(*[spark.read.parquet(run.versions[t]) for t in ("orders_main", "order_lines")])
 
 
+def q_backfill_ties(spark, sf_dir):
+    """Rebuild over a load in which keys come several times, from three sources and twice from one of them."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    rows, key = nesting.order_rows(spark, sf_dir).select(*nesting.ORDER_FIELDS), F.col("o_orderkey")
+    priced = lambda cond, factor: nesting.as_records(
+        rows.where(cond).withColumn("o_totalprice", F.col("o_totalprice") * factor))
+    for recs, ts, name in ((priced(key > 0, 1), TWO_LOADS[0], "z"), (priced(key % 7 == 0, 4), TWO_LOADS[0], "a"),
+                           (priced(key % 3 == 0, 2), TWO_LOADS[1], "b"), (priced(key % 5 == 0, 3), TWO_LOADS[1], "c"),
+                           (priced(key % 10 == 0, 3), TWO_LOADS[1], "c")):
+        append_bronze(in_memory_bronze(recs, ts, name), bronze)
+    run = backfill(spark, sp, bronze, *TWO_LOADS, root, only="orders_main")
+    return spark.read.parquet(run.versions["orders_main"]).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+LOSSY = {**specs.ORDERS,
+         "data_schema": {**specs.ORDERS["data_schema"], "o_orderstatus": "boolean", "o_orderpriority": "int"},
+         "nested_tables": [{**specs.ORDERS["nested_tables"][0], "data_schema": {
+             **specs.LINE_SCHEMA, "l_returnflag": "boolean", "l_linestatus": "date"}}]}
+
+
+def q_cast_losses(spark, sf_dir):
+    """Two loads under a declaration that does not fit: the values each one lost to casts, per column."""
+    sp, told = specs.spec(LOSSY), None
+    bronze, root, run = scratch_path(spark, "bronze"), scratch_path(spark, "silver"), None
+    for i, (part, ts) in enumerate(zip(_order_loads(spark, sf_dir), TWO_LOADS)):
+        text = write_landing(part, scratch_path(spark, "landing"))
+        run = ingest(spark, sp, text, ts, bronze, root, run.versions if run else None, only="orders_main, order_lines",
+                     partition_by={"order_lines": ["l_linenumber"]})
+        own = run.cast_losses(spark).where("lost > 0").withColumn("load", F.lit(i + 1))
+        told = own if told is None else told.unionByName(own)
+    return told
+
+
 def q_quarantine(spark, sf_dir):
     """A load of which every tenth line is cut short: the rest loads, the cut lines are set aside."""
     sp = specs.spec(specs.EVENTS)
@@ -595,6 +629,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_two_loads": q_backfill_two_loads,
     "ingest_rerun": q_ingest_rerun,
     "bronze_two_landings": q_bronze_two_landings,
+    "backfill_ties": q_backfill_ties,
+    "cast_losses": q_cast_losses,
     "quarantine": q_quarantine,
     "landing_gate": q_landing_gate,
     "preview": q_preview,

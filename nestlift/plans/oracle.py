@@ -193,6 +193,17 @@ ORACLE: dict[str, str] = {
     "ingest_rerun": f"SELECT {_ORDER_COLS}, (SELECT count(*) FROM orders) AS bronze_rows FROM orders",
     "bronze_two_landings": """SELECT o_orderkey, o_custkey, o_totalprice,
   CASE WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS landing FROM orders""",
+    "backfill_ties": """SELECT o_orderkey, o_custkey, o_totalprice *
+    CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS o_totalprice FROM orders""",
+    "cast_losses": """WITH loads AS (SELECT *, 1 AS load FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+    UNION ALL SELECT *, 2 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
+  lines AS (SELECT o.load, l.* FROM loads o JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+  c AS (SELECT load, 'orders_main' AS "table", 'o_orderstatus' AS "column", count(*) FILTER (WHERE o_orderstatus <> 'F') AS lost
+      FROM loads GROUP BY load
+    UNION ALL SELECT load, 'orders_main', 'o_orderpriority', count(*) FROM loads GROUP BY load
+    UNION ALL SELECT load, 'order_lines', 'l_returnflag', count(*) FILTER (WHERE l_returnflag <> 'N') FROM lines GROUP BY load
+    UNION ALL SELECT load, 'order_lines', 'l_linestatus', count(*) FROM lines GROUP BY load)
+  SELECT "table", "column", lost, load FROM c WHERE lost > 0""",
     "quarantine": """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'malformed' ELSE 'loaded' END AS outcome
   FROM events""",
     "preview": """SELECT 'orders_main' AS "table", least(10, count(*)) AS rows FROM orders

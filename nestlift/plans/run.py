@@ -45,7 +45,8 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
                allow_new_columns: bool = False,
                partition_by: Mapping[str, list[str]] | None = None,
                scopes: Mapping[str, Scope] | None = None,
-               changes: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
+               changes: dict[str, dict[str, int]] | None = None,
+               losses: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
     """Upsert each table under ``root``; returns ``{table: path}``.
 
     A table gets a new Parquet version per run (the mapping returned is the
@@ -56,7 +57,9 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
     given it receives the number of rows upserted per table, counted by
     ``observe`` inside the write job itself (no extra pass over the data), and
     ``changes`` how many rows of each table were inserted, updated, unchanged and
-    deleted. A table in which nothing changed keeps its version. ``scopes`` names
+    deleted; ``losses`` how many values of each column its declared type made NULL
+    (if the tables were made with ``mark_losses``), counted in the same job. A table
+    in which nothing changed keeps its version. ``scopes`` names
     the tables in which the children of loaded parents are replaced as a whole.
     """
     out = {k: v for k, v in current.items() if v}
@@ -74,6 +77,7 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
             path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
             out[name] = upsert_path(spark, current.get(name), df, table_keys(spec, name), path, **options)
         counted[name] = int(obs.get.get("rows", 0))
+        _note_losses(losses, name, obs)
     for step in publish:
         step()
     if rows is not None:
@@ -86,7 +90,8 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
                       partition_by: Mapping[str, list[str]] | None = None,
                       rows: dict[str, int] | None = None,
                       scopes: Mapping[str, Scope] | None = None,
-                      changes: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
+                      changes: dict[str, dict[str, int]] | None = None,
+                      losses: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
     """Upsert each table into the catalog table ``silver_schema.table``.
 
     First every table is staged and its conflicts are checked; only then are
@@ -112,9 +117,17 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
     out = {name: step() for name, step in steps.items()}
     if rows is not None:
         rows.update({name: int(obs.get.get("rows", 0)) for name, obs in counted.items()})
+    if losses is not None:
+        for name, obs in counted.items():
+            _note_losses(losses, name, obs)
     return out
 
 
+def _note_losses(losses: dict[str, dict[str, int]] | None, table: str, obs: Observation) -> None:
+    if losses is not None:
+        losses[table] = {k.removeprefix("lost:"): int(n) for k, n in obs.get.items() if k.startswith("lost:")}
+
+
 @dataclass
 class RunResult:
     silver: SilverResult
@@ -124,6 +137,13 @@ class RunResult:
     quarantine: str | None = None
     # per table: rows inserted, updated, unchanged, deleted
     changes: dict[str, dict[str, int]] = field(default_factory=dict)
+    # per table and column whose cast can fail: values that became NULL
+    losses: dict[str, dict[str, int]] = field(default_factory=dict)
+
+    def cast_losses(self, spark: SparkSession) -> DataFrame:
+        """table, column, lost: one row per column whose cast can fail."""
+        return spark.createDataFrame([(t, c, n) for t, cols in self.losses.items() for c, n in cols.items()],
+                                     "table string, column string, lost long")
 
 
 def child_scopes(spec: JobSpec, res: SilverResult, tables: dict[str, DataFrame], known) -> dict[str, Scope]:
@@ -151,25 +171,27 @@ def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str
          current: Mapping[str, str | None] | None, only: str | None, catalog: bool,
          partition_by: Mapping[str, list[str]] | None, replace_children: bool = False) -> RunResult:
     """Silver tables of ``bronze``, bad records set aside, everything upserted, scratch removed."""
-    res = silver_tables(bronze, spec, only=only, quarantine=True)
+    res = silver_tables(bronze, spec, only=only, quarantine=True, mark_losses=True)
     try:
         bad = f"{silver_root.rstrip('/')}/_quarantine/batch={batch}"
         obs = Observation(f"quarantine_{uuid.uuid4().hex[:12]}")
         res.quarantine.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(bad)
         rows: dict[str, int] = {}
         changes: dict[str, dict[str, int]] = {}
+        losses: dict[str, dict[str, int]] = {}
         tables, scopes = dict(res.tables), None
         if replace_children:
             known = (lambda t: spark.catalog.tableExists(spec.qualified(t))) if catalog else (lambda t: (current or {}).get(t))
             scopes = child_scopes(spec, res, tables, known)
         if catalog:
-            versions = upsert_all_tables(spark, spec, tables, partition_by=partition_by, rows=rows, scopes=scopes, changes=changes)
+            versions = upsert_all_tables(spark, spec, tables, partition_by=partition_by, rows=rows, scopes=scopes, changes=changes,
+                                         losses=losses)
         else:
             versions = upsert_all(spark, spec, tables, current or {}, silver_root, rows=rows, partition_by=partition_by,
-                                  scopes=scopes, changes=changes)
+                                  scopes=scopes, changes=changes, losses=losses)
     finally:
         res.release()
-    return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad, changes)
+    return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad, changes, losses)
 
 
 def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime | str,
@@ -196,7 +218,7 @@ def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: date
              end: datetime | str, silver_root: str,
              current: Mapping[str, str | None] | None = None, only: str | None = None,
              catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
-    """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's loads the last counts."""
+    """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's copies the last counts."""
     bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
     batch = batch_id(end, f"{bronze_target} from {start}")
     return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children)
@@ -226,6 +248,9 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
             raise IncompleteLanding(f"pages or windows did not land as announced, e.g. {sample}")
     recs = landing.records(envelopes, spec.data_key)
     batch = batch_id(load_ts, source)
-    append_bronze(annotate(recs, load_ts, source, column="raw_json"), bronze_target, batch=batch)
+    # where a record came from, in an order that text keeps: window, page, position
+    place = F.concat_ws("/", F.lit(source), F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss"),
+                        F.lpad(F.col("page").cast("string"), 9, "0"), F.lpad(F.col("position").cast("string"), 9, "0"))
+    append_bronze(annotate(recs, load_ts, place, column="raw_json"), bronze_target, batch=batch)
     rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
     return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children)

@@ -13,7 +13,7 @@ import hashlib
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +33,15 @@ def write_landing(records: DataFrame, path: str, column: str = "raw_json") -> st
     return path
 
 
-def annotate(text: DataFrame, load_ts: datetime | str, source: str | None = None,
+def annotate(text: DataFrame, load_ts: datetime | str, source: str | Column | None = None,
              column: str = "value") -> DataFrame:
     """Text lines -> bronze rows with one literal load time.
 
-    ``source=None`` records each line's own file (``input_file_name``).
+    ``source`` is a name for all rows or a column; ``None`` records each line's own
+    file (``input_file_name``).
     """
     ts = ts_lit(load_ts)
-    src = F.input_file_name() if source is None else F.lit(source)
+    src = F.input_file_name() if source is None else source if isinstance(source, Column) else F.lit(source)
     return text.select(F.col(column).alias("raw_json"),
                        ts.cast("timestamp").alias("load_timestamp"),
                        src.alias("source_file"))

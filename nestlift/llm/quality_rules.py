@@ -1,20 +1,25 @@
-"""Rule filters whose cutoffs carry a guarantee on false rejections.
+"""Rule filters whose cutoffs carry a joint guarantee on false rejections.
 
 Each rule compares one ratio of a text with a cutoff. Labelled documents are a
-holdout: for every stratum (language), rule and cutoff of a fixed grid, the
-number of good documents the rule would reject gives an exact binomial
-(Clopper-Pearson) upper bound on its false rejection rate. A cutoff is allowed
-if the bound is at most ``risk``. Multiple tests are corrected for: ``delta`` is
-divided by the number of strata times rules (Bonferroni), and a rule's cutoffs
-are tested from loose to strict up to the first that fails (a fixed sequence
-needs no further division). So with probability 1 - delta no allowed cutoff
-rejects more than ``risk`` of the good documents of its stratum. Among the
-allowed ones the rule takes the loosest that gains most: bad documents rejected
-less ``cost`` times the good ones. If nothing is gained or allowed (too few
-labels), the rule is off in that stratum.
-
-The counts are made by Spark over all labelled documents; only one row per
-stratum, rule and grid step reaches the driver.
+holdout: for a stratum (language) and a set of cutoffs, one per rule or none, the
+number of good documents that any of the rules would reject gives an exact binomial
+(Clopper-Pearson) upper bound on the joint false rejection rate. A set is allowed if
+the bound is at most ``risk``.
+
+Multiple tests are corrected for. ``delta`` is divided by the number of strata that
+have good labels (Bonferroni). Within a stratum the sets are tested in a fixed
+sequence up to the first that fails, which needs no further division. The sequence
+starts with every rule off and makes one rule stricter at a time: the step that
+rejects most of the documents labelled bad for what it rejects of all others
+without a good label, as long as that is a gain. So the order does not look at the
+good labels that the tests use. With probability 1 - delta, no allowed set rejects
+more than ``risk`` of the good documents of its stratum. The one taken gains most:
+bad documents rejected less ``cost`` times the good ones. A stratum with fewer good
+labels than the bound needs (436 at the defaults with four labelled strata) has no rules.
+
+The counts are made by Spark over all documents; only one row per stratum, class
+and combination of grid steps that occurs reaches the driver, at most
+(grid + 1) to the number of rules, whatever the number of documents.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestlift.llm.common import stage
+from nestlift.llm.common import each, stage
 
 RISK, DELTA, COST = 0.01, 0.05, 20.0
 STRATA = ("de", "en", "es", "fr")        # any other language is the stratum "other"
@@ -74,7 +79,7 @@ def measures(text: Column) -> Column:
     @F.arrow_udf(", ".join(f"{n} long" for n in names))
     def measure(texts: pa.Array) -> pa.Array:
         out: list[list[int]] = [[] for _ in names]
-        for text in texts.to_pylist():
+        for text in each(texts):
             text = text or ""
             raw = text.encode("utf-8", "surrogatepass")
             words = raw.split()                 # bytes.split cuts at space and tab..carriage return only
@@ -108,33 +113,74 @@ def _stratum(strata: Sequence[str]) -> Column:
     return F.when(F.col("lang").isin(*strata), F.col("lang")).otherwise("other")
 
 
+def _above(counts: dict[tuple[int, ...], int]) -> tuple[np.ndarray, np.ndarray]:
+    steps = np.array(list(counts), np.int64).reshape(len(counts), len(RULES))
+    return steps, np.array(list(counts.values()), np.int64)
+
+
+def cutoff_sequence(bad: dict[tuple[int, ...], int], rest: dict[tuple[int, ...], int]) -> list[tuple[int, ...]]:
+    """Sets of cutoffs (a grid index per rule; its length: off), each stricter than the one before.
+
+    ``bad`` and ``rest`` count documents by the number of cutoffs that they lie above, per rule.
+    """
+    sizes = [len(grid) for _, grid in RULES.values()]
+    state, out = list(sizes), []
+    (b, nb), (r, nr) = _above(bad), _above(rest)
+    all_bad, all_rest = nb.sum(), nr.sum()
+    while True:
+        best = None
+        for k, size in enumerate(sizes):
+            # documents not rejected yet that cutoff i would reject: those above more than i cutoffs
+            caught, lost = (np.bincount(x[:, k], w, size + 1)[::-1].cumsum()[::-1][1:] for x, w in ((b, nb), (r, nr)))
+            for i in range(state[k] - 1, -1, -1):
+                if caught[i]:
+                    # one document more than there are lies anywhere on the grid, so no step is free
+                    lift = (caught[i] / all_bad) / ((lost[i] + (state[k] - i) / size) / (all_rest + 1))
+                    if lift > 1 and (best is None or (lift, caught[i]) > best[0]):
+                        best = (lift, caught[i]), k, i
+        if best is None:
+            return out
+        _, k, i = best
+        state[k] = i
+        out.append(tuple(state))
+        (b, nb), (r, nr) = ((x[x[:, k] <= i], w[x[:, k] <= i]) for x, w in ((b, nb), (r, nr)))
+
+
+def rejects(cutoffs: tuple[int, ...], counts: dict[tuple[int, ...], int]) -> int:
+    """Documents that any rule rejects."""
+    steps, n = _above(counts)
+    return int(n[(steps > np.array(cutoffs)).any(axis=1)].sum())
+
+
 def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA,
                    strata: Sequence[str] = STRATA, cost: float = COST) -> dict[tuple[str, str], float]:
     """(stratum, rule) -> cutoff, for the rules that are on."""
     truth = (labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_good"))
              .where(F.col("_id").isNotNull() & F.col("_good").isin(0, 1))
              .groupBy("_id").agg(F.min("_good").alias("_good")))
-    held = measured.where("n_words > 0").join(truth, F.col("doc_id") == F.col("_id"))
+    held = measured.where("n_words > 0").join(truth, F.col("doc_id") == F.col("_id"), "left")
     # the number of cutoffs a text lies above: all it is rejected by, as grids run from strict to loose
-    steps = [F.struct(F.lit(rule).alias("rule"), sum((F.when(F.expr(ratio) > c, 1).otherwise(0) for c in grid),
-                                                     F.lit(0)).alias("above"))
-             for rule, (ratio, grid) in RULES.items()]
-    counts = (held.select("stratum", "_good", F.explode(F.array(*steps)).alias("s")).select("stratum", "_good", "s.*")
-              .groupBy("stratum", "_good", "rule", "above").count().collect())   # strata x rules x grid x 2 at most
-    level = delta / ((len(strata) + 1) * len(RULES))
+    steps = [sum((F.when(F.expr(ratio) > c, 1).otherwise(0) for c in grid), F.lit(0)) for ratio, grid in RULES.values()]
+    rows = (held.select("stratum", F.coalesce("_good", F.lit(2)).alias("kind"), F.array(*steps).alias("above"))
+            .groupBy("stratum", "kind", "above").count().collect())
+    of: dict[tuple[str, int], dict[tuple[int, ...], int]] = {}
+    for r in rows:
+        of.setdefault((r["stratum"], r["kind"]), {})[tuple(r["above"])] = r["count"]
+    labelled = [s for s in (*strata, "other") if of.get((s, 1))]
     out: dict[tuple[str, str], float] = {}
-    for stratum in (*strata, "other"):
-        for rule, (_, grid) in RULES.items():
-            good, bad = ({r["above"]: r["count"] for r in counts
-                          if (r["stratum"], r["rule"], r["_good"]) == (stratum, rule, y)} for y in (1, 0))
-            best = 0.0
-            for i in reversed(range(len(grid))):
-                lost = sum(v for a, v in good.items() if a > i)
-                if not allowed(lost, sum(good.values()), risk, level):
-                    break
-                gain = sum(v for a, v in bad.items() if a > i) - cost * lost
-                if gain > best:
-                    best, out[stratum, rule] = gain, grid[i]
+    for stratum in labelled:
+        good, bad, rest = (of.get((stratum, kind), {}) for kind in (1, 0, 2))
+        best, taken = 0.0, None
+        for cutoffs in cutoff_sequence(bad, rest) if bad else ():
+            lost = rejects(cutoffs, good)
+            if not allowed(lost, sum(good.values()), risk, delta / len(labelled)):
+                break
+            gain = rejects(cutoffs, bad) - cost * lost
+            if gain > best:
+                best, taken = gain, cutoffs
+        for (rule, (_, grid)), i in zip(RULES.items(), taken or (), strict=bool(taken)):
+            if i < len(grid):
+                out[stratum, rule] = grid[i]
     return out
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from nestlift.llm import quality, toxicity
 from nestlift.llm.common import fold, labelled_sample
-from nestlift.llm.quality_rules import allowed, binomial_tail, choose_cutoffs, judge, repeat_words
+from nestlift.llm.quality_rules import (allowed, binomial_tail, choose_cutoffs, cutoff_sequence, judge, rejects,
+                                        repeat_words)
 from nestlift.llm.url_filter import (COINED, THRESHOLD, UNWANTED, WANTED, coined, default_labels, features,
                                      host_and_path, judge_urls, labelled_names, match_rules, split_url, train)
 
@@ -119,6 +121,60 @@ def test_exact_binomial_bound():
     assert not allowed(0, 0, .01, .05) and not allowed(0, 298, .01, .05) and allowed(0, 299, .01, .05)
 
 
+def test_base_columns_equal_brute_force(spark):
+    rnd = random.Random(9)
+    lines = ["a b c d e", "a b c d e f", "# x| y", "", " \t", "é ü\u00a0z", "word " * 12]
+    rows = [(i, "\n".join(rnd.choices(lines, k=rnd.randint(0, 12)))) for i in range(150)] + [(200, None), (201, "")]
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in judge(docs, labels).collect()}
+    for i, t in rows:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        worded = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        dup = sum(x in worded[:j] for j, x in enumerate(worded))
+        windows = [tuple(w[j:j + 5]) for j in range(len(w) - 4)]
+        rep = {j + k for j, x in enumerate(windows) if windows.count(x) > 1 for k in range(5)}
+        r = got[i]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), dup, len(rep))
+        assert r.base_failed == (len(w) < 10 or 100 * len(rep) > 20 * len(w)) and r.kept == (not r.base_failed)
+
+
+def test_cutoffs_follow_the_tests_and_bound_the_joint_rate():
+    rnd = random.Random(1)
+    count = lambda n, f: Counter(tuple(f()) for _ in range(n))
+    some = lambda p: rnd.randint(5, 36) if rnd.random() < p else rnd.randint(0, 2)
+    bad, rest = count(400, lambda: [some(.4) for _ in range(4)]), count(4000, lambda: [some(.01) for _ in range(4)])
+    path = cutoff_sequence(bad, rest)
+    assert path and all(sum(a > b for a, b in zip(x, y)) == 1 and all(a >= b for a, b in zip(x, y))
+                        for x, y in zip([(36,) * 4, *path], path))
+    assert [rejects(c, bad) for c in path] == sorted(rejects(c, bad) for c in path)
+    for c in path:
+        assert rejects(c, bad) == sum(n for a, n in bad.items() if any(x > i for x, i in zip(a, c)))
+
+
+def test_the_joint_rate_of_good_documents_is_bounded(spark):
+    rnd = random.Random(2)
+    rows = []
+    for i in range(4000):                               # each of three rules alone would stay below the risk
+        good, k = i % 3 > 0, rnd.random()
+        w = [f"w{rnd.randint(0, 5000)}" for _ in range(40)]
+        if not good or k < .008:
+            w = [x + "#" * 2 for x in w]
+        text = " ".join(w)
+        if not good or .008 <= k < .016:
+            text = "\n".join(["same line"] * 6 + [text])
+        if not good or .016 <= k < .024:
+            text += " " + " ".join("x" * 30 for _ in range(40))
+        rows.append((i, text, "en", int(good)))
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, quality INT")
+    out = {r.doc_id: r for r in judge(df.drop("quality"), df.select("doc_id", "quality")).collect()}
+    good = [out[d] for d, _, _, y in rows if y and not out[d].base_failed]
+    bad = [out[d] for d, _, _, y in rows if not y]
+    assert sum(not r.kept for r in good) <= .01 * len(good) and sum(not r.kept for r in bad) >= .9 * len(bad)
+
+
 def test_rules_limit_false_rejections(spark):
     rnd = random.Random(6)
     rows = []

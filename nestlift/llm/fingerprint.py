@@ -9,23 +9,27 @@ on average, so the likeness runs from 0 to 1.
 
 ``edited_fingerprints`` also digests every text with its tail replaced by the
 head of the next document in id order. Neighbours meet without a global sort in
-one task: ids are cut into ranges, each range's first document is also sent to
-the range before it as a guest, and a range is read in order, one document held
-at a time.
+one task: ids are cut into ranges, an id that fills several ranges (a NULL id too)
+into parts by the hash that orders its texts; each range's first document is also
+sent to the range before it as a guest, and a range is read in order, one document
+held at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from nestlift.llm.common import each
+
 BUCKETS = 256
 RANGES_PER_PARTITION = 4
 MAX_RANGES = 20_000
@@ -77,7 +81,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
     held = None
     for batch in batches:
-        for rng, guest, doc, text in zip(*(batch.column(c).to_pylist() for c in ("rng", "guest", "doc_id", "text")),
+        for rng, guest, doc, text in zip(*(each(batch.column(c)) for c in ("rng", "guest", "doc_id", "text")),
                                          strict=True):
             text = text or ""
             digest = Digest(text)
@@ -95,6 +99,40 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _OUT, strict=True)], schema=_OUT)
 
 
+def _ranged(docs: DataFrame, ranges: int) -> DataFrame:
+    """``docs`` with ``h`` and ``rng``, the number of a row's range in the order of id (NULL last) and ``h``.
+
+    Quantiles of the ids cut them. An id that several quantiles fall on is hot: its
+    rows are cut once more by ``h``, evenly, since it is a hash, into as many parts.
+    """
+    rows = docs.withColumn("h", F.xxhash64("text")).withColumn("x", F.col("doc_id").cast("double"))
+    at = [i / ranges for i in range(1, ranges)]
+    cuts = rows.approxQuantile("x", at, 0.1 / ranges)
+    bounds = sorted(set(cuts))
+    # beyond 2^53 several ids are one double: these are not cut by hash
+    parts = [cuts.count(x) if abs(x) < 2.0 ** 53 else 1 for x in bounds]
+    seen = docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("doc_id").isNull()).alias("null")).first()
+    null_parts = max(1, math.ceil(ranges * seen["null"] / max(1, seen["n"])))
+    # range 0 lies below all bounds; range i begins with the parts of the id bounds[i - 1], the other ids follow
+    first = [0]
+    for n in [0, *parts]:
+        first.append(first[-1] + n + 1)
+    share = F.col("h").cast("double") / 2.0 ** 64 + 0.5
+
+    def part(n: Column) -> Column:
+        return F.least(F.floor(share * n), n - 1)
+
+    def entry(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("i").cast("int") + 1)
+
+    cut = Bucketizer(splits=[float("-inf"), *(bounds or [0.0]), float("inf")], inputCol="x", outputCol="i", handleInvalid="keep")
+    hot = entry([0, *(parts or [1])])
+    rng = (F.when(F.col("x").isNull(), F.lit(first[-1] + 1) + part(F.lit(null_parts)))
+           .otherwise(entry(first[: len(bounds) + 1] if bounds else [0, 0])
+                      + F.when(F.col("x") == entry([float("-inf"), *(bounds or [0.0])]), part(hot)).otherwise(hot)))
+    return cut.transform(rows).withColumn("rng", rng.cast("long")).drop("x", "i")
+
+
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -106,12 +144,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranges = min(MAX_RANGES, RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    at = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(docs.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", at, 0.1 / ranges)))
-    cut = Bucketizer(splits=[float("-inf"), *(bounds or [0.0]), float("inf")], inputCol="x", outputCol="rng", handleInvalid="keep")
-    rows = (cut.transform(docs.withColumn("x", F.col("doc_id").cast("double")))
-            .select(F.coalesce(F.col("rng").cast("int"), F.lit(len(bounds) + 2)).alias("rng"),   # NULL ids: a last range
-                    "doc_id", "text", F.xxhash64("text").alias("h")))
+    rows = _ranged(docs, ranges)
     # one row per range (their number is bounded above): its first document, and the range before it
     order = Window.orderBy("rng")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h"))

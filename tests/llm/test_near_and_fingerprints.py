@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nestlift.llm.fingerprint import Digest, edited, edited_fingerprints, likeness
+from nestlift.llm.fingerprint import Digest, _ranged, edited, edited_fingerprints, likeness
 from nestlift.llm.near_dedup import (bag, classes, drop_near_duplicates, mix64, most_alike, near_classes, near_pairs,
                                      signature, similarity, words_of)
 
@@ -179,6 +179,22 @@ def test_edited_fingerprints_follow_the_next_document(spark):
         assert r.near_edited == likeness(Digest(text), Digest(new)) and r.near_next == likeness(Digest(text), Digest(after))
 
 
+def test_hot_and_null_ids_are_cut_by_their_texts(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.choice([None, None, 7, 7, rnd.randint(0, 30), 2**60 + rnd.randint(0, 9)]), f"text {i} " * (i % 5 + 1)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(5)
+    counted = _ranged(docs, 32).groupBy("rng").agg(F.count(F.lit(1)).alias("n"), F.collect_set("doc_id").alias("ids"),
+                                                   F.count_if(F.col("doc_id").isNull()).alias("null")).collect()
+    assert sum(r.n for r in counted) == 900
+    for hot in (lambda r: r.null, lambda r: r.ids == [7]):
+        own = [r.n for r in counted if hot(r)]
+        assert len(own) >= 6 and max(own) <= 100
+    # the order of ranges is the order of (id, hash): each document is followed by the next one
+    order = [r.text for r in docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).collect()]
+    want = Counter(hashlib.sha256(edited(t, order[(i + 1) % 900]).encode()).hexdigest() for i, t in enumerate(order))
+    assert Counter(r.edited_sha256 for r in edited_fingerprints(docs).collect()) == want
+
+
 def test_edges_of_the_order(spark):
     one = spark.createDataFrame([(5, "abcdefgh")], "doc_id LONG, text STRING")
     r = edited_fingerprints(one).first()

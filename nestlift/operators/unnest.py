@@ -38,6 +38,7 @@ from .enforce import enforce
 
 _POS = "__nl_pos"
 _ELEM = "__nl_elem"
+_SLICE = "__nl_slice"
 
 
 @dataclass
@@ -50,11 +51,30 @@ class UnnestResult:
     levels: list[str] = field(default_factory=list)
 
 
-def open_array(df: DataFrame, carry: list[str], arr, elem: str = _ELEM) -> DataFrame:
-    """``carry`` columns plus one row per array element (inner-explode rows, one generator)."""
-    return (df.select(*[F.col(quote(k)) for k in carry], F.posexplode_outer(arr).alias(_POS, elem))
-            .filter(F.col(_POS).isNotNull())
-            .drop(_POS))
+def open_array(df: DataFrame, carry: list[str], arr, elem: str = _ELEM, slice_rows: int | None = None) -> DataFrame:
+    """``carry`` columns plus one row per array element (inner-explode rows, one generator).
+
+    A task opens an array that it has read, so one record of millions of elements
+    is one task, which no skew handling splits. With ``slice_rows``, arrays of more
+    elements are first cut into slices of that many, which are dealt out by key and
+    slice and then opened; the others are opened where they are.
+    """
+    keys = [F.col(quote(k)) for k in carry]
+
+    def opened(rows: DataFrame, values) -> DataFrame:
+        return (rows.select(*keys, F.posexplode_outer(values).alias(_POS, elem))
+                .filter(F.col(_POS).isNotNull())
+                .drop(_POS))
+
+    if not slice_rows:
+        return opened(df, arr)
+    n = F.array_size(arr)
+    large = (df.filter(n > slice_rows)
+             .select(*keys, arr.alias(_ELEM), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / slice_rows).cast("int"))).alias(_SLICE))
+             .select(*keys, F.slice(_ELEM, F.col(_SLICE) * slice_rows + 1, F.lit(slice_rows)).alias(_ELEM), _SLICE))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = large.repartition(parts, *keys, F.col(_SLICE))
+    return opened(df.filter((n <= slice_rows) | n.isNull()), arr).unionByName(opened(dealt, F.col(_ELEM)))
 
 
 def _empty(df: DataFrame, name: str) -> bool:
@@ -63,7 +83,8 @@ def _empty(df: DataFrame, name: str) -> bool:
 
 
 def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
-           text_schemas: Mapping[str, T.DataType] | None = None, mark_losses: bool = False) -> UnnestResult:
+           text_schemas: Mapping[str, T.DataType] | None = None, mark_losses: bool = False,
+           slice_rows: int | None = None) -> UnnestResult:
     """Build one child table from a parsed record frame.
 
     ``probe`` applies the rule that a level holding no value at all skips
@@ -72,7 +93,8 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
     them; shallower levels are probed only when it finds nothing, to name
     the empty level. A JSON-text level is probed where it stands, since its
     element schema is inferred from those values. ``text_schemas`` gives
-    element schemas for JSON-text levels by name. ``mark_losses`` as in ``enforce``.
+    element schemas for JSON-text levels by name. ``mark_losses`` as in ``enforce``,
+    ``slice_rows`` (array levels) as in ``open_array``.
     """
     keys = child.parent_key_names
     res = UnnestResult(child.name, None)
@@ -112,7 +134,7 @@ def unnest(parsed: DataFrame, child: ChildSpec, probe: bool = True,
         else:
             pending.append((level, name, cur))
         present = [k for k in keys if k in cur.columns and k != name]
-        ex = open_array(cur, present, col)
+        ex = open_array(cur, present, col, slice_rows=slice_rows if isinstance(dtype, T.ArrayType) else None)
         etype = ex.schema[_ELEM].dataType
         if isinstance(etype, T.StructType):
             fields = etype.fieldNames()

@@ -148,6 +148,12 @@ def q_unnest_1(spark, sf_dir):
     return ntz(_orders_silver(spark, sf_dir, only="order_lines").tables["order_lines"])
 
 
+def q_unnest_sliced(spark, sf_dir):
+    """The order lines, arrays of more than two elements opened in slices."""
+    res = silver_tables(landed(spark, sf_dir, "fx-o"), specs.spec(specs.ORDERS), only="order_lines", slice_rows=2)
+    return ntz(res.tables["order_lines"])
+
+
 def q_unnest_scalar(spark, sf_dir):
     return _orders_silver(spark, sf_dir, only="order_partkeys").tables["order_partkeys"]
 
@@ -238,6 +244,16 @@ def q_page_concat(spark, sf_dir):
     return ntz(rows.select("window_start", "page", "event_id"))
 
 
+def q_record_ordinal(spark, sf_dir):
+    """Every landed record's place in the fetch order (window, page, position), without a global sort."""
+    shape = f"totalHits BIGINT, events ARRAY<STRUCT<{', '.join(f'{k}: {t}' for k, t in EVENT_SHAPE.items())}>>"
+    env = _envelopes(spark, sf_dir).withColumn("body", F.from_json("body", shape))
+    env = env.withColumn("body", F.to_json(F.struct("body.totalHits", F.array_sort("body.events").alias("events"))))
+    recs = landing.ordered_records(env, "events")
+    rows = parse(recs, shape_to_struct({"event_id": "BIGINT"}), keep=("window_start", "page", "position", "ordinal"))
+    return ntz(rows.select("window_start", "page", "position", "ordinal", "event_id"))
+
+
 def q_page_completeness(spark, sf_dir):
     env = _envelopes(spark, sf_dir)
     hits = F.from_json("body", "totalHits BIGINT")["totalHits"]
@@ -595,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_drift": q_schema_drift,
     "schema_drift_nested": q_schema_drift_nested,
     "unnest_1": q_unnest_1,
+    "unnest_sliced": q_unnest_sliced,
     "unnest_scalar": q_unnest_scalar,
     "unnest_empty": q_unnest_empty,
     "unnest_2": q_unnest_2,
@@ -608,6 +625,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expected_pages": q_expected_pages,
     "envelope_flatten": q_envelope_flatten,
     "page_concat": q_page_concat,
+    "record_ordinal": q_record_ordinal,
     "page_completeness": q_page_completeness,
     "pages_ingest": q_pages_ingest,
     "landing_roundtrip": q_landing_roundtrip,

@@ -66,6 +66,7 @@ ORACLE: dict[str, str] = {
    'array<struct<flag:string,price:double,step:bigint>>'))
   AS t("table", "column", kind, declared, actual)""",
     "unnest_1": f"SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l",
+    "unnest_sliced": f"SELECT l.l_orderkey AS o_orderkey, {_LINE_COLS} FROM lineitem l",
     "unnest_scalar": "SELECT l_orderkey AS o_orderkey, l_partkey AS partkeys_exploded FROM lineitem",
     "unnest_empty": """SELECT o_orderkey FROM orders o
   WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
@@ -110,6 +111,10 @@ ORACLE: dict[str, str] = {
     "page_concat": f"""WITH {_WINDOWED}
   SELECT p.window_start, CAST(1 + e.event_id % p.npages AS INTEGER) AS page, e.event_id
   FROM e JOIN p ON p.w = e.w""",
+    "record_ordinal": f"""WITH {_WINDOWED},
+  r AS (SELECT p.window_start, CAST(1 + e.event_id % p.npages AS INTEGER) AS page, e.event_id FROM e JOIN p ON p.w = e.w)
+  SELECT window_start, page, CAST(row_number() OVER (PARTITION BY window_start, page ORDER BY event_id) - 1 AS INTEGER) AS position,
+    row_number() OVER (ORDER BY window_start, page, event_id) AS ordinal, event_id FROM r""",
     "page_completeness": f"""WITH {_WINDOWED},
   x AS (SELECT p.window_start, CAST(g.page AS INTEGER) AS page, p.npages FROM p,
         generate_series(1, p.npages) g(page)),

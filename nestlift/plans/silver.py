@@ -150,7 +150,7 @@ def _marked(bronze: DataFrame, schema: T.StructType, spec: JobSpec, column: str)
 def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
                   schema: T.StructType | None = None, reuse: str | None = "stage",
                   column: str = "raw_json", quarantine: bool = False, probe: bool = True,
-                  mark_losses: bool = False) -> SilverResult:
+                  mark_losses: bool = False, slice_rows: int | None = None) -> SilverResult:
     """Lazy main + child tables from a bronze frame (``raw_json`` text).
 
     Every table reads only its own fields: from the staged Parquet through
@@ -161,7 +161,8 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
     With ``quarantine`` (every run mode sets it) malformed texts and records
     without the main key go to ``SilverResult.quarantine`` (text, reason)
     instead of becoming NULL rows; they are told apart in the same parse.
-    ``mark_losses`` marks values that the declared types turn into NULL (see ``enforce``).
+    ``mark_losses`` marks values that the declared types turn into NULL (see ``enforce``);
+    ``slice_rows`` opens arrays of more elements in slices, by many tasks (see ``open_array``).
     """
     kept, unknown = select_tables(spec, only)
     if unknown and not kept:
@@ -211,7 +212,7 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
     for child in spec.children:
         if child.name not in kept:
             continue
-        r = unnest(source(path_need(child)), child, probe=probe, mark_losses=mark_losses)
+        r = unnest(source(path_need(child)), child, probe=probe, mark_losses=mark_losses, slice_rows=slice_rows)
         if r.df is None:
             skipped[child.name] = r.skipped or "skipped"
         else:

@@ -6,6 +6,7 @@ The envelope frame carries the page's coordinates as columns:
 ``window_start TIMESTAMP, page INT, body STRING``.
 
 * ``records``          envelopes -> one row per record, bag semantics (S6, S7)
+* ``ordered_records``  the same with each record's place in the fetch order of the whole landing
 * ``date_windows``     the request windows a date range is split into (S1)
 * ``window_coverage``  records per window, empty windows, records in the holes (S1)
 * ``expected_pages``   pages each window should have, from its hit total (S2)
@@ -19,10 +20,12 @@ the date range and page size) are ever small.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..spec import JobSpec, parse_instant, ts_lit
 
@@ -42,6 +45,33 @@ def records(envelopes: DataFrame, data_key: str, body: str = "body",
     return (envelopes.select(*meta, F.posexplode(arr).alias("position", "raw_json")))
 
 
+def ordered_records(envelopes: DataFrame, data_key: str, body: str = "body",
+                    window: str = "window_start", page: str = "page") -> DataFrame:
+    """``records`` with ``ordinal``: the record's place, from 1 and without gaps, in the fetch order of the whole landing.
+
+    The order is window, page, position in the page; pages of one window and number
+    with different bodies follow each other by a hash of the body, and copies of one
+    body share their ordinals (``gate`` refuses both). A distributed prefix sum: records
+    are counted per page, pages are added up within their window and windows among
+    themselves, and a page's records number on from there. So only counts are ordered,
+    one row per page within a window and one row per window; records are not sorted.
+    """
+    st = T.StructType([T.StructField(data_key, T.ArrayType(T.StringType()))])
+    pages = envelopes.select(window, page, F.from_json(F.col(body), st)[data_key].alias("__nl_arr"), F.xxhash64(body).alias("__nl_body"))
+    at = [window, page, "__nl_body"]
+    counts = pages.groupBy(*at).agg(F.coalesce(F.max(F.array_size("__nl_arr")), F.lit(0)).cast("long").alias("__nl_n"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    windows = (counts.groupBy(window).agg(F.sum("__nl_n").alias("__nl_n"))
+               .select(F.col(window).alias("__nl_window"), F.sum("__nl_n").over(before.orderBy(window)).alias("__nl_before")))
+    starts = (counts.withColumn("__nl_in", F.sum("__nl_n").over(before.partitionBy(window).orderBy(page, "__nl_body")))
+              .join(windows, F.col(window).eqNullSafe(F.col("__nl_window")))
+              .select(*[F.col(c).alias(f"__nl_s{i}") for i, c in enumerate(at)],
+                      (F.coalesce("__nl_in", F.lit(0)) + F.coalesce("__nl_before", F.lit(0))).alias("__nl_start")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__nl_s{i}")) for i, c in enumerate(at)])
+    return (pages.join(starts, same).select(window, page, "__nl_start", F.posexplode("__nl_arr").alias("position", "raw_json"))
+            .withColumn("ordinal", F.col("__nl_start") + F.col("position") + 1).drop("__nl_start"))
+
+
 def _bounds(start: datetime | str, end: datetime | str) -> tuple[datetime, datetime]:
     s = parse_instant(start) if isinstance(start, str) else start
     e = parse_instant(end) if isinstance(end, str) else end

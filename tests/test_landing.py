@@ -98,3 +98,19 @@ def test_gate_names_every_fault(spark):
     short = _env(spark, [(w[0], 1, '{"total": 4, "items": [1, 2]}'), (w[0], 2, '{"total": 4, "items": [3]}')])
     assert {(r.page, r.status) for r in landing.gate(short, spec).where("page IS NOT NULL").collect()} == {
         (1, "received"), (2, "short")}
+
+
+def test_ordinals_are_gap_free_over_empty_and_odd_pages(spark):
+    import datetime as dt
+
+    from nestlift.sources.landing import ordered_records
+
+    w = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    pages = [(w[1], 1, '{"n": [{"x": 4}]}'), (w[0], 2, '{"n": [{"x": 3}]}'), (w[0], 1, '{"n": [{"x": 1}, {"x": 2}]}'),
+             (w[1], 2, '{"n": []}'), (w[1], 3, "cut {"), (w[2], 1, None), (w[2], 2, '{"n": [{"x": 5}, null, {"x": 6}]}')]
+    env = spark.createDataFrame(pages, "window_start TIMESTAMP, page INT, body STRING").repartition(3)
+    got = ordered_records(env, "n").orderBy("ordinal").collect()
+    assert [r.ordinal for r in got] == list(range(1, 8))
+    assert [r.raw_json for r in got] == ['{"x":1}', '{"x":2}', '{"x":3}', '{"x":4}', '{"x":5}', None, '{"x":6}']
+    plan = ordered_records(env, "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 1                # the windows' counts, never the records

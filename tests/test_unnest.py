@@ -168,3 +168,18 @@ def test_child_whose_declared_columns_are_all_absent(spark, records):
     for reuse in ("stage", None):
         res = silver_tables(df, sp, only="t", reuse=reuse)
         assert rows(res.tables["t"]) == [(1, None), (1, None)]   # one row per element, typed NULLs
+
+
+def test_one_huge_array_is_opened_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from nestlift.operators.unnest import open_array
+
+    rows = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id INT").select(
+        "id", F.when(F.col("id") == 1, F.sequence(F.lit(1), F.lit(200_000))).when(F.col("id") == 2, F.array(F.lit(7), F.lit(None)))
+        .when(F.col("id") == 3, F.array().cast("array<int>")).alias("a"))
+    plain, sliced = open_array(rows, ["id"], F.col("a"), "e"), open_array(rows, ["id"], F.col("a"), "e", slice_rows=1_000)
+    assert sliced.columns == plain.columns and sliced.exceptAll(plain).isEmpty() and plain.exceptAll(sliced).isEmpty()
+    tasks = sliced.where("id = 1").groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 80_000
+    assert sliced.count() == 200_002

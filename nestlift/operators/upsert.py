@@ -540,6 +540,28 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
     return stage_partitioned(spark, path, source, keys, partition_by, **{"direct": True, **options})()
 
 
+# ------------------------------------------------------------------ which batch a table has seen
+_APPLIED_FILE, _APPLIED_PROPERTY = "_nl_applied", "nestlift.applied_batch"
+
+
+def applied_batch(spark: SparkSession, table: str, as_table: bool = False) -> str | None:
+    """The last batch that was published to a catalog table or a partitioned path, if it was noted."""
+    if not as_table:
+        return read_text(spark, f"{table.rstrip('/')}/{_APPLIED_FILE}")
+    if not spark.catalog.tableExists(table):
+        return None
+    found = spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").where(F.col("key") == _APPLIED_PROPERTY).collect()
+    return found[0]["value"] if found else None
+
+
+def note_batch(spark: SparkSession, table: str, batch: str, as_table: bool = False) -> None:
+    """Note the batch that was just published: one value per table."""
+    if as_table:
+        spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ('{_APPLIED_PROPERTY}' = '{batch}')")
+    else:
+        write_text(spark, f"{table.rstrip('/')}/{_APPLIED_FILE}", batch)
+
+
 # ------------------------------------------------------------------ catalog tables
 def _quoted(table: str) -> str:
     return ".".join(quote(p) for p in table.split("."))

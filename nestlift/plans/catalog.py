@@ -254,6 +254,19 @@ def q_record_ordinal(spark, sf_dir):
     return ntz(rows.select("window_start", "page", "position", "ordinal", "event_id"))
 
 
+def q_page_drift(spark, sf_dir):
+    """Every window moved twice while it was fetched: the second page starts with the two last records
+    of the first, and from the third page on three records fewer are announced."""
+    shape = f"totalHits BIGINT, events ARRAY<STRUCT<{', '.join(f'{k}: {t}' for k, t in EVENT_SHAPE.items())}>>"
+    env = _envelopes(spark, sf_dir).withColumn("b", F.from_json("body", shape)).withColumn("e", F.array_sort("b.events"))
+    first = env.where("page = 1").select(F.col("window_start").alias("w"), F.slice("e", -2, 2).alias("tail")).where("size(e) > 1")
+    moved = env.join(first, (F.col("page") == 2) & (F.col("window_start") == F.col("w")), "left")
+    events = F.when(F.col("tail").isNotNull(), F.concat("tail", "e")).otherwise(F.col("e"))
+    total = F.col("b.totalHits") - F.when(F.col("page") > 2, 3).otherwise(0)
+    return ntz(landing.page_drift(moved.select("window_start", "page", F.to_json(F.struct(
+        total.alias("totalHits"), events.alias("events"))).alias("body")), "events", "totalHits"))
+
+
 def q_page_completeness(spark, sf_dir):
     env = _envelopes(spark, sf_dir)
     hits = F.from_json("body", "totalHits BIGINT")["totalHits"]
@@ -515,6 +528,18 @@ def q_bronze_two_landings(spark, sf_dir):
     return stored.join(main, stored["o_orderkey"] == main["key"], "full").drop("key")
 
 
+def q_run_resumed(spark, sf_dir):
+    """A run that reached only its first table, repeated with ``resume``: the first is not written again."""
+    sp = specs.spec(specs.ORDERS)
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    text = write_landing(landed(spark, sf_dir, "fx-o"), scratch_path(spark, "landing"))
+    parts = {"orders_main": ["o_orderstatus"], "order_lines": ["l_linenumber"]}
+    first = ingest(spark, sp, text, LOAD_TS, bronze, root, only="orders_main", partition_by=parts)
+    run = ingest(spark, sp, text, LOAD_TS, bronze, root, first.versions, only="orders_main, order_lines", partition_by=parts, resume=True)
+    main, lines = (read_partitioned(spark, run.versions[t]) for t in ("orders_main", "order_lines"))
+    return _main_with_lines(main, lines).withColumn("written", F.lit(",".join(sorted(run.rows))))
+
+
 def q_backfill_rebuild(spark, sf_dir):
     """Rebuild one table from the bronze rows of one load-time range."""
     sp = specs.spec(specs.ORDERS)
@@ -626,6 +651,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_flatten": q_envelope_flatten,
     "page_concat": q_page_concat,
     "record_ordinal": q_record_ordinal,
+    "page_drift": q_page_drift,
     "page_completeness": q_page_completeness,
     "pages_ingest": q_pages_ingest,
     "landing_roundtrip": q_landing_roundtrip,
@@ -647,6 +673,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_two_loads": q_backfill_two_loads,
     "ingest_rerun": q_ingest_rerun,
     "bronze_two_landings": q_bronze_two_landings,
+    "run_resumed": q_run_resumed,
     "backfill_ties": q_backfill_ties,
     "cast_losses": q_cast_losses,
     "quarantine": q_quarantine,

@@ -115,6 +115,11 @@ ORACLE: dict[str, str] = {
   r AS (SELECT p.window_start, CAST(1 + e.event_id % p.npages AS INTEGER) AS page, e.event_id FROM e JOIN p ON p.w = e.w)
   SELECT window_start, page, CAST(row_number() OVER (PARTITION BY window_start, page ORDER BY event_id) - 1 AS INTEGER) AS position,
     row_number() OVER (ORDER BY window_start, page, event_id) AS ordinal, event_id FROM r""",
+    "page_drift": f"""WITH {_WINDOWED},
+  f AS (SELECT p.w, count(*) AS n FROM e JOIN p ON p.w = e.w WHERE e.event_id % p.npages = 0 GROUP BY p.w)
+  SELECT p.window_start, 1 AS page, 2 AS next_page, 2::BIGINT AS served_twice, 0::BIGINT AS lost
+    FROM p JOIN f ON f.w = p.w WHERE p.npages >= 2 AND f.n > 1
+  UNION ALL SELECT window_start, 2, 3, 0, 3 FROM p WHERE npages >= 3""",
     "page_completeness": f"""WITH {_WINDOWED},
   x AS (SELECT p.window_start, CAST(g.page AS INTEGER) AS page, p.npages FROM p,
         generate_series(1, p.npages) g(page)),
@@ -196,6 +201,8 @@ ORACLE: dict[str, str] = {
     "incremental_run": _TWO_LOADS,
     "backfill_two_loads": _TWO_LOADS,
     "ingest_rerun": f"SELECT {_ORDER_COLS}, (SELECT count(*) FROM orders) AS bronze_rows FROM orders",
+    "run_resumed": """SELECT o.o_orderkey, o.o_totalprice, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey,
+  l.l_shipdate, l.l_quantity, 'order_lines' AS written FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
     "bronze_two_landings": """SELECT o_orderkey, o_custkey, o_totalprice,
   CASE WHEN o_orderkey % 2 = 0 THEN 'first' ELSE 'second' END AS landing FROM orders""",
     "backfill_ties": """SELECT o_orderkey, o_custkey, o_totalprice *

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from ..functions.types import quote
 from ..operators.backfill import latest_by, load_window
 from ..operators.enforce import enforce
-from ..operators.upsert import Scope, stage_partitioned, stage_table, upsert_path
+from ..operators.upsert import Scope, applied_batch, note_batch, stage_partitioned, stage_table, upsert_path
 from ..sources import landing
 from ..sources.bronze import annotate, append_bronze, batch_id, bronze_from_text, read_bronze
 from ..spec import JobSpec
@@ -46,7 +46,8 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
                partition_by: Mapping[str, list[str]] | None = None,
                scopes: Mapping[str, Scope] | None = None,
                changes: dict[str, dict[str, int]] | None = None,
-               losses: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
+               losses: dict[str, dict[str, int]] | None = None,
+               batch: str | None = None, resume: bool = False) -> dict[str, str]:
     """Upsert each table under ``root``; returns ``{table: path}``.
 
     A table gets a new Parquet version per run (the mapping returned is the
@@ -61,6 +62,11 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
     (if the tables were made with ``mark_losses``), counted in the same job. A table
     in which nothing changed keeps its version. ``scopes`` names
     the tables in which the children of loaded parents are replaced as a whole.
+
+    ``batch`` is noted beside each partitioned table once it is published. With
+    ``resume``, tables that have seen it are left alone, so a run that failed between
+    two publications repeats only those behind (versions need none: they are published
+    together, by the mapping).
     """
     out = {k: v for k, v in current.items() if v}
     publish, counted = [], {}
@@ -71,7 +77,11 @@ def upsert_all(spark: SparkSession, spec: JobSpec, tables: Mapping[str, DataFram
                    "scope": (scopes or {}).get(name), "changes": {} if changes is None else changes.setdefault(name, {})}
         if cols:
             path = f"{root.rstrip('/')}/{name}"
+            if resume and batch and current.get(name) and applied_batch(spark, path) == batch:
+                continue
             publish.append(stage_partitioned(spark, path, df, table_keys(spec, name), cols, exists=bool(current.get(name)), **options))
+            if batch:
+                publish.append(lambda path=path: note_batch(spark, path, batch))
             out[name] = path
         else:
             path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
@@ -91,7 +101,8 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
                       rows: dict[str, int] | None = None,
                       scopes: Mapping[str, Scope] | None = None,
                       changes: dict[str, dict[str, int]] | None = None,
-                      losses: dict[str, dict[str, int]] | None = None) -> dict[str, str]:
+                      losses: dict[str, dict[str, int]] | None = None,
+                      batch: str | None = None, resume: bool = False) -> dict[str, str]:
     """Upsert each table into the catalog table ``silver_schema.table``.
 
     First every table is staged and its conflicts are checked; only then are
@@ -100,11 +111,15 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
     those columns (fixed per key, checked) and only the touched partitions are
     rewritten; the others are merged in place where the format allows it, else
     swapped whole. ``scopes`` and ``changes`` as in ``upsert_all`` (tables merged in
-    place by their format do not count changes).
+    place by their format do not count changes). ``batch`` is noted as a property of
+    each table once it is changed; with ``resume``, tables that have seen it are left alone.
     """
-    steps, counted = {}, {}
+    steps, counted, done = {}, {}, {}
     for name, df in tables.items():
         qualified, keys = spec.qualified(name), table_keys(spec, name)
+        if resume and batch and applied_batch(spark, qualified, as_table=True) == batch:
+            done[name] = qualified
+            continue
         cols = (partition_by or {}).get(name)
         obs = Observation(f"upsert_{name}_{uuid.uuid4().hex[:12]}")
         options = {"null_safe": null_safe, "check": check, "rows": obs, "scope": (scopes or {}).get(name),
@@ -114,7 +129,11 @@ def upsert_all_tables(spark: SparkSession, spec: JobSpec, tables: Mapping[str, D
         else:
             steps[name] = stage_table(spark, qualified, df, keys, **options)
         counted[name] = obs
-    out = {name: step() for name, step in steps.items()}
+    out = done
+    for name, step in steps.items():
+        out[name] = step()
+        if batch:
+            note_batch(spark, out[name], batch, as_table=True)
     if rows is not None:
         rows.update({name: int(obs.get.get("rows", 0)) for name, obs in counted.items()})
     if losses is not None:
@@ -169,7 +188,8 @@ def child_scopes(spec: JobSpec, res: SilverResult, tables: dict[str, DataFrame],
 
 def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str, batch: str,
          current: Mapping[str, str | None] | None, only: str | None, catalog: bool,
-         partition_by: Mapping[str, list[str]] | None, replace_children: bool = False) -> RunResult:
+         partition_by: Mapping[str, list[str]] | None, replace_children: bool = False,
+         resume: bool = False) -> RunResult:
     """Silver tables of ``bronze``, bad records set aside, everything upserted, scratch removed."""
     res = silver_tables(bronze, spec, only=only, quarantine=True, mark_losses=True)
     try:
@@ -185,10 +205,10 @@ def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str
             scopes = child_scopes(spec, res, tables, known)
         if catalog:
             versions = upsert_all_tables(spark, spec, tables, partition_by=partition_by, rows=rows, scopes=scopes, changes=changes,
-                                         losses=losses)
+                                         losses=losses, batch=batch, resume=resume)
         else:
             versions = upsert_all(spark, spec, tables, current or {}, silver_root, rows=rows, partition_by=partition_by,
-                                  scopes=scopes, changes=changes, losses=losses)
+                                  scopes=scopes, changes=changes, losses=losses, batch=batch, resume=resume)
     finally:
         res.release()
     return RunResult(res, versions, rows, int(obs.get.get("rows", 0)), bad, changes, losses)
@@ -197,7 +217,8 @@ def _run(spark: SparkSession, spec: JobSpec, bronze: DataFrame, silver_root: str
 def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime | str,
            bronze_target: str, silver_root: str, current: Mapping[str, str | None] | None = None,
            only: str | None = None, catalog: bool = False,
-           partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
+           partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False,
+           resume: bool = False) -> RunResult:
     """One incremental run: the landed text goes to bronze, then silver is upserted.
 
     The load's rows are their own bronze partition, named by load time and
@@ -207,21 +228,24 @@ def ingest(spark: SparkSession, spec: JobSpec, landing: str, load_ts: datetime |
     the main key are written to ``RunResult.quarantine`` and counted. With
     ``replace_children`` a loaded record's children replace those it had before, so
     children removed upstream go; records that are not in the load keep theirs.
+    ``resume`` is for repeating a run that failed between two tables: those that this
+    load has reached (partitioned paths and catalog tables note it) are left alone.
     """
     batch = batch_id(load_ts, landing)
     append_bronze(bronze_from_text(spark, landing, load_ts), bronze_target, batch=batch)
     rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
-    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children, resume)
 
 
 def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: datetime | str,
              end: datetime | str, silver_root: str,
              current: Mapping[str, str | None] | None = None, only: str | None = None,
-             catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
+             catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False,
+           resume: bool = False) -> RunResult:
     """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's copies the last counts."""
     bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
     batch = batch_id(end, f"{bronze_target} from {start}")
-    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children)
+    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children, resume)
 
 
 class IncompleteLanding(RuntimeError):
@@ -232,7 +256,8 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
                  bronze_target: str, silver_root: str,
                  current: Mapping[str, str | None] | None = None, only: str | None = None,
                  require_complete: bool = True, source: str = "pages", catalog: bool = False,
-                 partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False) -> RunResult:
+                 partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False,
+           resume: bool = False) -> RunResult:
     """One run from landed page responses (``window_start, page, body``).
 
     ``landing.gate`` compares what landed with the spec's request windows (if it
@@ -253,4 +278,4 @@ def ingest_pages(spark: SparkSession, spec: JobSpec, envelopes: DataFrame, load_
                         F.lpad(F.col("page").cast("string"), 9, "0"), F.lpad(F.col("position").cast("string"), 9, "0"))
     append_bronze(annotate(recs, load_ts, place, column="raw_json"), bronze_target, batch=batch)
     rows = load_window(read_bronze(spark, bronze_target, batch=batch), load_ts, load_ts)
-    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children)
+    return _run(spark, spec, rows, silver_root, batch, current, only, catalog, partition_by, replace_children, resume)

@@ -7,6 +7,7 @@ The envelope frame carries the page's coordinates as columns:
 
 * ``records``          envelopes -> one row per record, bag semantics (S6, S7)
 * ``ordered_records``  the same with each record's place in the fetch order of the whole landing
+* ``page_drift``       records served twice or likely lost because the source moved between two pages
 * ``date_windows``     the request windows a date range is split into (S1)
 * ``window_coverage``  records per window, empty windows, records in the holes (S1)
 * ``expected_pages``   pages each window should have, from its hit total (S2)
@@ -72,6 +73,36 @@ def ordered_records(envelopes: DataFrame, data_key: str, body: str = "body",
             .withColumn("ordinal", F.col("__nl_start") + F.col("position") + 1).drop("__nl_start"))
 
 
+def page_drift(envelopes: DataFrame, data_key: str, pages_key: str, body: str = "body",
+               window: str = "window_start", page: str = "page") -> DataFrame:
+    """Neighbouring pages between which the source moved: window, page, next_page, served_twice, lost.
+
+    Pages are numbered by offset, so a record added in front while a window is being
+    fetched moves the last record of a page to the next one, where it is served
+    again; a record removed moves one up, past the request, and it is lost.
+    ``served_twice`` counts records of a page that the next one holds too (by a 128-bit
+    hash of their text, NULLs left out; copies within a page count as often as they pair
+    up). ``lost`` is by how many the announced total fell between the two pages. Pairs
+    of pages with neither are left out, as are totals that are missing. Hashes meet by
+    window, page and hash, one shuffle, no text in it.
+    """
+    st = T.StructType([T.StructField(data_key, T.ArrayType(T.StringType())), T.StructField(pages_key, T.LongType())])
+    parsed = envelopes.select(window, page, F.from_json(F.col(body), st).alias("b"))
+    recs = (parsed.select(window, page, F.explode(f"b.{data_key}").alias("r")).where(F.col("r").isNotNull())
+            .groupBy(window, page, F.xxhash64("r").alias("h1"), F.xxhash64(F.lit("record"), "r").alias("h2"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    again = recs.select(window, (F.col(page) - 1).alias(page), "h1", "h2", F.col("n").alias("m"))
+    twice = (recs.join(again, [window, page, "h1", "h2"]).groupBy(window, page)
+             .agg(F.sum(F.least("n", "m")).cast("long").alias("served_twice")))
+    totals = parsed.groupBy(window, page).agg(F.min(f"b.{pages_key}").alias("t"))
+    after = totals.select(window, (F.col(page) - 1).alias(page), F.col("t").alias("u"))
+    fell = totals.join(after, [window, page]).where("u < t").select(window, page, (F.col("t") - F.col("u")).alias("lost"))
+    zero = F.lit(0).cast("long")
+    return (twice.join(fell, [window, page], "full")
+            .select(window, page, (F.col(page) + 1).alias("next_page"), F.coalesce("served_twice", zero).alias("served_twice"),
+                    F.coalesce("lost", zero).alias("lost")))
+
+
 def _bounds(start: datetime | str, end: datetime | str) -> tuple[datetime, datetime]:
     s = parse_instant(start) if isinstance(start, str) else start
     e = parse_instant(end) if isinstance(end, str) else end

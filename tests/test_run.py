@@ -162,3 +162,38 @@ def test_run_replaces_children_of_loaded_records(spark, records):
         assert kids(run) == want
     assert run.changes["kids"] == {"inserted": 0, "updated": 0, "unchanged": 0, "deleted": 1}
     assert run.changes["m"] == {"inserted": 1, "updated": 0, "unchanged": 1, "deleted": 0}
+
+
+def test_a_failed_run_resumes_at_the_table_it_did_not_reach(spark, records, monkeypatch):
+    import glob
+    import os
+
+    import pytest
+
+    from nestlift.operators.upsert import read_partitioned
+    from nestlift.plans import run as module
+
+    text = write_landing(records('{"id": 1, "name": "a", "kids": [{"kid": "x"}]}', '{"id": 2, "name": "b"}'), scratch_path(spark, "landing"))
+    parts, real = {"m": ["name"], "kids": ["id"]}, module.stage_partitioned
+
+    def stage(spark, path, *args, **kw):
+        step = real(spark, path, *args, **kw)
+        return step if not path.rstrip("/").endswith("kids") else lambda: (_ for _ in ()).throw(RuntimeError("lost"))
+
+    for catalog in (False, True):
+        for t in ("m", "kids"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+        bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+        monkeypatch.setattr(module, "stage_partitioned", stage)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest(spark, SPEC, text, "2024-01-01T00:00:00Z", bronze, root, catalog=catalog, partition_by=parts)
+        monkeypatch.setattr(module, "stage_partitioned", real)
+        files = lambda: {p: os.path.getmtime(p) for p in glob.glob(f"{root}/m/**/*.parquet", recursive=True)}
+        before = files()
+        run = ingest(spark, SPEC, text, "2024-01-01T00:00:00Z", bronze, root, {"m": f"{root}/m"}, catalog=catalog,
+                     partition_by=parts, resume=True)
+        assert run.rows == {"kids": 1} and files() == before
+        get = (lambda t: spark.table(t)) if catalog else (lambda t: read_partitioned(spark, run.versions[t]))  # noqa: B023
+        assert sorted((r.id, r.name) for r in get("m").collect()) == [(1, "a"), (2, "b")]
+        assert [(r.id, r.kid) for r in get("kids").collect()] == [(1, "x")]
+        assert set(run.versions) == {"m", "kids"}

@@ -51,3 +51,33 @@ def test_run_leaves_only_its_result(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and out.columns[:2] == ["doc_id", "piece"]
     assert [p.split("/")[-2] for p in set(glob.glob(f"{root}/*/*")) - before] == ["pipeline-packing"]
+
+
+def small_tables(spark, folder, rows):
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, _k1 STRING, _cut STRING")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1)], "doc_id LONG, quality INT, toxic INT").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_null_and_empty_rows_go_through_all_stages(spark, tmp_path):
+    run = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "clean words " * 20, "en", "a", 240, "k", "c"), (2, "some other words " * 10, None, None, None, None, None),
+            (None, None, None, None, None, None, None), (None, None, None, None, None, None, None), (3, "", "en", "a", 0, "k", "c"),
+            (None, "no id " * 30, "en", "b", 180, "k", "c"), (4, run, "en", "b", 200, "k", "c"), (5, "own line\n" + run, "de", "b", 9, "k", "c")]
+    sf_dir = small_tables(spark, tmp_path, rows)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        out.write.parquet(f"{sf_dir}/{name}")
+        docs = spark.read.parquet(f"{sf_dir}/{name}")
+        got = docs.collect()
+        assert {1, 2, 4, None} <= {r.doc_id for r in got}, name
+        assert all(r._k1 in (None, "k") and r._cut in (None, "c") for r in got)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in packed} == {r.doc_id for r in got} and sum(r.length for r in packed) > 0
+
+
+def test_empty_table_goes_through_all_stages(spark, tmp_path):
+    assert corpus_pipeline.run(spark, small_tables(spark, tmp_path, [])).count() == 0

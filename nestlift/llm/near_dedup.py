@@ -223,7 +223,9 @@ def near_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     allows the threshold at that place; the row of the first common shingle always
     does. A shingle's rows of its largest class meet only those of other classes.
     """
-    own = stage(nodes.select("node", "label", F.explode(_bags("text")).alias("s")).select("node", "label", "s.*"), "shingles")
+    # dealt evenly: the texts of a large group lie together otherwise, and their bags are the work here
+    even = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = stage(even.select("node", "label", F.explode(_bags("text")).alias("s")).select("node", "label", "s.*"), "shingles")
     seen = stage(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("n > 1"), "counts")
     every, order = Window.partitionBy("node"), Window.partitionBy("node").orderBy("n", "shingle")

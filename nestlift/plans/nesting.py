@@ -7,6 +7,12 @@ unnesting must give the flat rows back.
 
 A parent is one record, whatever the number of its children: a JSON record is
 one value, so its size is the fixture's, not something to cut by row counts.
+
+Child rows are dealt out by key once and packed where they arrive. Packing them in
+the scan first would sort every scan task's rows (an object aggregate falls back
+to sorting), which spills once a split holds millions of them, and saves no byte:
+a packed row is as long as its elements. What follows from a row's own columns
+(prices) is worked out behind that shuffle, while packing.
 """
 
 from __future__ import annotations
@@ -21,17 +27,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Fixed value: flat child rows that one task packs. With more rows than the session's
+# shuffle partitions hold at that size, tasks multiply instead of growing (and spilling).
+ROWS_PER_TASK = 250_000
+
+
+def pack_tasks(rows: DataFrame) -> int | None:
+    """Tasks that packing these rows takes, or None if the session's shuffle partitions are enough."""
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return tasks if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def nest(parent: DataFrame, child: DataFrame, keys: list[str], field: str,
-         elements: list[Column] | None = None, scalar: Column | None = None) -> DataFrame:
+         elements: list[Column] | None = None, scalar: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Parent rows plus ``field``: the matching child rows as an array.
 
     Elements are ``struct(*elements)`` (default: all non-key child columns),
     or the single ``scalar`` expression. Parents without children keep a
-    NULL ``field`` (dropped from JSON text, i.e. the key is absent).
+    NULL ``field`` (dropped from JSON text, i.e. the key is absent). Children with
+    a NULL key have no parent. ``tasks`` as ``pack_tasks`` of the flat rows says.
     """
     elems = elements or [F.col(c) for c in child.columns if c not in keys]
     value = scalar if scalar is not None else F.struct(*elems)
-    packed = child.groupBy(*keys).agg(F.collect_list(value).alias(field))
+    dealt = child.dropna(subset=keys).repartition(*([tasks] if tasks else []), *keys)
+    packed = dealt.groupBy(*keys).agg(F.collect_list(value).alias(field))
     return parent.join(packed, keys, "left").select(*[F.col(f"`{c}`") for c in parent.columns], F.col(field))
 
 
@@ -52,7 +71,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(*ORDER_FIELDS)
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), *LINE_FIELDS)
     with_lines = nest(orders, lines, ["o_orderkey"], "lines",
-                      elements=[F.col(c) for c in LINE_FIELDS])
+                      elements=[F.col(c) for c in LINE_FIELDS], tasks=pack_tasks(lines))
     return with_lines.withColumn("partkeys", F.transform("lines", lambda x: x["l_partkey"]))
 
 
@@ -83,10 +102,11 @@ def customer_rows(spark: SparkSession, sf_dir: str, prices: bool = True) -> Data
     line_elems = [F.col(c) for c in LINE_FIELDS]
     if prices:
         line_elems.append(line_prices().alias("prices"))
-    orders_nested = nest(orders, li, ["o_orderkey"], "lines", elements=line_elems)
+    tasks = pack_tasks(li)
+    orders_nested = nest(orders, li, ["o_orderkey"], "lines", elements=line_elems, tasks=tasks)
     o = orders_nested.withColumnRenamed("o_custkey", "c_custkey")
     order_elems = [F.col(c) for c in o.columns if c != "c_custkey"]
-    return nest(cust, o, ["c_custkey"], "orders", elements=order_elems)
+    return nest(cust, o, ["c_custkey"], "orders", elements=order_elems, tasks=tasks)
 
 
 def customer_records(spark: SparkSession, sf_dir: str, prices: bool = True) -> DataFrame:

@@ -56,24 +56,34 @@ def split_corrupt(parsed: DataFrame, corrupt_column: str = CORRUPT) -> tuple[Dat
     return parsed.filter(~bad).drop(corrupt_column), parsed.filter(bad)
 
 
+def _kinds(df: DataFrame, column: str) -> DataFrame:
+    """One row: the schemas of a JSON text column's records and arrays, and its bad values.
+
+    Each value is parsed once, in a projection of its own, and its fields are walked once, by
+    the aggregate: objects and arrays are told by their first character (JSON knows four blanks).
+    """
+    text, v, array = F.col("__nl_text"), F.col("__nl_v"), F.col("__nl_array")
+    values = (df.select(F.col(quote(column)).cast("string").alias("__nl_text"))
+              .select("__nl_text", F.try_parse_json(text).alias("__nl_v"),
+                      F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1).alias("__nl_first"))
+              .select("__nl_v", text.isNotNull().alias("__nl_set"), "__nl_first", (F.col("__nl_first") == "[").alias("__nl_array")))
+    objects = F.when(array, F.schema_of_variant(v).rlike("^ARRAY<(OBJECT<|VOID>)")).otherwise(F.col("__nl_first").isin("{", "n"))
+    return values.agg(F.schema_of_variant_agg(F.when(~array, v)).alias("records"),
+                      F.schema_of_variant_agg(F.when(array, v)).alias("arrays"),
+                      F.count_if(F.col("__nl_set") & (v.isNull() | ~objects)).alias("bad"))
+
+
 def infer_schema(df: DataFrame, column: str = "raw_json") -> T.StructType:
     """The fields of a JSON text column, over every value (no sample: rare and late fields count).
 
-    One JVM-side partial aggregate (``schema_of_variant_agg``); the text is not
-    copied. Numbers with a fraction or beyond BIGINT are DOUBLE; a field seen with
-    different kinds of values, or only as NULL, is STRING. A value that is an
+    One JVM-side partial aggregate (``schema_of_variant_agg``). Numbers with a
+    fraction or beyond BIGINT are DOUBLE; a field seen with different kinds of
+    values, or only as NULL, is STRING. A value that is an
     array of objects contributes its elements' fields. If any value is malformed,
     or neither an object nor an array of objects, the schema has a
     ``_corrupt_record``. No values: no fields.
     """
-    value = F.col(quote(column)).cast("string")
-    v = F.try_parse_json(value)
-    kind = F.schema_of_variant(v)
-    is_array = F.startswith(kind, F.lit("ARRAY"))
-    is_record = kind.rlike("^(OBJECT<|ARRAY<OBJECT<|ARRAY<VOID>|VOID)")
-    agg = df.agg(F.schema_of_variant_agg(F.when(~is_array, v)).alias("records"),
-                 F.schema_of_variant_agg(F.when(is_array, v)).alias("arrays"),
-                 F.count_if(value.isNotNull() & ~F.coalesce(is_record, F.lit(False))).alias("bad")).first()
+    agg = _kinds(df, column).first()
     fields: dict[str, T.DataType] = {}
     for text in (agg["records"], agg["arrays"]):
         t = _variant_type(text)

@@ -1,6 +1,6 @@
 from pyspark.sql import types as T
 
-from nestlift.functions.json import CORRUPT, infer_schema, parse, split_corrupt
+from nestlift.functions.json import CORRUPT, _kinds, infer_schema, parse, split_corrupt
 
 
 def test_mixed_types_infer_string(spark, records):
@@ -52,3 +52,10 @@ def test_inference_without_values(spark, records):
     assert infer_schema(records("{}").limit(0)).fields == []
     arrays = records('[{"k": 1}, {"k": 2, "m": "s"}]', '{"k": 3}')
     assert infer_schema(arrays).fieldNames() == ["k", "m"]
+
+
+def test_inference_parses_each_value_once(records):
+    df = records('{"a":1}', ' [{"b":2},null]', "x", None)
+    plan = _kinds(df, "raw_json")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("schemaOfVariant,") <= 1
+    assert infer_schema(df).fieldNames() == ["_corrupt_record", "a", "b"]

@@ -27,7 +27,7 @@ from ..functions.json import CORRUPT, infer_schema, parse
 from ..functions.types import merge_needs, prune, quote, shape_to_struct
 from ..operators.enforce import drift, enforce
 from ..operators.unnest import path_need, unnest
-from ..session import delete_path, scratch_path
+from ..session import PARQUET_CODEC, delete_path, scratch_path
 from ..spec import JobSpec, SpecError, select_tables
 
 
@@ -181,7 +181,7 @@ def silver_tables(bronze: DataFrame, spec: JobSpec, only: str | None = None,
     good_only = F.col(BAD_REASON).isNull()
     if reuse == "stage":
         path = scratch_path(spark, "parsed")
-        parsed.write.mode("overwrite").parquet(path)
+        parsed.write.mode("overwrite").parquet(path, compression=PARQUET_CODEC)
         paths.append(path)
         parsed = spark.read.schema(parsed.schema).parquet(path)
         staged = parsed.schema

@@ -69,6 +69,11 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/nestlift/{kind}/{uuid.uuid4().hex}"
 
 
+# Codec of the Parquet files written here. Records repeat their field names and stored rows
+# repeat from load to load, so what a run writes weighs more than the seconds it takes to pack it.
+PARQUET_CODEC = "zstd"
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder through the Hadoop file system it lives on."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

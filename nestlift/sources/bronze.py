@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import PARQUET_CODEC
 from ..spec import parse_instant, ts_lit
 
 BRONZE_SCHEMA = T.StructType([
@@ -25,11 +26,17 @@ BRONZE_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
 ])
 PARTITION = "load_date"
+# Fixed value: records in one landed text file.
+LANDING_ROWS = 500_000
 
 
 def write_landing(records: DataFrame, path: str, column: str = "raw_json") -> str:
-    """Records -> JSONL text files at ``path`` (one record per line), overwriting that path."""
-    records.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+    """Records -> JSONL text files at ``path`` (one record per line, gzip), overwriting that path.
+
+    A gzip file is read by one task, so no file holds more than ``LANDING_ROWS`` records.
+    """
+    (records.select(F.col(column).alias("value")).write.mode("overwrite")
+     .option("compression", "gzip").option("maxRecordsPerFile", LANDING_ROWS).text(path))
     return path
 
 
@@ -94,6 +101,7 @@ def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table
              .partitionBy(PARTITION, BATCH))
     else:
         w = rows.write.mode(mode).partitionBy(PARTITION)
+    w = w.option("compression", PARQUET_CODEC)
     if as_table:
         w.saveAsTable(target)
     else:

@@ -36,3 +36,17 @@ def test_load_window_inclusive_and_pruned(spark, records):
 def test_load_window_without_column(spark, records):
     df = records('{"a": 1}')
     assert load_window(df, "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z").count() == 1
+
+
+def test_landed_and_stored_text_is_packed(spark, records, monkeypatch):
+    from nestlift.sources import bronze
+    monkeypatch.setattr(bronze, "LANDING_ROWS", 3)
+    recs = records(*[f'{{"a": {i}}}' for i in range(7)]).coalesce(1)
+    path = write_landing(recs, scratch_path(spark, "landing"))
+    files = [r.path for r in spark.read.format("binaryFile").load(path).select("path").collect()]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)       # no file for one task to read whole
+    target = scratch_path(spark, "bronze")
+    append_bronze(bronze_from_text(spark, path, "2024-02-01T10:00:00Z"), target)
+    stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target).select("path").collect()
+    assert all(r.path.endswith(".zstd.parquet") for r in stored if r.path.endswith(".parquet"))
+    assert read_bronze(spark, target).count() == 7

@@ -50,7 +50,7 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import delete_path, read_text, scratch_path, write_text
+from ..session import PARQUET_CODEC, delete_path, read_text, scratch_path, write_text
 
 
 class MergeConflict(ValueError):
@@ -206,8 +206,8 @@ def merge_states(target: DataFrame, source: DataFrame, keys: list[str], null_saf
         null = reduce(lambda a, b: a | b, [F.col(quote(k)).isNull() for k in (scope.columns if scope else keys)])
         apart = (both.filter(null & (side < 2)).withColumn(_STATE, F.when(side == 0, KEPT).otherwise(INSERTED)).drop(_SIDE))
         both = both.filter(~null)
-    if scope:
-        both = both.repartition(*[F.col(quote(c)) for c in scope.columns])
+    # the rows are dealt out first: the hashes of their values need not travel
+    both = both.repartition(*[F.col(quote(c)) for c in (scope.columns if scope else keys)])
     own = Window.partitionBy(*[F.col(quote(k)) for k in keys])
     both = both.withColumn(_H, row_hash(target, _values(target, keys)))
     for i in (0, 1):
@@ -301,7 +301,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     """
     rows = rows or Observation()
     if current is None:
-        _counted(source, rows).write.mode("errorifexists").parquet(out)
+        _counted(source, rows).write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
         _note(changes, None, rows)
         return out
     target = spark.read.parquet(current)
@@ -311,7 +311,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     else:
         merged, obs = merge_with_conflicts(target, source, keys, null_safe, allow_new_columns, rows)
     width = len(merged.columns)
-    merged.write.mode("errorifexists").parquet(out)
+    merged.write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
     n = int(obs.get.get("conflicts", 0))
     if check and n:
         raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
@@ -455,7 +455,7 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
         merged = _counted(source, rows).withColumn(_STATE, F.lit(INSERTED))
     schema = T.StructType([f for f in merged.schema.fields if f.name != _STATE])
     if exists or not direct:
-        merged.write.parquet(scratch)          # cuts the lineage to the partitions about to be replaced
+        merged.write.parquet(scratch, compression=PARQUET_CODEC)          # cuts the lineage to the partitions about to be replaced
         merged = spark.read.schema(merged.schema).parquet(scratch)
         if exists:
             delete_path(spark, f"{scratch}_touched")
@@ -486,7 +486,7 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
             return path
         if not exists:
             w = staged.write.mode("errorifexists").partitionBy(*partition_by)
-            w.saveAsTable(path) if as_table else w.parquet(path)
+            w.saveAsTable(path) if as_table else w.parquet(path, compression=PARQUET_CODEC)
         elif as_table:
             if new:
                 cols = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
@@ -502,7 +502,7 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
                 spark.conf.set(key, prev)
         else:
             (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*partition_by).parquet(path))
+             .partitionBy(*partition_by).parquet(path, compression=PARQUET_CODEC))
         if emptied is not None:
             _drop_partitions(spark, path, partition_by, emptied, as_table)
         if not as_table:

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from nestlift.operators.upsert import MergeConflict, check_conflicts, merge_frames, upsert_path, upsert_table
+from nestlift.operators.upsert import MergeConflict, check_conflicts, merge_frames, merge_states, upsert_path, upsert_table
 from nestlift.session import scratch_path
 
 S = "k STRING, v INT"
@@ -312,3 +312,15 @@ def test_touched_rows_of_two_partition_columns_with_nulls(spark):
     touched = [(1, "2"), (None, "1"), (3, None), (None, None), (2, "2")]
     got = _touched_rows(t, spark.createDataFrame(touched, "a INT, b STRING"), ["a", "b"])
     assert sorted(r.k for r in got.collect()) == [0, 1, 12, 22, 30]
+
+
+def test_value_hashes_do_not_travel(spark):
+    t = spark.createDataFrame([("a", 1), ("c", 3)], S)
+    plan = merge_states(t, spark.createDataFrame([("a", 9)], S), ["k"])[0]._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan[:plan.index("Exchange hashpartitioning")]       # worked out above the only shuffle
+    assert "xxhash64" not in plan[plan.index("Exchange hashpartitioning"):]
+
+
+def test_versions_are_packed(spark):
+    v = upsert_path(spark, None, spark.createDataFrame([("a", 1)], S), ["k"], scratch_path(spark, "silver"))
+    assert spark.read.format("binaryFile").load(v).where("path like '%.zstd.parquet'").count() >= 1

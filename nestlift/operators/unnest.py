@@ -69,9 +69,10 @@ def open_array(df: DataFrame, carry: list[str], arr, elem: str = _ELEM, slice_ro
     if not slice_rows:
         return opened(df, arr)
     n = F.array_size(arr)
-    large = (df.filter(n > slice_rows)
-             .select(*keys, arr.alias(_ELEM), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / slice_rows).cast("int"))).alias(_SLICE))
-             .select(*keys, F.slice(_ELEM, F.col(_SLICE) * slice_rows + 1, F.lit(slice_rows)).alias(_ELEM), _SLICE))
+    # all slices of an array are cut in one pass over it; exploding their numbers first would copy the whole array to each
+    cut = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / slice_rows).cast("int")),
+                      lambda i: F.slice(arr, i * slice_rows + 1, F.lit(slice_rows)))
+    large = df.filter(n > slice_rows).select(*keys, F.posexplode(cut).alias(_SLICE, _ELEM))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = large.repartition(parts, *keys, F.col(_SLICE))
     return opened(df.filter((n <= slice_rows) | n.isNull()), arr).unionByName(opened(dealt, F.col(_ELEM)))

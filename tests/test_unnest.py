@@ -183,3 +183,15 @@ def test_one_huge_array_is_opened_by_many_tasks(spark):
     tasks = sliced.where("id = 1").groupBy(F.spark_partition_id().alias("t")).count().collect()
     assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 80_000
     assert sliced.count() == 200_002
+
+
+def test_slices_are_cut_before_rows_multiply(spark):
+    from pyspark.sql import functions as F
+
+    from nestlift.operators.unnest import open_array
+    df = spark.createDataFrame([(1, [1, 2, None, 4, 5]), (2, [6]), (3, []), (4, None), (None, [7, 8, 9])], "k INT, a ARRAY<INT>")
+    out = open_array(df, ["k"], F.col("a"), slice_rows=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate posexplode(transform(sequence" in plan      # no generator hands the whole array on with each slice
+    assert not any(x.lstrip(" :+-*()0123456789").startswith("Generate explode(") and "a#" in x for x in plan.splitlines())
+    assert sorted(map(str, out.collect())) == sorted(map(str, open_array(df, ["k"], F.col("a")).collect()))

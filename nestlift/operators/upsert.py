@@ -39,6 +39,7 @@ version (a new path, or a staging table swapped in by name).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -50,7 +51,7 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import PARQUET_CODEC, delete_path, read_text, scratch_path, write_text
+from ..session import PARQUET_CODEC, delete_path, read_text, rename_path, scratch_path, write_text
 
 
 class MergeConflict(ValueError):
@@ -325,6 +326,8 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
 
 # ------------------------------------------------------------------ partitioned tables
 _SCHEMA_FILE = "_nl_schema.json"      # names starting with "_" are not data files
+# Fixed value: partitions of a new table up to which every task writes its rows of each; more are dealt out first.
+FEW_PARTITIONS = 16
 
 
 class PartitionMove(ValueError):
@@ -454,7 +457,17 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
     else:
         merged = _counted(source, rows).withColumn(_STATE, F.lit(INSERTED))
     schema = T.StructType([f for f in merged.schema.fields if f.name != _STATE])
-    if exists or not direct:
+    beside = None
+    if not exists and not direct and not as_table:
+        # a new path conflicts with nothing: its files are written once, beside it, and take its name when published
+        parent, _, name = path.rstrip("/").rpartition("/")
+        beside = f"{parent}/_{name}__nl_next-{uuid.uuid4().hex}"
+        new_rows = merged.drop(_STATE)
+        few = source.select(*[F.col(quote(c)) for c in partition_by]).distinct().limit(FEW_PARTITIONS + 1).count() <= FEW_PARTITIONS
+        (new_rows if few else new_rows.hint("rebalance", *partition_by)).write.mode("errorifexists").partitionBy(
+            *partition_by).parquet(beside, compression=PARQUET_CODEC)
+        _note(changes, obs, rows)
+    elif exists or not direct:
         merged.write.parquet(scratch, compression=PARQUET_CODEC)          # cuts the lineage to the partitions about to be replaced
         merged = spark.read.schema(merged.schema).parquet(scratch)
         if exists:
@@ -484,7 +497,9 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
         if unchanged:
             delete_path(spark, scratch)
             return path
-        if not exists:
+        if beside:
+            rename_path(spark, beside, path)
+        elif not exists:
             w = staged.write.mode("errorifexists").partitionBy(*partition_by)
             w.saveAsTable(path) if as_table else w.parquet(path, compression=PARQUET_CODEC)
         elif as_table:

@@ -80,6 +80,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder a name that is not taken, on the same file system."""
+    p, new = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(to)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(new):
+        raise FileExistsError(f"{to} already exists")
+    if not fs.rename(p, new):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file's content, or None if it is not there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

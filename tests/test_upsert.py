@@ -324,3 +324,20 @@ def test_value_hashes_do_not_travel(spark):
 def test_versions_are_packed(spark):
     v = upsert_path(spark, None, spark.createDataFrame([("a", 1)], S), ["k"], scratch_path(spark, "silver"))
     assert spark.read.format("binaryFile").load(v).where("path like '%.zstd.parquet'").count() >= 1
+
+
+def test_a_new_partitioned_table_is_written_once(spark):
+    import glob
+    import os
+
+    from nestlift.operators.upsert import FEW_PARTITIONS, read_partitioned, stage_partitioned
+    for parts in (3, FEW_PARTITIONS + 5):
+        path = scratch_path(spark, "silver")
+        df = spark.range(200).selectExpr("id", f"if(id % {parts} = 0, null, id % {parts}) as p", "'x' as v")
+        publish = stage_partitioned(spark, path, df, ["id"], ["p"], exists=False)
+        files = lambda root: {os.path.basename(f) for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+        staged = files(os.path.dirname(path))
+        assert staged and not os.path.exists(path)
+        assert publish() == path and files(path) <= staged and files(path)
+        assert not glob.glob(f"{os.path.dirname(path)}/_{os.path.basename(path)}*")
+        assert {tuple(r) for r in read_partitioned(spark, path).select("id", "p", "v").collect()} == {tuple(r) for r in df.collect()}

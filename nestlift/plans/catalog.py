@@ -20,7 +20,7 @@ from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
 from ..operators.upsert import Scope, conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
-from ..session import scratch_path
+from ..session import PARQUET_CODEC, scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
@@ -454,7 +454,9 @@ TWO_LOADS = ("2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z")
 
 def _order_loads(spark, sf_dir):
     """The orders as two overlapping loads (split on order date); the second one changes its records."""
-    rows = nesting.order_rows(spark, sf_dir)
+    path, nested = scratch_path(spark, "orders"), nesting.order_rows(spark, sf_dir)
+    nested.write.parquet(path, compression=PARQUET_CODEC)       # both loads read it: nested once
+    rows = spark.read.schema(nested.schema).parquet(path)
     first = rows.filter(F.col("o_orderdate") < F.lit(SPLIT_HI).cast("timestamp_ntz"))
     second = (rows.filter(F.col("o_orderdate") >= F.lit(SPLIT_LO).cast("timestamp_ntz"))
               .withColumn("o_totalprice", F.col("o_totalprice") * 2)

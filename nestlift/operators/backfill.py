@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import quote
+from ..session import PARQUET_CODEC, scratch_path
 from ..sources.bronze import PARTITION
 from ..spec import parse_instant, ts_lit
 
 LOAD_COLUMN = "load_timestamp"
+# Fixed value: keys that came several times, up to which they are broadcast.
+FEW_KEYS = 100_000
 
 
 def _ts(v: datetime | str) -> datetime:
@@ -48,7 +51,7 @@ def load_window(bronze: DataFrame, start: datetime | str, end: datetime | str,
 
 
 def latest_by(bronze: DataFrame, keys: list[str] | tuple[str, ...], column: str = "raw_json",
-              load: str = LOAD_COLUMN, source: str = "source_file") -> DataFrame:
+              load: str = LOAD_COLUMN, source: str = "source_file", scratch: str | None = None) -> DataFrame:
     """Of each record key the last bronze row, one only.
 
     Last in total order: by load time, then source (a file, or the window, page and
@@ -56,9 +59,10 @@ def latest_by(bronze: DataFrame, keys: list[str] | tuple[str, ...], column: str
     one load resolve too, the same way on every run. Rows without the key (or
     malformed) and rows of frames without a load time pass unchanged.
 
-    Keys are counted with their last place, a partial (map-side) aggregate. Rows of
-    keys that came once, most rows of most ranges, then pass without a shuffle of
-    their text if the other keys are few enough to be broadcast.
+    Keys are counted with their last place, a partial (map-side) aggregate, and those that
+    came several times are written to ``scratch`` (the caller's to delete), so their number is
+    known. Without any, the rows pass as they are; a few are broadcast, so that rows of the other
+    keys stay where they are; more are joined to the rows in one shuffle, which settles ties too.
     """
     if load not in bronze.columns:
         return bronze
@@ -70,11 +74,21 @@ def latest_by(bronze: DataFrame, keys: list[str] | tuple[str, ...], column: str
     order = [load, *([source] if source in bronze.columns else [])]
     place = F.struct(*[F.col(quote(c)).alias(f"o{i}") for i, c in enumerate(order)])
     keyed = rows.where(whole)
-    several = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__nl_n"), F.max(place).alias("__nl_last"))
+    counted = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__nl_n"), F.max(place).alias("__nl_last"))
                .where("__nl_n > 1").drop("__nl_n"))
-    once = keyed.join(several.select(*names), names, "left_anti")
-    cols = [F.col(quote(c)) for c in bronze.columns]
-    last = (keyed.join(several, names).where(place.eqNullSafe(F.col("__nl_last"))).groupBy(*names)
-            .agg(F.max_by(F.struct(*cols), F.col(quote(column))).alias("__nl_row")).select("__nl_row.*"))
-    return (once.select(*cols).unionByName(last)
-            .unionByName(rows.where(~whole).select(*cols)))
+    spark = bronze.sparkSession
+    scratch = scratch or scratch_path(spark, "several")
+    counted.write.parquet(scratch, compression=PARQUET_CODEC)
+    several = spark.read.schema(counted.schema).parquet(scratch)
+    n = several.count()
+    if not n:
+        return bronze
+    cols, last = [F.col(quote(c)) for c in bronze.columns], F.col("__nl_last")
+    row = F.max_by(F.struct(*cols), F.col(quote(column))).alias("__nl_row")
+    whole_rows = []
+    if n <= FEW_KEYS:
+        several = F.broadcast(several)
+        whole_rows.append(keyed.join(several, names, "left_anti").select(*cols))
+    kept = keyed.join(several, names, "inner" if whole_rows else "left").where(last.isNull() | place.eqNullSafe(last))
+    whole_rows += [kept.groupBy(*names).agg(row).select("__nl_row.*"), rows.where(~whole).select(*cols)]
+    return reduce(DataFrame.unionByName, whole_rows)

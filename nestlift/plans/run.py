@@ -29,6 +29,7 @@ from ..operators.enforce import enforce
 from ..operators.upsert import Scope, applied_batch, note_batch, stage_partitioned, stage_table, upsert_path
 from ..sources import landing
 from ..sources.bronze import annotate, append_bronze, batch_id, bronze_from_text, read_bronze
+from ..session import delete_path, scratch_path
 from ..spec import JobSpec
 from .silver import SilverResult, silver_tables
 
@@ -243,9 +244,13 @@ def backfill(spark: SparkSession, spec: JobSpec, bronze_target: str, start: date
              catalog: bool = False, partition_by: Mapping[str, list[str]] | None = None, replace_children: bool = False,
            resume: bool = False) -> RunResult:
     """Rebuild the chosen tables from bronze rows loaded in ``[start, end]``; of a record's copies the last counts."""
-    bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key)
+    several = scratch_path(spark, "several")
     batch = batch_id(end, f"{bronze_target} from {start}")
-    return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children, resume)
+    try:
+        bronze = latest_by(load_window(read_bronze(spark, bronze_target), start, end), spec.main_key, scratch=several)
+        return _run(spark, spec, bronze, silver_root, batch, current, only, catalog, partition_by, replace_children, resume)
+    finally:
+        delete_path(spark, several)
 
 
 class IncompleteLanding(RuntimeError):

@@ -50,3 +50,32 @@ def test_landed_and_stored_text_is_packed(spark, records, monkeypatch):
     stored = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(target).select("path").collect()
     assert all(r.path.endswith(".zstd.parquet") for r in stored if r.path.endswith(".parquet"))
     assert read_bronze(spark, target).count() == 7
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_last_copies_are_found_in_one_pass_over_the_texts(spark, monkeypatch):
+    from nestlift.operators import backfill
+    rows = [('{"k": 1, "v": "a"}', 1, "x"), ('{"k": 1, "v": "b"}', 2, "x"), ('{"k": 1, "v": "c"}', 2, "w"),     # last source
+            ('{"k": 2, "v": "a"}', 1, "x"), ('{"k": 2, "v": "b"}', 1, "x"), ('{"k": 2, "v": "b"}', 1, "x"),     # tie: last text
+            ('{"k": 3}', 1, "x"), ('{"v": 1}', 1, "x"), ('{"v": 1}', 1, "x"), ("{", 1, "x"), (None, 1, "x")]
+    frame = (spark.createDataFrame(rows, "raw_json string, n int, source_file string")
+             .select("raw_json", F.timestamp_seconds("n").alias("load_timestamp"), "source_file"))
+    want = sorted(str(rows[i][0]) for i in (1, 4, 6, 7, 8, 9, 10))
+    for few, joins in ((0, 1), (backfill.FEW_KEYS, 2)):
+        monkeypatch.setattr(backfill, "FEW_KEYS", few)
+        got = backfill.latest_by(frame, ["k"])
+        assert sorted(str(r.raw_json) for r in got.collect()) == want
+        assert got.columns == frame.columns and _plan(got).count("Join ") == joins
+        assert few or "broadcast" not in _plan(got)
+    once = backfill.latest_by(frame.where("source_file = 'x' and raw_json like '%3%'"), ["k"])
+    assert once.count() == 1 and "Join" not in _plan(once)      # nothing came twice: no text moves
+
+
+def test_both_loads_read_orders_that_were_nested_once(spark):
+    from nestlift.plans.catalog import _order_loads
+    from conftest import SF
+    for load in _order_loads(spark, SF):
+        assert "collect_list" not in _plan(load)

@@ -93,27 +93,32 @@ def _window(lines: Column, s: Column, m: Column, levels: int) -> Column:
                                m.alias("m"), ra.alias("ra"), rb.alias("rb")))
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs with an earlier copy: _doc, _text, idx, m (lines with words) and the line numbers p0 to p1 (both deleted)."""
-    lines = stage(line_ids(docs), "lines")
-    at, levels = ranks(lines, min_words)
-    at = at.withColumn("sum", F.sum("words").over(_within_doc()))
-    docs_at = (at.groupBy("_doc", "_text")
-               .agg(F.sort_array(F.collect_list(F.struct("idx", "pos", "words", "sum", "r"))).alias("ls")))
-    ls = F.col("ls")
-
+def _shortest_runs(ls: Column, min_words: int, levels: int) -> Column:
+    """The shortest qualifying runs that start and that end at each line of ``ls``, if they are repeated."""
     def runs(x: Column, t: Column) -> Column:
         ahead = F.slice(ls, t + 1, min_words)
         m_to = F.array_position(F.transform(ahead, lambda y: y["sum"] - x["sum"] + x["words"] >= min_words), True)
         start = F.greatest(F.lit(0), t - (min_words - 1))
         back = F.reverse(F.slice(ls, start + 1, t - start + 1))
         m_from = F.array_position(F.transform(back, lambda y: x["sum"] - y["sum"] + y["words"] >= min_words), True)
-        return F.array(F.when(m_to > 0, _window(ls, t, m_to.cast("int"), levels)),
-                       F.when(m_from > 0, _window(ls, t - m_from.cast("int") + 1, m_from.cast("int"), levels)))
+        # lengths first, names after: a lambda's argument is worked out once, an expression wherever it is named
+        lengths = F.array(F.struct(m_to.cast("int").alias("m"), F.lit(0).alias("back")),
+                          F.struct(m_from.cast("int").alias("m"), F.lit(1).alias("back")))
+        return F.transform(F.filter(lengths, lambda n: n["m"] > 0),
+                           lambda n: _window(ls, F.when(n["back"] == 1, t - n["m"] + 1).otherwise(t), n["m"], levels))
+
+    return F.array_distinct(F.filter(F.flatten(F.transform(ls, runs)), lambda w: w.isNotNull()))
 
-    windows = stage(docs_at.select("_doc", "_text", F.explode(F.array_distinct(F.filter(
-        F.flatten(F.transform(ls, runs)), lambda w: w.isNotNull()))).alias("w"))
-        .select("_doc", "_text", "w.*"), "line-runs")
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Runs with an earlier copy: _doc, _text, idx, m (lines with words) and the line numbers p0 to p1 (both deleted)."""
+    lines = stage(line_ids(docs), "lines")
+    at, levels = ranks(lines, min_words)
+    at = at.withColumn("sum", F.sum("words").over(_within_doc()))
+    docs_at = (at.groupBy("_doc", "_text")
+               .agg(F.sort_array(F.collect_list(F.struct("idx", "pos", "words", "sum", "r"))).alias("ls")))
+    windows = stage(docs_at.select("_doc", "_text", F.explode(_shortest_runs(F.col("ls"), min_words, levels)).alias("w"))
+                    .select("_doc", "_text", "w.*"), "line-runs")
     place = F.struct(F.col("_doc").isNull(), "_doc", "_text", "idx")
     firsts = (windows.groupBy("m", "ra", "rb").agg(F.min(place).alias("first"), F.max(place).alias("last"))
               .where("first < last").drop("last"))

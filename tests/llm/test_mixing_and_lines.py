@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from nestlift.llm.line_dedup import dedup_lines, mark_runs
+from nestlift.llm.line_dedup import _shortest_runs, dedup_lines, mark_runs
 from nestlift.llm.mixing import apportion, mix, write_mix
 from nestlift.llm.near_dedup import drop_near_duplicates
 
@@ -195,3 +195,10 @@ def test_line_runs_of_nothing(spark):
     docs = spark.createDataFrame([(1, "a b\nc"), (2, "d")], "doc_id LONG, text STRING")
     assert [r.text for r in dedup_lines(docs, 1).orderBy("doc_id").collect()] == ["a b\nc", "d"]
     assert mark_runs(docs.limit(0)).count() == 0
+
+
+def test_run_lengths_are_worked_out_once_per_line(spark):
+    """A run's length is searched for in up to 50 lines: not again wherever its name uses it."""
+    lines = spark.createDataFrame([], "ls array<struct<idx:int,pos:int,words:long,sum:long,r:array<long>>>")
+    plan = lines.select(_shortest_runs(F.col("ls"), 50, 6).alias("w"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("array_position(") == 2

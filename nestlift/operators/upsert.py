@@ -51,7 +51,7 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import PARQUET_CODEC, delete_path, read_text, rename_path, scratch_path, write_text
+from ..session import PARQUET_CODEC, delete_path, read_text, rename_path, scratch_path, stored_bytes, write_text
 
 
 class MergeConflict(ValueError):
@@ -93,6 +93,11 @@ def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> Da
 
 
 _N, _H = "__nl_src_n", "__nl_src_hash"
+# Fixed value: keys up to which a list of them is broadcast.
+FEW_KEYS = 100_000
+# Fixed value: stored bytes a row from which a table's keys and hashes are dealt out before its rows. Those of
+# shorter rows weigh about as much as the rows.
+WIDE_ROW = 64
 
 
 def _has_map(t: T.DataType) -> bool:
@@ -152,6 +157,48 @@ def merge_with_conflicts(target: DataFrame, source: DataFrame, keys: list[str],
     return kept.unionByName(_counted(src, rows)), obs
 
 
+def _key_match(keys: list[str], names: list[str], null_safe: bool) -> Column:
+    pairs = [(F.col(quote(k)), F.col(n)) for k, n in zip(keys, names, strict=True)]
+    return reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+
+
+def compare_keys(target: DataFrame, source: DataFrame, keys: list[str], scratch: str, null_safe: bool = False) -> Observation:
+    """Write the key of every target row and whether the source has it (``__nl_hit``) to ``scratch``.
+
+    Only keys and row hashes are dealt out. ``source`` has the target's columns. The
+    observation counts what ``merge_with_conflicts`` does, and the target rows that
+    the source has (``hits``) or not (``misses``), and source rows without a target
+    row (``fresh``). NULL-key target rows match nothing and are not listed, unless
+    ``null_safe``.
+    """
+    names, values = [f"__nl_k{i}" for i in range(len(keys))], _values(target, keys)
+    counted = (source.groupBy(*[F.col(quote(k)).alias(n) for k, n in zip(keys, names, strict=True)])
+               .agg(F.count(F.lit(1)).alias(_N), F.max(row_hash(source, values)).alias(_H)))
+    own = target if null_safe else target.filter(_all_set(keys))
+    own = own.select(*[F.col(quote(k)) for k in keys], row_hash(target, values).alias("__nl_own"))
+    n, here = F.col(_N), F.col("__nl_own").isNotNull()
+    same = F.col(_H) == F.col("__nl_own")
+    obs = Observation()
+    met = (own.join(counted, _key_match(keys, names, null_safe), "full")
+           .observe(obs, F.count_if(here & (n > 1)).alias("conflicts"), F.count_if(here & (n == 1) & same).alias(UNCHANGED),
+                    F.count_if(here & (n == 1) & ~same).alias(UPDATED), F.count_if(here & n.isNotNull()).alias("hits"),
+                    F.count_if(here & n.isNull()).alias("misses"), F.sum(F.when(~here, n)).alias("fresh")))
+    (met.filter(here).select(*[F.col(quote(k)).alias(x) for k, x in zip(keys, names, strict=True)], n.isNotNull().alias("__nl_hit"))
+     .write.parquet(scratch, compression=PARQUET_CODEC))
+    return obs
+
+
+def kept_rows(target: DataFrame, keys: list[str], listed: DataFrame, hits: int, misses: int, null_safe: bool = False) -> DataFrame:
+    """The target rows whose key the source lacks, by the shorter list of ``compare_keys``; NULL-key rows bypass the join."""
+    rest = target if null_safe else target.filter(_all_set(keys))
+    if hits:
+        names, most = [f"__nl_k{i}" for i in range(len(keys))], min(hits, misses)
+        some = listed.where(F.col("__nl_hit") == F.lit(hits <= misses)).select(*names)
+        some = F.broadcast(some) if most <= FEW_KEYS else some
+        rest = rest.join(some, _key_match(keys, names, null_safe), "left_anti" if hits <= misses else "left_semi") if most else rest.limit(0)
+    return rest if null_safe else rest.unionByName(target.filter(_any_null(target, keys)))
+
+
 @dataclass(frozen=True)
 class Scope:
     """Whose children a load replaces as a whole: ``columns`` are the key columns that name the parent.
@@ -295,8 +342,8 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
 
     ``current=None`` creates the table from the source as is (no key dedup,
     like the first write of a MERGE-maintained table). Conflicts are counted
-    during the merge write itself; on a conflict the new version is left
-    unpublished and ``MergeConflict`` is raised. ``scope`` replaces the children
+    before the merged version is written (of short rows, or with a ``scope``, during the
+    write itself); on a conflict no version is published and ``MergeConflict`` is raised. ``scope`` replaces the children
     of loaded parents; ``changes`` receives the number of inserted, updated,
     unchanged and deleted rows. If nothing changed, ``current`` stays the version.
     """
@@ -305,23 +352,46 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
         _counted(source, rows).write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
         _note(changes, None, rows)
         return out
-    target = spark.read.parquet(current)
-    if scope:
-        merged, obs = merge_states(target, source, keys, null_safe, allow_new_columns, rows, scope)
-        merged = merged.filter(F.col(_STATE) != DELETED).drop(_STATE)
-    else:
-        merged, obs = merge_with_conflicts(target, source, keys, null_safe, allow_new_columns, rows)
-    width = len(merged.columns)
-    merged.write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
-    n = int(obs.get.get("conflicts", 0))
-    if check and n:
-        raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
-                            f"the merged version at {out} was not published")
-    found = _note(changes, obs, rows)
-    if not n and width == len(target.columns) and not any(found[x] for x in CHANGED):
-        delete_path(spark, out)
-        return current
-    return out
+    stored = spark.read.parquet(current)
+    if scope or stored_bytes(spark, current) < WIDE_ROW * stored.count():
+        if scope:
+            merged, obs = merge_states(stored, source, keys, null_safe, allow_new_columns, rows, scope)
+            merged = merged.filter(F.col(_STATE) != DELETED).drop(_STATE)
+        else:
+            merged, obs = merge_with_conflicts(stored, source, keys, null_safe, allow_new_columns, rows)
+        width = len(merged.columns)
+        merged.write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
+        n = int(obs.get.get("conflicts", 0))
+        if check and n:
+            raise MergeConflict(f"{n} target rows match several source rows on {keys}; "
+                                f"the merged version at {out} was not published")
+        found = _note(changes, obs, rows)
+        if not n and width == len(stored.columns) and not any(found[x] for x in CHANGED):
+            delete_path(spark, out)
+            return current
+        return out
+    target = _evolve(stored, source, allow_new_columns)
+    src = _align(source, target)
+    scratch = scratch_path(spark, "keys")
+    try:
+        obs = compare_keys(target, src.drop(LOST), keys, scratch, null_safe)
+        n, hits, misses, *new = (int(obs.get.get(x) or 0) for x in ("conflicts", "hits", "misses", "fresh", UPDATED))
+        if check and n:
+            raise MergeConflict(f"{n} target rows match several source rows on {keys}; the version {out} was not written")
+        counted = _counted(src, rows)
+        if not n and not any(new) and len(target.columns) == len(stored.columns):
+            # as it seems, nothing to write: the source is only counted
+            counted.write.format("noop").mode("overwrite").save()
+            found, counted = _note(changes, obs, rows), src.drop(LOST)
+            if not any(found[x] for x in CHANGED):
+                return current
+        listed = spark.read.parquet(scratch)
+        kept = kept_rows(target, keys, listed, hits, misses, null_safe)
+        kept.unionByName(counted).write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
+        _note(changes, obs, rows)
+        return out
+    finally:
+        delete_path(spark, scratch)
 
 
 # ------------------------------------------------------------------ partitioned tables

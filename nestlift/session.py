@@ -80,6 +80,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def rename_path(spark: SparkSession, path: str, to: str) -> None:
     """Give a folder a name that is not taken, on the same file system."""
     p, new = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(to)

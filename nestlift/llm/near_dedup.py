@@ -218,23 +218,29 @@ def near_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     With u, v as in ``most_alike``, J >= t needs u, v <= 1 - t, and the less of them
     <= (1 - t) / (1 + t). So in an order of all shingles, the first that two near bags
     have in common is among the first of either that outweigh 1 - t, and of one among
-    the first that outweigh (1 - t) / (1 + t). The order is by the number of nodes that
-    hold the shingle, the rarest first. Nodes meet on these prefixes if ``most_alike``
+    the first that outweigh (1 - t) / (1 + t). The order begins with the shingles that only
+    one class holds: nodes of two classes never have them in common, so they are not
+    listed but only counted and weighed, node by node. The others follow by the number of nodes
+    that hold them, the rarest first. Nodes meet on these prefixes if ``most_alike``
     allows the threshold at that place; the row of the first common shingle always
     does. A shingle's rows of its largest class meet only those of other classes.
     """
     # dealt evenly: the texts of a large group lie together otherwise, and their bags are the work here
     even = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    own = stage(even.select("node", "label", F.explode(_bags("text")).alias("s")).select("node", "label", "s.*"), "shingles")
+    bags = even.select("node", "label", _bags("text").alias("bag"))
+    weight = F.aggregate("bag.weight", F.lit(0).cast("long"), lambda x, w: x + w)
+    bags = bags.select("*", F.size("bag").alias("kinds"), weight.alias("all"))
+    own = stage(bags.select("node", "label", "kinds", "all", F.explode("bag").alias("s"))
+                .select("node", "label", "kinds", "all", "s.*"), "shingles")
     seen = stage(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("n > 1"), "counts")
+                 .where("lo < hi").select("shingle", "n"), "counts")
     every, order = Window.partitionBy("node"), Window.partitionBy("node").orderBy("n", "shingle")
-    placed = (own.join(seen, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-              .withColumn("at", F.row_number().over(order) - 1)
-              .withColumn("before", F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight"))
-              .withColumn("all", F.sum("weight").over(every)).withColumn("kinds", F.count(F.lit(1)).over(every)))
+    placed = (own.join(seen, "shingle")
+              .withColumn("at", F.row_number().over(order) - 1 + F.col("kinds") - F.count(F.lit(1)).over(every))
+              .withColumn("before", F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
+                          + F.col("all") - F.sum("weight").over(every)))
     share = F.col("before") / F.col("all") - 1e-9               # a rounding more, never one less
-    rows = stage(placed.where((share <= 1 - threshold) & (F.col("lo") < F.col("hi")))
+    rows = stage(placed.where(share <= 1 - threshold)
                  .select("shingle", "node", "label", "before", "all", "kinds", "at",
                          (share <= (1 - threshold) / (1 + threshold)).alias("short")), "prefixes")
     by_class = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))

@@ -153,6 +153,16 @@ def test_near_pairs_find_every_near_pair_and_few_others(spark):
     assert {p for p in want if one[p[0]] != one[p[1]]} <= left and len(left) < 300
 
 
+def test_shingles_of_one_class_come_first(spark):
+    words = lambda x: " ".join(f"{x}{j}" for j in range(60))
+    # pairs across two classes share a rare half, and each class has a frequent half of its own: none can be near
+    rows = [(f"{c}{i:02d}".encode(), c.encode(), f"{words(c)} {words(f'own{i}_')}") for i in range(20) for c in "ab"]
+    nodes = spark.createDataFrame(rows, "node binary, label binary, text string")
+    assert near_pairs(nodes, .8).count() == 0
+    # a lower threshold meets all of them
+    assert near_pairs(nodes, .3).count() >= 20
+
+
 def test_near_classes_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert near_classes(docs).count() == 0 and drop_near_duplicates(docs).count() == 0

@@ -12,7 +12,8 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-def test_upsert_path_deals_out_no_stored_row_without_need(spark):
+def test_upsert_path_deals_out_no_stored_row_without_need(spark, monkeypatch):
+    monkeypatch.setattr("nestlift.operators.upsert.WIDE_ROW", 0)
     t = spark.createDataFrame([(f"k{i}", i) for i in range(50)], S)
     v1 = upsert_path(spark, None, t, ["k"], scratch_path(spark, "t"))
     stored = spark.read.parquet(v1)
@@ -51,7 +52,8 @@ def test_upsert_path_equals_merge(spark, monkeypatch, null_safe, wide):
             assert int(n.get.get("rows", 0)) == len(load) == told["inserted"] + told["updated"] + told["unchanged"]
 
 
-def test_new_row_beside_a_key_stored_twice(spark):
+def test_new_row_beside_a_key_stored_twice(spark, monkeypatch):
+    monkeypatch.setattr("nestlift.operators.upsert.WIDE_ROW", 0)
     v1 = upsert_path(spark, None, spark.createDataFrame([("a", 1), ("a", 1)], S), ["k"], scratch_path(spark, "t"))
     v2 = upsert_path(spark, v1, spark.createDataFrame([("a", 1), ("b", 2)], S), ["k"], scratch_path(spark, "t"))
     assert rows(spark.read.parquet(v2)) == [("a", 1), ("b", 2)]

@@ -230,7 +230,8 @@ def near_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     bags = even.select("node", "label", _bags("text").alias("bag"))
     weight = F.aggregate("bag.weight", F.lit(0).cast("long"), lambda x, w: x + w)
     bags = bags.select("*", F.size("bag").alias("kinds"), weight.alias("all"))
-    own = stage(bags.select("node", "label", "kinds", "all", F.explode("bag").alias("s"))
+    # outer: a plain explode is given a filter on the bags, which would make them a second time, before they are dealt
+    own = stage(bags.select("node", "label", "kinds", "all", F.explode_outer("bag").alias("s")).where("s is not null")
                 .select("node", "label", "kinds", "all", "s.*"), "shingles")
     seen = stage(own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .where("lo < hi").select("shingle", "n"), "counts")

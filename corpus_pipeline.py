@@ -30,6 +30,9 @@ from nestlift.llm.near_dedup import drop_near_duplicates
 from nestlift.llm.packing import pack
 from nestlift.session import delete_path, scratch_path
 
+# the executors' heaps are full from the stages before: the packing's workers keep fewer chunks
+PACKING_CACHE = 60_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
@@ -49,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache=PACKING_CACHE)
 
 
 STAGES = [

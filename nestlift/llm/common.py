@@ -57,10 +57,11 @@ def worker_cache(key: object, make: Callable[[], object]) -> object:
     """What a Python worker keeps between batches: one operator's caches at a time.
 
     Workers outlive stages, so without this each stage of a pipeline would add its
-    caches to those of the stages before.
+    caches, and the memory that Arrow keeps of its batches, to those of the stages before.
     """
     if key not in _CACHE:
         _CACHE.clear()
+        pa.default_memory_pool().release_unused()
         _CACHE[key] = make()
     return _CACHE[key]
 

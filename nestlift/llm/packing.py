@@ -24,6 +24,7 @@ import os
 import re
 import zlib
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql.window import Window
 from nestlift.llm.common import each, stage, worker_cache
 from nestlift.llm.token_count import byte_symbols
 
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 250_000
 ROWS_PER_SHARD = 2_000
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
@@ -52,13 +53,14 @@ class ChunkEncoder:
     non-space follows, and around a single line break between non-spaces, so the
     ids of a text are those of its chunks in order. A chunk's pre-tokens go to the
     vocabulary's merge model one by one. Texts with other white space or with an
-    added token are encoded whole.
+    added token are encoded whole. ``cache`` bounds what is kept (see ``_Recent``):
+    fewer chunks take less memory of each Python worker and more time.
     """
 
     # fixed value: the pre-token pattern of byte-level vocabularies
     PRE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
@@ -69,8 +71,8 @@ class ChunkEncoder:
         self.space = self.symbols[32]
         # any white space but a space or a line break (also what str methods take for it)
         self.odd = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-        self.words = _WordIds(self)
-        self.chunks = _ChunkIds(self)
+        self.words = _Recent(self.word, cache)
+        self.chunks = _Recent(self.chunk, cache)
 
     def raw(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -81,6 +83,16 @@ class ChunkEncoder:
                    else word.encode("utf-8").decode("latin-1").translate(self.symbols))
         return array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
+    def chunk(self, key: str | tuple[str]) -> bytes:
+        """Ids of a chunk, without its leading space; a 1-tuple stands for a text's first chunk."""
+        if isinstance(key, tuple):
+            return b"".join(map(self.words.__getitem__, self.pre.findall(key[0])))
+        if key.isalpha():                                   # one pre-token: letters after a space
+            return self.word(" " + key)
+        if key[-1] in ".," and key[:-1].isalpha():          # two
+            return self.chunks[key[:-1]] + self.words[key[-1]]
+        return b"".join(map(self.words.__getitem__, self.pre.findall(key if key[0] == "\n" else " " + key)))
+
     def ids(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit integers."""
         if not text:
@@ -92,48 +104,31 @@ class ChunkEncoder:
         return self.chunks[parts[0], ] + b"".join(map(self.chunks.__getitem__, parts[1:]))
 
 
-class _ChunkIds(dict):
-    """Chunk (without its leading space) -> ids; a 1-tuple stands for a text's first chunk."""
+class _Recent(dict):
+    """Key -> ids as ``make`` gives them; what was looked up last stays, at most twice ``most``.
+
+    When ``most`` are held they become the old ones and the old ones before them go: what
+    comes again and again is not worked out anew, whatever the number of rare ones between.
+    """
 
-    def __init__(self, encoder: ChunkEncoder):
+    def __init__(self, make: Callable[..., bytes], most: int):
         super().__init__()
-        self.encoder = encoder
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key) -> bytes:
-        e = self.encoder
-        if isinstance(key, tuple):
-            ids = b"".join(map(e.words.__getitem__, e.pre.findall(key[0])))
-        elif key.isalpha():                                 # one pre-token: letters after a space
-            ids = e.word(" " + key)
-        elif key[-1] in ".," and key[:-1].isalpha():        # two
-            ids = self[key[:-1]] + e.words[key[-1]]
-        else:
-            ids = b"".join(map(e.words.__getitem__, e.pre.findall(key if key[0] == "\n" else " " + key)))
-        if len(self) >= CACHE_CHUNKS:
+        ids = self.old.get(key)
+        if ids is None:
+            ids = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         if len(ids) <= 256:
             self[key] = ids
         return ids
 
 
-class _WordIds(dict):
-    """Pre-token -> ids."""
-
-    def __init__(self, encoder: ChunkEncoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encoder.word(word)
-        if len(self) >= CACHE_CHUNKS:
-            self.clear()
-        if len(ids) <= 256:
-            self[word] = ids
-        return ids
-
-
-def _encoder(path: str) -> ChunkEncoder:
-    return worker_cache(("packing", path), lambda: ChunkEncoder(path))
+def _encoder(path: str, cache: int = CACHE_CHUNKS) -> ChunkEncoder:
+    return worker_cache(("packing", path, cache), lambda: ChunkEncoder(path, cache))
 
 
 def cuts(n: int, max_len: int) -> list[int]:
@@ -142,13 +137,13 @@ def cuts(n: int, max_len: int) -> list[int]:
     return ([rest] if rest else []) + [max_len] * full
 
 
-def pieces(text: Column, path: str, max_len: int, end_id: int) -> Column:
+def pieces(text: Column, path: str, max_len: int, end_id: int, cache: int = CACHE_CHUNKS) -> Column:
     """Array of PIECE structs of each text."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     @F.arrow_udf(T.ArrayType(PIECE))
     def cut(texts: pa.Array) -> pa.Array:
-        enc = _encoder(path)
+        enc = _encoder(path, cache)
         out = []
         for text in each(texts):
             ids = enc.ids(text or "") + end
@@ -262,12 +257,13 @@ def place(length: Column, rank: Column, table: dict[str, np.ndarray]) -> Column:
     return find(length, rank)
 
 
-def pack(docs: DataFrame, path: str, max_len: int = 2048, end_id: int = 0) -> DataFrame:
+def pack(docs: DataFrame, path: str, max_len: int = 2048, end_id: int = 0, cache: int = CACHE_CHUNKS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece.
 
     Join ``token_ids`` on doc_id and slice by start and length for the sequences' ids.
+    ``cache``: chunks that each Python worker keeps (see ``ChunkEncoder``); no result depends on it.
     """
-    cut = stage(docs.select("doc_id", F.explode(pieces(F.col("text"), path, max_len, end_id)).alias("p"))
+    cut = stage(docs.select("doc_id", F.explode(pieces(F.col("text"), path, max_len, end_id, cache)).alias("p"))
                 .select("doc_id", "p.*"), "pieces")
     counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most max_len rows
     table = slots(best_two_fit(counts, max_len))

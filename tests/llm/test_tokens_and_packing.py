@@ -49,6 +49,28 @@ def test_chunk_ids_equal_the_library():
         assert enc.ids(t) == enc.raw(t), t[:60]
 
 
+def test_chunk_caches_stay_within_their_bound(spark):
+    enc = ChunkEncoder(BYTES, cache=50)
+    for i, t in enumerate(texts(spark, "/root/testdata/sf0.001")[:60]):
+        assert enc.ids(t) == enc.raw(t), t[:60]
+        assert enc.ids(f"the {i} x{i}. often") == enc.raw(f"the {i} x{i}. often")
+    for cache in (enc.words, enc.chunks):
+        assert 0 < len(cache) <= 50 and len(cache.old) == 50
+    # what is looked up again and again is kept
+    made = []
+    enc.chunks.make = lambda key, make=enc.chunks.make: made.append(key) or make(key)
+    for i in range(400):
+        enc.ids(f"a often r{i}")
+    assert made.count("often") <= 1
+
+
+def test_packing_does_not_depend_on_the_cache(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    few, many = (Counter(pack(docs, BYTES, cache=n).select(columns).collect()) for n in (20, 250_000))
+    assert few == many and sum(few.values()) >= 60
+
+
 def test_best_two_fit_uses_every_piece_once():
     rnd = random.Random(1)
     for cap in (1, 7, 50, 2048):

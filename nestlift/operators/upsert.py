@@ -24,8 +24,8 @@ measured sizes.
 Two further merges share one window per key (``merge_states``), which also says
 of every row whether it was inserted, updated, unchanged, kept or deleted:
 
-* partitioned tables: only partitions in which something changed are written,
-  so a load that changes nothing rewrites no file;
+* partitioned tables: only partitions in which something changed are replaced,
+  so a load that changes nothing replaces no file;
 * ``Scope`` (opt-in): the children of every loaded parent are replaced as a
   whole, so those that vanished upstream go; parents that were not loaded keep
   theirs.
@@ -51,7 +51,8 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import PARQUET_CODEC, delete_path, read_text, rename_path, scratch_path, stored_bytes, write_text
+from ..session import (PARQUET_CODEC, delete_path, path_exists, read_text, rename_path, replace_path, scratch_path,
+                       stored_bytes, write_text)
 
 
 class MergeConflict(ValueError):
@@ -396,7 +397,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
 
 # ------------------------------------------------------------------ partitioned tables
 _SCHEMA_FILE = "_nl_schema.json"      # names starting with "_" are not data files
-# Fixed value: partitions of a new table up to which every task writes its rows of each; more are dealt out first.
+# Fixed value: partitions up to which every task writes its rows of each; more are dealt out first.
 FEW_PARTITIONS = 16
 
 
@@ -493,6 +494,53 @@ def _drop_partitions(spark: SparkSession, path: str, partition_by: list[str], go
             delete_path(spark, "/".join([path.rstrip("/"), *(names.getPartitionPathString(c, v) for c, v in values)]))
 
 
+def _beside(path: str) -> str:
+    """A folder beside a path, on the same file system, for what is to take its place."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}__nl_next-{uuid.uuid4().hex}"
+
+
+def _stage_few(spark: SparkSession, path: str, merged: DataFrame, partition_by: list[str], schema: T.StructType, every: bool,
+               note: Callable[[], tuple[int, bool]], conflict: str) -> Callable[[], str]:
+    """Write merged rows once, beside a table and as its partitions; the returned function puts the changed ones in their place.
+
+    For so few partitions that their values fit in a task's result: which of them have rows, and which an inserted,
+    updated or deleted one (``every``: all count as changed), is observed during the write. ``note`` tells, after it,
+    how many conflicts there are to refuse (with the message ``conflict``) and whether a row changed.
+    """
+    beside, state, parts = _beside(path), F.col(_STATE), Observation()
+    values = F.struct(*[F.col(quote(c)).cast("string").alias(f"p{i}") for i, c in enumerate(partition_by)])
+    seen = merged.observe(parts, F.collect_set(F.when(state != DELETED, values)).alias("left"),
+                          F.collect_set(F.when(F.lit(every) | state.isin(*CHANGED), values)).alias("changed"))
+    (seen.filter(state != DELETED).drop(_STATE).write.mode("errorifexists").partitionBy(*partition_by)
+     .parquet(beside, compression=PARQUET_CODEC))
+    n, changed = note()
+    if n or not (changed or every):
+        delete_path(spark, beside)
+        if n:
+            raise MergeConflict(f"{n} {conflict}")
+        return lambda: path
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    left, replaced = ({"/".join(names.getPartitionPathString(c, v) for c, v in zip(partition_by, row, strict=True))
+                       for row in parts.get.get(x) or []} for x in ("left", "changed"))
+    lost = sorted(p for p in left if not path_exists(spark, f"{beside}/{p}"))
+    if lost:
+        raise RuntimeError(f"partitions {lost} of {path} are not in {beside}")
+
+    def publish() -> str:
+        for p in sorted(replaced):
+            if p in left:
+                replace_path(spark, f"{beside}/{p}", f"{path.rstrip('/')}/{p}")
+            else:
+                delete_path(spark, f"{path.rstrip('/')}/{p}")
+        delete_path(spark, beside)
+        write_text(spark, f"{path.rstrip('/')}/{_SCHEMA_FILE}", schema.json())
+        spark.catalog.refreshByPath(path)
+        return path
+
+    return publish
+
+
 def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
                       partition_by: list[str], exists: bool = True, null_safe: bool = False,
                       check: bool = True, scratch: str | None = None, as_table: bool = False,
@@ -527,11 +575,20 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
     else:
         merged = _counted(source, rows).withColumn(_STATE, F.lit(INSERTED))
     schema = T.StructType([f for f in merged.schema.fields if f.name != _STATE])
+    conflict = f"target rows of {path} match several source rows on {keys}"
+    if exists and not as_table:
+        listed = T.StructType([T.StructField(f"__nl_p{i}", touched.schema[c].dataType) for i, c in enumerate(partition_by)])
+        if spark.read.schema(listed).parquet(f"{scratch}_touched").limit(FEW_PARTITIONS + 1).count() <= FEW_PARTITIONS:
+            def note() -> tuple[int, bool]:
+                delete_path(spark, f"{scratch}_touched")
+                found = _note(changes, obs, rows)
+                return int(obs.get.get("conflicts", 0)) if check else 0, any(found[x] for x in CHANGED)
+
+            return _stage_few(spark, path, merged, partition_by, schema, bool(new), note, conflict)
     beside = None
     if not exists and not direct and not as_table:
         # a new path conflicts with nothing: its files are written once, beside it, and take its name when published
-        parent, _, name = path.rstrip("/").rpartition("/")
-        beside = f"{parent}/_{name}__nl_next-{uuid.uuid4().hex}"
+        beside = _beside(path)
         new_rows = merged.drop(_STATE)
         few = source.select(*[F.col(quote(c)) for c in partition_by]).distinct().limit(FEW_PARTITIONS + 1).count() <= FEW_PARTITIONS
         (new_rows if few else new_rows.hint("rebalance", *partition_by)).write.mode("errorifexists").partitionBy(
@@ -546,7 +603,7 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
     n = int(obs.get.get("conflicts", 0)) if obs is not None else 0
     if check and n:
         delete_path(spark, scratch)
-        raise MergeConflict(f"{n} target rows of {path} match several source rows on {keys}")
+        raise MergeConflict(f"{n} {conflict}")
     left = merged.filter(F.col(_STATE) != DELETED)
     emptied = None
     if exists:
@@ -612,11 +669,14 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys:
     and partition columns) and ``PartitionMove`` is raised before any write.
 
     1. target rows of the touched partitions (pruned at run time) are merged
-       with the source and written to ``scratch``, counting conflicts and changes
-       on the way; a conflict stops here;
-    2. of those partitions, the ones with an inserted, updated or deleted row are
-       replaced with ``partitionOverwriteMode=dynamic``; every other partition is
-       left untouched.
+       with the source and written beside the table, as the partitions they will
+       be, counting conflicts and changes on the way; a conflict stops here;
+    2. of those partitions, the ones with an inserted, updated or deleted row take
+       their place by a rename; every other partition is left untouched.
+
+    Of catalog tables, and of more touched partitions than ``FEW_PARTITIONS``, the
+    merged rows are written to ``scratch``, dealt out by partition (a file per task and
+    partition would be many) and replaced with ``partitionOverwriteMode=dynamic``.
 
     Data movement is O(touched partitions), not O(table). Partitions are replaced
     one by one, without cross-partition atomicity. ``exists=False`` creates the

@@ -96,6 +96,24 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} could not be renamed to {to}")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it, if they are not there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def replace_path(spark: SparkSession, path: str, to: str) -> None:
+    """Put a folder in the place of another (which need not be there), on the same file system."""
+    delete_path(spark, to)
+    make_path(spark, to.rpartition("/")[0])
+    rename_path(spark, path, to)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file's content, or None if it is not there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

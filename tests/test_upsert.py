@@ -341,3 +341,46 @@ def test_a_new_partitioned_table_is_written_once(spark):
         assert publish() == path and files(path) <= staged and files(path)
         assert not glob.glob(f"{os.path.dirname(path)}/_{os.path.basename(path)}*")
         assert {tuple(r) for r in read_partitioned(spark, path).select("id", "p", "v").collect()} == {tuple(r) for r in df.collect()}
+
+
+def test_changed_partitions_are_written_once(spark):
+    import glob
+    import os
+
+    from nestlift.operators.upsert import read_partitioned, stage_partitioned, upsert_partitioned
+    path, shape = scratch_path(spark, "silver"), "id INT, p STRING, q INT, v INT"
+    parent, name = os.path.split(path)
+    files = lambda root: {f[len(root) + 1:] for f in glob.glob(f"{root}/**/*.parquet", recursive=True)}
+    beside = lambda: glob.glob(f"{parent}/_{name}__nl_next-*")
+    got = lambda: rows(read_partitioned(spark, path).select("id", "p", "q", "v"))
+    first = [(1, "001", 1, 1), (2, "a=/b", 1, 2), (3, None, None, 3), (4, None, None, 4), (5, "a=/b", 1, 5)]
+    upsert_partitioned(spark, path, spark.createDataFrame(first, shape), ["id"], ["p", "q"], exists=False)
+    before = files(path)
+    load = spark.createDataFrame([(1, "001", 1, 1), (2, "a=/b", 1, 20), (3, None, None, 30), (6, "", 9, 6)], shape)
+    publish = stage_partitioned(spark, path, load, ["id"], ["p", "q"])
+    staged = files(*beside())
+    assert files(path) == before and got() == rows(spark.createDataFrame(first, shape))      # nothing is published yet
+    assert publish() == path and not beside()
+    same = {f for f in before if "p=001" in f}
+    assert same and files(path) == same | {f for f in staged if "p=001" not in f}             # these files, not copies of them
+    want = [(1, "001", 1, 1), (2, "a=/b", 1, 20), (3, None, None, 30), (4, None, None, 4), (5, "a=/b", 1, 5), (6, None, 9, 6)]
+    assert got() == sorted(want, key=str)
+    after = files(path)
+    again = load.where("id < 6")
+    assert stage_partitioned(spark, path, again, ["id"], ["p", "q"])() == path and files(path) == after and not beside()
+    with pytest.raises(MergeConflict):
+        stage_partitioned(spark, path, again.unionByName(again), ["id"], ["p", "q"])
+    assert files(path) == after and not beside()
+
+
+def test_a_few_emptied_partitions_go(spark):
+    import glob
+
+    from nestlift.operators.upsert import Scope, read_partitioned, upsert_partitioned
+    path = scratch_path(spark, "silver")
+    upsert_partitioned(spark, path, spark.createDataFrame([("a", 1, 1, 1), ("a", 2, 1, 2), ("b", 1, 1, 1)], PARTED), ["p", "k"], ["y"],
+                       exists=False)
+    seen = {}
+    upsert_partitioned(spark, path, spark.createDataFrame([("a", 1, 1, 1)], PARTED), ["p", "k"], ["y"], scope=Scope(["p"]), changes=seen)
+    assert seen == {"inserted": 0, "updated": 0, "unchanged": 1, "deleted": 1}
+    assert rows(read_partitioned(spark, path).select("p", "k")) == [("a", 1), ("b", 1)] and not glob.glob(f"{path}/y=2")

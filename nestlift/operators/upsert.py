@@ -51,7 +51,7 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import (PARQUET_CODEC, delete_path, path_exists, read_text, rename_path, replace_path, scratch_path,
+from ..session import (PARQUET_CODEC, TEXT_LEVEL, delete_path, path_exists, read_text, rename_path, replace_path, scratch_path,
                        stored_bytes, write_text)
 
 
@@ -350,7 +350,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
     """
     rows = rows or Observation()
     if current is None:
-        _counted(source, rows).write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
+        _counted(source, rows).write.mode("errorifexists").options(**TEXT_LEVEL).parquet(out, compression=PARQUET_CODEC)
         _note(changes, None, rows)
         return out
     stored = spark.read.parquet(current)
@@ -388,7 +388,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
                 return current
         listed = spark.read.parquet(scratch)
         kept = kept_rows(target, keys, listed, hits, misses, null_safe)
-        kept.unionByName(counted).write.mode("errorifexists").parquet(out, compression=PARQUET_CODEC)
+        kept.unionByName(counted).write.mode("errorifexists").options(**TEXT_LEVEL).parquet(out, compression=PARQUET_CODEC)
         _note(changes, obs, rows)
         return out
     finally:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
 from ..operators.upsert import Scope, conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
-from ..session import PARQUET_CODEC, scratch_path
+from ..session import PARQUET_CODEC, make_path, scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
@@ -457,11 +457,35 @@ def _order_loads(spark, sf_dir):
     path, nested = scratch_path(spark, "orders"), nesting.order_rows(spark, sf_dir)
     nested.write.parquet(path, compression=PARQUET_CODEC)       # both loads read it: nested once
     rows = spark.read.schema(nested.schema).parquet(path)
-    first = rows.filter(F.col("o_orderdate") < F.lit(SPLIT_HI).cast("timestamp_ntz"))
-    second = (rows.filter(F.col("o_orderdate") >= F.lit(SPLIT_LO).cast("timestamp_ntz"))
-              .withColumn("o_totalprice", F.col("o_totalprice") * 2)
-              .withColumn("lines", F.transform("lines", lambda x: x.withField("l_quantity", x["l_quantity"] + 1))))
-    return nesting.as_records(first), nesting.as_records(second)
+    first, second = _in_load()
+    price, lines = _changed()
+    return (nesting.as_records(rows.filter(first)),
+            nesting.as_records(rows.filter(second).withColumn("o_totalprice", price).withColumn("lines", lines)))
+
+
+def _in_load() -> tuple[Column, Column]:
+    """Whether an order is in the first, and in the second load."""
+    day = F.col("o_orderdate")
+    return day < F.lit(SPLIT_HI).cast("timestamp_ntz"), day >= F.lit(SPLIT_LO).cast("timestamp_ntz")
+
+
+def _changed() -> tuple[Column, Column]:
+    """The price and the lines that an order has in the second load."""
+    return F.col("o_totalprice") * 2, F.transform("lines", lambda x: x.withField("l_quantity", x["l_quantity"] + 1))
+
+
+def _land_order_loads(spark, sf_dir) -> list[str]:
+    """The loads of ``_order_loads``, landed: the orders are nested once and both landings are written in one pass."""
+    first, second = _in_load()
+    loads = F.array_compact(F.array(F.when(first, F.lit(0)), F.when(second, F.lit(1))))
+    rows = nesting.order_rows(spark, sf_dir).withColumn("load", F.explode(loads))
+    for name, value in zip(("o_totalprice", "lines"), _changed()):
+        rows = rows.withColumn(name, F.when(F.col("load") == 1, value).otherwise(F.col(name)))
+    path = write_landing(nesting.as_records(rows, keep=("load",)), scratch_path(spark, "landing"), by="load")
+    texts = [f"{path}/load={i}" for i in range(len(TWO_LOADS))]
+    for text in texts:
+        make_path(spark, text)      # a load without orders landed nothing
+    return texts
 
 
 def _main_with_lines(main: DataFrame, lines: DataFrame) -> DataFrame:
@@ -494,8 +518,7 @@ def q_incremental_run(spark, sf_dir):
     sp = specs.spec(specs.ORDERS)
     bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     current: dict[str, str | None] = {}
-    for part, ts in zip(_order_loads(spark, sf_dir), TWO_LOADS):
-        text = write_landing(part, scratch_path(spark, "landing"))
+    for text, ts in zip(_land_order_loads(spark, sf_dir), TWO_LOADS):
         current = ingest(spark, sp, text, ts, bronze, root, current, only="orders_main, order_lines",
                          partition_by={"order_lines": ["l_linenumber"]}).versions
     return _main_with_lines(spark.read.parquet(current["orders_main"]), read_partitioned(spark, current["order_lines"]))
@@ -588,8 +611,7 @@ def q_cast_losses(spark, sf_dir):
     """Two loads under a declaration that does not fit: the values each one lost to casts, per column."""
     sp, told = specs.spec(LOSSY), None
     bronze, root, run = scratch_path(spark, "bronze"), scratch_path(spark, "silver"), None
-    for i, (part, ts) in enumerate(zip(_order_loads(spark, sf_dir), TWO_LOADS)):
-        text = write_landing(part, scratch_path(spark, "landing"))
+    for i, (text, ts) in enumerate(zip(_land_order_loads(spark, sf_dir), TWO_LOADS)):
         run = ingest(spark, sp, text, ts, bronze, root, run.versions if run else None, only="orders_main, order_lines",
                      partition_by={"order_lines": ["l_linenumber"]})
         own = run.cast_losses(spark).where("lost > 0").withColumn("load", F.lit(i + 1))

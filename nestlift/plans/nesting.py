@@ -54,9 +54,9 @@ def nest(parent: DataFrame, child: DataFrame, keys: list[str], field: str,
     return parent.join(packed, keys, "left").select(*[F.col(f"`{c}`") for c in parent.columns], F.col(field))
 
 
-def as_records(df: DataFrame) -> DataFrame:
-    """One JSON text per row, as bronze ``raw_json``."""
-    return df.select(to_json_text(F.struct(*[F.col(c) for c in df.columns])).alias("raw_json"))
+def as_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One JSON text per row, as bronze ``raw_json``; columns to ``keep`` stay beside it, not in it."""
+    return df.select(to_json_text(F.struct(*[F.col(c) for c in df.columns if c not in keep])).alias("raw_json"), *keep)
 
 
 # ----------------------------------------------------------------- FX-O

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import PARQUET_CODEC
+from ..session import PARQUET_CODEC, TEXT_LEVEL
 from ..spec import parse_instant, ts_lit
 
 BRONZE_SCHEMA = T.StructType([
@@ -30,13 +30,15 @@ PARTITION = "load_date"
 LANDING_ROWS = 500_000
 
 
-def write_landing(records: DataFrame, path: str, column: str = "raw_json") -> str:
+def write_landing(records: DataFrame, path: str, column: str = "raw_json", by: str | None = None) -> str:
     """Records -> JSONL text files at ``path`` (one record per line, gzip), overwriting that path.
 
     A gzip file is read by one task, so no file holds more than ``LANDING_ROWS`` records.
+    With ``by``, a column of the records, those of each of its values are a landing of
+    their own, at ``path/by=value``, all written in one pass.
     """
-    (records.select(F.col(column).alias("value")).write.mode("overwrite")
-     .option("compression", "gzip").option("maxRecordsPerFile", LANDING_ROWS).text(path))
+    w = records.select(F.col(column).alias("value"), *([by] if by else [])).write.mode("overwrite")
+    (w.partitionBy(*([by] if by else [])).option("compression", "gzip").option("maxRecordsPerFile", LANDING_ROWS).text(path))
     return path
 
 
@@ -101,7 +103,7 @@ def append_bronze(bronze: DataFrame, target: str, mode: str = "append", as_table
              .partitionBy(PARTITION, BATCH))
     else:
         w = rows.write.mode(mode).partitionBy(PARTITION)
-    w = w.option("compression", PARQUET_CODEC)
+    w = w.option("compression", PARQUET_CODEC).options(**TEXT_LEVEL)
     if as_table:
         w.saveAsTable(target)
     else:

@@ -79,3 +79,38 @@ def test_both_loads_read_orders_that_were_nested_once(spark):
     from conftest import SF
     for load in _order_loads(spark, SF):
         assert "collect_list" not in _plan(load)
+
+
+def test_both_loads_are_landed_in_one_pass(spark, monkeypatch):
+    from conftest import SF
+    from nestlift.plans import catalog
+    kinds = []
+    monkeypatch.setattr(catalog, "scratch_path", lambda s, kind: kinds.append(kind) or scratch_path(s, kind))
+    texts = catalog._land_order_loads(spark, SF)
+    assert kinds == ["landing"]                             # the nested orders are not stored between
+    for text, load in zip(texts, catalog._order_loads(spark, SF), strict=True):
+        want = sorted(r.raw_json for r in load.collect())
+        assert want and sorted(r.value for r in spark.read.text(text).collect()) == want
+
+
+def test_a_load_without_orders_lands_nothing(spark):
+    from nestlift.plans import catalog
+    sf = scratch_path(spark, "tables")
+    spark.sql("""SELECT * FROM VALUES (1L, 1L, 'O', 2.5D, TIMESTAMP_NTZ '1996-01-01 00:00:00', 'x'), (2L, 1L, 'O', 1D, NULL, 'x')
+        AS t(o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)""").write.parquet(f"{sf}/orders.parquet")
+    spark.sql("""SELECT * FROM VALUES (1L, 1L, 1L, 1, 1D, 1D, 0D, 0D, 'N', 'O', TIMESTAMP_NTZ '1996-01-02 00:00:00') AS t(l_orderkey, l_partkey,
+        l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
+        """).write.parquet(f"{sf}/lineitem.parquet")
+    assert [spark.read.text(t).count() for t in catalog._land_order_loads(spark, sf)] == [1, 0]
+    assert catalog.q_incremental_run(spark, sf).count() == 1
+
+
+def test_bronze_text_is_packed_harder(spark):
+    from nestlift.session import stored_bytes
+    recs = spark.range(20_000).selectExpr("""to_json(struct(id AS orderkey, xxhash64(id) % 1000 AS custkey,
+        transform(sequence(1, 4), i -> struct(i AS linenumber, xxhash64(id, i) % 100000 AS partkey)) AS lines)) AS raw_json""").coalesce(1)
+    plain, target = scratch_path(spark, "plain"), scratch_path(spark, "bronze")
+    rows = recs.select("raw_json", F.lit("2024-01-01T00:00:00Z").cast("timestamp").alias("load_timestamp"), F.lit("x").alias("source_file"))
+    rows.write.parquet(plain, compression="zstd")
+    append_bronze(rows, target)
+    assert stored_bytes(spark, target) < 0.97 * stored_bytes(spark, plain)

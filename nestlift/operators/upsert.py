@@ -51,7 +51,7 @@ from pyspark.sql.window import Window
 
 from ..functions.types import quote
 from .enforce import LOST
-from ..session import (PARQUET_CODEC, TEXT_LEVEL, delete_path, path_exists, read_text, rename_path, replace_path, scratch_path,
+from ..session import (PARQUET_CODEC, TEXT_LEVEL, delete_path, more_tasks, path_exists, read_text, rename_path, replace_path, scratch_path,
                        stored_bytes, write_text)
 
 
@@ -96,6 +96,10 @@ def _evolve(target: DataFrame, source: DataFrame, allow_new_columns: bool) -> Da
 _N, _H = "__nl_src_n", "__nl_src_hash"
 # Fixed value: keys up to which a list of them is broadcast.
 FEW_KEYS = 100_000
+# Fixed value: stored rows up to which the places of replaced ones are broadcast (a bit each, so 125 MB at most).
+MOST_PLACES = 1_000_000_000
+# Where a stored row lies: its file (a hash of the path) and its place in it. Only on rows straight from Parquet.
+_FILE, _AT = "__nl_file", "__nl_at"
 # Fixed value: stored bytes a row from which a table's keys and hashes are dealt out before its rows. Those of
 # shorter rows weigh about as much as the rows.
 WIDE_ROW = 64
@@ -166,17 +170,19 @@ def _key_match(keys: list[str], names: list[str], null_safe: bool) -> Column:
 def compare_keys(target: DataFrame, source: DataFrame, keys: list[str], scratch: str, null_safe: bool = False) -> Observation:
     """Write the key of every target row and whether the source has it (``__nl_hit``) to ``scratch``.
 
-    Only keys and row hashes are dealt out. ``source`` has the target's columns. The
+    Only keys and row hashes are dealt out, and the rows' places if the target has them (``with_places``).
+    ``source`` has the target's other columns. The
     observation counts what ``merge_with_conflicts`` does, and the target rows that
     the source has (``hits``) or not (``misses``), and source rows without a target
     row (``fresh``). NULL-key target rows match nothing and are not listed, unless
     ``null_safe``.
     """
-    names, values = [f"__nl_k{i}" for i in range(len(keys))], _values(target, keys)
+    names, places = [f"__nl_k{i}" for i in range(len(keys))], _places(target)
+    values = _values(target, [*keys, *places])
     counted = (source.groupBy(*[F.col(quote(k)).alias(n) for k, n in zip(keys, names, strict=True)])
                .agg(F.count(F.lit(1)).alias(_N), F.max(row_hash(source, values)).alias(_H)))
     own = target if null_safe else target.filter(_all_set(keys))
-    own = own.select(*[F.col(quote(k)) for k in keys], row_hash(target, values).alias("__nl_own"))
+    own = own.select(*[F.col(quote(k)) for k in keys], *places, row_hash(target, values).alias("__nl_own"))
     n, here = F.col(_N), F.col("__nl_own").isNotNull()
     same = F.col(_H) == F.col("__nl_own")
     obs = Observation()
@@ -184,13 +190,41 @@ def compare_keys(target: DataFrame, source: DataFrame, keys: list[str], scratch:
            .observe(obs, F.count_if(here & (n > 1)).alias("conflicts"), F.count_if(here & (n == 1) & same).alias(UNCHANGED),
                     F.count_if(here & (n == 1) & ~same).alias(UPDATED), F.count_if(here & n.isNotNull()).alias("hits"),
                     F.count_if(here & n.isNull()).alias("misses"), F.sum(F.when(~here, n)).alias("fresh")))
-    (met.filter(here).select(*[F.col(quote(k)).alias(x) for k, x in zip(keys, names, strict=True)], n.isNotNull().alias("__nl_hit"))
+    (met.filter(here).select(*[F.col(quote(k)).alias(x) for k, x in zip(keys, names, strict=True)], *places, n.isNotNull().alias("__nl_hit"))
      .write.parquet(scratch, compression=PARQUET_CODEC))
     return obs
 
 
+def with_places(stored: DataFrame) -> DataFrame:
+    """Rows straight from Parquet files, and where each of them lies."""
+    return stored.select("*", F.xxhash64("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(_AT))
+
+
+def _places(df: DataFrame) -> list[str]:
+    return [c for c in (_FILE, _AT) if c in df.columns]
+
+
+def _not_at(rest: DataFrame, hit: DataFrame) -> DataFrame:
+    """The rows that lie elsewhere than the ``hit`` ones: a bit for each place, broadcast, so no row is dealt out."""
+    place, byte = F.col(_AT) + 1, F.expr("cast(conv(hex(substring(__nl_bits, __nl_bit div 8 + 1, 1)), 16, 10) as int)")
+    bits = (hit.groupBy(F.col(_FILE).alias("__nl_in"), F.bitmap_bucket_number(place).alias("__nl_part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__nl_bits")))
+    met = rest.withColumn("__nl_bit", F.bitmap_bit_position(place)).join(
+        F.broadcast(bits), (F.col(_FILE) == F.col("__nl_in")) & (F.bitmap_bucket_number(place) == F.col("__nl_part")), "left")
+    taken = F.coalesce(F.getbit(byte, F.expr("cast(__nl_bit % 8 as int)")), F.lit(0).cast("byte"))
+    return met.where(taken == 0).select(*[F.col(quote(c)) for c in rest.columns])
+
+
 def kept_rows(target: DataFrame, keys: list[str], listed: DataFrame, hits: int, misses: int, null_safe: bool = False) -> DataFrame:
-    """The target rows whose key the source lacks, by the shorter list of ``compare_keys``; NULL-key rows bypass the join."""
+    """The target rows whose key the source lacks, by the shorter list of ``compare_keys``; NULL-key rows bypass the join.
+
+    If that list is long and the rows' places are known, they tell instead: then too, the rows themselves are not dealt out.
+    """
+    places = _places(target)
+    if places:
+        if hits and min(hits, misses) > FEW_KEYS and hits + misses <= MOST_PLACES:
+            return _not_at(target, listed.where("__nl_hit")).drop(*places)
+        target = target.drop(*places)
     rest = target if null_safe else target.filter(_all_set(keys))
     if hits:
         names, most = [f"__nl_k{i}" for i in range(len(keys))], min(hits, misses)
@@ -225,7 +259,7 @@ def _loaded(source: DataFrame, scope: Scope) -> DataFrame:
 
 def merge_states(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False,
                  allow_new_columns: bool = False, rows: Observation | None = None,
-                 scope: Scope | None = None) -> tuple[DataFrame, Observation]:
+                 scope: Scope | None = None, tasks: int | None = None) -> tuple[DataFrame, Observation]:
     """The rows of ``target`` after the upsert with their state, and an observation of the counts.
 
     Target and source rows (and the loaded parents of a ``scope``) meet in one
@@ -236,6 +270,7 @@ def merge_states(target: DataFrame, source: DataFrame, keys: list[str], null_saf
     match a target row are counted as ``conflicts``. Rows with a NULL in the key (in
     the parent, with a scope) bypass the shuffle: they match nothing. A row of a loaded
     parent with a NULL elsewhere in its key matches nothing either, so it goes with a scope.
+    ``tasks``: how many tasks the shuffle deals to, if not as many as the session says.
     """
     target = _evolve(target, source, allow_new_columns)
     src = _align(source, target)
@@ -256,7 +291,7 @@ def merge_states(target: DataFrame, source: DataFrame, keys: list[str], null_saf
         apart = (both.filter(null & (side < 2)).withColumn(_STATE, F.when(side == 0, KEPT).otherwise(INSERTED)).drop(_SIDE))
         both = both.filter(~null)
     # the rows are dealt out first: the hashes of their values need not travel
-    both = both.repartition(*[F.col(quote(c)) for c in (scope.columns if scope else keys)])
+    both = both.repartition(*([tasks] if tasks else []), *[F.col(quote(c)) for c in (scope.columns if scope else keys)])
     own = Window.partitionBy(*[F.col(quote(k)) for k in keys])
     both = both.withColumn(_H, row_hash(target, _values(target, keys)))
     for i in (0, 1):
@@ -373,9 +408,10 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
         return out
     target = _evolve(stored, source, allow_new_columns)
     src = _align(source, target)
+    placed = _evolve(with_places(stored), source, allow_new_columns)
     scratch = scratch_path(spark, "keys")
     try:
-        obs = compare_keys(target, src.drop(LOST), keys, scratch, null_safe)
+        obs = compare_keys(placed, src.drop(LOST), keys, scratch, null_safe)
         n, hits, misses, *new = (int(obs.get.get(x) or 0) for x in ("conflicts", "hits", "misses", "fresh", UPDATED))
         if check and n:
             raise MergeConflict(f"{n} target rows match several source rows on {keys}; the version {out} was not written")
@@ -387,7 +423,7 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
             if not any(found[x] for x in CHANGED):
                 return current
         listed = spark.read.parquet(scratch)
-        kept = kept_rows(target, keys, listed, hits, misses, null_safe)
+        kept = kept_rows(placed, keys, listed, hits, misses, null_safe)
         kept.unionByName(counted).write.mode("errorifexists").options(**TEXT_LEVEL).parquet(out, compression=PARQUET_CODEC)
         _note(changes, obs, rows)
         return out
@@ -397,6 +433,9 @@ def upsert_path(spark: SparkSession, current: str | None, source: DataFrame, key
 
 # ------------------------------------------------------------------ partitioned tables
 _SCHEMA_FILE = "_nl_schema.json"      # names starting with "_" are not data files
+# Fixed value: rows that one task of a merge sorts. With more rows than the session's shuffle partitions hold at that
+# size, tasks multiply instead of growing (and spilling).
+MERGE_ROWS = 1_000_000
 # Fixed value: partitions up to which every task writes its rows of each; more are dealt out first.
 FEW_PARTITIONS = 16
 
@@ -562,7 +601,8 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
         src = _align(source, widened)
         if not fixed_partitions and not set(partition_by) <= set(keys):
             check_moves(target, src, keys, partition_by)
-        touched = src.select(*[F.col(quote(c)) for c in partition_by])
+        loading = Observation()
+        touched = src.select(*[F.col(quote(c)) for c in partition_by]).observe(loading, F.count(F.lit(1)).alias("rows"))
         if scope and not set(partition_by) <= set(scope.columns):
             # vanished children may lie in partitions that no loaded one is in
             own = target.select(*[F.col(quote(c)) for c in dict.fromkeys([*scope.columns, *partition_by])])
@@ -570,7 +610,8 @@ def stage_partitioned(spark: SparkSession, path: str, source: DataFrame, keys: l
         elif scope and scope.parents is not None:
             touched = touched.unionByName(_loaded(src, scope).select(*touched.columns))
         part = _touched_rows(widened, touched, partition_by, f"{scratch}_touched")
-        merged, obs = merge_states(part, src, keys, null_safe, rows=rows, scope=scope)
+        tasks = more_tasks(spark, part.count() + int(loading.get.get("rows", 0)), MERGE_ROWS)
+        merged, obs = merge_states(part, src, keys, null_safe, rows=rows, scope=scope, tasks=tasks)
         new = [f for f in widened.schema.fields if f.name not in target.columns]
     else:
         merged = _counted(source, rows).withColumn(_STATE, F.lit(INSERTED))

@@ -19,8 +19,8 @@ from ..functions.json import infer_schema, parse
 from ..functions.types import shape_to_struct
 from ..operators.backfill import load_window
 from ..operators.enforce import drift, enforce, enforce_strings
-from ..operators.upsert import Scope, conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
-from ..session import PARQUET_CODEC, make_path, scratch_path
+from ..operators.upsert import MERGE_ROWS, Scope, conflicts, merge_frames, read_partitioned, upsert_partitioned, upsert_path
+from ..session import PARQUET_CODEC, make_path, more_tasks, scratch_path
 from ..sources import landing
 from ..sources.bronze import append_bronze, bronze_from_text, in_memory_bronze, read_bronze, write_landing
 from . import nesting, specs
@@ -489,8 +489,11 @@ def _land_order_loads(spark, sf_dir) -> list[str]:
 
 
 def _main_with_lines(main: DataFrame, lines: DataFrame) -> DataFrame:
-    return ntz(main.select("o_orderkey", "o_totalprice").join(lines, "o_orderkey", "left")
-               .select("o_orderkey", "o_totalprice", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"))
+    own = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity"]
+    lines, tasks = lines.select("o_orderkey", *own), more_tasks(main.sparkSession, lines.count(), MERGE_ROWS)
+    if tasks:
+        lines = lines.repartition(tasks, "o_orderkey")
+    return ntz(main.select("o_orderkey", "o_totalprice").join(lines, "o_orderkey", "left").select("o_orderkey", "o_totalprice", *own))
 
 
 def q_silver_summary(spark, sf_dir):

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import to_json_text
+from ..session import more_tasks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,8 +35,7 @@ ROWS_PER_TASK = 250_000
 
 def pack_tasks(rows: DataFrame) -> int | None:
     """Tasks that packing these rows takes, or None if the session's shuffle partitions are enough."""
-    tasks = -(-rows.count() // ROWS_PER_TASK)
-    return tasks if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+    return more_tasks(rows.sparkSession, rows.count(), ROWS_PER_TASK)
 
 
 def nest(parent: DataFrame, child: DataFrame, keys: list[str], field: str,

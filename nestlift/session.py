@@ -69,6 +69,12 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/nestlift/{kind}/{uuid.uuid4().hex}"
 
 
+def more_tasks(spark: SparkSession, rows: int, per_task: int) -> int | None:
+    """Tasks that take ``per_task`` rows each, or None if the session's shuffle partitions are enough."""
+    tasks = -(-rows // per_task)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 # Codec of the Parquet files written here. Records repeat their field names and stored rows
 # repeat from load to load, so what a run writes weighs more than the seconds it takes to pack it.
 PARQUET_CODEC = "zstd"
